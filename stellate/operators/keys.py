@@ -13,7 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID, _MID, _OFF, _BASE, _J = "_sk_pid", "_sk_mid", "_sk_off", "_sk_base", "_sk_join"
+_PID, _MID, _OFF, _BASE = "_sk_pid", "_sk_mid", "_sk_off", "_sk_base"
+
+
+def _default_partitions(df: DataFrame) -> int:
+    try:
+        return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    except (TypeError, ValueError):
+        return 200
 
 
 def assign_surrogate_keys(df: DataFrame, order_cols, sk_col: str = "sk",
@@ -27,8 +34,10 @@ def assign_surrogate_keys(df: DataFrame, order_cols, sk_col: str = "sk",
     offset (e.g. ``max(sk)`` of the existing dimension).
     """
     order_cols = [order_cols] if isinstance(order_cols, (str, Column)) else list(order_cols)
-    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
-              else df.repartitionByRange(*order_cols))
+    # An explicit partition count matters: AQE never coalesces a
+    # REPARTITION_BY_NUM shuffle, so the counting branch and the numbering
+    # branch (which reuse one exchange) see the same partition ids.
+    ranged = df.repartitionByRange(num_partitions or _default_partitions(df), *order_cols)
     numbered = (ranged.sortWithinPartitions(*order_cols)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
@@ -38,10 +47,9 @@ def assign_surrogate_keys(df: DataFrame, order_cols, sk_col: str = "sk",
     w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias(_OFF))
     if isinstance(base, DataFrame):
-        b = base.select(F.coalesce(F.col(base.columns[0]).cast("bigint"), F.lit(0)).alias(_BASE))
-        offsets = (offsets.withColumn(_J, F.lit(1))
-                   .join(b.withColumn(_J, F.lit(1)), _J).drop(_J)
-                   .select(_PID, (F.col(_OFF) + F.col(_BASE)).alias(_OFF)))
+        # one value, evaluated once as a scalar subquery
+        b = base.select(F.coalesce(F.col(base.columns[0]).cast("bigint"), F.lit(0)).alias(_BASE)).scalar()
+        offsets = offsets.withColumn(_OFF, F.col(_OFF) + b)
     else:
         offsets = offsets.withColumn(_OFF, F.col(_OFF) + F.lit(int(base or 0)))
     pos = F.col(_MID) - F.shiftleft(F.col(_PID).cast("bigint"), 33)

@@ -92,24 +92,39 @@ def order_lines(spark, sf_dir) -> DataFrame:
     return li.join(o, "l_orderkey")
 
 
-def fact_order_lines(spark, sf_dir) -> DataFrame:
-    lines = order_lines(spark, sf_dir)
+def order_headers(spark, sf_dir) -> DataFrame:
+    """Orders with their order-level surrogate keys (customer, shipper).
+
+    Looking these up on the order (1 row per order) instead of on the line
+    (~4 rows per order, wider) shrinks the data each lookup shuffles."""
+    o = td.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
+                                                 td.ship_via().alias("ship_via"))
     cust = dim_customers(spark, sf_dir).select(F.col("c_custkey").alias("o_custkey"), "customer_key")
+    ship = dim_shippers(spark, sf_dir).select(F.col("shipper_id").alias("ship_via"), "shipper_key")
+    return (o.join(cust, "o_custkey").join(ship, "ship_via")
+            .select(F.col("o_orderkey").alias("l_orderkey"), "customer_key", "shipper_key",
+                    date_key("o_orderdate").alias("order_date_key")))
+
+
+def fact_order_lines(spark, sf_dir) -> DataFrame:
+    """Order-line fact.  Plan shape: order-level lookups on ``orders``, one
+    sort-merge join of lines to orders on the order key, then the line-level
+    lookups (product, employee).  Existence filters (category, territory)
+    are applied to the dimensions before the lookup, never to the fact."""
+    li = td.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_shipdate")
     prod = dim_products(spark, sf_dir).select(F.col("product_id").alias("l_partkey"), "product_key",
                                               F.col("unit_price").alias("list_price"))
-    emp = dim_employees(spark, sf_dir).select(F.col("employee_id").alias("l_suppkey"), "employee_key")
-    ship = dim_shippers(spark, sf_dir).select(F.col("shipper_id").alias("ship_via"), "shipper_key")
-    return (lines
-            .withColumn("ship_via", td.ship_via())
-            .join(cust, "o_custkey")
+    emp = (dim_employees(spark, sf_dir).select(F.col("employee_id").alias("l_suppkey"), "employee_key")
+           .join(employees_with_territory(spark, sf_dir), "l_suppkey", "left_semi"))
+    return (li.join(order_headers(spark, sf_dir), "l_orderkey")
             .join(prod, "l_partkey")
             .join(emp, "l_suppkey")
-            .join(employees_with_territory(spark, sf_dir), "l_suppkey", "left_semi")
-            .join(ship, "ship_via")
             .select(F.col("l_orderkey").alias("order_id"),
                     F.col("l_linenumber").cast("bigint").alias("line_number"),
                     "customer_key", "employee_key", "product_key", "shipper_key",
-                    date_key("o_orderdate").alias("order_date_key"),
+                    "order_date_key",
                     date_key("l_shipdate").alias("ship_date_key"),
                     F.col("l_quantity").cast("bigint").alias("quantity"),
                     F.col("l_extendedprice").cast("decimal(19,4)").alias("line_price"),
