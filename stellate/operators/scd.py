@@ -18,6 +18,30 @@ def _date_lit(d) -> F.Column:
     return F.lit(d)
 
 
+_MARKER = "_closed_key"
+
+
+def scd2_actions(target: DataFrame, source: DataFrame, keys, tracked=None,
+                 null_mode: str = "sentinel", binary_mode: str = "digest",
+                 current_col: str = "is_current") -> DataFrame:
+    """``merge_actions`` for a versioned target without shuffling its history.
+
+    Only current versions take part in the join with their full rows.  For
+    closed versions just the distinct keys enter, as marker rows (partially
+    aggregated before the shuffle, so a key with many versions costs one row
+    per task): a source key that meets only a marker is "matched" and
+    therefore neither inserted nor updated -- a key whose versions are all
+    closed is never re-opened.  Marker rows carry ``t._closed_key = true``.
+    """
+    keys = _as_list(keys)
+    is_cur = F.coalesce(F.col(current_col), F.lit(False))
+    current = target.filter(is_cur).withColumn(_MARKER, F.lit(False))
+    markers = (target.filter(~is_cur).select(*keys).distinct()
+               .withColumn(_MARKER, F.lit(True)))
+    tprime = current.unionByName(markers, allowMissingColumns=True)
+    return merge_actions(tprime, source, keys, tracked, null_mode, binary_mode, update_when=current_col)
+
+
 def scd2(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-01-01",
          null_mode: str = "sentinel", binary_mode: str = "digest",
          current_col: str = "is_current", eff_col: str = "effective_date",
@@ -25,9 +49,6 @@ def scd2(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-0
          actions: DataFrame | None = None) -> DataFrame:
     """Type-2 dimension after one load.
 
-    The source is joined to *all* versions of the target in one full outer
-    join.  Per joined row:
-
     * a current version whose tracked columns changed is expired
       (``current=false``, ``ineffective = as_of - 1 day``) and a new current
       version is emitted from the source image (``effective = as_of``);
@@ -36,12 +57,14 @@ def scd2(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-0
       as they are (``close_missing=True`` expires the latter instead);
     * a key with only closed versions is neither updated nor re-inserted.
 
-    Both output rows of a joined row come out of one ``explode`` -- the join
-    runs once, with no union and no cache.
+    Closed versions bypass the join (see ``scd2_actions``); when the table is
+    partitioned by ``current_col`` their scan is a separate partition.  Both
+    output rows of a joined row come out of one ``explode`` -- the join runs
+    once, with no cache.
     """
     keys = _as_list(keys)
-    a = actions if actions is not None else merge_actions(
-        target, source, keys, tracked, null_mode, binary_mode, update_when=current_col)
+    a = actions if actions is not None else scd2_actions(
+        target, source, keys, tracked, null_mode, binary_mode, current_col)
     as_of_c = _date_lit(as_of)
     yesterday = F.date_sub(as_of_c, 1)
     s_cols = set(source.columns)
@@ -66,11 +89,21 @@ def scd2(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-0
         else:
             old_img.append(F.col(f"t.{c}").alias(c))
             new_img.append((F.col(f"s.{c}") if c in s_cols else F.lit(None)).cast(f.dataType).alias(c))
-    emit_old = F.col(ACTION) != INSERT
+    marker = F.coalesce(F.col(f"t.{_MARKER}"), F.lit(False)) if _has_marker(a) else F.lit(False)
+    emit_old = (F.col(ACTION) != INSERT) & ~marker
     emit_new = F.col(ACTION).isin(INSERT, UPDATE)
     rows = F.array_compact(F.array(F.when(emit_old, F.struct(*old_img)),
                                    F.when(emit_new, F.struct(*new_img))))
-    return a.select(F.explode(rows).alias("_v")).select("_v.*")
+    merged = a.select(F.explode(rows).alias("_v")).select("_v.*")
+    if not _has_marker(a):  # caller joined all versions itself
+        return merged
+    closed = target.filter(~F.coalesce(F.col(current_col), F.lit(False)))
+    return closed.unionByName(merged)
+
+
+def _has_marker(actions: DataFrame) -> bool:
+    t = actions.schema["t"].dataType
+    return _MARKER in t.fieldNames()
 
 
 def scd2_expired(actions: DataFrame, target: DataFrame, keys, as_of, current_col="is_current",

@@ -16,10 +16,11 @@ from stellate.functions.dates import (
 )
 from stellate.functions.predicates import binary_changed, changed
 from stellate.operators import audit
+from stellate.operators.append import append_idempotent
 from stellate.operators.calendar import calendar_from_bounds
 from stellate.operators.keys import assign_surrogate_keys, extend_surrogate_keys, unmatched
 from stellate.operators.merge import ACTION, change_feed, merge_actions, scd1
-from stellate.operators.scd import scd2, scd2_expired, scd2_new_versions, scd3, scd4
+from stellate.operators.scd import scd2, scd2_actions, scd2_expired, scd2_new_versions, scd3, scd4
 from stellate.plans import star
 from stellate.sources import catalog, landing
 from stellate.sources import testdata as td
@@ -101,9 +102,7 @@ def q_fact_append_idempotent(spark, d):
     li = td.table(spark, d, "lineitem").select(*LINE_COLS)
     existing = li.filter(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     batch = li.filter(F.col("l_shipdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
-    new = batch.join(existing, LINE_COLS, "left_anti")
-    return (existing.withColumn("load_batch", F.lit("existing"))
-            .unionByName(new.withColumn("load_batch", F.lit("appended"))))
+    return append_idempotent(batch, existing, LINE_COLS, range_col="l_shipdate", batch_col="load_batch")
 
 
 # ---------------------------------------------------------------- scalars
@@ -198,8 +197,8 @@ def q_scd1_merge(spark, d):
 
 
 def _hist_actions(spark, d):
-    return merge_actions(td.customer_hist(spark, d), td.customer_source(spark, d), "k", CUSTOMER_TRACKED,
-                         null_mode="sentinel", update_when="is_current")
+    return scd2_actions(td.customer_hist(spark, d), td.customer_source(spark, d), "k", CUSTOMER_TRACKED,
+                        null_mode="sentinel")
 
 
 def q_scd2_merge(spark, d):
