@@ -58,6 +58,9 @@ def load_entity(spark: SparkSession, path: str, schema: T.StructType | None = No
     inferred); parquet carries its own and is projected onto the declared
     columns when a schema is given."""
     reader = spark.read.options(**options)
+    if fmt == "jdbc":  # ``path`` is the table name; url/user/... come in options
+        df = reader.format("jdbc").option("dbtable", path).load()
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]) if schema else df
     if fmt == "parquet":
         df = reader.parquet(path)
         if schema is not None:
