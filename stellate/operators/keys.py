@@ -6,13 +6,25 @@ range-partitioned on the order, each partition is sorted, the per-partition
 row counts (one row per partition -- a proven size bound) become offsets,
 and the in-partition position comes from ``monotonically_increasing_id``,
 which is (partition index << 33) + position.  One shuffle, no driver collect.
+
+The counting and the numbering must see the *same* partitions.  Two
+evaluations of a range exchange are not guaranteed to agree (the sampled
+bounds are seeded per evaluation) and exchange reuse is only an
+optimisation, so the sorted, range-partitioned rows are materialised once
+with a reliable ``checkpoint()`` in the cluster's shared checkpoint dir;
+both branches read that, and a lost executor re-reads it instead of
+re-sampling.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stellate.session import shared_dir
+
 _PID, _MID, _OFF, _BASE = "_sk_pid", "_sk_mid", "_sk_off", "_sk_base"
 
 
@@ -37,8 +49,11 @@ def assign_surrogate_keys(df: DataFrame, order_cols, sk_col: str = "sk",
     # An explicit partition count matters: AQE never coalesces a
     # REPARTITION_BY_NUM shuffle, so the counting branch and the numbering
     # branch (which reuse one exchange) see the same partition ids.
-    ranged = df.repartitionByRange(num_partitions or _default_partitions(df), *order_cols)
-    numbered = (ranged.sortWithinPartitions(*order_cols)
+    ranged = (df.repartitionByRange(num_partitions or _default_partitions(df), *order_cols)
+              .sortWithinPartitions(*order_cols))
+    shared_dir(df.sparkSession)  # make sure a checkpoint dir exists (tests / local runs)
+    ranged = ranged.checkpoint(eager=True)
+    numbered = (ranged
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
     counts = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
@@ -94,4 +109,7 @@ def unmatched(fact: DataFrame, dim: DataFrame, fact_cols, dim_cols) -> DataFrame
     fact_cols = [fact_cols] if isinstance(fact_cols, str) else list(fact_cols)
     dim_cols = [dim_cols] if isinstance(dim_cols, str) else list(dim_cols)
     m = dim.select(*[F.col(d).alias(f) for d, f in zip(dim_cols, fact_cols)])
-    return fact.join(m, fact_cols, "left_anti")
+    # NULL keys never match; they bypass the join instead of all hashing into
+    # one shuffle partition.
+    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in fact_cols])
+    return fact.filter(any_null).unionByName(fact.filter(~any_null).join(m, fact_cols, "left_anti"))

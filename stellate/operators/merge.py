@@ -9,6 +9,8 @@ and the change feed -- is a projection of that one join.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,7 +66,12 @@ def merge_actions(target: DataFrame, source: DataFrame, keys, tracked=None,
     dtypes = {f.name: f.dataType for f in source.schema.fields}
     t = target.select(*keys, F.struct(*t_cols).alias("t"), F.lit(True).alias(_IN_T))
     s = source.select(*keys, F.struct(*s_cols).alias("s"), F.lit(True).alias(_IN_S))
-    j = t.join(s, keys, "full_outer")
+    # Rows with a NULL key match nothing: they bypass the join (a NULL key
+    # would otherwise hash every such row into one partition).
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    j = (t.filter(~null_key).join(s.filter(~null_key), keys, "full_outer")
+         .unionByName(t.filter(null_key), allowMissingColumns=True)
+         .unionByName(s.filter(null_key), allowMissingColumns=True))
     chg = change_condition(dtypes, tracked, null_mode, binary_mode)
     if update_when is not None:
         chg = F.coalesce(F.col(f"t.{update_when}"), F.lit(False)) & chg

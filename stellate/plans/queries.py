@@ -6,6 +6,7 @@ Column names and types here are mirrored exactly by ``oracle.ORACLE_SQL``.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -21,10 +22,10 @@ from stellate.operators.calendar import calendar_from_bounds
 from stellate.operators.keys import assign_surrogate_keys, extend_surrogate_keys, unmatched
 from stellate.operators.merge import ACTION, change_feed, merge_actions, scd1
 from stellate.operators.scd import scd2, scd2_actions, scd2_expired, scd2_new_versions, scd3, scd4
-from stellate.plans import star
+from stellate.plans import pipeline, star
 from stellate.sources import catalog, landing
 from stellate.sources import testdata as td
-from stellate.sources.publish import publish, read_table
+from stellate.sources.publish import publish, read_table, warehouse_root
 
 AS_OF = td.AS_OF
 CUSTOMER_TRACKED = ["nm", "addr"]
@@ -354,23 +355,11 @@ def q_land_entities(spark, d):
 # ---------------------------------------------------------------- pipeline / publish / catalog
 
 def q_star_pipeline(spark, d):
-    """Build every star table and report rows and distinct keys per table."""
-    tables = {
-        "dim_customers": (star.dim_customers(spark, d), ["customer_key"]),
-        "dim_products": (star.dim_products(spark, d), ["product_key"]),
-        "dim_employees": (star.dim_employees(spark, d), ["employee_key"]),
-        "dim_shippers": (star.dim_shippers(spark, d), ["shipper_key"]),
-        "dim_territories": (star.dim_territories(spark, d), ["territory_key"]),
-        "bridge_employee_territory": (star.bridge_employee_territory(spark, d), ["employee_key", "territory_key"]),
-        "dim_date": (q_calendar_dim(spark, d), ["date_key"]),
-        "fact_order_lines": (star.fact_order_lines(spark, d), ["order_id", "line_number", "product_key",
-                                                                "employee_key"]),
-    }
-    parts = [df.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
-                    F.count_distinct(*[F.col(k) for k in keys]).cast("bigint").alias("n_keys"))
-             .select(F.lit(name).alias("table_name"), "n_rows", "n_keys")
-             for name, (df, keys) in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    """Load and publish every star table (audited), then report rows and
+    distinct keys per published table."""
+    root = f"{warehouse_root(spark)}/star-{uuid.uuid4().hex}"
+    pipeline.run_star(spark, d, root)
+    return pipeline.summary(spark, root)
 
 
 def q_publish_snapshot(spark, d):

@@ -64,11 +64,14 @@ def dim_territories(spark, sf_dir) -> DataFrame:
         "territory_id", "territory_key")
 
 
-def bridge_employee_territory(spark, sf_dir) -> DataFrame:
+def bridge_employee_territory(spark, sf_dir, emp_dim: DataFrame | None = None,
+                              terr_dim: DataFrame | None = None) -> DataFrame:
     """Bridge table in surrogate keys (both dimensions' current rows)."""
     b = td.employee_territories(spark, sf_dir)
-    e = dim_employees(spark, sf_dir).select(F.col("employee_id").alias("s_suppkey"), "employee_key")
-    t = dim_territories(spark, sf_dir).select(F.col("territory_id").alias("n_nationkey"), "territory_key")
+    emp_dim = emp_dim if emp_dim is not None else dim_employees(spark, sf_dir)
+    terr_dim = terr_dim if terr_dim is not None else dim_territories(spark, sf_dir)
+    e = emp_dim.select(F.col("employee_id").alias("s_suppkey"), "employee_key")
+    t = terr_dim.select(F.col("territory_id").alias("n_nationkey"), "territory_key")
     return b.join(e, "s_suppkey").join(t, "n_nationkey").select("employee_key", "territory_key")
 
 
@@ -92,33 +95,45 @@ def order_lines(spark, sf_dir) -> DataFrame:
     return li.join(o, "l_orderkey")
 
 
-def order_headers(spark, sf_dir) -> DataFrame:
+def order_headers(spark, sf_dir, cust_dim: DataFrame | None = None,
+                  ship_dim: DataFrame | None = None) -> DataFrame:
     """Orders with their order-level surrogate keys (customer, shipper).
 
     Looking these up on the order (1 row per order) instead of on the line
     (~4 rows per order, wider) shrinks the data each lookup shuffles."""
     o = td.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                                  td.ship_via().alias("ship_via"))
-    cust = dim_customers(spark, sf_dir).select(F.col("c_custkey").alias("o_custkey"), "customer_key")
-    ship = dim_shippers(spark, sf_dir).select(F.col("shipper_id").alias("ship_via"), "shipper_key")
+    cust_dim = cust_dim if cust_dim is not None else dim_customers(spark, sf_dir)
+    ship_dim = ship_dim if ship_dim is not None else dim_shippers(spark, sf_dir)
+    cust = cust_dim.select(F.col("c_custkey").alias("o_custkey"), "customer_key")
+    ship = ship_dim.select(F.col("shipper_id").alias("ship_via"), "shipper_key")
     return (o.join(cust, "o_custkey").join(ship, "ship_via")
             .select(F.col("o_orderkey").alias("l_orderkey"), "customer_key", "shipper_key",
                     date_key("o_orderdate").alias("order_date_key")))
 
 
-def fact_order_lines(spark, sf_dir) -> DataFrame:
+def fact_order_lines(spark, sf_dir, dims: dict | None = None) -> DataFrame:
     """Order-line fact.  Plan shape: order-level lookups on ``orders``, one
     sort-merge join of lines to orders on the order key, then the line-level
     lookups (product, employee).  Existence filters (category, territory)
-    are applied to the dimensions before the lookup, never to the fact."""
+    are applied to the dimensions before the lookup, never to the fact.
+
+    ``dims`` may supply already-published dimensions (keys ``customers``,
+    ``shippers``, ``products``, ``employees``); missing ones are built."""
+    dims = dims or {}
     li = td.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_shipdate")
-    prod = dim_products(spark, sf_dir).select(F.col("product_id").alias("l_partkey"), "product_key",
-                                              F.col("unit_price").alias("list_price"))
-    emp = (dim_employees(spark, sf_dir).select(F.col("employee_id").alias("l_suppkey"), "employee_key")
+    prod_dim = dims.get("products")
+    prod_dim = prod_dim if prod_dim is not None else dim_products(spark, sf_dir)
+    emp_dim = dims.get("employees")
+    emp_dim = emp_dim if emp_dim is not None else dim_employees(spark, sf_dir)
+    prod = prod_dim.select(F.col("product_id").alias("l_partkey"), "product_key",
+                           F.col("unit_price").alias("list_price"))
+    emp = (emp_dim.select(F.col("employee_id").alias("l_suppkey"), "employee_key")
            .join(employees_with_territory(spark, sf_dir), "l_suppkey", "left_semi"))
-    return (li.join(order_headers(spark, sf_dir), "l_orderkey")
+    headers = order_headers(spark, sf_dir, dims.get("customers"), dims.get("shippers"))
+    return (li.join(headers, "l_orderkey")
             .join(prod, "l_partkey")
             .join(emp, "l_suppkey")
             .select(F.col("l_orderkey").alias("order_id"),

@@ -44,18 +44,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder on the storage every executor sees.
 
-    Uses the cluster's ``spark.checkpoint.dir`` (or the checkpoint dir the
-    SparkContext already has).  Only when neither is set -- local runs and
-    tests -- a private scratch folder is created and registered as the
-    checkpoint dir, so later calls agree.
+    Uses the cluster's ``spark.checkpoint.dir`` (registering it with the
+    SparkContext if that has no checkpoint dir yet), else the checkpoint dir
+    the SparkContext already has.  Only when neither is set -- local runs
+    and tests -- a private scratch folder is created and registered, so
+    later calls agree.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if root and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="stellate-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        sc.setCheckpointDir(root)
     path = "/".join([root.rstrip("/"), *parts]) if parts else root
     if path.startswith("/") or path.startswith("file:"):
         local = path[5:] if path.startswith("file:") else path

@@ -177,3 +177,22 @@ def test_cascade(spark):
     m = spark.createDataFrame([(20, 200)], "old_key long, new_key long")
     assert sorted((r["id"], r["parent"]) for r in audit.cascade_update(child, "parent", m).collect()) == \
         [(1, 10), (2, 200)]
+
+
+def test_null_keys_bypass_the_merge_join(spark):
+    t = spark.createDataFrame([(None, "a"), (1, "b")], "k long, v string")
+    s = spark.createDataFrame([(None, "c"), (1, "b")], "k long, v string")
+    got = sorted((r["k"] is None, r["merge_action"]) for r in merge_actions(t, s, "k", ["v"]).collect())
+    assert got == [(False, "KEEP"), (True, "DELETE"), (True, "INSERT")]
+
+
+def test_star_pipeline_publishes_audited_tables(spark, tmp_path):
+    from conftest import SF_SMALL
+    from stellate.plans import pipeline
+    root = str(tmp_path / "wh")
+    snaps = pipeline.run_star(spark, SF_SMALL, root)
+    assert set(snaps) == set(pipeline.SUMMARY_KEYS)
+    fact = read_table(spark, "fact_order_lines", root)
+    assert fact.count() == 6000 and "order_year" in fact.columns
+    rows = {r["table_name"]: (r["n_rows"], r["n_keys"]) for r in pipeline.summary(spark, root).collect()}
+    assert rows["dim_customers"] == (150, 150) and rows["bridge_employee_territory"] == (50, 50)

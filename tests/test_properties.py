@@ -73,3 +73,20 @@ def test_landing_tokens_and_csv_schema(spark, tmp_path):
     from stellate.sources.catalog import schema_of
     df = landing.load_entity(spark, str(p), schema_of("region"), fmt="csv")
     assert df.columns == ["RegionID", "RegionDescription"] and df.count() == 2
+
+
+def test_surrogate_keys_survive_a_wide_write(spark, tmp_path):
+    """Regression: with more rows than the range sampler keeps and extra
+    columns (so the counting and numbering branches prune differently), the
+    written keys must still be dense, unique and in key order."""
+    df = spark.range(0, 400000, numPartitions=8).select(
+        (F.col("id") * 7 % 400009).alias("k"), (F.col("id") % 13).alias("x"), F.lit("pad").alias("y"))
+    out = assign_surrogate_keys(df, "k", "sk", num_partitions=16)
+    path = str(tmp_path / "sk")
+    out.write.parquet(path)
+    back = spark.read.parquet(path)
+    r = back.agg(F.count(F.lit(1)), F.count_distinct("sk"), F.min("sk"), F.max("sk")).first()
+    assert tuple(r) == (400000, 400000, 1, 400000)
+    from pyspark.sql import Window
+    w = Window.orderBy("k")
+    assert back.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") != F.col("sk")).count() == 0
