@@ -10,10 +10,10 @@ which is (partition index << 33) + position.  One shuffle, no driver collect.
 The counting and the numbering must see the *same* partitions.  Two
 evaluations of a range exchange are not guaranteed to agree (the sampled
 bounds are seeded per evaluation) and exchange reuse is only an
-optimisation, so the sorted, range-partitioned rows are materialised once
-with a reliable ``checkpoint()`` in the cluster's shared checkpoint dir;
-both branches read that, and a lost executor re-reads it instead of
-re-sampling.
+optimisation, so the sorted, range-partitioned rows become one checkpointed
+Dataset: a single RDD with a single partitioner (bounds sampled once), which
+both branches read.  The checkpoint files go to the cluster's shared
+checkpoint dir, so a lost executor re-reads them instead of recomputing.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ def assign_surrogate_keys(df: DataFrame, order_cols, sk_col: str = "sk",
     ranged = (df.repartitionByRange(num_partitions or _default_partitions(df), *order_cols)
               .sortWithinPartitions(*order_cols))
     shared_dir(df.sparkSession)  # make sure a checkpoint dir exists (tests / local runs)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = ranged.checkpoint(eager=False)
     numbered = (ranged
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
@@ -73,6 +73,20 @@ def assign_surrogate_keys(df: DataFrame, order_cols, sk_col: str = "sk",
             .drop(_PID, _MID, _OFF))
 
 
+def key_map(df: DataFrame, keys, sk_col: str = "sk", base: DataFrame | int | None = 0,
+            num_partitions: int | None = None) -> DataFrame:
+    """Natural key -> surrogate key map, numbered on the key columns alone:
+    only the keys are shuffled and checkpointed, however wide ``df`` is."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return assign_surrogate_keys(df.select(*keys), keys, sk_col, base, num_partitions)
+
+
+def with_surrogate_keys(df: DataFrame, keys, sk_col: str = "sk", base: DataFrame | int | None = 0) -> DataFrame:
+    """``df`` plus its surrogate key, via ``key_map`` joined back on the key."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return df.join(key_map(df, keys, sk_col, base), keys)
+
+
 def max_key(df: DataFrame, sk_col: str) -> DataFrame:
     """One-row DataFrame with max(sk) (0 when empty), for ``base=``."""
     return df.agg(F.coalesce(F.max(sk_col), F.lit(0)).cast("bigint").alias("max_sk"))

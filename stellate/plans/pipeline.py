@@ -39,7 +39,7 @@ def run_star(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict:
             checks["natural_key"] = lambda w: audit.duplicate_keys(w, natural)
         checks.update(extra or {})
         snaps[name] = publish(df, name, checks, root, partition_by)
-        return read_table(spark, name, root)
+        return read_table(spark, name, root, snaps[name])
 
     cal = pub("dim_date", calendar_from_bounds(date_bounds(spark, sf_dir)), ["date_key"])
     dims = {
@@ -76,11 +76,12 @@ SUMMARY_KEYS = {
 }
 
 
-def summary(spark: SparkSession, root: str | None = None) -> DataFrame:
+def summary(spark: SparkSession, root: str | None = None, snapshots: dict | None = None) -> DataFrame:
     """Rows and distinct keys of every published star table."""
+    snapshots = snapshots or {}
     parts = []
     for name, keys in SUMMARY_KEYS.items():
-        df = read_table(spark, name, root)
+        df = read_table(spark, name, root, snapshots.get(name))
         parts.append(df.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
                             F.count_distinct(*[F.col(k) for k in keys]).cast("bigint").alias("n_keys"))
                      .select(F.lit(name).alias("table_name"), "n_rows", "n_keys"))

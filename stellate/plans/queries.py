@@ -19,7 +19,7 @@ from stellate.functions.predicates import binary_changed, changed
 from stellate.operators import audit
 from stellate.operators.append import append_idempotent
 from stellate.operators.calendar import calendar_from_bounds
-from stellate.operators.keys import assign_surrogate_keys, extend_surrogate_keys, unmatched
+from stellate.operators.keys import extend_surrogate_keys, key_map, unmatched
 from stellate.operators.merge import ACTION, change_feed, merge_actions, scd1
 from stellate.operators.scd import scd2, scd2_actions, scd2_expired, scd2_new_versions, scd3, scd4
 from stellate.plans import pipeline, star
@@ -62,7 +62,7 @@ def q_fact_key_lookup(spark, d):
     """Order-header grain: natural customer and shipper ids replaced by
     surrogate keys."""
     o = td.table(spark, d, "orders")
-    cust = star.dim_customers(spark, d).select(F.col("c_custkey").alias("o_custkey"), "customer_key")
+    cust = star.customer_keys(spark, d).select(F.col("c_custkey").alias("o_custkey"), "customer_key")
     ship = star.dim_shippers(spark, d).select(F.col("shipper_id").alias("ship_via"), "shipper_key")
     return (o.select("o_orderkey", "o_custkey", "o_orderdate", td.ship_via().alias("ship_via"))
             .join(cust, "o_custkey").join(ship, "ship_via")
@@ -254,7 +254,7 @@ def q_scd4_products(spark, d):
 
 
 def q_surrogate_keys(spark, d):
-    prev = assign_surrogate_keys(td.customer_prev(spark, d), "k", "sk")
+    prev = key_map(td.customer_prev(spark, d), "k", "sk")
     return extend_surrogate_keys(prev, td.customer_source(spark, d), "k", "sk")
 
 
@@ -358,8 +358,8 @@ def q_star_pipeline(spark, d):
     """Load and publish every star table (audited), then report rows and
     distinct keys per published table."""
     root = f"{warehouse_root(spark)}/star-{uuid.uuid4().hex}"
-    pipeline.run_star(spark, d, root)
-    return pipeline.summary(spark, root)
+    snaps = pipeline.run_star(spark, d, root)
+    return pipeline.summary(spark, root, snaps)
 
 
 def q_publish_snapshot(spark, d):

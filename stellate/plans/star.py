@@ -18,47 +18,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stellate.functions.dates import date_key
-from stellate.operators.keys import assign_surrogate_keys
+from stellate.operators.keys import key_map, with_surrogate_keys
 from stellate.sources import testdata as td
 
 
+def customer_keys(spark, sf_dir) -> DataFrame:
+    return key_map(td.table(spark, sf_dir, "customer"), "c_custkey", "customer_key")
+
+
 def dim_customers(spark, sf_dir) -> DataFrame:
-    c = td.table(spark, sf_dir, "customer")
-    return assign_surrogate_keys(
-        c.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), "c_custkey", "customer_key")
+    c = td.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return c.join(customer_keys(spark, sf_dir), "c_custkey")
 
 
 def dim_categories(spark, sf_dir) -> DataFrame:
-    return assign_surrogate_keys(td.categories(spark, sf_dir), "category_name", "category_id")
+    return key_map(td.categories(spark, sf_dir), "category_name", "category_id")
+
+
+def product_keys(spark, sf_dir) -> DataFrame:
+    return key_map(td.table(spark, sf_dir, "part"), "p_partkey", "product_key")
 
 
-def dim_products(spark, sf_dir) -> DataFrame:
-    """Products denormalised with their category."""
-    p = td.table(spark, sf_dir, "part")
-    keyed = assign_surrogate_keys(
-        p.select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice", "p_type"), "p_partkey", "product_key")
-    cats = dim_categories(spark, sf_dir)
-    return keyed.join(cats, keyed.p_type == cats.category_name).select(
-        "product_key",
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_brand").alias("brand"),
-        F.col("p_size").cast("bigint").alias("size"),
-        F.col("p_retailprice").cast("decimal(19,4)").alias("unit_price"),
-        "category_id", "category_name")
+def dim_products(spark, sf_dir, keys: DataFrame | None = None) -> DataFrame:
+    """Products denormalised with their category (inner: a product without a
+    known category is not loaded, as in the reference's join)."""
+    p = td.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice",
+                                               F.col("p_type").alias("category_name"))
+    keys = keys if keys is not None else product_keys(spark, sf_dir)
+    return (p.join(keys, "p_partkey").join(dim_categories(spark, sf_dir), "category_name")
+            .select("product_key",
+                    F.col("p_partkey").alias("product_id"),
+                    F.col("p_name").alias("product_name"),
+                    F.col("p_brand").alias("brand"),
+                    F.col("p_size").cast("bigint").alias("size"),
+                    F.col("p_retailprice").cast("decimal(19,4)").alias("unit_price"),
+                    "category_id", "category_name"))
+
+
+def employee_keys(spark, sf_dir) -> DataFrame:
+    return key_map(td.table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "employee_id"),
+                   "employee_id", "employee_key")
 
 
 def dim_employees(spark, sf_dir) -> DataFrame:
-    return assign_surrogate_keys(td.employees(spark, sf_dir), "employee_id", "employee_key")
+    return td.employees(spark, sf_dir).join(employee_keys(spark, sf_dir), "employee_id")
 
 
 def dim_shippers(spark, sf_dir) -> DataFrame:
-    return assign_surrogate_keys(td.shippers(spark, sf_dir), "shipper_id", "shipper_key")
+    return with_surrogate_keys(td.shippers(spark, sf_dir), "shipper_id", "shipper_key")
 
 
 def dim_territories(spark, sf_dir) -> DataFrame:
     n = td.table(spark, sf_dir, "nation")
-    return assign_surrogate_keys(
+    return with_surrogate_keys(
         n.select(F.col("n_nationkey").cast("bigint").alias("territory_id"), F.col("n_name").alias("description"),
                  F.col("n_regionkey").cast("bigint").alias("region_id")),
         "territory_id", "territory_key")
@@ -103,7 +115,7 @@ def order_headers(spark, sf_dir, cust_dim: DataFrame | None = None,
     (~4 rows per order, wider) shrinks the data each lookup shuffles."""
     o = td.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                                  td.ship_via().alias("ship_via"))
-    cust_dim = cust_dim if cust_dim is not None else dim_customers(spark, sf_dir)
+    cust_dim = cust_dim if cust_dim is not None else customer_keys(spark, sf_dir)
     ship_dim = ship_dim if ship_dim is not None else dim_shippers(spark, sf_dir)
     cust = cust_dim.select(F.col("c_custkey").alias("o_custkey"), "customer_key")
     ship = ship_dim.select(F.col("shipper_id").alias("ship_via"), "shipper_key")
@@ -127,7 +139,8 @@ def fact_order_lines(spark, sf_dir, dims: dict | None = None) -> DataFrame:
     prod_dim = dims.get("products")
     prod_dim = prod_dim if prod_dim is not None else dim_products(spark, sf_dir)
     emp_dim = dims.get("employees")
-    emp_dim = emp_dim if emp_dim is not None else dim_employees(spark, sf_dir)
+    if emp_dim is None:  # only the key map is needed for the lookup
+        emp_dim = employee_keys(spark, sf_dir)
     prod = prod_dim.select(F.col("product_id").alias("l_partkey"), "product_key",
                            F.col("unit_price").alias("list_price"))
     emp = (emp_dim.select(F.col("employee_id").alias("l_suppkey"), "employee_key")

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,9 +38,10 @@ def current_snapshot(spark: SparkSession, table: str, root: str | None = None) -
     return row[0] if row else None
 
 
-def read_table(spark: SparkSession, table: str, root: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, table: str, root: str | None = None, snapshot: str | None = None) -> DataFrame:
+    """The table's current snapshot (or the given one, skipping the pointer read)."""
     root = root or warehouse_root(spark)
-    snap = current_snapshot(spark, table, root)
+    snap = snapshot or current_snapshot(spark, table, root)
     if snap is None:
         raise FileNotFoundError(f"table {table} has no published snapshot under {root}")
     return spark.read.parquet(f"{root}/{table}/{snap}")
@@ -62,9 +64,12 @@ def publish(df: DataFrame, table: str, audits: dict[str, Callable[[DataFrame], D
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     written = spark.read.parquet(path)
-    for name, audit in (audits or {}).items():
-        if audit(written).limit(1).count():
-            raise ValueError(f"publish of {table} aborted: audit {name} failed")
+    if audits:
+        # all audits in one job; at most one row per failed audit reaches the driver
+        probes = [audit(written).limit(1).select(F.lit(name).alias("audit")) for name, audit in audits.items()]
+        failed = sorted(r["audit"] for r in reduce(DataFrame.unionByName, probes).collect())
+        if failed:
+            raise ValueError(f"publish of {table} aborted: audit {', '.join(failed)} failed")
     (spark.createDataFrame([(snap,)], "value string").coalesce(1)
      .write.mode("overwrite").text(f"{root}/{table}/{POINTER}"))
     return snap
