@@ -102,6 +102,24 @@ def extend_surrogate_keys(existing: DataFrame, incoming: DataFrame, keys,
     return old.unionByName(assign_surrogate_keys(new, keys, sk_col, base=max_key(existing, sk_col)))
 
 
+def fill_surrogate_keys(df: DataFrame, order_cols, sk_col: str = "sk",
+                        base: DataFrame | int | None = None) -> DataFrame:
+    """Give rows whose ``sk_col`` is NULL (new rows / new versions of a merge)
+    keys above ``base`` (default: the largest key already in ``df``),
+    numbered in ``order_cols`` order; rows with a key keep it.
+
+    Only the keyless rows are range-partitioned and checkpointed; ``df`` is
+    read twice (keyed / keyless), so pass a checkpointed or published frame
+    when it is expensive to recompute."""
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    have = df.filter(F.col(sk_col).isNotNull())
+    need = df.filter(F.col(sk_col).isNull()).drop(sk_col)
+    if base is None:
+        base = max_key(have, sk_col)
+    numbered = assign_surrogate_keys(need, order_cols, sk_col, base=base)
+    return have.unionByName(numbered.select(*df.columns))
+
+
 def lookup_key(fact: DataFrame, dim: DataFrame, fact_cols, dim_cols, sk_col: str,
                out_col: str | None = None, how: str = "inner") -> DataFrame:
     """Replace natural key ``fact_cols`` by the dimension's surrogate key.

@@ -84,11 +84,12 @@ def merge_actions(target: DataFrame, source: DataFrame, keys, tracked=None,
 
 def scd1(target: DataFrame, source: DataFrame, keys, tracked=None,
          null_mode: str = "sentinel", delete_missing: bool = True,
-         actions: DataFrame | None = None) -> DataFrame:
+         actions: DataFrame | None = None, sk_col: str | None = None) -> DataFrame:
     """Type-1 dimension: overwrite changed rows, insert new keys, and (mirror
     mode, ``delete_missing``) drop keys that left the source.  Target-only
-    columns (e.g. a surrogate key) are kept for matched rows and NULL for
-    inserts; pass the result to ``keys.assign_surrogate_keys`` for those."""
+    columns are kept for matched rows and NULL for inserts; with ``sk_col``
+    inserted keys get surrogate keys above the target's maximum (deleted
+    keys' numbers are never reused)."""
     keys = _as_list(keys)
     a = actions if actions is not None else merge_actions(target, source, keys, tracked, null_mode)
     if delete_missing:
@@ -103,7 +104,11 @@ def scd1(target: DataFrame, source: DataFrame, keys, tracked=None,
             out.append(F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         else:
             out.append(F.col(f"t.{c}").alias(c))
-    return a.select(*out)
+    result = a.select(*out)
+    if sk_col is not None:
+        from stellate.operators.keys import fill_surrogate_keys, max_key
+        result = fill_surrogate_keys(result, keys, sk_col, base=max_key(target, sk_col))
+    return result
 
 
 def change_feed(actions: DataFrame, keys, source_cols, include=(INSERT, UPDATE, DELETE)) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stellate.functions.dates import date_key_str
 from stellate.functions.predicates import col_changed
+from stellate.operators.keys import fill_surrogate_keys, max_key
 from stellate.operators.merge import ACTION, DELETE, INSERT, UPDATE, _as_list, merge_actions
 
 
@@ -46,9 +47,13 @@ def scd2(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-0
          null_mode: str = "sentinel", binary_mode: str = "digest",
          current_col: str = "is_current", eff_col: str = "effective_date",
          ineff_col: str = "ineffective_date", close_missing: bool = False,
-         actions: DataFrame | None = None) -> DataFrame:
+         actions: DataFrame | None = None, sk_col: str | None = None) -> DataFrame:
     """Type-2 dimension after one load.
 
+    With ``sk_col`` (a per-version surrogate key column of the target), new
+    versions get keys above the target's maximum, in (key, effective date)
+    order; existing versions keep theirs.
+
     * a current version whose tracked columns changed is expired
       (``current=false``, ``ineffective = as_of - 1 day``) and a new current
       version is emitted from the source image (``effective = as_of``);
@@ -95,10 +100,12 @@ def scd2(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-0
     rows = F.array_compact(F.array(F.when(emit_old, F.struct(*old_img)),
                                    F.when(emit_new, F.struct(*new_img))))
     merged = a.select(F.explode(rows).alias("_v")).select("_v.*")
-    if not _has_marker(a):  # caller joined all versions itself
-        return merged
-    closed = target.filter(~F.coalesce(F.col(current_col), F.lit(False)))
-    return closed.unionByName(merged)
+    if _has_marker(a):  # closed versions bypassed the join
+        closed = target.filter(~F.coalesce(F.col(current_col), F.lit(False)))
+        merged = closed.unionByName(merged)
+    if sk_col is not None:
+        merged = fill_surrogate_keys(merged, keys + [eff_col], sk_col, base=max_key(target, sk_col))
+    return merged
 
 
 def _has_marker(actions: DataFrame) -> bool:

@@ -243,6 +243,26 @@ SELECT k, s_nm AS nm, s_addr AS addr, merge_action FROM hj WHERE merge_action IN
 
 SCD2_CURRENT = f"SELECT * FROM ({SCD2}) WHERE is_current"
 
+SCD2_VERSION_KEYS = _with(SRC, PREV, HIST) + """, hsk AS (
+  SELECT h.*, row_number() OVER (ORDER BY k, effective_date) AS version_key FROM hist h),
+vj AS (
+  SELECT coalesce(h.k, s.k) AS k, h.nm AS t_nm, h.addr AS t_addr, h.is_current, h.effective_date,
+         h.ineffective_date, h.version_key, s.nm AS s_nm, s.addr AS s_addr,
+         CASE WHEN h.k IS NULL THEN 'INSERT' WHEN s.k IS NULL THEN 'DELETE'
+              WHEN h.is_current AND (coalesce(h.nm, '') <> coalesce(s.nm, '')
+                                     OR coalesce(h.addr, '') <> coalesce(s.addr, '')) THEN 'UPDATE'
+              ELSE 'KEEP' END AS merge_action
+  FROM hsk h FULL OUTER JOIN src s ON h.k = s.k)
+SELECT k, t_nm AS nm, t_addr AS addr,
+       CASE WHEN merge_action = 'UPDATE' THEN false ELSE is_current END AS is_current, effective_date,
+       CASE WHEN merge_action = 'UPDATE' THEN DATE '2001-12-31' ELSE ineffective_date END AS ineffective_date,
+       CAST(version_key AS BIGINT) AS version_key
+FROM vj WHERE merge_action <> 'INSERT'
+UNION ALL
+SELECT k, s_nm, s_addr, true, DATE '2002-01-01', CAST(NULL AS DATE),
+       CAST((SELECT max(version_key) FROM hsk) + row_number() OVER (ORDER BY k) AS BIGINT)
+FROM vj WHERE merge_action IN ('INSERT', 'UPDATE')"""
+
 
 def scd2_generic(target_cte: str, source_cte: str, key: str, tracked: list, other_cols: list,
                  tracked_sentinels: dict, out_map: dict | None = None, out_alias: dict | None = None) -> str:
@@ -515,6 +535,7 @@ ORACLE_SQL = {
     "scd2_new_versions": SCD2_NEW,
     "scd2_change_feed": SCD2_FEED,
     "scd2_current_rows": SCD2_CURRENT,
+    "scd2_version_keys": SCD2_VERSION_KEYS,
     "scd2_region": SCD2_REGION,
     "scd2_territory": SCD2_TERRITORY,
     "scd2_employee": SCD2_EMPLOYEE,

@@ -19,7 +19,7 @@ from stellate.functions.predicates import binary_changed, changed
 from stellate.operators import audit
 from stellate.operators.append import append_idempotent
 from stellate.operators.calendar import calendar_from_bounds
-from stellate.operators.keys import extend_surrogate_keys, key_map, unmatched
+from stellate.operators.keys import assign_surrogate_keys, extend_surrogate_keys, key_map, unmatched
 from stellate.operators.merge import ACTION, change_feed, merge_actions, scd1
 from stellate.operators.scd import scd2, scd2_actions, scd2_expired, scd2_new_versions, scd3, scd4
 from stellate.plans import pipeline, star
@@ -223,6 +223,13 @@ def q_scd2_current_rows(spark, d):
     return q_scd2_merge(spark, d).filter(F.col("is_current"))
 
 
+def q_scd2_version_keys(spark, d):
+    """SCD2 with a per-version surrogate key: new versions are numbered above
+    the dimension's largest key, existing versions keep theirs."""
+    hist = assign_surrogate_keys(td.customer_hist(spark, d), ["k", "effective_date"], "version_key")
+    return scd2(hist, td.customer_source(spark, d), "k", CUSTOMER_TRACKED, AS_OF, sk_col="version_key")
+
+
 def q_scd2_region(spark, d):
     return scd2(td.region_dim_before(spark, d), td.region_source(spark, d), "region_id", ["description"], AS_OF)
 
@@ -422,6 +429,7 @@ QUERIES = {
     "scd2_new_versions": q_scd2_new_versions,
     "scd2_change_feed": q_scd2_change_feed,
     "scd2_current_rows": q_scd2_current_rows,
+    "scd2_version_keys": q_scd2_version_keys,
     "scd2_region": q_scd2_region,
     "scd2_territory": q_scd2_territory,
     "scd2_employee": q_scd2_employee,

@@ -196,3 +196,17 @@ def test_star_pipeline_publishes_audited_tables(spark, tmp_path):
     assert fact.count() == 6000 and "order_year" in fact.columns
     rows = {r["table_name"]: (r["n_rows"], r["n_keys"]) for r in pipeline.summary(spark, root).collect()}
     assert rows["dim_customers"] == (150, 150) and rows["bridge_employee_territory"] == (50, 50)
+
+
+def test_scd1_assigns_keys_to_inserts_above_max(spark):
+    t = spark.createDataFrame([(1, "a", 10), (2, "b", 11)], "k long, v string, sk long")
+    s = spark.createDataFrame([(1, "a"), (3, "c"), (4, "d")], "k long, v string")
+    out = sorted((r["k"], r["sk"]) for r in scd1(t, s, "k", ["v"], sk_col="sk").collect())
+    assert out == [(1, 10), (3, 12), (4, 13)]  # 2 deleted; its key 11 is not reused
+
+
+def test_scd2_version_keys(spark):
+    t = spark.createDataFrame([(1, "a", True, dt.date(2001, 1, 1), None, 5)], HIST_SCHEMA + ", sk long")
+    s = spark.createDataFrame([(1, "b"), (2, "c")], "k long, v string")
+    out = sorted((r["k"], r["v"], r["sk"]) for r in scd2(t, s, "k", ["v"], AS_OF, sk_col="sk").collect())
+    assert out == [(1, "a", 5), (1, "b", 6), (2, "c", 7)]
