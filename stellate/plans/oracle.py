@@ -435,6 +435,11 @@ SELECT CAST(n.n_nationkey AS BIGINT) AS n_nationkey, n.n_name,
 FROM nation n LEFT JOIN (SELECT r_regionkey AS old_key, r_regionkey + 100 AS new_key FROM region) m
   ON n.n_regionkey = m.old_key"""
 
+CASCADE_UPDATE_BRIDGE = _with(BRIDGE) + """
+SELECT b.s_suppkey AS employee_id, CAST(coalesce(m.new_key, b.n_nationkey) AS BIGINT) AS territory_id
+FROM bridge b LEFT JOIN (SELECT n_nationkey AS old_key, n_nationkey + 100 AS new_key FROM nation) m
+  ON b.n_nationkey = m.old_key"""
+
 LAND_NORMALIZE = _with(RAW) + """
 SELECT try_cast(CASE WHEN k IN ('nan', 'NaT') THEN NULL ELSE k END AS BIGINT) AS k,
        try_cast(CASE WHEN cust IN ('nan', 'NaT') THEN NULL ELSE cust END AS BIGINT) AS cust,
@@ -553,6 +558,7 @@ ORACLE_SQL = {
     "audit_length": AUDIT_LENGTH,
     "cascade_delete": CASCADE_DELETE,
     "cascade_update": CASCADE_UPDATE,
+    "cascade_update_bridge": CASCADE_UPDATE_BRIDGE,
     "land_normalize": LAND_NORMALIZE,
     "land_rejects": LAND_REJECTS,
     "land_preview": _preview(),

@@ -333,6 +333,15 @@ def q_cascade_update(spark, d):
                       F.col("n_regionkey").cast("bigint").alias("n_regionkey"))
 
 
+def q_cascade_update_bridge(spark, d):
+    """Renumber every territory key by +100; the bridge rows follow."""
+    nation = td.table(spark, d, "nation")
+    key_map = nation.select(F.col("n_nationkey").alias("old_key"), (F.col("n_nationkey") + 100).alias("new_key"))
+    out = audit.cascade_update(td.employee_territories(spark, d), "n_nationkey", key_map)
+    return out.select(F.col("s_suppkey").alias("employee_id"),
+                      F.col("n_nationkey").cast("bigint").alias("territory_id"))
+
+
 # ---------------------------------------------------------------- landing
 
 ORDER_TYPES = {"cust": "bigint", "od": "date", "fin": "boolean"}
@@ -447,6 +456,7 @@ QUERIES = {
     "audit_length": q_audit_length,
     "cascade_delete": q_cascade_delete,
     "cascade_update": q_cascade_update,
+    "cascade_update_bridge": q_cascade_update_bridge,
     "land_normalize": q_land_normalize,
     "land_rejects": q_land_rejects,
     "land_preview": q_land_preview,
