@@ -45,10 +45,13 @@ def q_fact_territory_fanout(spark, d):
     """The reference's fact shape: one row per order line and territory of
     the line's employee (fan-out x territories)."""
     lines = star.order_lines(spark, d)
-    b = td.employee_territories(spark, d).withColumnRenamed("s_suppkey", "l_suppkey")
     n = td.table(spark, d, "nation").select("n_nationkey", "n_regionkey")
     r = td.table(spark, d, "region").select(F.col("r_regionkey").alias("n_regionkey"))
-    return (lines.join(b, "l_suppkey").join(n, "n_nationkey").join(r, "n_regionkey")
+    # the small side (territories of each employee, with their region) is
+    # joined first; the fan-out happens once, in the last join
+    terr = (td.employee_territories(spark, d).withColumnRenamed("s_suppkey", "l_suppkey")
+            .join(n, "n_nationkey").join(r, "n_regionkey"))
+    return (lines.join(terr, "l_suppkey")
             .select(F.col("l_orderkey").alias("order_id"),
                     F.col("l_linenumber").cast("bigint").alias("line_number"),
                     F.col("l_suppkey").alias("employee_id"),
