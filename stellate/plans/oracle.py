@@ -372,6 +372,23 @@ FROM cur c JOIN srcx s ON c.product_id = s.product_id
 WHERE c.product_name IS DISTINCT FROM s.product_name OR c.unit_price IS DISTINCT FROM s.unit_price
    OR c.category_name IS DISTINCT FROM s.category_name"""
 
+SCD4_CURRENT = SCD4[:SCD4.index("SELECT c.product_id")] + """
+SELECT coalesce(c.product_id, s.product_id) AS product_id,
+       CASE WHEN c.product_id IS NULL OR c.product_name IS DISTINCT FROM s.product_name
+                 OR c.unit_price IS DISTINCT FROM s.unit_price OR c.category_name IS DISTINCT FROM s.category_name
+            THEN s.product_name ELSE c.product_name END AS product_name,
+       CASE WHEN c.product_id IS NULL OR c.product_name IS DISTINCT FROM s.product_name
+                 OR c.unit_price IS DISTINCT FROM s.unit_price OR c.category_name IS DISTINCT FROM s.category_name
+            THEN s.unit_price ELSE c.unit_price END AS unit_price,
+       CASE WHEN c.product_id IS NULL OR c.product_name IS DISTINCT FROM s.product_name
+                 OR c.unit_price IS DISTINCT FROM s.unit_price OR c.category_name IS DISTINCT FROM s.category_name
+            THEN s.category_name ELSE c.category_name END AS category_name,
+       CASE WHEN c.product_id IS NULL OR c.product_name IS DISTINCT FROM s.product_name
+                 OR c.unit_price IS DISTINCT FROM s.unit_price OR c.category_name IS DISTINCT FROM s.category_name
+            THEN DATE '2002-01-01' ELSE c.valid_from END AS valid_from
+FROM cur c FULL OUTER JOIN srcx s ON c.product_id = s.product_id
+WHERE s.product_id IS NOT NULL OR c.product_id IS NOT NULL"""
+
 SURROGATE = _with(SRC, PREV) + """, psk AS (SELECT k, row_number() OVER (ORDER BY k) AS sk FROM prev)
 SELECT k, CAST(sk AS BIGINT) AS sk FROM psk
 UNION ALL
@@ -546,6 +563,7 @@ ORACLE_SQL = {
     "scd2_employee": SCD2_EMPLOYEE,
     "scd3_customer": SCD3,
     "scd4_products": SCD4,
+    "scd4_current": SCD4_CURRENT,
     "surrogate_keys": SURROGATE,
     "dim_products": DIM_PRODUCTS,
     "bridge_employee_territory": BRIDGE_KEYS,

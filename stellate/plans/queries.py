@@ -263,6 +263,14 @@ def q_scd4_products(spark, d):
     return hist
 
 
+def q_scd4_current(spark, d):
+    """The SCD4 current table after the load (overwritten in place; the old
+    images went to the history table)."""
+    cur, _ = scd4(td.product_current_before(spark, d), td.product_source(spark, d), "product_id",
+                  ["product_name", "unit_price", "category_name"], AS_OF)
+    return cur
+
+
 def q_surrogate_keys(spark, d):
     prev = key_map(td.customer_prev(spark, d), "k", "sk")
     return extend_surrogate_keys(prev, td.customer_source(spark, d), "k", "sk")
@@ -447,6 +455,7 @@ QUERIES = {
     "scd2_employee": q_scd2_employee,
     "scd3_customer": q_scd3_customer,
     "scd4_products": q_scd4_products,
+    "scd4_current": q_scd4_current,
     "surrogate_keys": q_surrogate_keys,
     "dim_products": q_dim_products,
     "bridge_employee_territory": q_bridge_employee_territory,

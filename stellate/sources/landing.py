@@ -81,7 +81,18 @@ def load_entities(spark: SparkSession, root: str, names, schemas: dict | None =
 
 
 def append(df: DataFrame, path: str, partition_by=None) -> None:
-    """Append by column name (the order of ``df``'s columns is irrelevant)."""
+    """Append by column name: ``df`` is aligned to the existing table's
+    column order (so every file has one layout); a column set that differs
+    from the table's is an error, as an INSERT with unknown columns is."""
+    spark = df.sparkSession
+    try:
+        existing = spark.read.parquet(path).columns
+    except Exception:  # no table yet
+        existing = None
+    if existing is not None:
+        if set(existing) != set(df.columns):
+            raise ValueError(f"columns {sorted(df.columns)} do not match table {sorted(existing)}")
+        df = df.select(*existing)
     w = df.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)

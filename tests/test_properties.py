@@ -90,3 +90,18 @@ def test_surrogate_keys_survive_a_wide_write(spark, tmp_path):
     from pyspark.sql import Window
     w = Window.orderBy("k")
     assert back.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") != F.col("sk")).count() == 0
+
+
+def test_append_by_name_and_idempotent_rerun(spark, tmp_path):
+    from stellate.operators.append import append_idempotent
+    path = str(tmp_path / "fact")
+    a = spark.createDataFrame([(1, dt.date(2001, 1, 1), 5.0)], "id long, d date, v double")
+    landing.append(a, path)
+    landing.append(a.select("v", "d", "id"), path)  # other column order: appended by name
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, dt.date(2001, 1, 1), 5.0)] * 2
+    existing = spark.createDataFrame([(1, dt.date(2001, 1, 1)), (2, dt.date(2001, 1, 2))], "id long, d date")
+    batch = spark.createDataFrame([(2, dt.date(2001, 1, 2)), (3, dt.date(2001, 1, 3))], "id long, d date")
+    once = append_idempotent(batch, existing, ["id", "d"], range_col="d")
+    assert sorted(r["id"] for r in once.collect()) == [1, 2, 3]
+    twice = append_idempotent(batch, once, ["id", "d"], range_col="d")
+    assert sorted(r["id"] for r in twice.collect()) == [1, 2, 3]
