@@ -111,6 +111,28 @@ JOIN bridge b ON l.l_suppkey = b.s_suppkey
 JOIN nation n ON b.n_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey"""
 
+def dn(c):
+    return (f"CAST(datediff('day', DATE '1900-01-01', CAST({c} AS DATE)) "
+            f"+ CASE WHEN hour({c}) >= 12 THEN 1 ELSE 0 END AS BIGINT)")
+
+
+FACT_COMPAT = _with(DIMS, BRIDGE) + f"""
+SELECT l.l_orderkey AS order_id, dc.customer_key, l.l_suppkey AS employee_key,
+       {dn('o.o_orderdate')} AS order_date_key, {dn('l.l_shipdate')} AS shipped_date,
+       ds.shipper_id AS shipper_key, l.l_partkey AS product_key,
+       CAST(p.p_retailprice AS DECIMAL(19,4)) AS unit_price, CAST(l.l_quantity AS BIGINT) AS quantity,
+       l.l_discount AS discount
+FROM region r
+JOIN nation n ON r.r_regionkey = n.n_regionkey
+JOIN bridge b ON n.n_nationkey = b.n_nationkey
+JOIN supplier e ON e.s_suppkey = b.s_suppkey
+JOIN lineitem l ON l.l_suppkey = e.s_suppkey
+JOIN orders o ON o.o_orderkey = l.l_orderkey
+JOIN dim_s ds ON CAST(substr(o.o_orderpriority, 1, 1) AS BIGINT) = ds.shipper_id
+JOIN dim_c dc ON o.o_custkey = dc.c_custkey
+JOIN part p ON l.l_partkey = p.p_partkey
+JOIN cats ON p.p_type = cats.category_name"""
+
 KEY_LOOKUP = _with(DIMS) + f"""
 SELECT o.o_orderkey AS order_id, dc.customer_key, ds.shipper_key, {dk('o.o_orderdate')} AS order_date_key
 FROM orders o JOIN dim_c dc ON o.o_custkey = dc.c_custkey
@@ -538,6 +560,7 @@ WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders
 ORACLE_SQL = {
     "fact_order_lines": FACT,
     "fact_territory_fanout": FANOUT,
+    "fact_orders_compat": FACT_COMPAT,
     "fact_key_lookup": KEY_LOOKUP,
     "fact_semi_filters": SEMI,
     "fact_unmatched": UNMATCHED,

@@ -61,6 +61,37 @@ def q_fact_territory_fanout(spark, d):
                     F.col("l_quantity").cast("bigint").alias("quantity")))
 
 
+def q_fact_orders_compat(spark, d):
+    """The reference's fact load as it is: one row per order line and
+    territory of the employee, customer key looked up, natural employee /
+    ship-via / product ids in the key columns, dates as day numbers rounded
+    at noon, the product's list price as unit price."""
+    lines = star.order_lines(spark, d)
+    n = td.table(spark, d, "nation").select("n_nationkey", "n_regionkey")
+    r = td.table(spark, d, "region").select(F.col("r_regionkey").alias("n_regionkey"))
+    terr = (td.employee_territories(spark, d).withColumnRenamed("s_suppkey", "l_suppkey")
+            .join(n, "n_nationkey").join(r, "n_regionkey", "left_semi").select("l_suppkey"))
+    emp = td.table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"))
+    cust = star.customer_keys(spark, d).select(F.col("c_custkey").alias("o_custkey"), "customer_key")
+    cats = td.categories(spark, d)
+    prod = (td.table(spark, d, "part")
+            .select(F.col("p_partkey").alias("l_partkey"), "p_retailprice", F.col("p_type").alias("category_name"))
+            .join(cats, "category_name", "left_semi"))
+    ship = td.shippers(spark, d).select(F.col("shipper_id").alias("ship_via"))
+    return (lines.withColumn("ship_via", td.ship_via())
+            .join(emp, "l_suppkey").join(cust, "o_custkey").join(prod, "l_partkey").join(ship, "ship_via")
+            .join(terr, "l_suppkey")
+            .select(F.col("l_orderkey").alias("order_id"), "customer_key",
+                    F.col("l_suppkey").alias("employee_key"),
+                    day_number_1900("o_orderdate").alias("order_date_key"),
+                    day_number_1900("l_shipdate").alias("shipped_date"),
+                    F.col("ship_via").alias("shipper_key"),
+                    F.col("l_partkey").alias("product_key"),
+                    F.col("p_retailprice").cast("decimal(19,4)").alias("unit_price"),
+                    F.col("l_quantity").cast("bigint").alias("quantity"),
+                    F.col("l_discount").alias("discount")))
+
+
 def q_fact_key_lookup(spark, d):
     """Order-header grain: natural customer and shipper ids replaced by
     surrogate keys."""
@@ -430,6 +461,7 @@ def q_catalog_primary_keys(spark, d):
 QUERIES = {
     "fact_order_lines": q_fact_order_lines,
     "fact_territory_fanout": q_fact_territory_fanout,
+    "fact_orders_compat": q_fact_orders_compat,
     "fact_key_lookup": q_fact_key_lookup,
     "fact_semi_filters": q_fact_semi_filters,
     "fact_unmatched": q_fact_unmatched,
