@@ -41,9 +41,47 @@ def change_condition(dtypes: dict, tracked, null_mode: str = "null_safe",
     return cond
 
 
+# A source at most this large (measured, see ``measured_bytes``) is
+# broadcast by the "auto" merge strategy; override per session with
+# ``stellate.merge.broadcastBytes``.
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of ``df``'s rows in bytes, measured in one aggregate pass: the
+    bytes of every variable-width value plus a fixed width per fixed-width
+    value.  This is the size check behind an explicit broadcast."""
+    fixed = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+             T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+             T.DecimalType: 16}
+    widths = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        w = next((v for k, v in fixed.items() if isinstance(f.dataType, k)), None)
+        if w is not None:
+            widths.append(F.lit(w))
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            widths.append(F.coalesce(F.octet_length(c), F.lit(0)) + 8)
+        else:
+            widths.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8)
+    row = reduce(lambda a, b: a + b, widths).cast("bigint")
+    return int(df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0])
+
+
+def choose_strategy(source: DataFrame, strategy: str = "auto", max_bytes: int | None = None) -> str:
+    """``broadcast`` when the measured source fits under the bound, else ``shuffle``."""
+    if strategy != "auto":
+        return strategy
+    if max_bytes is None:
+        max_bytes = int(source.sparkSession.conf.get("stellate.merge.broadcastBytes",
+                                                     str(DEFAULT_BROADCAST_BYTES)))
+    return "broadcast" if measured_bytes(source) <= max_bytes else "shuffle"
+
+
 def merge_actions(target: DataFrame, source: DataFrame, keys, tracked=None,
                   null_mode: str = "null_safe", binary_mode: str = "digest",
-                  update_when: str | None = None) -> DataFrame:
+                  update_when: str | None = None, strategy: str = "auto",
+                  broadcast_bytes: int | None = None) -> DataFrame:
     """Classify every (target row, source row) pair of a full outer join on ``keys``.
 
     Output columns: ``keys``, ``merge_action``, ``t`` (struct of the target's
@@ -58,6 +96,18 @@ def merge_actions(target: DataFrame, source: DataFrame, keys, tracked=None,
 
     A target with several rows per key (versions) is allowed: each target row
     gets its own action.  The source must be unique per key.
+
+    Strategy (same result either way):
+
+    * ``shuffle`` -- one full outer sort-merge join; both sides shuffle on
+      the key.  Used when the source is large.
+    * ``broadcast`` -- for a source whose measured size is under
+      ``broadcast_bytes``: ``target LEFT OUTER JOIN broadcast(source)``
+      classifies every target row, and the inserts are the source keys
+      absent from ``target LEFT SEMI JOIN broadcast(source keys)``.  The
+      target is scanned (its key column twice) and never shuffled -- the
+      shape of a small daily batch against a large dimension.
+    * ``auto`` (default) -- measure the source (one aggregate pass) and pick.
     """
     keys = _as_list(keys)
     t_cols = [c for c in target.columns if c not in keys]
@@ -69,8 +119,16 @@ def merge_actions(target: DataFrame, source: DataFrame, keys, tracked=None,
     # Rows with a NULL key match nothing: they bypass the join (a NULL key
     # would otherwise hash every such row into one partition).
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    j = (t.filter(~null_key).join(s.filter(~null_key), keys, "full_outer")
-         .unionByName(t.filter(null_key), allowMissingColumns=True)
+    tk, sk = t.filter(~null_key), s.filter(~null_key)
+    if choose_strategy(source, strategy, broadcast_bytes) == "broadcast":
+        s_keys = F.broadcast(sk.select(*keys))
+        # distinct matched keys are at most the source's keys: a proven bound
+        matched = tk.select(*keys).join(s_keys, keys, "left_semi").distinct()
+        inserts = sk.join(F.broadcast(matched), keys, "left_anti")
+        joined = tk.join(F.broadcast(sk), keys, "left_outer").unionByName(inserts, allowMissingColumns=True)
+    else:
+        joined = tk.join(sk, keys, "full_outer")
+    j = (joined.unionByName(t.filter(null_key), allowMissingColumns=True)
          .unionByName(s.filter(null_key), allowMissingColumns=True))
     chg = change_condition(dtypes, tracked, null_mode, binary_mode)
     if update_when is not None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stellate.functions.dates import date_key_str
 from stellate.functions.predicates import col_changed
 from stellate.operators.keys import fill_surrogate_keys, max_key
-from stellate.operators.merge import ACTION, DELETE, INSERT, UPDATE, _as_list, merge_actions
+from stellate.operators.merge import ACTION, DELETE, INSERT, UPDATE, _as_list, choose_strategy, merge_actions
 
 
 def _date_lit(d) -> F.Column:
@@ -24,7 +24,7 @@ _MARKER = "_closed_key"
 
 def scd2_actions(target: DataFrame, source: DataFrame, keys, tracked=None,
                  null_mode: str = "sentinel", binary_mode: str = "digest",
-                 current_col: str = "is_current") -> DataFrame:
+                 current_col: str = "is_current", strategy: str = "auto") -> DataFrame:
     """``merge_actions`` for a versioned target without shuffling its history.
 
     Only current versions take part in the join with their full rows.  For
@@ -35,12 +35,16 @@ def scd2_actions(target: DataFrame, source: DataFrame, keys, tracked=None,
     closed is never re-opened.  Marker rows carry ``t._closed_key = true``.
     """
     keys = _as_list(keys)
+    strategy = choose_strategy(source, strategy)
     is_cur = F.coalesce(F.col(current_col), F.lit(False))
     current = target.filter(is_cur).withColumn(_MARKER, F.lit(False))
-    markers = (target.filter(~is_cur).select(*keys).distinct()
-               .withColumn(_MARKER, F.lit(True)))
+    closed_keys = target.filter(~is_cur).select(*keys)
+    if strategy == "broadcast":  # only closed keys the batch touches matter
+        closed_keys = closed_keys.join(F.broadcast(source.select(*keys)), keys, "left_semi")
+    markers = closed_keys.distinct().withColumn(_MARKER, F.lit(True))
     tprime = current.unionByName(markers, allowMissingColumns=True)
-    return merge_actions(tprime, source, keys, tracked, null_mode, binary_mode, update_when=current_col)
+    return merge_actions(tprime, source, keys, tracked, null_mode, binary_mode, update_when=current_col,
+                         strategy=strategy)
 
 
 def scd2(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-01-01",

@@ -105,3 +105,32 @@ def test_append_by_name_and_idempotent_rerun(spark, tmp_path):
     assert sorted(r["id"] for r in once.collect()) == [1, 2, 3]
     twice = append_idempotent(batch, once, ["id", "d"], range_col="d")
     assert sorted(r["id"] for r in twice.collect()) == [1, 2, 3]
+
+
+@settings(max_examples=10, deadline=None)
+@given(t=st.dictionaries(st.one_of(st.none(), st.integers(0, 30)), st.sampled_from(["a", "b", None]), max_size=25),
+       s=st.dictionaries(st.one_of(st.none(), st.integers(0, 30)), st.sampled_from(["a", "b", None]), max_size=25))
+def test_merge_strategies_agree(spark, t, s):
+    tdf = spark.createDataFrame([(k, v) for k, v in t.items()], "k long, v string")
+    sdf = spark.createDataFrame([(k, v) for k, v in s.items()], "k long, v string")
+
+    def rows(strategy):
+        a = merge_actions(tdf, sdf, "k", ["v"], "sentinel", strategy=strategy)
+        return sorted(((r["k"], r["merge_action"], r["t"]["v"] if r["t"] else "-", r["s"]["v"] if r["s"] else "-")
+                       for r in a.collect()), key=str)
+    assert rows("broadcast") == rows("shuffle")
+
+
+def test_scd2_strategies_agree(spark):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    from stellate.sources import testdata as td
+    hist, src = td.customer_hist(spark, SF_SMALL), td.customer_source(spark, SF_SMALL)
+    out = {}
+    for strategy in ("broadcast", "shuffle"):
+        from stellate.operators.scd import scd2_actions
+        a = scd2_actions(hist, src, "k", ["nm", "addr"], strategy=strategy)
+        out[strategy] = sorted(map(str, scd2(hist, src, "k", ["nm", "addr"], dt.date(2002, 1, 1), actions=a)
+                                   .collect()))
+    assert out["broadcast"] == out["shuffle"]
+    assert len(out["shuffle"]) == E.queries()["scd2_merge"](spark, SF_SMALL).count()
