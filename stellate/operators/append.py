@@ -13,8 +13,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stellate.operators.merge import choose_strategy
 
-def new_rows(batch: DataFrame, existing: DataFrame, key_cols, range_col: str | None = None) -> DataFrame:
+
+def new_rows(batch: DataFrame, existing: DataFrame, key_cols, range_col: str | None = None,
+             strategy: str = "auto") -> DataFrame:
+    """Batch rows whose key is not in ``existing``.
+
+    With a batch whose measured size is under the broadcast bound, the
+    existing fact is probed with ``LEFT SEMI JOIN broadcast(batch keys)``
+    (a scan, no shuffle of the fact); the keys found -- at most the batch's
+    -- are then removed from the batch.  Otherwise one anti sort-merge join.
+    """
     key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     if range_col is not None:
         if range_col not in key_cols:
@@ -22,14 +32,18 @@ def new_rows(batch: DataFrame, existing: DataFrame, key_cols, range_col: str | N
         lo = batch.agg(F.min(range_col)).scalar()
         hi = batch.agg(F.max(range_col)).scalar()
         existing = existing.filter((F.col(range_col) >= lo) & (F.col(range_col) <= hi))
+    if choose_strategy(batch.select(*key_cols), strategy) == "broadcast":
+        seen = (existing.select(*key_cols).join(F.broadcast(batch.select(*key_cols)), key_cols, "left_semi")
+                .distinct())
+        return batch.join(F.broadcast(seen), key_cols, "left_anti")
     return batch.join(existing.select(*key_cols), key_cols, "left_anti")
 
 
 def append_idempotent(batch: DataFrame, existing: DataFrame, key_cols, range_col: str | None = None,
-                      batch_col: str | None = None) -> DataFrame:
+                      batch_col: str | None = None, strategy: str = "auto") -> DataFrame:
     """The fact after the load: existing rows plus the batch's new rows
     (optionally tagged in ``batch_col`` as 'existing' / 'appended')."""
-    add = new_rows(batch, existing, key_cols, range_col)
+    add = new_rows(batch, existing, key_cols, range_col, strategy)
     if batch_col:
         return (existing.withColumn(batch_col, F.lit("existing"))
                 .unionByName(add.withColumn(batch_col, F.lit("appended"))))

@@ -134,3 +134,16 @@ def test_scd2_strategies_agree(spark):
                                    .collect()))
     assert out["broadcast"] == out["shuffle"]
     assert len(out["shuffle"]) == E.queries()["scd2_merge"](spark, SF_SMALL).count()
+
+
+def test_append_strategies_agree(spark):
+    from conftest import SF_SMALL
+    from stellate.operators.append import new_rows
+    from stellate.sources import testdata as td
+    li = td.table(spark, SF_SMALL, "lineitem")
+    existing = li.filter(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    batch = li.filter(F.col("l_shipdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+    keys = li.columns
+    got = {s: sorted(map(str, new_rows(batch, existing, keys, "l_shipdate", s).collect()))
+           for s in ("broadcast", "shuffle")}
+    assert got["broadcast"] == got["shuffle"] and len(got["shuffle"]) > 0
