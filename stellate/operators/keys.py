@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from stellate.session import shared_dir
 
-_PID, _MID, _OFF, _BASE = "_sk_pid", "_sk_mid", "_sk_off", "_sk_base"
+_PID, _MID, _OFF = "_sk_pid", "_sk_mid", "_sk_off"
 
 
 def _default_partitions(df: DataFrame) -> int:
@@ -35,17 +35,43 @@ def _default_partitions(df: DataFrame) -> int:
         return 200
 
 
+# Inputs with at most this many rows (counted first) are numbered by one
+# ordered window in a single task; override with stellate.keys.singleTaskRows.
+DEFAULT_SINGLE_TASK_ROWS = 1_000_000
+
+
+def _single_task_rows(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("stellate.keys.singleTaskRows", str(DEFAULT_SINGLE_TASK_ROWS)))
+
+
+def _base_column(base) -> Column:
+    if isinstance(base, DataFrame):
+        return base.select(F.coalesce(F.col(base.columns[0]).cast("bigint"), F.lit(0))).scalar()
+    return F.lit(int(base or 0)).cast("bigint")
+
+
 def assign_surrogate_keys(df: DataFrame, order_cols, sk_col: str = "sk",
                           base: DataFrame | int | None = 0,
-                          num_partitions: int | None = None) -> DataFrame:
+                          num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
     """Add ``sk_col`` = base + 1, base + 2, ... following ``order_cols``.
 
     ``order_cols`` must be a total order over ``df`` (e.g. the natural key)
     so the numbering is deterministic and survives task retries.
     ``base`` is an int, or a one-row DataFrame whose single column holds the
     offset (e.g. ``max(sk)`` of the existing dimension).
+
+    ``strategy``: ``range`` (distributed, below), ``single`` (one ordered
+    window -- only for inputs known to be small), or ``auto``: count the
+    input and use ``single`` when the count is within
+    ``stellate.keys.singleTaskRows`` -- a measured bound, like a broadcast
+    size check -- else ``range``.
     """
     order_cols = [order_cols] if isinstance(order_cols, (str, Column)) else list(order_cols)
+    if strategy == "auto":
+        strategy = "single" if df.count() <= _single_task_rows(df) else "range"
+    if strategy == "single":
+        w = Window.orderBy(*order_cols)
+        return df.withColumn(sk_col, (_base_column(base) + F.row_number().over(w)).cast("bigint"))
     # An explicit partition count matters: AQE never coalesces a
     # REPARTITION_BY_NUM shuffle, so the counting branch and the numbering
     # branch (which reuse one exchange) see the same partition ids.
@@ -61,12 +87,8 @@ def assign_surrogate_keys(df: DataFrame, order_cols, sk_col: str = "sk",
     # over it is bounded by the partition count, not by the data.
     w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias(_OFF))
-    if isinstance(base, DataFrame):
-        # one value, evaluated once as a scalar subquery
-        b = base.select(F.coalesce(F.col(base.columns[0]).cast("bigint"), F.lit(0)).alias(_BASE)).scalar()
-        offsets = offsets.withColumn(_OFF, F.col(_OFF) + b)
-    else:
-        offsets = offsets.withColumn(_OFF, F.col(_OFF) + F.lit(int(base or 0)))
+    # the base is one value, evaluated once (a scalar subquery for a frame)
+    offsets = offsets.withColumn(_OFF, F.col(_OFF) + _base_column(base))
     pos = F.col(_MID) - F.shiftleft(F.col(_PID).cast("bigint"), 33)
     return (numbered.join(F.broadcast(offsets), _PID)
             .withColumn(sk_col, (F.col(_OFF) + pos + 1).cast("bigint"))

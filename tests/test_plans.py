@@ -32,7 +32,16 @@ def test_fact_scan_is_pruned(spark):
 
 
 def test_surrogate_keys_number_a_checkpointed_range_partition(spark):
-    plan = _plan(E.queries()["surrogate_keys"](spark, SF_SMALL))
+    spark.conf.set("stellate.keys.singleTaskRows", "0")  # force the distributed path
+    try:
+        plan = _plan(E.queries()["surrogate_keys"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("stellate.keys.singleTaskRows")
     # numbering and counting both read the one materialised range partition
     assert "Scan ExistingRDD" in plan
     assert "row_number" not in plan
+
+
+def test_small_key_inputs_use_one_measured_window(spark):
+    plan = _plan(E.queries()["surrogate_keys"](spark, SF_SMALL))
+    assert "row_number" in plan and "Scan ExistingRDD" not in plan

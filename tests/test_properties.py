@@ -18,10 +18,14 @@ keys = st.lists(st.integers(min_value=-10**6, max_value=10**6), unique=True, max
 @settings(max_examples=15, deadline=None)
 @given(old=keys, new=keys)
 def test_surrogate_keys_dense_and_above_max(spark, old, new):
-    o = assign_surrogate_keys(spark.createDataFrame([(k,) for k in old], "k long"), "k", "sk", num_partitions=3)
+    o = assign_surrogate_keys(spark.createDataFrame([(k,) for k in old], "k long"), "k", "sk", num_partitions=3,
+                              strategy="range")
     rows = {r["k"]: r["sk"] for r in o.collect()}
     assert sorted(rows.values()) == list(range(1, len(old) + 1))
     assert [rows[k] for k in sorted(old)] == list(range(1, len(old) + 1))
+    single = {r["k"]: r["sk"] for r in assign_surrogate_keys(
+        spark.createDataFrame([(k,) for k in old], "k long"), "k", "sk", strategy="single").collect()}
+    assert single == rows
     ext = {r["k"]: r["sk"] for r in extend_surrogate_keys(
         o, spark.createDataFrame([(k,) for k in new], "k long"), "k", "sk").collect()}
     fresh = sorted(set(new) - set(old))
@@ -81,7 +85,7 @@ def test_surrogate_keys_survive_a_wide_write(spark, tmp_path):
     written keys must still be dense, unique and in key order."""
     df = spark.range(0, 400000, numPartitions=8).select(
         (F.col("id") * 7 % 400009).alias("k"), (F.col("id") % 13).alias("x"), F.lit("pad").alias("y"))
-    out = assign_surrogate_keys(df, "k", "sk", num_partitions=16)
+    out = assign_surrogate_keys(df, "k", "sk", num_partitions=16, strategy="range")
     path = str(tmp_path / "sk")
     out.write.parquet(path)
     back = spark.read.parquet(path)
