@@ -210,3 +210,14 @@ def test_scd2_version_keys(spark):
     s = spark.createDataFrame([(1, "b"), (2, "c")], "k long, v string")
     out = sorted((r["k"], r["v"], r["sk"]) for r in scd2(t, s, "k", ["v"], AS_OF, sk_col="sk").collect())
     assert out == [(1, "a", 5), (1, "b", 6), (2, "c", 7)]
+
+
+def test_scd3_rerun_changes_nothing(spark):
+    t = spark.createDataFrame([(1, "A", None, None), (2, "B", None, None)],
+                              "k long, addr string, addr_prev string, addr_prev_validto string")
+    s = spark.createDataFrame([(1, "A2"), (3, "C")], "k long, addr string")
+    prev = {"addr": ("addr_prev", "addr_prev_validto")}
+    once = scd3(t, s, "k", ["addr"], prev, AS_OF, "sql")
+    twice = scd3(once, s, "k", ["addr"], prev, AS_OF, "sql")
+    assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
+    assert {r["k"]: r["addr_prev"] for r in once.collect()} == {1: "A", 2: None, 3: None}
