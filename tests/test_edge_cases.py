@@ -221,3 +221,24 @@ def test_scd3_rerun_changes_nothing(spark):
     twice = scd3(once, s, "k", ["addr"], prev, AS_OF, "sql")
     assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
     assert {r["k"]: r["addr_prev"] for r in once.collect()} == {1: "A", 2: None, 3: None}
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_scd2_hot_key_history(spark, strategy):
+    """Key 7 owns a third of the history; its closed versions reach the
+    merge as one marker row and pass through unchanged."""
+    from stellate.operators.scd import scd2_actions
+    hist = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 100).alias("k"),
+        F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"),
+        (F.col("id") % 3 != 0).alias("is_current"),
+        F.lit(dt.date(2000, 1, 1)).alias("effective_date"),
+        F.when(F.col("id") % 3 == 0, F.lit(dt.date(2000, 12, 31))).alias("ineffective_date"))
+    hist = hist.unionByName(spark.createDataFrame([(7, "cur", True, dt.date(2001, 1, 1), None)], HIST_SCHEMA))
+    src = spark.createDataFrame([(7, "new"), (5, "x")], "k long, v string")
+    a = scd2_actions(hist, src, "k", ["v"], strategy=strategy)
+    out = scd2(hist, src, "k", ["v"], AS_OF, actions=a)
+    assert out.count() == 3001 + 2  # key 7 expired + new version, key 5 inserted
+    seven = out.filter("k = 7 and is_current").collect()
+    assert [r["v"] for r in seven] == ["new"]
+    assert out.filter("k = 7 and not is_current").count() == 1001
