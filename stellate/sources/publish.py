@@ -38,22 +38,38 @@ def current_snapshot(spark: SparkSession, table: str, root: str | None = None) -
     return row[0] if row else None
 
 
+def catalog_name(table: str, snap: str) -> str:
+    """Catalog name of a bucketed snapshot."""
+    return f"{table}__{snap.split('=', 1)[-1]}"
+
+
 def read_table(spark: SparkSession, table: str, root: str | None = None, snapshot: str | None = None) -> DataFrame:
-    """The table's current snapshot (or the given one, skipping the pointer read)."""
+    """The table's current snapshot (or the given one, skipping the pointer read).
+
+    A snapshot published with ``bucket_by`` is read through the catalog, so
+    joins on its bucket key keep the bucketed layout (no shuffle of it);
+    without the catalog entry it is read as plain parquet."""
     root = root or warehouse_root(spark)
     snap = snapshot or current_snapshot(spark, table, root)
     if snap is None:
         raise FileNotFoundError(f"table {table} has no published snapshot under {root}")
+    name = catalog_name(table, snap)
+    if spark.catalog.tableExists(name):
+        return spark.table(name)
     return spark.read.parquet(f"{root}/{table}/{snap}")
 
 
 def publish(df: DataFrame, table: str, audits: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
-            root: str | None = None, partition_by=None) -> str:
+            root: str | None = None, partition_by=None, bucket_by: tuple | None = None) -> str:
     """Write ``df`` as a new snapshot, audit it, then switch the pointer.
 
     ``audits`` maps a name to a function returning violating rows of the
     written data; any violation aborts before the switch, leaving the
-    previous snapshot current.  Returns the snapshot id.
+    previous snapshot current.  ``bucket_by=(n, [cols])`` writes the
+    snapshot bucketed and sorted by ``cols`` into ``n`` buckets, registered
+    in the catalog (data stays under ``root``): two tables bucketed the same
+    way on the merge key -- a dimension and its staged source -- then merge
+    with no shuffle at all.  Returns the snapshot id.
     """
     spark = df.sparkSession
     root = root or warehouse_root(spark)
@@ -62,8 +78,14 @@ def publish(df: DataFrame, table: str, audits: dict[str, Callable[[DataFrame], D
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    written = spark.read.parquet(path)
+    if bucket_by:
+        n, cols = bucket_by
+        cols = [cols] if isinstance(cols, str) else list(cols)
+        w.bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(catalog_name(table, snap))
+        written = spark.table(catalog_name(table, snap))
+    else:
+        w.parquet(path)
+        written = spark.read.parquet(path)
     if audits:
         # all audits in one job; at most one row per failed audit reaches the driver
         probes = [audit(written).limit(1).select(F.lit(name).alias("audit")) for name, audit in audits.items()]

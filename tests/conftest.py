@@ -13,7 +13,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("local[4]", shuffle_partitions=8)
+    # catalog tables (bucketed snapshots) keep their data under the test's
+    # own warehouse folder, never in the working directory
+    s = get_spark("local[4]", shuffle_partitions=8,
+                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="stellate-wh-")})
     # tests own their scratch space; on a cluster spark.checkpoint.dir is set
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stellate-test-"))

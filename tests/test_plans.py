@@ -75,3 +75,23 @@ def test_hot_key_lookup_is_split_by_aqe(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_bucketed_snapshots_merge_without_shuffle(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from stellate.operators.merge import merge_actions
+    from stellate.sources.publish import publish, read_table
+    root = str(tmp_path / "wh")
+    t = spark.range(0, 20000).select(F.col("id").alias("k"), (F.col("id") % 7).cast("string").alias("v"))
+    s = spark.range(5000, 25000).select(F.col("id").alias("k"), (F.col("id") % 5).cast("string").alias("v"))
+    publish(t, "dim_t", root=root, bucket_by=(8, ["k"]))
+    publish(s, "stage_s", root=root, bucket_by=(8, ["k"]))
+    a = merge_actions(read_table(spark, "dim_t", root), read_table(spark, "stage_s", root), "k", ["v"],
+                      strategy="shuffle")
+    got = {r["merge_action"]: r["count"] for r in a.groupBy("merge_action").count().collect()}
+    assert got["INSERT"] == 5000 and got["DELETE"] == 5000
+    a.collect()
+    plan = _plan(a)
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    assert "Exchange hashpartitioning" not in plan
