@@ -110,9 +110,11 @@ def customer_text_keys(spark, sf_dir) -> DataFrame:
 def shippers(spark, sf_dir) -> DataFrame:
     """Shippers = distinct order priorities; id = the leading digit."""
     o = table(spark, sf_dir, "orders")
-    return (o.select(F.substring("o_orderpriority", 1, 1).cast("bigint").alias("shipper_id"),
-                     F.col("o_orderpriority").alias("company_name"))
-            .dropDuplicates(["shipper_id"]))
+    # min() keeps the choice deterministic (and retry-safe) if two
+    # priorities ever shared a leading digit; partial aggregation keeps a
+    # hot priority at one row per task
+    return (o.groupBy(F.substring("o_orderpriority", 1, 1).cast("bigint").alias("shipper_id"))
+            .agg(F.min("o_orderpriority").alias("company_name")))
 
 
 def ship_via(col="o_orderpriority"):

@@ -21,13 +21,14 @@ from stellate.sources.publish import publish, read_table
 
 
 def dedupe_latest(df: DataFrame, keys, order_col: str) -> DataFrame:
-    """Latest row per key by ``order_col``.  Uses ``max_by`` (a partially
-    aggregated function), so a key that holds a third of the batch is
+    """Latest row per key by ``order_col``; ties are broken by the remaining
+    columns, so the pick is deterministic (retry-safe).  ``max`` of a struct
+    is partially aggregated, so a key that holds a third of the batch is
     reduced inside each task before the shuffle, not in one task."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    others = [c for c in df.columns if c not in keys]
-    latest = F.max_by(F.struct(*others), F.col(order_col)).alias("_latest")
-    return df.groupBy(*keys).agg(latest).select(*keys, "_latest.*")
+    others = [c for c in df.columns if c not in keys and c != order_col]
+    latest = F.max(F.struct(F.col(order_col), *[F.col(c) for c in others])).alias("_latest")
+    return df.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_latest.{c}") for c in df.columns if c not in keys])
 
 
 def merge_loader(table: str, keys, tracked, kind: str = "scd1", as_of=None, order_col: str | None = None,
