@@ -72,9 +72,9 @@ def assign_surrogate_keys(df: DataFrame, order_cols, sk_col: str = "sk",
     if strategy == "single":
         w = Window.orderBy(*order_cols)
         return df.withColumn(sk_col, (_base_column(base) + F.row_number().over(w)).cast("bigint"))
-    # An explicit partition count matters: AQE never coalesces a
-    # REPARTITION_BY_NUM shuffle, so the counting branch and the numbering
-    # branch (which reuse one exchange) see the same partition ids.
+    # A fixed partition count (AQE never coalesces a REPARTITION_BY_NUM
+    # shuffle) and one checkpointed Dataset: the counting branch and the
+    # numbering branch read the same partitions in the same order.
     ranged = (df.repartitionByRange(num_partitions or _default_partitions(df), *order_cols)
               .sortWithinPartitions(*order_cols))
     shared_dir(df.sparkSession)  # make sure a checkpoint dir exists (tests / local runs)
