@@ -8,6 +8,8 @@ executor recomputes at most the current step, never the whole chain.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,33 +30,43 @@ def date_bounds(spark, sf_dir) -> DataFrame:
     return o.unionByName(li).agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"))
 
 
-def run_star(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict:
-    """Load and publish the star.  Returns ``{table: snapshot id}``."""
+def run_star(spark: SparkSession, sf_dir: str, root: str | None = None, parallel: int = 6) -> dict:
+    """Load and publish the star.  Returns ``{table: snapshot id}``.
+
+    Loads without a dependency between them run as concurrent Spark jobs
+    (``parallel`` threads submitting jobs): first the calendar and the five
+    dimensions, then the bridge and the fact, which read the published
+    dimensions.  Every table is still published on its own, after its
+    audits; the first failure is raised once its wave has finished.
+    """
     root = root or warehouse_root(spark)
     snaps: dict = {}
 
-    def pub(name, df, key, natural=None, partition_by=None, extra=None):
+    def pub(name, build, key, natural=None, partition_by=None, extra=None):
+        df = build()
         checks = {"primary_key": lambda w: audit.duplicate_keys(w, key)} if key else {}
         if natural:
             checks["natural_key"] = lambda w: audit.duplicate_keys(w, natural)
-        checks.update(extra or {})
+        checks.update(extra(df) if callable(extra) else (extra or {}))
         snaps[name] = publish(df, name, checks, root, partition_by)
         return read_table(spark, name, root, snaps[name])
 
-    cal = pub("dim_date", calendar_from_bounds(date_bounds(spark, sf_dir)), ["date_key"])
-    dims = {
-        "customers": pub("dim_customers", star.dim_customers(spark, sf_dir), ["customer_key"], ["c_custkey"]),
-        "products": pub("dim_products", star.dim_products(spark, sf_dir), ["product_key"], ["product_id"]),
-        "employees": pub("dim_employees", star.dim_employees(spark, sf_dir), ["employee_key"], ["employee_id"]),
-        "shippers": pub("dim_shippers", star.dim_shippers(spark, sf_dir), ["shipper_key"], ["shipper_id"]),
-        "territories": pub("dim_territories", star.dim_territories(spark, sf_dir), ["territory_key"],
-                           ["territory_id"]),
-    }
-    pub("bridge_employee_territory",
-        star.bridge_employee_territory(spark, sf_dir, dims["employees"], dims["territories"]),
-        ["employee_key", "territory_key"])
-    fact = star.fact_order_lines(spark, sf_dir, dims).withColumn(
-        "order_year", (F.col("order_date_key") / 10000).cast("int"))
+    def wave(jobs: dict) -> dict:
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
+            futures = {name: ex.submit(pub, name, *args) for name, args in jobs.items()}
+            return {name: f.result() for name, f in futures.items()}
+
+    first = wave({
+        "dim_date": (lambda: calendar_from_bounds(date_bounds(spark, sf_dir)), ["date_key"]),
+        "dim_customers": (lambda: star.dim_customers(spark, sf_dir), ["customer_key"], ["c_custkey"]),
+        "dim_products": (lambda: star.dim_products(spark, sf_dir), ["product_key"], ["product_id"]),
+        "dim_employees": (lambda: star.dim_employees(spark, sf_dir), ["employee_key"], ["employee_id"]),
+        "dim_shippers": (lambda: star.dim_shippers(spark, sf_dir), ["shipper_key"], ["shipper_id"]),
+        "dim_territories": (lambda: star.dim_territories(spark, sf_dir), ["territory_key"], ["territory_id"]),
+    })
+    cal = first["dim_date"]
+    dims = {"customers": first["dim_customers"], "products": first["dim_products"],
+            "employees": first["dim_employees"], "shippers": first["dim_shippers"]}
     # Surrogate-key references hold by construction (inner-join lookups);
     # the date keys are checked against the calendar, which is small
     # (one row per day of the span) and therefore broadcast.
@@ -62,9 +74,17 @@ def run_star(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict:
         "order_date_fk": lambda w: audit.orphans(w, "order_date_key", cal, "date_key"),
         "ship_date_fk": lambda w: audit.orphans(w, "ship_date_key", cal, "date_key"),
     }
-    # The fact's grain key is the source line, which the source does not
-    # keep unique, so no key audit is declared for it.
-    pub("fact_order_lines", fact, None, partition_by=["order_year"], extra=date_refs)
+    wave({
+        "bridge_employee_territory": (
+            lambda: star.bridge_employee_territory(spark, sf_dir, first["dim_employees"], first["dim_territories"]),
+            ["employee_key", "territory_key"]),
+        # The fact's grain key is the source line, which the source does not
+        # keep unique, so no key audit is declared for it.
+        "fact_order_lines": (
+            lambda: star.fact_order_lines(spark, sf_dir, dims).withColumn(
+                "order_year", (F.col("order_date_key") / 10000).cast("int")),
+            None, None, ["order_year"], date_refs),
+    })
     return snaps
 
 
