@@ -546,16 +546,43 @@ UNION ALL SELECT 'fact_order_lines', count(*),
 
 STAR_PIPELINE = _star_pipeline()
 
-CATALOG_TABLES = """
-SELECT table_name FROM information_schema.tables
-WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events',
-                     'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations')
-  AND table_name NOT IN ('embeddings', 'pages', 'benchmark', 'labels', 'conversations')"""
-
-CATALOG_COLUMNS = """
-SELECT table_name, column_name, CAST(ordinal_position AS BIGINT) AS ordinal_position
-FROM information_schema.columns
-WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events')"""
+CATALOG_INCLUDED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                    "documents"]
+
+# Column lists of the provided star tables (TESTDATA / FIXTURES section 3).
+STAR_COLUMNS = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+}
+
+
+def _catalog_tables():
+    listed = ("SELECT table_name FROM information_schema.tables WHERE table_name IN ("
+              + ", ".join(f"'{t}'" for t in CATALOG_INCLUDED) + ")")
+    counts = "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM {t}"
+                                   for t in CATALOG_INCLUDED)
+    return f"SELECT c.table_name, c.n_rows FROM ({counts}) c WHERE c.table_name IN ({listed})"
+
+
+def _catalog_columns():
+    counts = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS n_non_null FROM {t}"
+        for t, cols in STAR_COLUMNS.items() for c in cols)
+    return f"""
+SELECT i.table_name, i.column_name, CAST(i.ordinal_position AS BIGINT) AS ordinal_position, s.n_non_null
+FROM information_schema.columns i JOIN ({counts}) s
+  ON i.table_name = s.table_name AND i.column_name = s.column_name"""
+
+
+CATALOG_TABLES = _catalog_tables()
+CATALOG_COLUMNS = _catalog_columns()
 
 ORACLE_SQL = {
     "fact_order_lines": FACT,

@@ -433,17 +433,28 @@ CATALOG_EXCLUDE = ("embeddings", "pages", "benchmark", "labels", "conversations"
 
 
 def q_catalog_tables(spark, d):
+    """Tables of the landing area (minus excluded ones), with row counts."""
     ents = landing.load_entities(spark, d, td.TABLES)
     catalog.register_views(spark, ents)
     names = catalog.list_tables(spark, exclude=CATALOG_EXCLUDE, only=td.TABLES)
-    return spark.createDataFrame([(n,) for n in names], "table_name string")
+    parts = [spark.table(n).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+             .select(F.lit(n).alias("table_name"), "n_rows") for n in names]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def q_catalog_columns(spark, d):
-    rows = []
+    """Columns of each star table in order, with their non-NULL counts
+    (one aggregate pass per table, unpivoted to one row per column)."""
+    parts = []
     for name, df in _star_entities(spark, d).items():
-        rows += [(name, col, int(pos)) for pos, col, _ in catalog.list_columns(df)]
-    return spark.createDataFrame(rows, "table_name string, column_name string, ordinal_position bigint")
+        cols = [c for _, c, _ in catalog.list_columns(df)]
+        stats = df.agg(*[F.count(F.col(c)).cast("bigint").alias(c) for c in cols])
+        parts.append(stats.unpivot([], cols, "column_name", "n_non_null").select(
+            F.lit(name).alias("table_name"), "column_name",
+            F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("column_name")).cast("bigint")
+            .alias("ordinal_position"),
+            "n_non_null"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def q_catalog_primary_keys(spark, d):
