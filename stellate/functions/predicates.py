@@ -33,7 +33,8 @@ def typed_empty(dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DateType):
         return F.lit(_dt.date(1900, 1, 1))
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.lit(_dt.datetime(1900, 1, 1)).cast(dtype)
+        # from text, so the value does not depend on the driver's time zone
+        return F.lit("1900-01-01 00:00:00").cast(dtype)
     if isinstance(dtype, T.BinaryType):
         return F.lit(bytearray())
     raise TypeError(f"no empty value for {dtype}")
