@@ -68,13 +68,20 @@ def measured_bytes(df: DataFrame) -> int:
     return int(df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0])
 
 
+def parse_bytes(value) -> int:
+    """'67108864', '64m', '1g', '512k' -> bytes."""
+    text = str(value).strip().lower().rstrip("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(text[-1:], 1)
+    return int(float(text[:-1] if scale > 1 else text) * scale)
+
+
 def choose_strategy(source: DataFrame, strategy: str = "auto", max_bytes: int | None = None) -> str:
     """``broadcast`` when the measured source fits under the bound, else ``shuffle``."""
     if strategy != "auto":
         return strategy
     if max_bytes is None:
-        max_bytes = int(source.sparkSession.conf.get("stellate.merge.broadcastBytes",
-                                                     str(DEFAULT_BROADCAST_BYTES)))
+        max_bytes = parse_bytes(source.sparkSession.conf.get("stellate.merge.broadcastBytes",
+                                                             str(DEFAULT_BROADCAST_BYTES)))
     return "broadcast" if measured_bytes(source) <= max_bytes else "shuffle"
 
 
