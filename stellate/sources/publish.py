@@ -2,14 +2,17 @@
 
 Spark refuses to overwrite a table it is reading from, and a failed
 overwrite would leave a half-written table.  Instead every load writes a new
-snapshot folder, the audits run against what was written, and only then the
-table's pointer (a one-line text file) moves to the new snapshot.  Readers
-always resolve the pointer, so they see the old or the new snapshot, never a
-mix.  Old snapshots stay until a retention job removes them.
+snapshot folder, the audits run against what was written, and only then a
+pointer to the new snapshot is *appended* (one small ``<time>|<snapshot>``
+text file per publish; the current snapshot is the greatest entry).
+Nothing is deleted or overwritten, so a reader always finds a complete
+snapshot -- the old or the new one, never a mix, never none.  Old
+snapshots stay until a retention job removes them.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -32,10 +35,13 @@ def warehouse_root(spark: SparkSession) -> str:
 def current_snapshot(spark: SparkSession, table: str, root: str | None = None) -> str | None:
     root = root or warehouse_root(spark)
     try:
-        row = spark.read.text(f"{root}/{table}/{POINTER}").first()
+        v = F.col("value")
+        # entries are "<time>|<snapshot>"; a bare snapshot (older layout) counts as time 0
+        entry = F.when(v.contains("|"), v).otherwise(F.concat(F.lit("0" * 20 + "|"), v))
+        row = spark.read.text(f"{root}/{table}/{POINTER}").agg(F.max(entry)).first()
     except Exception:  # no pointer yet
         return None
-    return row[0] if row else None
+    return row[0].split("|", 1)[1] if row and row[0] else None
 
 
 def catalog_name(table: str, snap: str) -> str:
@@ -92,8 +98,9 @@ def publish(df: DataFrame, table: str, audits: dict[str, Callable[[DataFrame], D
         failed = sorted(r["audit"] for r in reduce(DataFrame.unionByName, probes).collect())
         if failed:
             raise ValueError(f"publish of {table} aborted: audit {', '.join(failed)} failed")
-    (spark.createDataFrame([(snap,)], "value string").coalesce(1)
-     .write.mode("overwrite").text(f"{root}/{table}/{POINTER}"))
+    entry = f"{time.time_ns():020d}|{snap}"  # fixed width: text order = time order
+    (spark.createDataFrame([(entry,)], "value string").coalesce(1)
+     .write.mode("append").text(f"{root}/{table}/{POINTER}"))
     return snap
 
 

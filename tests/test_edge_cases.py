@@ -161,13 +161,14 @@ def test_rerun_changes_nothing(spark):
     assert sorted(map(tuple, o1.collect()), key=str) == sorted(map(tuple, scd1(o1, s, "k", ["v"]).collect()), key=str)
 
 
-def test_publish_is_all_or_nothing(spark):
+def test_publish_is_all_or_nothing(spark, tmp_path):
+    root = str(tmp_path / "wh")
     good = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
-    publish(good, "t_publish", audits={"pk": lambda w: audit.duplicate_keys(w, "k")})
+    publish(good, "t_publish", audits={"pk": lambda w: audit.duplicate_keys(w, "k")}, root=root)
     bad = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
     with pytest.raises(ValueError):
-        publish(bad, "t_publish", audits={"pk": lambda w: audit.duplicate_keys(w, "k")})
-    assert sorted(r["k"] for r in read_table(spark, "t_publish").collect()) == [1, 2]
+        publish(bad, "t_publish", audits={"pk": lambda w: audit.duplicate_keys(w, "k")}, root=root)
+    assert sorted(r["k"] for r in read_table(spark, "t_publish", root).collect()) == [1, 2]
 
 
 def test_cascade(spark):
@@ -242,3 +243,16 @@ def test_scd2_hot_key_history(spark, strategy):
     seven = out.filter("k = 7 and is_current").collect()
     assert [r["v"] for r in seven] == ["new"]
     assert out.filter("k = 7 and not is_current").count() == 1001
+
+
+def test_publish_pointer_is_append_only(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    a = spark.createDataFrame([(1,)], "k long")
+    b = spark.createDataFrame([(2,)], "k long")
+    s1 = publish(a, "t_ptr", root=root)
+    s2 = publish(b, "t_ptr", root=root)
+    assert s1 != s2
+    assert [r["k"] for r in read_table(spark, "t_ptr", root).collect()] == [2]
+    # both snapshots stay readable; only the pointer moved
+    assert [r["k"] for r in read_table(spark, "t_ptr", root, s1).collect()] == [1]
+    assert spark.read.text(f"{root}/t_ptr/_current").count() == 2
