@@ -31,3 +31,10 @@ def test_list_tables_excludes(spark):
     spark.createDataFrame([(1,)], "a int").createOrReplaceTempView("cat_drop")
     got = catalog.list_tables(spark, exclude=("cat_drop",), only=("cat_keep", "cat_drop"))
     assert got == ["cat_keep"]
+
+
+def test_command_line_lists_queries(capsys):
+    from stellate.__main__ import main
+    assert main(["list"]) == 0
+    out = capsys.readouterr().out.split()
+    assert "fact_order_lines" in out and "scd2_merge" in out
