@@ -125,7 +125,7 @@ def extend_surrogate_keys(existing: DataFrame, incoming: DataFrame, keys,
 
 
 def fill_surrogate_keys(df: DataFrame, order_cols, sk_col: str = "sk",
-                        base: DataFrame | int | None = None) -> DataFrame:
+                        base: DataFrame | int | None = None, strategy: str = "auto") -> DataFrame:
     """Give rows whose ``sk_col`` is NULL (new rows / new versions of a merge)
     keys above ``base`` (default: the largest key already in ``df``),
     numbered in ``order_cols`` order; rows with a key keep it.
@@ -138,10 +138,17 @@ def fill_surrogate_keys(df: DataFrame, order_cols, sk_col: str = "sk",
     need = df.filter(F.col(sk_col).isNull()).drop(sk_col)
     if base is None:
         base = max_key(have, sk_col)
-    numbered = assign_surrogate_keys(need, order_cols, sk_col, base=base)
+    numbered = assign_surrogate_keys(need, order_cols, sk_col, base=base, strategy=strategy)
     return have.unionByName(numbered.select(*df.columns))
 
 
+def single_task_bound(rows_upper_bound: DataFrame) -> str:
+    """``single`` when ``rows_upper_bound`` -- a frame at least as large as
+    the rows to number, e.g. a merge's source for its new versions -- counts
+    within the single-task limit, else ``range``."""
+    return "single" if rows_upper_bound.count() <= _single_task_rows(rows_upper_bound) else "range"
+
+
 def lookup_key(fact: DataFrame, dim: DataFrame, fact_cols, dim_cols, sk_col: str,
                out_col: str | None = None, how: str = "inner") -> DataFrame:
     """Replace natural key ``fact_cols`` by the dimension's surrogate key.

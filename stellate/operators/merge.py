@@ -171,8 +171,10 @@ def scd1(target: DataFrame, source: DataFrame, keys, tracked=None,
             out.append(F.col(f"t.{c}").alias(c))
     result = a.select(*out)
     if sk_col is not None:
-        from stellate.operators.keys import fill_surrogate_keys, max_key
-        result = fill_surrogate_keys(result, keys, sk_col, base=max_key(target, sk_col))
+        from stellate.operators.keys import fill_surrogate_keys, max_key, single_task_bound
+        # inserts are at most one per source row: count the source, not the merge
+        result = fill_surrogate_keys(result, keys, sk_col, base=max_key(target, sk_col),
+                                     strategy=single_task_bound(source))
     return result
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stellate.functions.dates import date_key_str
 from stellate.functions.predicates import col_changed
-from stellate.operators.keys import fill_surrogate_keys, max_key
+from stellate.operators.keys import fill_surrogate_keys, max_key, single_task_bound
 from stellate.operators.merge import ACTION, DELETE, INSERT, UPDATE, _as_list, choose_strategy, merge_actions
 
 
@@ -108,7 +108,10 @@ def scd2(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-0
         closed = target.filter(~F.coalesce(F.col(current_col), F.lit(False)))
         merged = closed.unionByName(merged)
     if sk_col is not None:
-        merged = fill_surrogate_keys(merged, keys + [eff_col], sk_col, base=max_key(target, sk_col))
+        # new versions are at most one per source row: count the (small)
+        # source instead of re-running the merge to count them
+        merged = fill_surrogate_keys(merged, keys + [eff_col], sk_col, base=max_key(target, sk_col),
+                                     strategy=single_task_bound(source))
     return merged
 
 
