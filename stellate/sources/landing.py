@@ -73,10 +73,14 @@ def load_entity(spark: SparkSession, path: str, schema: T.StructType | None = No
 
 def load_entities(spark: SparkSession, root: str, names, schemas: dict | None = None,
                   fmt: str = "parquet", **options) -> dict:
-    """Read every named entity from one landing folder (``root/<name>.<fmt>``)."""
+    """Read every named entity from one landing folder (``root/<name>.<fmt>``);
+    for ``fmt="jdbc"`` the entity name is the table (``root`` is then a
+    schema prefix, may be empty) and the connection comes in ``options``."""
     schemas = schemas or {}
-    ext = {"parquet": "parquet", "csv": "csv", "json": "json"}.get(fmt, fmt)
-    return {n: load_entity(spark, f"{root.rstrip('/')}/{n}.{ext}", schemas.get(n), fmt, **options)
+    if fmt == "jdbc":
+        prefix = f"{root}." if root else ""
+        return {n: load_entity(spark, f"{prefix}{n}", schemas.get(n), fmt, **options) for n in names}
+    return {n: load_entity(spark, f"{root.rstrip('/')}/{n}.{fmt}", schemas.get(n), fmt, **options)
             for n in names}
 
 
