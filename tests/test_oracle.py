@@ -11,11 +11,14 @@ import __spark_entry__ as E  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 from oracle_check import digest  # noqa: E402
 
-NAMES = sorted(E.queries())
+from stellate.plans.queries import QUERIES  # noqa: E402
+
+NAMES = sorted(QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.oracle_sql())
+    assert set(NAMES) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
