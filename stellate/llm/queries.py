@@ -5,6 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 
 from stellate.llm.common import read
+from stellate.llm.decontaminate import find_contamination
+from stellate.llm.simhash_dedup import simhash_groups
+from stellate.llm.substring_dedup import remove_repeats
 from stellate.llm.token_counts import token_counts
 
 
@@ -12,7 +15,22 @@ def op1_token_counts(spark, d):
     return token_counts(read(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_substring_dedup(spark, d):
+    return remove_repeats(read(spark, d, "documents"))
+
+
+def op4_decontamination(spark, d):
+    return find_contamination(read(spark, d, "documents"), read(spark, d, "benchmark")).drop("items")
+
+
+def op9_simhash_dedup(spark, d):
+    return simhash_groups(read(spark, d, "documents"), shingle=3, max_distance=2)
+
+
 LLM_QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_decontamination": op4_decontamination,
+    "op9_simhash_dedup": op9_simhash_dedup,
 }
 LLM_ORACLE_SQL: dict[str, str] = {}

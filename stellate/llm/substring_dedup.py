@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -106,7 +107,7 @@ def _lists(column: pa.Array, first: int, last: int) -> tuple[np.ndarray, np.ndar
     """Numbers and row numbers of a list column's rows ``first`` to ``last`` (null: none)."""
     part = column.slice(first, last - first)
     flat = part.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    lengths = np.array([len(x) if x is not None else 0 for x in part], np.int64)
+    lengths = pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)
     return np.repeat(np.arange(last - first), lengths), flat
 
 
