@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 
-from stellate.llm.common import read
+from stellate.llm.bestfit_packing import pack_documents
+from stellate.llm.common import read, stage_path
 from stellate.llm.decontaminate import find_contamination
+from stellate.llm.exact_topk import exact_top_k
+from stellate.llm.language_gru import identify_languages
+from stellate.llm.license_scan import known_licenses, scan_licenses
+from stellate.llm.oracle import LLM_ORACLE_SQL  # noqa: F401
+from stellate.llm.quality_pu import score_quality
+from stellate.llm.secret_ledger import find_secrets
 from stellate.llm.simhash_dedup import simhash_groups
 from stellate.llm.substring_dedup import remove_repeats
 from stellate.llm.token_counts import token_counts
@@ -15,6 +23,10 @@ def op1_token_counts(spark, d):
     return token_counts(read(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_quality_classifier(spark, d):
+    return score_quality(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
 def op3_substring_dedup(spark, d):
     return remove_repeats(read(spark, d, "documents"))
 
@@ -23,14 +35,40 @@ def op4_decontamination(spark, d):
     return find_contamination(read(spark, d, "documents"), read(spark, d, "benchmark")).drop("items")
 
 
+def op5_license_scan(spark, d):
+    return scan_licenses(read(spark, d, "documents"), known_licenses(spark))
+
+
+def op6_secret_scan(spark, d):
+    return find_secrets(read(spark, d, "documents"), stage_path(spark, "secret-ledger"))
+
+
+def op7_bestfit_packing(spark, d):
+    return pack_documents(read(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op8_exact_topk(spark, d):
+    return exact_top_k(read(spark, d, "embeddings"))
+
+
 def op9_simhash_dedup(spark, d):
     return simhash_groups(read(spark, d, "documents"), shingle=3, max_distance=2)
 
 
+def op10_language_id(spark, d):
+    return identify_languages(read(spark, d, "documents"))
+
+
 LLM_QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_decontamination": op4_decontamination,
+    "op5_license_scan": op5_license_scan,
+    "op6_secret_scan": op6_secret_scan,
+    "op7_bestfit_packing": op7_bestfit_packing,
+    "op8_exact_topk": op8_exact_topk,
     "op9_simhash_dedup": op9_simhash_dedup,
+    "op10_language_id": op10_language_id,
+    "pipeline": corpus_pipeline.run,
 }
-LLM_ORACLE_SQL: dict[str, str] = {}
