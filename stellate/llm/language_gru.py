@@ -29,7 +29,8 @@ LONGEST = 32             # bytes that the network reads at once; longer words ar
 SAMPLE_DOCS = 400        # training documents of each language
 SAMPLE_WORDS = 60_000    # distinct (language, word) pairs that are trained on
 SAMPLE_LANGUAGES = 200   # languages that are learned, most frequent first
-EPOCHS = 10
+EPOCHS = 4
+INFER = 1024            # words of one length that run side by side
 MEMO_KEYS = 250_000
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -150,8 +151,8 @@ class BiGRU:
         sums = np.zeros((len(values), len(self.classes)), np.float64)
         for n in np.unique(length):
             same = np.flatnonzero(length == n)
-            for first in range(0, len(same), 4096):
-                part = same[first:first + 4096]
+            for first in range(0, len(same), INFER):
+                part = same[first:first + INFER]
                 chunk = np.frombuffer(b"".join(pieces[i] for i in part), np.uint8).reshape(-1, n)
                 np.add.at(sums, owner[part], self.probabilities(chunk).sum(axis=0))
         return list(sums)
