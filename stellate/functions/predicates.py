@@ -75,8 +75,7 @@ def binary_changed(t: Column, s: Column, mode: str = "digest", prefix_bytes: int
     if mode == "digest":
         return ~F.sha2(t, 256).eqNullSafe(F.sha2(s, 256))
     if mode == "prefix":
-        n = prefix_bytes * 2  # two hex digits per byte
-        tp = F.coalesce(F.substring(F.hex(t), 1, n), F.lit(""))
-        sp = F.coalesce(F.substring(F.hex(s), 1, n), F.lit(""))
+        tp = F.coalesce(F.hex(F.substring(t, 1, prefix_bytes)), F.lit(""))
+        sp = F.coalesce(F.hex(F.substring(s, 1, prefix_bytes)), F.lit(""))
         return tp != sp
     raise ValueError(f"binary mode must be 'digest' or 'prefix', got {mode!r}")

@@ -18,7 +18,8 @@ from stellate.operators.merge import choose_strategy
 
 def new_rows(batch: DataFrame, existing: DataFrame, key_cols, range_col: str | None = None,
              strategy: str = "auto") -> DataFrame:
-    """Batch rows whose key is not in ``existing``.
+    """Batch rows whose key is not in ``existing``.  Keys are compared
+    NULL-safely: a row with a NULL in its key meets its own copy.
 
     With a batch whose measured size is under the broadcast bound, the
     existing fact is probed with ``LEFT SEMI JOIN broadcast(batch keys)``
@@ -31,12 +32,14 @@ def new_rows(batch: DataFrame, existing: DataFrame, key_cols, range_col: str | N
             raise ValueError("range_col must be part of the key")
         lo = batch.agg(F.min(range_col)).scalar()
         hi = batch.agg(F.max(range_col)).scalar()
-        existing = existing.filter((F.col(range_col) >= lo) & (F.col(range_col) <= hi))
-    if choose_strategy(batch.select(*key_cols), strategy) == "broadcast":
-        seen = (existing.select(*key_cols).join(F.broadcast(batch.select(*key_cols)), key_cols, "left_semi")
-                .distinct())
-        return batch.join(F.broadcast(seen), key_cols, "left_anti")
-    return batch.join(existing.select(*key_cols), key_cols, "left_anti")
+        c = F.col(range_col)  # rows without a date meet a batch's rows without one
+        existing = existing.filter(((c >= lo) & (c <= hi)) | c.isNull())
+    same = F.expr(" AND ".join(f"a.`{k}` <=> b.`{k}`" for k in key_cols))
+    keys = batch.select(*key_cols)
+    if choose_strategy(keys, strategy) == "broadcast":
+        seen = existing.select(*key_cols).alias("a").join(F.broadcast(keys).alias("b"), same, "left_semi").distinct()
+        return batch.alias("a").join(F.broadcast(seen).alias("b"), same, "left_anti")
+    return batch.alias("a").join(existing.select(*key_cols).alias("b"), same, "left_anti")
 
 
 def append_idempotent(batch: DataFrame, existing: DataFrame, key_cols, range_col: str | None = None,

@@ -23,6 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stellate.functions.sizes import measured, parse_bytes
 from stellate.session import shared_dir
 
 _PID, _MID, _OFF = "_sk_pid", "_sk_mid", "_sk_off"
@@ -35,15 +36,24 @@ def _default_partitions(df: DataFrame) -> int:
         return 200
 
 
-# Inputs with at most this many rows (counted first) are numbered by one
-# ordered window in a single task; override with stellate.keys.singleTaskRows.
+# Inputs with at most this many rows and bytes (measured first, in one pass)
+# are numbered by one ordered window in a single task; override with
+# stellate.keys.singleTaskRows and stellate.keys.singleTaskBytes.
 DEFAULT_SINGLE_TASK_ROWS = 1_000_000
+DEFAULT_SINGLE_TASK_BYTES = 64 * 1024 * 1024
 
 
 def _single_task_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("stellate.keys.singleTaskRows", str(DEFAULT_SINGLE_TASK_ROWS)))
 
 
+def _fits_one_task(df: DataFrame) -> bool:
+    """Whether ``df``'s measured rows and bytes are within the bounds of one task."""
+    rows, size = measured(df)
+    most = parse_bytes(df.sparkSession.conf.get("stellate.keys.singleTaskBytes", str(DEFAULT_SINGLE_TASK_BYTES)))
+    return rows <= _single_task_rows(df) and size <= most
+
+
 def _base_column(base) -> Column:
     if isinstance(base, DataFrame):
         return base.select(F.coalesce(F.col(base.columns[0]).cast("bigint"), F.lit(0))).scalar()
@@ -61,14 +71,13 @@ def assign_surrogate_keys(df: DataFrame, order_cols, sk_col: str = "sk",
     offset (e.g. ``max(sk)`` of the existing dimension).
 
     ``strategy``: ``range`` (distributed, below), ``single`` (one ordered
-    window -- only for inputs known to be small), or ``auto``: count the
-    input and use ``single`` when the count is within
-    ``stellate.keys.singleTaskRows`` -- a measured bound, like a broadcast
-    size check -- else ``range``.
+    window -- only for inputs known to be small), or ``auto``: measure the
+    input and use ``single`` when its rows and bytes are within the bounds of
+    one task (``stellate.keys.singleTaskRows``, ``...Bytes``), else ``range``.
     """
     order_cols = [order_cols] if isinstance(order_cols, (str, Column)) else list(order_cols)
     if strategy == "auto":
-        strategy = "single" if df.count() <= _single_task_rows(df) else "range"
+        strategy = "single" if _fits_one_task(df) else "range"
     if strategy == "single":
         w = Window.orderBy(*order_cols)
         return df.withColumn(sk_col, (_base_column(base) + F.row_number().over(w)).cast("bigint"))
@@ -144,9 +153,9 @@ def fill_surrogate_keys(df: DataFrame, order_cols, sk_col: str = "sk",
 
 def single_task_bound(rows_upper_bound: DataFrame) -> str:
     """``single`` when ``rows_upper_bound`` -- a frame at least as large as
-    the rows to number, e.g. a merge's source for its new versions -- counts
-    within the single-task limit, else ``range``."""
-    return "single" if rows_upper_bound.count() <= _single_task_rows(rows_upper_bound) else "range"
+    the rows to number, e.g. a merge's source for its new versions -- is
+    within the bounds of one task, else ``range``."""
+    return "single" if _fits_one_task(rows_upper_bound) else "range"
 
 
 def lookup_key(fact: DataFrame, dim: DataFrame, fact_cols, dim_cols, sk_col: str,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stellate.functions.predicates import binary_changed, changed
+from stellate.functions.sizes import measured_bytes, parse_bytes
 
 ACTION = "merge_action"
 INSERT, UPDATE, DELETE, KEEP = "INSERT", "UPDATE", "DELETE", "KEEP"
@@ -47,34 +48,6 @@ def change_condition(dtypes: dict, tracked, null_mode: str = "null_safe",
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df``'s rows in bytes, measured in one aggregate pass: the
-    bytes of every variable-width value plus a fixed width per fixed-width
-    value.  This is the size check behind an explicit broadcast."""
-    fixed = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-             T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
-             T.DecimalType: 16}
-    widths = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        w = next((v for k, v in fixed.items() if isinstance(f.dataType, k)), None)
-        if w is not None:
-            widths.append(F.lit(w))
-        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            widths.append(F.coalesce(F.octet_length(c), F.lit(0)) + 8)
-        else:
-            widths.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8)
-    row = reduce(lambda a, b: a + b, widths).cast("bigint")
-    return int(df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0])
-
-
-def parse_bytes(value) -> int:
-    """'67108864', '64m', '1g', '512k' -> bytes."""
-    text = str(value).strip().lower().rstrip("b")
-    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(text[-1:], 1)
-    return int(float(text[:-1] if scale > 1 else text) * scale)
-
-
 def choose_strategy(source: DataFrame, strategy: str = "auto", max_bytes: int | None = None) -> str:
     """``broadcast`` when the measured source fits under the bound, else ``shuffle``."""
     if strategy != "auto":
@@ -85,6 +58,17 @@ def choose_strategy(source: DataFrame, strategy: str = "auto", max_bytes: int |
     return "broadcast" if measured_bytes(source) <= max_bytes else "shuffle"
 
 
+def _unique_source(s: DataFrame, keys: list) -> DataFrame:
+    """``s`` (keys, struct ``s``, marker) with the error of MERGE built into
+    the plan: a key that occurs twice fails the query that reads it.  The
+    grouping shares its partitions with the merge join."""
+    names = ", ".join(keys)
+    grouped = s.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value("s").alias("s"))
+    one = F.when(F.col("_n") > 1, F.raise_error(F.concat(
+        F.lit(f"source key ({names}) occurs more than once: "), F.to_json(F.struct(*keys))))).otherwise(F.lit(True))
+    return grouped.select(*keys, "s", one.cast("boolean").alias(_IN_S))
+
+
 def merge_actions(target: DataFrame, source: DataFrame, keys, tracked=None,
                   null_mode: str = "null_safe", binary_mode: str = "digest",
                   update_when: str | None = None, strategy: str = "auto",
@@ -102,7 +86,8 @@ def merge_actions(target: DataFrame, source: DataFrame, keys, tracked=None,
     * KEEP   -- anything else
 
     A target with several rows per key (versions) is allowed: each target row
-    gets its own action.  The source must be unique per key.
+    gets its own action.  The source must be unique per key: one that occurs
+    twice fails the query, under either strategy.
 
     Strategy (same result either way):
 
@@ -126,7 +111,7 @@ def merge_actions(target: DataFrame, source: DataFrame, keys, tracked=None,
     # Rows with a NULL key match nothing: they bypass the join (a NULL key
     # would otherwise hash every such row into one partition).
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    tk, sk = t.filter(~null_key), s.filter(~null_key)
+    tk, sk = t.filter(~null_key), _unique_source(s.filter(~null_key), keys)
     if choose_strategy(source, strategy, broadcast_bytes) == "broadcast":
         s_keys = F.broadcast(sk.select(*keys))
         # distinct matched keys are at most the source's keys: a proven bound

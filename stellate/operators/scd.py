@@ -14,6 +14,8 @@ from stellate.operators.merge import ACTION, DELETE, INSERT, UPDATE, _as_list, c
 
 
 def _date_lit(d) -> F.Column:
+    if d is None:
+        raise ValueError("the load needs its date (as_of)")
     if isinstance(d, str):
         d = _dt.date.fromisoformat(d)
     return F.lit(d)
@@ -32,7 +34,8 @@ def scd2_actions(target: DataFrame, source: DataFrame, keys, tracked=None,
     aggregated before the shuffle, so a key with many versions costs one row
     per task): a source key that meets only a marker is "matched" and
     therefore neither inserted nor updated -- a key whose versions are all
-    closed is never re-opened.  Marker rows carry ``t._closed_key = true``.
+    closed is never re-opened.  Closed versions have no action: the markers
+    are taken out again, so the actions are the same under either strategy.
     """
     keys = _as_list(keys)
     strategy = choose_strategy(source, strategy)
@@ -43,15 +46,24 @@ def scd2_actions(target: DataFrame, source: DataFrame, keys, tracked=None,
         closed_keys = closed_keys.join(F.broadcast(source.select(*keys)), keys, "left_semi")
     markers = closed_keys.distinct().withColumn(_MARKER, F.lit(True))
     tprime = current.unionByName(markers, allowMissingColumns=True)
-    return merge_actions(tprime, source, keys, tracked, null_mode, binary_mode, update_when=current_col,
-                         strategy=strategy)
+    a = merge_actions(tprime, source, keys, tracked, null_mode, binary_mode, update_when=current_col,
+                      strategy=strategy)
+    return a.filter(~F.coalesce(F.col(f"t.{_MARKER}"), F.lit(False)))
+
+
+def _in_place(target: DataFrame, current_col: str, eff_col: str, as_of: F.Column) -> F.Column:
+    """An UPDATE of a version that isn't older than the load: it replaces that
+    version, since closing it would give it an end before its start."""
+    if eff_col not in target.columns:
+        return F.lit(False)
+    return (F.col(ACTION) == UPDATE) & F.coalesce(F.col(f"t.{eff_col}") >= as_of.cast(target.schema[eff_col].dataType), F.lit(False))
 
 
 def scd2(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-01-01",
          null_mode: str = "sentinel", binary_mode: str = "digest",
          current_col: str = "is_current", eff_col: str = "effective_date",
          ineff_col: str = "ineffective_date", close_missing: bool = False,
-         actions: DataFrame | None = None, sk_col: str | None = None) -> DataFrame:
+         actions: DataFrame | None = None, sk_col: str | None = None, with_closed: bool = True) -> DataFrame:
     """Type-2 dimension after one load.
 
     With ``sk_col`` (a per-version surrogate key column of the target), new
@@ -64,9 +76,13 @@ def scd2(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-0
     * a key with no version at all is inserted as a current version;
     * closed versions, unchanged versions, and keys that left the source stay
       as they are (``close_missing=True`` expires the latter instead);
-    * a key with only closed versions is neither updated nor re-inserted.
+    * a key with only closed versions is neither updated nor re-inserted;
+    * a change of a version whose effective date isn't before ``as_of`` (two
+      changes under one date, or a late one) replaces that version in place,
+      with its dates and surrogate key.
 
-    Closed versions bypass the join (see ``scd2_actions``); when the table is
+    ``with_closed=False`` leaves out versions that were closed before, for a
+    caller that keeps them where they are.  Closed versions bypass the join (see ``scd2_actions``); when the table is
     partitioned by ``current_col`` their scan is a separate partition.  Both
     output rows of a joined row come out of one ``explode`` -- the join runs
     once, with no cache.
@@ -77,7 +93,8 @@ def scd2(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-0
     as_of_c = _date_lit(as_of)
     yesterday = F.date_sub(as_of_c, 1)
     s_cols = set(source.columns)
-    expire = F.col(ACTION) == UPDATE
+    in_place = _in_place(target, current_col, eff_col, as_of_c)
+    expire = (F.col(ACTION) == UPDATE) & ~in_place
     if close_missing:
         expire = expire | ((F.col(ACTION) == DELETE) & F.coalesce(F.col(f"t.{current_col}"), F.lit(False)))
     old_img, new_img = [], []
@@ -94,17 +111,16 @@ def scd2(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-0
             new_img.append(F.lit(None).cast(f.dataType).alias(c))
         elif c == eff_col:
             old_img.append(F.col(f"t.{c}").alias(c))
-            new_img.append(as_of_c.cast(f.dataType).alias(c))
+            new_img.append(F.when(in_place, F.col(f"t.{c}")).otherwise(as_of_c).cast(f.dataType).alias(c))
         else:
             old_img.append(F.col(f"t.{c}").alias(c))
-            new_img.append((F.col(f"s.{c}") if c in s_cols else F.lit(None)).cast(f.dataType).alias(c))
-    marker = F.coalesce(F.col(f"t.{_MARKER}"), F.lit(False)) if _has_marker(a) else F.lit(False)
-    emit_old = (F.col(ACTION) != INSERT) & ~marker
+            new_img.append((F.col(f"s.{c}") if c in s_cols else F.when(in_place, F.col(f"t.{c}"))).cast(f.dataType).alias(c))
+    emit_old = (F.col(ACTION) != INSERT) & ~in_place
     emit_new = F.col(ACTION).isin(INSERT, UPDATE)
     rows = F.array_compact(F.array(F.when(emit_old, F.struct(*old_img)),
                                    F.when(emit_new, F.struct(*new_img))))
     merged = a.select(F.explode(rows).alias("_v")).select("_v.*")
-    if _has_marker(a):  # closed versions bypassed the join
+    if _has_marker(a) and with_closed:  # closed versions bypassed the join
         closed = target.filter(~F.coalesce(F.col(current_col), F.lit(False)))
         merged = closed.unionByName(merged)
     if sk_col is not None:
@@ -121,7 +137,7 @@ def _has_marker(actions: DataFrame) -> bool:
 
 
 def scd2_expired(actions: DataFrame, target: DataFrame, keys, as_of, current_col="is_current",
-                 ineff_col="ineffective_date") -> DataFrame:
+                 ineff_col="ineffective_date", eff_col="effective_date") -> DataFrame:
     """The versions an SCD2 load closes (old image, flag and end date set)."""
     keys = _as_list(keys)
     yesterday = F.date_sub(_date_lit(as_of), 1)
@@ -136,7 +152,8 @@ def scd2_expired(actions: DataFrame, target: DataFrame, keys, as_of, current_col
             cols.append(yesterday.cast(f.dataType).alias(c))
         else:
             cols.append(F.col(f"t.{c}").alias(c))
-    return actions.filter(F.col(ACTION) == UPDATE).select(*cols)
+    in_place = _in_place(target, current_col, eff_col, _date_lit(as_of))
+    return actions.filter((F.col(ACTION) == UPDATE) & ~in_place).select(*cols)
 
 
 def scd2_new_versions(actions: DataFrame, target: DataFrame, source: DataFrame, keys, as_of,
@@ -146,6 +163,7 @@ def scd2_new_versions(actions: DataFrame, target: DataFrame, source: DataFrame,
     new key with ``include_inserts``), from the change feed's source image."""
     keys = _as_list(keys)
     s_cols = set(source.columns)
+    in_place = _in_place(target, current_col, eff_col, _date_lit(as_of))
     cols = []
     for f in target.schema.fields:
         c = f.name
@@ -156,16 +174,16 @@ def scd2_new_versions(actions: DataFrame, target: DataFrame, source: DataFrame,
         elif c == ineff_col:
             cols.append(F.lit(None).cast(f.dataType).alias(c))
         elif c == eff_col:
-            cols.append(_date_lit(as_of).cast(f.dataType).alias(c))
+            cols.append(F.when(in_place, F.col(f"t.{c}")).otherwise(_date_lit(as_of)).cast(f.dataType).alias(c))
         else:
-            cols.append((F.col(f"s.{c}") if c in s_cols else F.lit(None)).cast(f.dataType).alias(c))
+            cols.append((F.col(f"s.{c}") if c in s_cols else F.when(in_place, F.col(f"t.{c}"))).cast(f.dataType).alias(c))
     wanted = [UPDATE, INSERT] if include_inserts else [UPDATE]
     return actions.filter(F.col(ACTION).isin(*wanted)).select(*cols)
 
 
 def scd3(target: DataFrame, source: DataFrame, keys, tracked=None, previous=None,
          as_of="2002-01-01", null_mode: str = "sql", delete_missing: bool = False,
-         actions: DataFrame | None = None) -> DataFrame:
+         actions: DataFrame | None = None, sk_col: str | None = None) -> DataFrame:
     """Type-3 dimension: overwrite changed rows and keep the prior value of
     selected columns.
 
@@ -173,7 +191,8 @@ def scd3(target: DataFrame, source: DataFrame, keys, tracked=None, previous=None
     On an UPDATE, when that column itself differs (same NULL semantics as the
     change test, evaluated on the pre-update row) the old value moves to
     ``prev_col`` and ``prev_validto_col`` becomes ``as_of - 1 day`` as
-    ``yyyyMMdd`` text; otherwise both keep their values.
+    ``yyyyMMdd`` text; otherwise both keep their values.  With ``sk_col``
+    inserted keys get surrogate keys above the target's maximum, in key order.
     """
     keys = _as_list(keys)
     previous = previous or {}
@@ -202,17 +221,25 @@ def scd3(target: DataFrame, source: DataFrame, keys, tracked=None, previous=None
             out.append(F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         else:
             out.append(F.col(f"t.{c}").alias(c))
-    return a.select(*out)
+    return _numbered(a.select(*out), target, source, keys, sk_col)
+
+
+def _numbered(result: DataFrame, target: DataFrame, source: DataFrame, keys: list, sk_col: str | None) -> DataFrame:
+    """Keys for inserted rows; they are at most one per source row."""
+    if sk_col is None:
+        return result
+    return fill_surrogate_keys(result, keys, sk_col, base=max_key(target, sk_col), strategy=single_task_bound(source))
 
 
 def scd4(current: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-01-01",
          null_mode: str = "null_safe", valid_from_col: str = "valid_from",
-         valid_to_col: str = "valid_to", actions: DataFrame | None = None):
+         valid_to_col: str = "valid_to", actions: DataFrame | None = None, sk_col: str | None = None):
     """Type-4 dimension: the current table is overwritten (SCD1 without
     delete) and the replaced images go to an append-only history table.
 
     Returns ``(new_current, history_rows)``; history rows carry the old
-    image, its ``valid_from`` and ``valid_to = as_of - 1 day``.
+    image, its ``valid_from`` and ``valid_to = as_of - 1 day``.  With
+    ``sk_col`` inserted keys get surrogate keys above the table's maximum.
     """
     keys = _as_list(keys)
     a = actions if actions is not None else merge_actions(current, source, keys, tracked, null_mode)
@@ -235,6 +262,6 @@ def scd4(current: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-
             cur_cols.append(F.col(f"t.{c}").alias(c))
             hist_cols.append(F.col(f"t.{c}").alias(c))
     hist_cols.append(F.date_sub(as_of_c, 1).alias(valid_to_col))
-    new_current = a.select(*cur_cols)
+    new_current = _numbered(a.select(*cur_cols), current, source, keys, sk_col)
     history = a.filter(F.col(ACTION) == UPDATE).select(*hist_cols)
     return new_current, history

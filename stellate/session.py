@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -43,14 +44,26 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One JVM: the driver's disk is the only disk."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
+def _on_local_disk(spark: SparkSession, path: str) -> bool:
+    if path.startswith("file:"):
+        return True
+    default = spark._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    return path.startswith("/") and default.startswith("file:")
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A folder on the storage every executor sees.
+    """A folder for intermediate tables on the storage every executor sees.
 
     Uses the cluster's ``spark.checkpoint.dir`` (registering it with the
     SparkContext if that has no checkpoint dir yet), else the checkpoint dir
-    the SparkContext already has.  Only when neither is set -- local runs
-    and tests -- a private scratch folder is created and registered, so
-    later calls agree.
+    the SparkContext already has.  Without either a local session (tests)
+    gets a private scratch folder; any other raises, since a folder on the
+    driver's own disk isn't seen by the executors.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -59,10 +72,11 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not is_local(spark):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="stellate-ckpt-")
         sc.setCheckpointDir(root)
     path = "/".join([root.rstrip("/"), *parts]) if parts else root
-    if path.startswith("/") or path.startswith("file:"):
-        local = path[5:] if path.startswith("file:") else path
-        os.makedirs(local, exist_ok=True)
+    if _on_local_disk(spark, path):
+        os.makedirs(path.removeprefix("file:"), exist_ok=True)
     return path

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,15 +24,22 @@ def _clean(c: str, tokens) -> F.Column:
     return F.when(F.col(c).isin(*tokens), F.lit(None)).otherwise(F.col(c))
 
 
+def _is_text(dtype) -> bool:
+    return (dtype if isinstance(dtype, str) else dtype.simpleString()).lower() == "string"
+
+
 def normalize(raw: DataFrame, types: dict, null_tokens=NULL_TOKENS) -> DataFrame:
     """Turn null tokens into NULL and cast each column to its declared type.
 
     Tokens are replaced *before* the cast: ``try_cast('nan' as double)`` is
-    NaN, not NULL.  Columns not named in ``types`` pass through.
+    NaN, not NULL.  In a column declared as text a token is ordinary text.
+    Columns not named in ``types`` pass through.
     """
     cols = []
     for c in raw.columns:
-        if c in types:
+        if c in types and _is_text(types[c]):
+            cols.append(F.col(c).cast("string").alias(c))
+        elif c in types:
             cols.append(_clean(c, null_tokens).try_cast(types[c]).alias(c))
         else:
             cols.append(F.col(c))
@@ -41,10 +49,14 @@ def normalize(raw: DataFrame, types: dict, null_tokens=NULL_TOKENS) -> DataFrame
 def rejects(raw: DataFrame, key_cols, types: dict, null_tokens=NULL_TOKENS,
             name_col: str = "column_name", value_col: str = "raw_value") -> DataFrame:
     """One row per (row, column) whose text is present, is not a null token,
-    and does not convert to the declared type -- one pass over the data."""
+    and does not convert to the declared type -- one pass over the data.
+    ``types`` should name the key columns too: a key that doesn't convert
+    becomes NULL in ``normalize`` and is reported here by its text."""
     key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     items = []
     for c, t in types.items():
+        if _is_text(t):
+            continue
         present = F.col(c).isNotNull() & ~F.col(c).isin(*null_tokens)
         bad = present & F.col(c).try_cast(t).isNull()
         items.append(F.when(bad, F.struct(F.lit(c).alias(name_col), F.col(c).cast("string").alias(value_col))))
@@ -55,8 +67,9 @@ def rejects(raw: DataFrame, key_cols, types: dict, null_tokens=NULL_TOKENS,
 def load_entity(spark: SparkSession, path: str, schema: T.StructType | None = None,
                 fmt: str = "parquet", **options) -> DataFrame:
     """Read one landed entity.  CSV/JSON get the declared schema (never
-    inferred); parquet carries its own and is projected onto the declared
-    columns when a schema is given."""
+    inferred); a CSV with ``header=True`` is bound by the header's names, one
+    without by position; parquet carries its own schema and is projected onto
+    the declared columns when a schema is given."""
     reader = spark.read.options(**options)
     if fmt == "jdbc":  # ``path`` is the table name; url/user/... come in options
         df = reader.format("jdbc").option("dbtable", path).load()
@@ -66,11 +79,34 @@ def load_entity(spark: SparkSession, path: str, schema: T.StructType | None = No
         if schema is not None:
             df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         return df
+    if schema is not None and fmt == "csv" and str(options.get("header", "")).lower() == "true":
+        return normalize(_by_header(spark, path, schema, options), _types(schema))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.format(fmt).load(path)
 
 
+def _types(schema: T.StructType) -> dict:
+    return {f.name: f.dataType.simpleString() for f in schema.fields}
+
+
+def _by_header(spark: SparkSession, path: str, schema: T.StructType, options: dict) -> DataFrame:
+    """The declared columns of a CSV as text, found by their names in the
+    header (Spark binds a given schema by position)."""
+    raw = spark.read.options(**{**options, "inferSchema": "false"}).csv(path)
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return raw.select(*schema.names)
+
+
+def load_with_rejects(spark: SparkSession, path: str, schema: T.StructType, key_cols, **options) -> tuple[DataFrame, DataFrame]:
+    """Rows of a headed CSV in their declared types, and its rejects: one row
+    per value, keys included, that doesn't convert."""
+    raw = _by_header(spark, path, schema, {**options, "header": "true"})
+    return normalize(raw, _types(schema)), rejects(raw, key_cols, _types(schema))
+
+
 def load_entities(spark: SparkSession, root: str, names, schemas: dict | None = None,
                   fmt: str = "parquet", **options) -> dict:
     """Read every named entity from one landing folder (``root/<name>.<fmt>``);
@@ -91,8 +127,10 @@ def append(df: DataFrame, path: str, partition_by=None) -> None:
     spark = df.sparkSession
     try:
         existing = spark.read.parquet(path).columns
-    except Exception:  # no table yet
-        existing = None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        existing = None  # no table yet
     if existing is not None:
         if set(existing) != set(df.columns):
             raise ValueError(f"columns {sorted(df.columns)} do not match table {sorted(existing)}")
@@ -111,6 +149,11 @@ def entity_counts(entities: dict, entity_col: str = "entity", count_col: str = "
     return reduce(DataFrame.unionByName, parts)
 
 
+def preview_rows(df: DataFrame, keys, n: int = 15) -> DataFrame:
+    """The first ``n`` whole rows of an entity by key (a bounded top-k)."""
+    return df.orderBy(*([keys] if isinstance(keys, str) else keys)).limit(n)
+
+
 def preview(entities: dict, keys: dict, n: int = 15, entity_col: str = "entity") -> DataFrame:
     """The first ``n`` rows of each entity by key (a bounded top-k per entity),
     reduced to their key columns and unioned."""

@@ -1,113 +1,220 @@
 """Snapshot publishing: all-or-nothing replacement of a table.
 
 Spark refuses to overwrite a table it is reading from, and a failed
-overwrite would leave a half-written table.  Instead every load writes a new
-snapshot folder, the audits run against what was written, and only then a
-pointer to the new snapshot is *appended* (one small ``<time>|<snapshot>``
-text file per publish; the current snapshot is the greatest entry).
-Nothing is deleted or overwritten, so a reader always finds a complete
-snapshot -- the old or the new one, never a mix, never none.  Old
-snapshots stay until a retention job removes them.
+overwrite would leave a half-written table.  Instead every load writes new
+folders, the audits run against what was written, and only then a new entry
+is created in the table's pointer folder.  An entry is one small file named
+by its version (``_current/<version>``); it lists the folders that make up the
+snapshot, their schema, rows and bytes.  The current snapshot is the
+greatest version.  Nothing is deleted or overwritten, so a reader always
+finds a complete snapshot; old ones stay until a retention job removes them.
+
+Entries are created exclusively: of two loads that would both publish the
+version after the one they read, the second fails (``ConcurrentPublish``)
+instead of undoing the first.  Only a missing pointer folder counts as "no
+table yet"; anything that can't be read raises.
+
+A snapshot may keep folders of the one before (``keep``): an append adds a
+folder, and a versioned dimension keeps its closed history untouched while
+only the current versions are written again.
 """
 
 from __future__ import annotations
 
-import time
+import json
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stellate.session import shared_dir
+from stellate.session import is_local, shared_dir
 
 POINTER = "_current"
+UNCHECKED = object()  # publish whatever was current before
+
+
+class ConcurrentPublish(RuntimeError):
+    """Another load published since this one read the table."""
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """A published state of a table: ``head`` is read whole; of the folders in
+    ``tail`` the rows whose ``flag`` column isn't true (all rows without a flag)."""
+
+    version: int
+    head: str
+    tail: tuple
+    flag: str | None
+    schema: str
+    rows: int
+    bytes: int
+    catalog: str | None = None
 
 
 def warehouse_root(spark: SparkSession) -> str:
-    """``stellate.warehouse.dir`` if set, else a folder under the cluster's
-    shared checkpoint dir."""
+    """``stellate.warehouse.dir``, else a folder in the session's configured
+    warehouse.  Durable tables never go below a checkpoint dir; only a local
+    session without either uses scratch space."""
     root = spark.conf.get("stellate.warehouse.dir", None)
-    return root.rstrip("/") if root else shared_dir(spark, "warehouse")
+    if root:
+        return root.rstrip("/")
+    root = spark.sparkContext.getConf().get("spark.sql.warehouse.dir", None)
+    if root:
+        return f"{root.rstrip('/')}/stellate"
+    if not is_local(spark):
+        raise ValueError("stellate.warehouse.dir or spark.sql.warehouse.dir must name a shared folder")
+    return shared_dir(spark, "warehouse")
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _versions(spark: SparkSession, table: str, root: str) -> dict[int, int]:
+    """Published versions and the sizes of their entries (0: abandoned)."""
+    fs, p = _fs(spark, f"{root}/{table}/{POINTER}")
+    if not fs.exists(p):
+        return {}
+    found = {}
+    for f in fs.listStatus(p):
+        name = f.getPath().getName()
+        if name.startswith((".", "_")):
+            continue
+        if not name.isdigit():
+            raise ValueError(f"unexpected file {name} among the versions of {table}")
+        found[int(name)] = f.getLen()
+    return found
+
+
+def _entry(spark: SparkSession, table: str, root: str, version: int) -> Snapshot:
+    text = spark.read.text(f"{root}/{table}/{POINTER}/{version:020d}", wholetext=True).first()[0]
+    e = json.loads(text)
+    return Snapshot(version, e["head"], tuple(e["tail"]), e["flag"], e["schema"], e["rows"], e["bytes"], e["catalog"])
+
+
+def current_snapshot(spark: SparkSession, table: str, root: str | None = None) -> Snapshot | None:
+    """The newest snapshot; None if the table was never published."""
+    root = root or warehouse_root(spark)
+    done = [v for v, size in _versions(spark, table, root).items() if size]
+    return _entry(spark, table, root, max(done)) if done else None
 
 
-def current_snapshot(spark: SparkSession, table: str, root: str | None = None) -> str | None:
-    root = root or warehouse_root(spark)
-    try:
-        v = F.col("value")
-        # entries are "<time>|<snapshot>"; a bare snapshot (older layout) counts as time 0
-        entry = F.when(v.contains("|"), v).otherwise(F.concat(F.lit("0" * 20 + "|"), v))
-        row = spark.read.text(f"{root}/{table}/{POINTER}").agg(F.max(entry)).first()
-    except Exception:  # no pointer yet
-        return None
-    return row[0].split("|", 1)[1] if row and row[0] else None
+def _part(spark: SparkSession, root: str, table: str, folder: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{root}/{table}/{folder}").select(*schema.names)
 
 
-def catalog_name(table: str, snap: str) -> str:
-    """Catalog name of a bucketed snapshot."""
-    return f"{table}__{snap.split('=', 1)[-1]}"
+def read_snapshot(spark: SparkSession, table: str, snap: Snapshot, root: str | None = None,
+                  open_only: bool = False) -> DataFrame:
+    """A snapshot's rows; ``open_only`` reads the flagged rows alone (one
+    partition of the newest folder, no closed history)."""
+    root = root or warehouse_root(spark)
+    if snap.catalog and spark.catalog.tableExists(snap.catalog):
+        return spark.table(snap.catalog)
+    schema = T.StructType.fromJson(json.loads(snap.schema))
+    head = _part(spark, root, table, snap.head, schema)
+    if open_only:
+        return head.filter(F.col(snap.flag)) if snap.flag else head
+    tail = [_part(spark, root, table, f, schema) for f in snap.tail]
+    if snap.flag:
+        tail = [t.filter(~F.col(snap.flag)) for t in tail]
+    return reduce(DataFrame.unionByName, [head, *tail])
 
 
-def read_table(spark: SparkSession, table: str, root: str | None = None, snapshot: str | None = None) -> DataFrame:
-    """The table's current snapshot (or the given one, skipping the pointer read).
+def read_table(spark: SparkSession, table: str, root: str | None = None, snapshot: int | Snapshot | None = None) -> DataFrame:
+    """The table's current snapshot, or the given one (as ``publish`` returned it).
 
     A snapshot published with ``bucket_by`` is read through the catalog, so
     joins on its bucket key keep the bucketed layout (no shuffle of it);
     without the catalog entry it is read as plain parquet."""
     root = root or warehouse_root(spark)
+    if isinstance(snapshot, int):
+        snapshot = _entry(spark, table, root, snapshot)
     snap = snapshot or current_snapshot(spark, table, root)
     if snap is None:
         raise FileNotFoundError(f"table {table} has no published snapshot under {root}")
-    name = catalog_name(table, snap)
-    if spark.catalog.tableExists(name):
-        return spark.table(name)
-    return spark.read.parquet(f"{root}/{table}/{snap}")
+    return read_snapshot(spark, table, snap, root)
 
 
 def publish(df: DataFrame, table: str, audits: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
-            root: str | None = None, partition_by=None, bucket_by: tuple | None = None) -> str:
-    """Write ``df`` as a new snapshot, audit it, then switch the pointer.
+            root: str | None = None, partition_by=None, bucket_by: tuple | None = None, base=UNCHECKED,
+            keep: Snapshot | None = None, flag: str | None = None) -> int:
+    """Write ``df`` as a new snapshot, audit it, then make it current.
 
     ``audits`` maps a name to a function returning violating rows of the
     written data; any violation aborts before the switch, leaving the
-    previous snapshot current.  ``bucket_by=(n, [cols])`` writes the
-    snapshot bucketed and sorted by ``cols`` into ``n`` buckets, registered
-    in the catalog (data stays under ``root``): two tables bucketed the same
-    way on the merge key -- a dimension and its staged source -- then merge
-    with no shuffle at all.  Returns the snapshot id.
+    previous snapshot current.  ``base`` is the snapshot that ``df`` was
+    computed from (None: there was none); if another one is current by then,
+    ``ConcurrentPublish`` is raised.  ``keep`` adds that snapshot's folders to
+    the new one; with ``flag`` (a boolean column that the folders are
+    partitioned by) only their rows that aren't flagged count.
+
+    ``bucket_by=(n, [cols])`` writes the snapshot bucketed and sorted by
+    ``cols`` into ``n`` buckets, registered in the catalog (data stays under
+    ``root``): two tables bucketed the same way on the merge key then merge
+    with no shuffle.  Returns the new version.
     """
     spark = df.sparkSession
     root = root or warehouse_root(spark)
-    snap = f"snap={uuid.uuid4().hex}"
-    path = f"{root}/{table}/{snap}"
+    folder = f"snap={uuid.uuid4().hex}"
+    path = f"{root}/{table}/{folder}"
+    partition_by = [flag] if flag else [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     w = df.write.mode("errorifexists")
+    catalog = None
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by:
         n, cols = bucket_by
         cols = [cols] if isinstance(cols, str) else list(cols)
-        w.bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(catalog_name(table, snap))
-        written = spark.table(catalog_name(table, snap))
+        catalog = f"{table}__{folder.split('=', 1)[-1]}"
+        w.bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(catalog)
+        written = spark.table(catalog)
     else:
         w.parquet(path)
-        written = spark.read.parquet(path)
+        written = _part(spark, root, table, folder, df.schema)
     if audits:
         # all audits in one job; at most one row per failed audit reaches the driver
         probes = [audit(written).limit(1).select(F.lit(name).alias("audit")) for name, audit in audits.items()]
         failed = sorted(r["audit"] for r in reduce(DataFrame.unionByName, probes).collect())
         if failed:
             raise ValueError(f"publish of {table} aborted: audit {', '.join(failed)} failed")
-    entry = f"{time.time_ns():020d}|{snap}"  # fixed width: text order = time order
-    (spark.createDataFrame([(entry,)], "value string").coalesce(1)
-     .write.mode("append").text(f"{root}/{table}/{POINTER}"))
-    return snap
+    fs, p = _fs(spark, path)
+    entry = {"head": folder, "tail": [keep.head, *keep.tail] if keep else [], "flag": flag, "schema": df.schema.json(),
+             "rows": written.count() + (keep.rows if keep and not flag else 0),
+             "bytes": fs.getContentSummary(p).getLength() + (keep.bytes if keep and not flag else 0), "catalog": catalog}
+    return _switch(spark, table, root, entry, base)
+
+
+def _switch(spark: SparkSession, table: str, root: str, entry: dict, base) -> int:
+    seen = _versions(spark, table, root)
+    current = max((v for v, size in seen.items() if size), default=None)
+    if base is not UNCHECKED and current != (base.version if base else None):
+        raise ConcurrentPublish(f"{table} is at version {current}, this load read {base.version if base else None}")
+    version = max(seen, default=0) + 1
+    fs, p = _fs(spark, f"{root}/{table}/{POINTER}/{version:020d}")
+    try:
+        out = fs.create(p, False)  # fails if the file exists
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in str(e.java_exception):
+            raise
+        raise ConcurrentPublish(f"version {version} of {table} was published meanwhile") from e
+    try:
+        out.write(bytearray(json.dumps(entry).encode()))
+    finally:
+        out.close()
+    return version
 
 
 def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` to the shared folder and reading it back
     (survives executor loss, unlike a local checkpoint)."""
     spark = df.sparkSession
-    path = f"{warehouse_root(spark)}/_stage/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark, 'stage')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -3,8 +3,8 @@
 Each micro-batch of landed rows is reduced to one row per key, merged into
 the table's current snapshot with the chosen SCD operator, audited, and
 published as a new snapshot.  The merges are idempotent (re-applying the
-same batch changes nothing), so a micro-batch replayed after a failure
-leaves the same result: the sink is effectively exactly-once.
+same batch changes nothing), so a micro-batch that is replayed after a
+failure leaves the same result.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from stellate.operators import audit
 from stellate.operators.merge import scd1
 from stellate.operators.scd import scd2, scd3
-from stellate.sources.publish import publish, read_table
+from stellate.sources.publish import current_snapshot, publish, read_snapshot, warehouse_root
 
 
 def dedupe_latest(df: DataFrame, keys, order_col: str) -> DataFrame:
@@ -33,35 +33,55 @@ def dedupe_latest(df: DataFrame, keys, order_col: str) -> DataFrame:
 
 def merge_loader(table: str, keys, tracked, kind: str = "scd1", as_of=None, order_col: str | None = None,
                  root: str | None = None, initial: Callable[[DataFrame], DataFrame] | None = None,
-                 **kwargs) -> Callable[[DataFrame, int], None]:
+                 current_col: str = "is_current", **kwargs) -> Callable[[DataFrame, int], None]:
     """Build a ``foreachBatch`` function that merges each batch into ``table``.
 
     ``kind`` is ``scd1`` / ``scd2`` / ``scd3``; ``initial`` turns the first
     batch into the table's first image when nothing is published yet.
+
+    A micro-batch is never the whole source, so a key that it lacks is kept
+    (``delete_missing=True`` is refused).  ``as_of`` is the load's date, or a
+    function of (batch, epoch) that gives each batch's; ``scd2`` and ``scd3``
+    need it.  A second change under one date replaces the first (see
+    ``scd2``).  Every batch is published on top of the snapshot that it was
+    merged into: a concurrent load of the same table makes it fail, and the
+    stream replays it.
+
+    ``scd2`` writes only current and newly closed versions; versions that
+    were closed before stay in the folders where they are.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if kind not in ("scd1", "scd2", "scd3"):
+        raise ValueError(f"unknown kind {kind!r}")
+    if kwargs.get("delete_missing"):
+        raise ValueError("a micro-batch is not the whole source: delete_missing would empty the dimension")
+    if kind == "scd1":
+        kwargs["delete_missing"] = False
+    elif as_of is None:
+        raise ValueError(f"{kind} needs as_of, the date of the load or a function of the batch")
 
     def load(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        where = root or warehouse_root(spark)
         src = dedupe_latest(batch, keys, order_col).drop(order_col) if order_col else batch
-        try:
-            current = read_table(spark, table, root)
-        except FileNotFoundError:
-            current = None
-        if current is None:
+        date = as_of(batch, epoch_id) if callable(as_of) else as_of
+        base = current_snapshot(spark, table, where)
+        if base is None:
             out = initial(src) if initial else src
         elif kind == "scd1":
-            out = scd1(current, src, keys, tracked, **kwargs)
+            out = scd1(read_snapshot(spark, table, base, where), src, keys, tracked, **kwargs)
         elif kind == "scd2":
-            out = scd2(current, src, keys, tracked, as_of, **kwargs)
-        elif kind == "scd3":
-            out = scd3(current, src, keys, tracked, as_of=as_of, **kwargs)
+            out = scd2(read_snapshot(spark, table, base, where), src, keys, tracked, date, current_col=current_col,
+                       with_closed=False, **kwargs)
         else:
-            raise ValueError(f"unknown kind {kind!r}")
+            out = scd3(read_snapshot(spark, table, base, where), src, keys, tracked, as_of=date, **kwargs)
         checks = {"source_key": lambda _w: audit.duplicate_keys(src, keys)}
-        if kind != "scd2":
+        if kind == "scd2":
+            checks["one_current_version"] = lambda w: audit.unique_among(w, keys, current_col)
+            publish(out, table, checks, where, base=base, keep=base, flag=current_col)
+        else:
             checks["primary_key"] = lambda w: audit.duplicate_keys(w, keys)
-        publish(out, table, audits=checks, root=root)
+            publish(out, table, checks, where, base=base)
 
     return load
 

@@ -1,6 +1,7 @@
 """The size checks behind every explicit broadcast and single-task path."""
 
-from stellate.operators.merge import choose_strategy, measured_bytes, parse_bytes
+from stellate.functions.sizes import measured_bytes, parse_bytes
+from stellate.operators.merge import choose_strategy
 
 
 def test_measured_bytes_counts_values(spark):
