@@ -59,6 +59,26 @@ def length_violations(df: DataFrame, key_cols, limits: dict, name_col: str = "co
             .select(*key_cols, "_v.*"))
 
 
+def declared(entity, parents: dict) -> dict:
+    """The audits that a registry entity declares, by name: each a function
+    from the written table to its violations.  References whose parent isn't
+    in ``parents`` (name -> DataFrame) are left out."""
+    checks = {}
+    if entity.key:
+        checks["primary_key"] = lambda w: duplicate_keys(w, entity.key)
+    if entity.unique_current:
+        checks["unique_current"] = lambda w: unique_among(w, entity.unique_current, "is_current")
+    for cols, parent, parent_cols in entity.foreign_keys:
+        if parent in parents:
+            checks[f"fk_{'_'.join(cols)}"] = lambda w, c=cols, p=parents[parent], pc=parent_cols: orphans(w, c, p, pc)
+    key = entity.key or entity.not_null[:1]
+    if entity.not_null:
+        checks["not_null"] = lambda w: null_violations(w, key, entity.not_null)
+    if entity.lengths:
+        checks["lengths"] = lambda w: length_violations(w, key, entity.lengths)
+    return checks
+
+
 def cascade_delete(child: DataFrame, fk_cols, deleted_parent_keys: DataFrame, pk_cols) -> DataFrame:
     """ON DELETE CASCADE: the child without rows that reference deleted keys."""
     fk_cols, pk_cols = _as_list(fk_cols), _as_list(pk_cols)

@@ -56,7 +56,8 @@ ONULL = """onull AS (
   FROM orders)"""
 
 RAW = """raw AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS k,
+  SELECT CASE WHEN o_orderkey % 31 = 0 THEN concat('x', CAST(o_orderkey AS VARCHAR))
+              ELSE CAST(o_orderkey AS VARCHAR) END AS k,
          CASE WHEN o_orderkey % 11 = 0 THEN 'nan' WHEN o_orderkey % 29 = 0 THEN 'bad'
               ELSE CAST(o_custkey AS VARCHAR) END AS cust,
          CASE WHEN o_orderkey % 13 = 0 THEN 'NaT' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS od,
@@ -263,6 +264,28 @@ FROM hj WHERE merge_action = 'UPDATE'"""
 SCD2_FEED = SCD2_BODY + """
 SELECT k, s_nm AS nm, s_addr AS addr, merge_action FROM hj WHERE merge_action IN ('INSERT', 'UPDATE')"""
 
+SCD2_FEED_FULL = SCD2_BODY + """
+SELECT k, s_nm AS nm, s_addr AS addr, merge_action FROM hj
+WHERE merge_action IN ('INSERT', 'UPDATE') OR (merge_action = 'DELETE' AND is_current)"""
+
+# the second source changes every 3rd key again, under the same date: versions
+# that the first load opened get the value, older ones are closed as usual
+SCD2_SAME_DAY = f"""WITH once AS ({SCD2}),
+src2 AS (SELECT c_custkey AS k, c_name AS nm,
+                CASE WHEN c_custkey % 3 = 0 THEN concat(coalesce(addr, ''), '!') ELSE addr END AS addr
+         FROM (SELECT c_custkey, c_name, CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_mktsegment END AS addr FROM customer)),
+j2 AS (SELECT o.*, s.nm AS s_nm, s.addr AS s_addr,
+              o.is_current AND s.k IS NOT NULL
+              AND (coalesce(o.nm, '') <> coalesce(s.nm, '') OR coalesce(o.addr, '') <> coalesce(s.addr, '')) AS upd,
+              o.effective_date >= DATE '2002-01-01' AS same_day
+       FROM once o LEFT JOIN src2 s ON o.k = s.k)
+SELECT k, CASE WHEN upd AND same_day THEN s_nm ELSE nm END AS nm, CASE WHEN upd AND same_day THEN s_addr ELSE addr END AS addr,
+       CASE WHEN upd AND NOT same_day THEN false ELSE is_current END AS is_current, effective_date,
+       CASE WHEN upd AND NOT same_day THEN DATE '2001-12-31' ELSE ineffective_date END AS ineffective_date
+FROM j2
+UNION ALL
+SELECT k, s_nm, s_addr, true, DATE '2002-01-01', CAST(NULL AS DATE) FROM j2 WHERE upd AND NOT same_day"""
+
 SCD2_CURRENT = f"SELECT * FROM ({SCD2}) WHERE is_current"
 
 SCD2_VERSION_KEYS = _with(SRC, PREV, HIST) + """, hsk AS (
@@ -362,10 +385,10 @@ tgt AS (
 
 PREV3 = """prev3 AS (
   SELECT k, nm, addr, CASE WHEN k % 3 = 0 THEN 'PREV_ADDR' END AS addr_prev,
-         CASE WHEN k % 3 = 0 THEN '20000101' END AS addr_prev_validto FROM prev)"""
+         CASE WHEN k % 3 = 0 THEN '20000101' END AS addr_prev_validto, k * 10 AS customer_key FROM prev)"""
 
 SCD3 = _with(SRC, PREV, PREV3) + """, j AS (
-  SELECT coalesce(p.k, s.k) AS k, p.nm AS t_nm, p.addr AS t_addr, p.addr_prev, p.addr_prev_validto,
+  SELECT coalesce(p.k, s.k) AS k, p.nm AS t_nm, p.addr AS t_addr, p.addr_prev, p.addr_prev_validto, p.customer_key,
          s.nm AS s_nm, s.addr AS s_addr,
          CASE WHEN p.k IS NULL THEN 'INSERT' WHEN s.k IS NULL THEN 'DELETE'
               WHEN coalesce(p.nm <> s.nm OR p.addr <> s.addr, false) THEN 'UPDATE' ELSE 'KEEP' END AS a
@@ -376,19 +399,22 @@ SELECT k,
        CASE WHEN a = 'INSERT' THEN NULL WHEN a = 'UPDATE' AND coalesce(t_addr <> s_addr, false) THEN t_addr
             ELSE addr_prev END AS addr_prev,
        CASE WHEN a = 'INSERT' THEN NULL WHEN a = 'UPDATE' AND coalesce(t_addr <> s_addr, false) THEN '20011231'
-            ELSE addr_prev_validto END AS addr_prev_validto
+            ELSE addr_prev_validto END AS addr_prev_validto,
+       CAST(coalesce(customer_key, (SELECT max(customer_key) FROM prev3)
+                     + row_number() OVER (PARTITION BY customer_key IS NULL ORDER BY k)) AS BIGINT) AS customer_key
 FROM j"""
 
 SCD4 = """WITH cur AS (
   SELECT p_partkey AS product_id, p_name AS product_name, CAST(p_retailprice AS DECIMAL(19,4)) AS unit_price,
-         p_type AS category_name, DATE '2001-01-01' AS valid_from FROM part),
+         p_type AS category_name, DATE '2001-01-01' AS valid_from, p_partkey * 10 AS product_key
+  FROM part WHERE p_partkey % 9 <> 0),
 srcx AS (
   SELECT p_partkey AS product_id,
          CASE WHEN p_partkey % 11 = 0 THEN concat(p_name, ' v2') ELSE p_name END AS product_name,
          CAST(CAST(p_retailprice AS DECIMAL(19,4))
               + CAST(CASE WHEN p_partkey % 7 = 0 THEN 1 ELSE 0 END AS DECIMAL(19,4)) AS DECIMAL(19,4)) AS unit_price,
          p_type AS category_name FROM part)
-SELECT c.product_id, c.product_name, c.unit_price, c.category_name, c.valid_from,
+SELECT c.product_id, c.product_name, c.unit_price, c.category_name, c.valid_from, c.product_key,
        DATE '2001-12-31' AS valid_to
 FROM cur c JOIN srcx s ON c.product_id = s.product_id
 WHERE c.product_name IS DISTINCT FROM s.product_name OR c.unit_price IS DISTINCT FROM s.unit_price
@@ -407,7 +433,9 @@ SELECT coalesce(c.product_id, s.product_id) AS product_id,
             THEN s.category_name ELSE c.category_name END AS category_name,
        CASE WHEN c.product_id IS NULL OR c.product_name IS DISTINCT FROM s.product_name
                  OR c.unit_price IS DISTINCT FROM s.unit_price OR c.category_name IS DISTINCT FROM s.category_name
-            THEN DATE '2002-01-01' ELSE c.valid_from END AS valid_from
+            THEN DATE '2002-01-01' ELSE c.valid_from END AS valid_from,
+       CAST(coalesce(c.product_key, (SELECT max(product_key) FROM cur)
+                     + row_number() OVER (PARTITION BY c.product_key IS NULL ORDER BY s.product_id)) AS BIGINT) AS product_key
 FROM cur c FULL OUTER JOIN srcx s ON c.product_id = s.product_id
 WHERE s.product_id IS NOT NULL OR c.product_id IS NOT NULL"""
 
@@ -420,8 +448,10 @@ FROM (SELECT DISTINCT k FROM src WHERE k NOT IN (SELECT k FROM prev))"""
 DIM_PRODUCTS = _with(DIMS) + """
 SELECT dp.product_key, dp.p_partkey AS product_id, dp.p_name AS product_name, dp.p_brand AS brand,
        CAST(dp.p_size AS BIGINT) AS size, CAST(dp.p_retailprice AS DECIMAL(19,4)) AS unit_price,
-       cats.category_id, cats.category_name
-FROM dim_p dp JOIN cats ON dp.p_type = cats.category_name"""
+       cats.category_id, cats.category_name, ps.supplier_id, s.s_name AS supplier_name, n.n_name AS supplier_country
+FROM dim_p dp JOIN cats ON dp.p_type = cats.category_name
+LEFT JOIN (SELECT l_partkey, min(l_suppkey) AS supplier_id FROM lineitem GROUP BY l_partkey) ps ON ps.l_partkey = dp.p_partkey
+LEFT JOIN supplier s ON s.s_suppkey = ps.supplier_id LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey"""
 
 DIM_EMP_KEYS = "dim_ek AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) AS employee_key FROM supplier)"
 
@@ -437,8 +467,23 @@ SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS n_rows FROM lineite
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL"""
 
 AUDIT_UNIQUE_CURRENT = f"""
-SELECT k, CAST(count(*) AS BIGINT) AS n_rows FROM ({SCD2}) WHERE is_current
-GROUP BY k HAVING count(*) > 1 OR k IS NULL"""
+SELECT k, CAST(sum(CASE WHEN k % 50 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS n_rows FROM ({SCD2}) WHERE is_current
+GROUP BY k HAVING n_rows > 1 OR k IS NULL"""
+
+AUDIT_DECLARED = _with(PREV, HIST, ONULL, """c AS (
+  SELECT c_custkey AS k, CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE c_name END AS nm,
+         CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_mktsegment END AS addr FROM customer)""") + """
+SELECT 'orders' AS table_name, 'primary_key' AS constraint_name, CAST(count(*) AS BIGINT) AS n_rows
+FROM (SELECT o_orderkey FROM onull GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'orders', 'fk_o_custkey', count(*) FROM onull
+  WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'orders', 'not_null', count(*) FROM onull WHERE o_custkey IS NULL
+UNION ALL SELECT 'customer_landed', 'primary_key', count(*) FROM (SELECT k FROM c GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'customer_landed', 'not_null', count(*) FILTER (WHERE nm IS NULL) + count(*) FILTER (WHERE addr IS NULL) FROM c
+UNION ALL SELECT 'customer_landed', 'lengths', count(*) FILTER (WHERE length(nm) > 10) + count(*) FILTER (WHERE length(addr) > 8) FROM c
+UNION ALL SELECT 'customer_hist', 'primary_key', count(*) FROM (SELECT k FROM hist GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'customer_hist', 'unique_current', count(*) FROM (SELECT k FROM hist WHERE is_current GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'customer_hist', 'not_null', count(*) FROM hist WHERE k IS NULL"""
 
 AUDIT_FK = _with(ONULL) + """
 SELECT o.o_orderkey, o.o_custkey FROM onull o
@@ -487,6 +532,9 @@ SELECT try_cast(CASE WHEN k IN ('nan', 'NaT') THEN NULL ELSE k END AS BIGINT) AS
 FROM raw"""
 
 LAND_REJECTS = _with(RAW) + """
+SELECT k, 'k' AS column_name, k AS raw_value FROM raw
+WHERE k IS NOT NULL AND k NOT IN ('nan', 'NaT') AND try_cast(k AS BIGINT) IS NULL
+UNION ALL
 SELECT k, 'cust' AS column_name, cust AS raw_value FROM raw
 WHERE cust IS NOT NULL AND cust NOT IN ('nan', 'NaT') AND try_cast(cust AS BIGINT) IS NULL
 UNION ALL
@@ -509,9 +557,13 @@ def _preview():
     return "\nUNION ALL\n".join(parts)
 
 
+ALL_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+              "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
 def _entities():
     return "\nUNION ALL\n".join(f"SELECT '{t}' AS entity, CAST(count(*) AS BIGINT) AS n_rows FROM {t}"
-                                for t, _ in STAR_KEYS)
+                                for t in ALL_TABLES)
 
 
 def _catalog_pk():
@@ -538,6 +590,7 @@ UNION ALL SELECT 'dim_products', count(*), count(DISTINCT product_key) FROM dp2
 UNION ALL SELECT 'dim_employees', count(*), count(DISTINCT employee_key) FROM dim_e
 UNION ALL SELECT 'dim_shippers', count(*), count(DISTINCT shipper_key) FROM dim_s
 UNION ALL SELECT 'dim_territories', count(*), count(DISTINCT territory_key) FROM dim_t
+UNION ALL SELECT 'dim_regions', count(*), count(DISTINCT r_regionkey) FROM region
 UNION ALL SELECT 'bridge_employee_territory', count(*), count(DISTINCT (employee_key, territory_key)) FROM bk
 UNION ALL SELECT 'dim_date', count(*), count(DISTINCT date_key) FROM cal
 UNION ALL SELECT 'fact_order_lines', count(*),
@@ -546,6 +599,159 @@ UNION ALL SELECT 'fact_order_lines', count(*),
 
 STAR_PIPELINE = _star_pipeline()
 
+APPEND_NULL_KEYS = _with(ONULL) + """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN 'existing' ELSE 'appended' END AS load_batch FROM onull"""
+
+_CSV = """raw AS (
+  SELECT CASE WHEN c_custkey % 41 = 0 THEN concat('x', CAST(c_custkey AS VARCHAR)) ELSE CAST(c_custkey AS VARCHAR) END AS k,
+         c_name, c_nationkey, c_mktsegment,
+         CASE WHEN c_custkey % 31 = 0 THEN 'bad' WHEN c_custkey % 19 = 0 THEN 'nan'
+              ELSE CAST(CAST(c_acctbal AS DECIMAL(19,4)) AS VARCHAR) END AS bal
+  FROM customer)"""
+TYPED_CSV = _with(_CSV) + """
+SELECT try_cast(k AS BIGINT) AS c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+       CASE WHEN bal = 'nan' THEN NULL ELSE try_cast(bal AS DECIMAL(19,4)) END AS c_acctbal, c_mktsegment FROM raw"""
+TYPED_CSV_REJECTS = _with(_CSV) + """
+SELECT k AS c_custkey, 'c_custkey' AS column_name, k AS raw_value FROM raw WHERE try_cast(k AS BIGINT) IS NULL
+UNION ALL SELECT k, 'c_acctbal', bal FROM raw WHERE bal = 'bad'"""
+
+
+# ---------------------------------------------------------------- two daily loads (FIXTURES.md section 4)
+
+def _two_days(name, key, sk, cols, change, first, second):
+    """CTEs of a type-2 dimension after a load of ``first`` (2001-01-01) and of ``second`` (2002-01-01)."""
+    t, s_ = (", ".join(f"{a}.{c} AS {b}_{c}" for c in cols) for a, b in (("t", "t"), ("s", "s")))
+    old, new = (", ".join(f"{b}_{c} AS {c}" for c in cols) for b in ("t", "s"))
+    return f"""{name}_1 AS (SELECT *, row_number() OVER (ORDER BY {key}) AS {sk} FROM ({first})),
+{name}_j AS (
+  SELECT coalesce(t.{key}, s.{key}) AS {key}, {t}, {s_}, t.{sk},
+         CASE WHEN t.{key} IS NULL THEN 'INSERT' WHEN s.{key} IS NULL THEN 'DELETE' WHEN {change} THEN 'UPDATE' ELSE 'KEEP' END AS a
+  FROM {name}_1 t FULL OUTER JOIN ({second}) s ON t.{key} = s.{key}),
+{name} AS (
+  SELECT {key}, {old}, a <> 'UPDATE' AS is_current, DATE '2001-01-01' AS effective_date,
+         CASE WHEN a = 'UPDATE' THEN DATE '2001-12-31' END AS ineffective_date, {sk} FROM {name}_j WHERE a <> 'INSERT'
+  UNION ALL
+  SELECT {key}, {new}, true, DATE '2002-01-01', CAST(NULL AS DATE),
+         (SELECT max({sk}) FROM {name}_1) + row_number() OVER (ORDER BY {key}) FROM {name}_j WHERE a IN ('INSERT', 'UPDATE'))"""
+
+
+def _listing(name, cols):
+    text = ", '|', ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in cols)
+    return f"SELECT '{name}' AS table_name, concat({text}) AS row_text"
+
+
+def _fact_of(lines, dc, dp, de, ds):
+    return f"""SELECT l.l_orderkey AS order_id, CAST(l.l_linenumber AS BIGINT) AS line_number, dc.customer_key, de.employee_key,
+       dp.product_key, ds.shipper_key, {dk('o.o_orderdate')} AS order_date_key, {dk('l.l_shipdate')} AS ship_date_key,
+       CAST(l.l_quantity AS BIGINT) AS quantity, CAST(l.l_extendedprice AS DECIMAL(19,4)) AS line_price,
+       dp.unit_price AS list_price, l.l_discount AS discount
+FROM {lines} l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+LEFT JOIN {dc} dc ON o.o_custkey = dc.c_custkey
+LEFT JOIN {dp} dp ON l.l_partkey = dp.product_id
+LEFT JOIN (SELECT * FROM {de} WHERE employee_id IN (SELECT s_suppkey FROM terr_ok)) de ON l.l_suppkey = de.employee_id
+LEFT JOIN {ds} ds ON CAST(substr(o.o_orderpriority, 1, 1) AS BIGINT) = ds.shipper_id"""
+
+
+def _star_reload():
+    old = "CASE WHEN {w} THEN concat('OLD_', {c}) ELSE {c} END AS {c}"
+    emp_cols = ["last_name", "nation_id", "acctbal", "photo", "reports_to"]
+    e_first = "SELECT employee_id, " + old.format(w="employee_id % 4 = 0", c="last_name") + \
+        ", nation_id, acctbal, photo, reports_to FROM emp WHERE employee_id % 10 <> 3"
+    e_second = "SELECT * FROM emp WHERE employee_id % 12 <> 5"
+    e_change = ("t.last_name <> s.last_name OR coalesce(t.nation_id, 0) <> coalesce(s.nation_id, 0) "
+                "OR t.acctbal <> s.acctbal OR t.photo IS DISTINCT FROM s.photo OR coalesce(t.reports_to, 0) <> coalesce(s.reports_to, 0)")
+    terr = ("SELECT CAST(n_nationkey AS BIGINT) AS territory_id, {d}, CAST(n_regionkey AS BIGINT) AS region_id FROM nation WHERE {w}")
+    t_first = terr.format(d="CASE WHEN n_nationkey % 3 = 0 THEN concat('OLD_', n_name) ELSE n_name END AS description", w="n_nationkey % 7 <> 6")
+    t_second = terr.format(d="n_name AS description", w="n_nationkey % 11 <> 4")
+    reg = "SELECT CAST(r_regionkey AS BIGINT) AS region_id, {d} FROM region WHERE {w}"
+    r_first = reg.format(d="CASE WHEN r_regionkey % 2 = 0 THEN concat('OLD_', r_name) ELSE r_name END AS description", w="r_regionkey <> 2")
+    r_second = reg.format(d="r_name AS description", w="true")
+    missing = ("array_to_string(list_filter([CASE WHEN customer_key IS NULL THEN 'customer_key' END, "
+               "CASE WHEN shipper_key IS NULL THEN 'shipper_key' END, CASE WHEN product_key IS NULL THEN 'product_key' END, "
+               "CASE WHEN employee_key IS NULL THEN 'employee_key' END], lambda x: x IS NOT NULL), ',')")
+    full = "customer_key IS NOT NULL AND shipper_key IS NOT NULL AND product_key IS NOT NULL AND employee_key IS NOT NULL"
+    ctes = [EMP, BRIDGE, TERR_OK, f"""c1 AS (
+  SELECT c_custkey, c_name, c_nationkey, {old.format(w='c_custkey % 7 = 0', c='c_mktsegment')},
+         row_number() OVER (ORDER BY c_custkey) AS customer_key FROM customer WHERE c_custkey % 10 <> 0)""",
+            """cj AS (
+  SELECT coalesce(t.c_custkey, s.c_custkey) AS c_custkey, t.c_name AS t_name, s.c_name AS s_name, t.c_nationkey AS t_nation,
+         s.c_nationkey AS s_nation, t.c_mktsegment AS t_seg, s.c_mktsegment AS s_seg, t.customer_key, s.c_custkey IS NOT NULL AS in_s
+  FROM c1 t FULL OUTER JOIN (SELECT * FROM customer WHERE c_custkey % 13 <> 0) s ON t.c_custkey = s.c_custkey)""",
+            """c2 AS (
+  SELECT CAST(coalesce(customer_key, (SELECT max(customer_key) FROM c1)
+              + row_number() OVER (PARTITION BY customer_key IS NULL ORDER BY c_custkey)) AS BIGINT) AS customer_key, c_custkey,
+         CASE WHEN in_s THEN s_name ELSE t_name END AS c_name, CASE WHEN in_s THEN s_nation ELSE t_nation END AS c_nationkey,
+         CASE WHEN in_s THEN s_seg ELSE t_seg END AS c_mktsegment,
+         CASE WHEN t_seg <> s_seg THEN t_seg END AS c_mktsegment_prev,
+         CASE WHEN t_seg <> s_seg THEN '20011231' END AS c_mktsegment_prev_validto
+  FROM cj)""",
+            """p1 AS (
+  SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS brand, CAST(p_size AS BIGINT) AS size,
+         CAST(p_retailprice AS DECIMAL(19,4)) AS unit_price, p_type AS category_name,
+         row_number() OVER (ORDER BY p_partkey) AS product_key FROM part WHERE p_partkey % 9 <> 0)""",
+            """ps AS (
+  SELECT p_partkey AS product_id, CASE WHEN p_partkey % 11 = 0 THEN concat(p_name, ' v2') ELSE p_name END AS product_name,
+         p_brand AS brand, CAST(p_size AS BIGINT) AS size,
+         CAST(CAST(p_retailprice AS DECIMAL(19,4)) + CASE WHEN p_partkey % 7 = 0 THEN 1 ELSE 0 END AS DECIMAL(19,4)) AS unit_price,
+         p_type AS category_name FROM part)""",
+            """p2 AS (
+  SELECT s.*, CAST(coalesce(t.product_key, (SELECT max(product_key) FROM p1)
+              + row_number() OVER (PARTITION BY t.product_key IS NULL ORDER BY s.product_id)) AS BIGINT) AS product_key,
+         CASE WHEN t.product_id IS NOT NULL AND t.product_name = s.product_name AND t.unit_price = s.unit_price
+              THEN DATE '2001-01-01' ELSE DATE '2002-01-01' END AS valid_from
+  FROM ps s LEFT JOIN p1 t ON t.product_id = s.product_id)""",
+            """ph AS (
+  SELECT t.*, DATE '2001-01-01' AS valid_from, DATE '2001-12-31' AS valid_to FROM p1 t JOIN ps s ON t.product_id = s.product_id
+  WHERE t.product_name <> s.product_name OR t.unit_price <> s.unit_price)""",
+            _two_days("e2", "employee_id", "employee_key", emp_cols, e_change, e_first, e_second),
+            _two_days("t2", "territory_id", "territory_key", ["description", "region_id"],
+                      "t.description <> s.description OR t.region_id <> s.region_id", t_first, t_second),
+            _two_days("r2", "region_id", "region_key", ["description"], "t.description <> s.description", r_first, r_second),
+            """ship AS (SELECT CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS shipper_id, min(o_orderpriority) AS company_name
+  FROM orders GROUP BY 1)""",
+            """s1 AS (
+  SELECT shipper_id, CASE WHEN shipper_id = 2 THEN concat('OLD_', company_name) ELSE company_name END AS company_name,
+         row_number() OVER (ORDER BY shipper_id) AS shipper_key
+  FROM (SELECT * FROM ship WHERE shipper_id <> 3 UNION ALL SELECT shipper_id + 100, company_name FROM ship WHERE shipper_id = 1))""",
+            """s2 AS (
+  SELECT s.*, CAST(coalesce(t.shipper_key, (SELECT max(shipper_key) FROM s1)
+              + row_number() OVER (PARTITION BY t.shipper_key IS NULL ORDER BY s.shipper_id)) AS BIGINT) AS shipper_key
+  FROM ship s LEFT JOIN s1 t ON t.shipper_id = s.shipper_id)""",
+            """b2 AS (
+  SELECT e.employee_key, t.territory_key FROM bridge b JOIN e2 e ON b.s_suppkey = e.employee_id AND e.is_current
+  JOIN t2 t ON b.n_nationkey = t.territory_id AND t.is_current)""",
+            f"""f1 AS (SELECT * FROM ({_fact_of("(SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01')", 'c1', 'p1', 'e2_1', 's1')})
+  WHERE {full})""",
+            f"""fl AS ({_fact_of('lineitem', 'c2', 'p2', '(SELECT * FROM e2 WHERE is_current)', 's2')})""",
+            f"""f2 AS (
+  SELECT * FROM f1 UNION ALL
+  SELECT * FROM fl WHERE {full} AND NOT EXISTS (
+    SELECT 1 FROM f1 WHERE f1.order_id = fl.order_id AND f1.line_number = fl.line_number AND f1.ship_date_key = fl.ship_date_key
+    AND f1.quantity = fl.quantity AND f1.line_price = fl.line_price AND f1.discount = fl.discount))"""]
+    version = ["is_current", "effective_date", "ineffective_date"]
+    parts = [
+        _listing("dim_customers", ["customer_key", "c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_mktsegment_prev",
+                                   "c_mktsegment_prev_validto"]) + " FROM c2",
+        _listing("dim_products", ["product_key", "product_id", "product_name", "brand", "size", "unit_price", "category_name",
+                                  "valid_from"]) + " FROM p2",
+        _listing("dim_products_history", ["product_key", "product_id", "product_name", "unit_price", "valid_from", "valid_to"])
+        + " FROM ph",
+        _listing("dim_employees", ["employee_key", "employee_id", "last_name", "nation_id", "acctbal", "hex(photo)", "reports_to",
+                                   *version]) + " FROM e2",
+        _listing("dim_territories", ["territory_key", "territory_id", "description", "region_id", *version]) + " FROM t2",
+        _listing("dim_regions", ["region_key", "region_id", "description", *version]) + " FROM r2",
+        _listing("dim_shippers", ["shipper_key", "shipper_id", "company_name"]) + " FROM s2",
+        _listing("bridge_employee_territory", ["employee_key", "territory_key"]) + " FROM b2",
+        _listing("fact_order_lines", ["order_id", "line_number", "customer_key", "employee_key", "product_key", "shipper_key",
+                                      "order_date_key", "ship_date_key", "quantity", "line_price", "list_price",
+                                      "CAST(discount AS DECIMAL(19,4))"]) + " FROM f2",
+        _listing("fact_rejects", ["order_id", "line_number", missing]) + f" FROM fl WHERE NOT ({full})",
+    ]
+    return _with(*ctes) + "\nUNION ALL\n".join(parts)
+
+
+STAR_RELOAD = _star_reload()
+
 CATALOG_INCLUDED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                     "documents"]
 
@@ -592,6 +798,7 @@ ORACLE_SQL = {
     "fact_semi_filters": SEMI,
     "fact_unmatched": UNMATCHED,
     "fact_append_idempotent": APPEND,
+    "fact_append_null_keys": APPEND_NULL_KEYS,
     "scalar_day_number": DAY_NUMBER,
     "scalar_date_keys": DATE_KEYS,
     "calendar_dim": CALENDAR,
@@ -607,6 +814,8 @@ ORACLE_SQL = {
     "scd2_new_versions": SCD2_NEW,
     "scd2_change_feed": SCD2_FEED,
     "scd2_current_rows": SCD2_CURRENT,
+    "scd2_feed_full": SCD2_FEED_FULL,
+    "scd2_same_day": SCD2_SAME_DAY,
     "scd2_version_keys": SCD2_VERSION_KEYS,
     "scd2_region": SCD2_REGION,
     "scd2_territory": SCD2_TERRITORY,
@@ -620,6 +829,7 @@ ORACLE_SQL = {
     "audit_primary_key": AUDIT_PK,
     "audit_composite_key": AUDIT_CPK,
     "audit_unique_current": AUDIT_UNIQUE_CURRENT,
+    "audit_declared": AUDIT_DECLARED,
     "audit_foreign_key": AUDIT_FK,
     "audit_self_fk": AUDIT_SELF_FK,
     "audit_not_null": AUDIT_NOT_NULL,
@@ -629,9 +839,14 @@ ORACLE_SQL = {
     "cascade_update_bridge": CASCADE_UPDATE_BRIDGE,
     "land_normalize": LAND_NORMALIZE,
     "land_rejects": LAND_REJECTS,
+    "land_typed_csv": TYPED_CSV,
+    "land_typed_csv_rejects": TYPED_CSV_REJECTS,
+    "land_append": "SELECT * FROM customer",
     "land_preview": _preview(),
+    "land_preview_rows": "SELECT * FROM customer ORDER BY c_custkey LIMIT 15",
     "land_entities": _entities(),
     "star_pipeline": STAR_PIPELINE,
+    "star_reload": STAR_RELOAD,
     "publish_snapshot": "SELECT * FROM customer",
     "catalog_tables": CATALOG_TABLES,
     "catalog_columns": CATALOG_COLUMNS,

@@ -1,25 +1,63 @@
 """The whole load, in dependency order (calendar, dimensions, bridge, fact).
 
-Every table is written as a new snapshot, audited on what was written, and
-only then made current (``sources.publish``).  Later steps read the
-*published* tables, so each step's lineage is cut at shared storage: a lost
-executor recomputes at most the current step, never the whole chain.
+Each load merges its source into the published table -- type 1, 2, 3 or 4 --
+so surrogate keys, versions and previous values survive from one run to the
+next.  Every table is written as a new snapshot, audited by what the registry
+declares for it, and only then made current, on top of the snapshot that it
+was computed from.  Later steps read the *published* tables, so each step's
+lineage is cut at shared storage: a lost executor recomputes at most the
+current step, never the whole chain.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stellate.operators import audit
+from stellate.operators.append import new_rows
 from stellate.operators.calendar import calendar_from_bounds
+from stellate.operators.merge import scd1
+from stellate.operators.scd import scd2, scd3, scd4
 from stellate.plans import star
+from stellate.sources import catalog
 from stellate.sources import testdata as td
-from stellate.sources.publish import publish, read_table, warehouse_root
+from stellate.sources.publish import current_snapshot, publish, read_snapshot, read_table, warehouse_root
 
 FACT_KEY = ["order_id", "line_number", "product_key", "employee_key"]
+#: what identifies a loaded line: its source values, no version keys
+LINE_KEY = ["order_id", "line_number", "ship_date_key", "quantity", "line_price", "discount"]
+LOOKUPS = ["customer_key", "shipper_key", "product_key", "employee_key"]
+
+
+@dataclass(frozen=True)
+class Dimension:
+    """How a source is merged into its published dimension."""
+
+    kind: str
+    key: str
+    sk: str
+    tracked: tuple
+    null_mode: str
+    extra: str = ""  # target-only columns
+
+
+VERSION = "is_current boolean, effective_date date, ineffective_date date"
+DIMENSIONS = {
+    "dim_customers": Dimension("scd3", "c_custkey", "customer_key", ("c_name", "c_nationkey", "c_mktsegment"), "sql",
+                               "c_mktsegment_prev string, c_mktsegment_prev_validto string"),
+    "dim_products": Dimension("scd4", "product_id", "product_key",
+                              ("product_name", "brand", "size", "unit_price", "category_name"), "null_safe", "valid_from date"),
+    "dim_employees": Dimension("scd2", "employee_id", "employee_key",
+                               ("last_name", "nation_id", "acctbal", "photo", "reports_to"), "sentinel", VERSION),
+    "dim_territories": Dimension("scd2", "territory_id", "territory_key", ("description", "region_id"), "sentinel", VERSION),
+    "dim_regions": Dimension("scd2", "region_id", "region_key", ("description",), "sentinel", VERSION),
+    "dim_shippers": Dimension("scd1", "shipper_id", "shipper_key", ("company_name",), "sentinel"),
+}
+PREVIOUS = {"c_mktsegment": ("c_mktsegment_prev", "c_mktsegment_prev_validto")}
 
 
 def date_bounds(spark, sf_dir) -> DataFrame:
@@ -30,67 +68,101 @@ def date_bounds(spark, sf_dir) -> DataFrame:
     return o.unionByName(li).agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"))
 
 
-def run_star(spark: SparkSession, sf_dir: str, root: str | None = None, parallel: int = 6) -> dict:
-    """Load and publish the star.  Returns ``{table: snapshot id}``.
-
+def _empty(source: DataFrame, d: Dimension) -> DataFrame:
+    spark = source.sparkSession
+    extra = spark.createDataFrame([], f"{d.extra + ', ' if d.extra else ''}{d.sk} bigint").schema
+    return spark.createDataFrame([], type(extra)(source.schema.fields + extra.fields))
+
+
+def load_dimension(spark: SparkSession, name: str, source: DataFrame, as_of, root: str | None = None) -> int:
+    """Merge ``source`` (the whole source) into the published dimension
+    ``name`` and publish the result; returns its version.  New rows and new
+    versions get surrogate keys above the largest one, all others keep theirs."""
+    root, d = root or warehouse_root(spark), DIMENSIONS[name]
+    base = current_snapshot(spark, name, root)
+    target = read_snapshot(spark, name, base, root) if base else _empty(source, d)
+    checks = audit.declared(catalog.REGISTRY[name], {})
+    checks["source_key"] = lambda _w: audit.duplicate_keys(source, d.key)
+    if d.kind == "scd2":
+        # versions that were closed before stay in their folders
+        out = scd2(target, source, d.key, d.tracked, as_of, d.null_mode, sk_col=d.sk, with_closed=False)
+        return publish(out, name, checks, root, base=base, keep=base, flag="is_current")
+    if d.kind == "scd1":
+        out = scd1(target, source, d.key, list(d.tracked), d.null_mode, delete_missing=True, sk_col=d.sk)
+    elif d.kind == "scd3":
+        out = scd3(target, source, d.key, d.tracked, PREVIOUS, as_of, d.null_mode, sk_col=d.sk)
+    else:
+        out, replaced = scd4(target, source, d.key, d.tracked, as_of, d.null_mode, sk_col=d.sk)
+        _append_history(spark, f"{name}_history", replaced, ["product_id", "valid_from"], root)
+    return publish(out, name, checks, root, base=base)
+
+
+def _append_history(spark, name: str, rows: DataFrame, key: list, root: str) -> int:
+    """Add replaced images to the history; a rerun adds nothing."""
+    base = current_snapshot(spark, name, root)
+    add = new_rows(rows, read_snapshot(spark, name, base, root), key) if base else rows
+    return publish(add, name, audit.declared(catalog.REGISTRY[name], {}), root, base=base, keep=base)
+
+
+def load_fact(spark: SparkSession, sf_dir: str, lines: DataFrame, root: str | None = None) -> dict:
+    """Look up a batch of order lines in the published dimensions' current
+    rows and append the lines that the fact doesn't have yet.  Lines without a
+    match go to ``fact_rejects`` with the keys that are missing."""
+    root = root or warehouse_root(spark)
+    tables = {n: read_table(spark, n, root) for n in ("dim_date", *DIMENSIONS)}
+    dims = {"customers": tables["dim_customers"], "products": tables["dim_products"], "shippers": tables["dim_shippers"],
+            "employees": tables["dim_employees"].filter("is_current")}
+    looked_up = star.fact_order_lines(spark, sf_dir, dims, lines, how="left")
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in LOOKUPS)
+    batch = looked_up.filter(complete).withColumn("order_year", (F.col("order_date_key") / 10000).cast("int"))
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in LOOKUPS]))
+    rejects = looked_up.filter(f"NOT ({complete})").select("order_id", "line_number", F.array_join(missing, ",").alias("missing"))
+    base = current_snapshot(spark, "fact_order_lines", root)
+    add = new_rows(batch, read_snapshot(spark, "fact_order_lines", base, root), LINE_KEY, "ship_date_key") if base else batch
+    checks = audit.declared(catalog.REGISTRY["fact_order_lines"], tables)
+    return {"fact_order_lines": publish(add, "fact_order_lines", checks, root, ["order_year"], base=base, keep=base),
+            "fact_rejects": publish(rejects, "fact_rejects", root=root)}
+
+
+def run_star(spark: SparkSession, sf_dir: str, root: str | None = None, parallel: int = 6, day: int | None = None,
+             as_of=td.AS_OF, lines: DataFrame | None = None) -> dict:
+    """Load and publish the star.  Returns ``{table: version}``.
+
+    ``day`` picks the sources (see ``testdata.star_sources``), ``as_of`` is
+    the load's date, ``lines`` the fact's batch (default: all order lines).
     Loads without a dependency between them run as concurrent Spark jobs
-    (``parallel`` threads submitting jobs): first the calendar and the five
+    (``parallel`` threads submitting jobs): first the calendar and the
     dimensions, then the bridge and the fact, which read the published
-    dimensions.  Every table is still published on its own, after its
-    audits; the first failure is raised once its wave has finished.
+    dimensions.  Every table is published on its own, after its audits; the
+    first failure is raised once its wave has finished.
     """
     root = root or warehouse_root(spark)
-    snaps: dict = {}
-
-    def pub(name, build, key, natural=None, partition_by=None, extra=None):
-        df = build()
-        checks = {"primary_key": lambda w: audit.duplicate_keys(w, key)} if key else {}
-        if natural:
-            checks["natural_key"] = lambda w: audit.duplicate_keys(w, natural)
-        checks.update(extra(df) if callable(extra) else (extra or {}))
-        snaps[name] = publish(df, name, checks, root, partition_by)
-        return read_table(spark, name, root, snaps[name])
+    sources = td.star_sources(spark, sf_dir, day)
+    lines = lines if lines is not None else td.table(spark, sf_dir, "lineitem")
 
     def wave(jobs: dict) -> dict:
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
-            futures = {name: ex.submit(pub, name, *args) for name, args in jobs.items()}
+            futures = {name: ex.submit(job) for name, job in jobs.items()}
             return {name: f.result() for name, f in futures.items()}
 
-    first = wave({
-        "dim_date": (lambda: calendar_from_bounds(date_bounds(spark, sf_dir)), ["date_key"]),
-        "dim_customers": (lambda: star.dim_customers(spark, sf_dir), ["customer_key"], ["c_custkey"]),
-        "dim_products": (lambda: star.dim_products(spark, sf_dir), ["product_key"], ["product_id"]),
-        "dim_employees": (lambda: star.dim_employees(spark, sf_dir), ["employee_key"], ["employee_id"]),
-        "dim_shippers": (lambda: star.dim_shippers(spark, sf_dir), ["shipper_key"], ["shipper_id"]),
-        "dim_territories": (lambda: star.dim_territories(spark, sf_dir), ["territory_key"], ["territory_id"]),
-    })
-    cal = first["dim_date"]
-    dims = {"customers": first["dim_customers"], "products": first["dim_products"],
-            "employees": first["dim_employees"], "shippers": first["dim_shippers"]}
-    # Surrogate-key references hold by construction (inner-join lookups);
-    # the date keys are checked against the calendar, which is small
-    # (one row per day of the span) and therefore broadcast.
-    date_refs = {
-        "order_date_fk": lambda w: audit.orphans(w, "order_date_key", cal, "date_key"),
-        "ship_date_fk": lambda w: audit.orphans(w, "ship_date_key", cal, "date_key"),
-    }
-    wave({
-        "bridge_employee_territory": (
-            lambda: star.bridge_employee_territory(spark, sf_dir, first["dim_employees"], first["dim_territories"]),
-            ["employee_key", "territory_key"]),
-        # The fact's grain key is the source line, which the source does not
-        # keep unique, so no key audit is declared for it.
-        "fact_order_lines": (
-            lambda: star.fact_order_lines(spark, sf_dir, dims).withColumn(
-                "order_year", (F.col("order_date_key") / 10000).cast("int")),
-            None, None, ["order_year"], date_refs),
-    })
-    return snaps
+    def dates() -> int:
+        return publish(calendar_from_bounds(date_bounds(spark, sf_dir)), "dim_date",
+                       audit.declared(catalog.REGISTRY["dim_date"], {}), root)
+
+    def bridge() -> int:
+        dims = {n: read_table(spark, n, root) for n in ("dim_employees", "dim_territories")}
+        current = [dims[n].filter("is_current") for n in ("dim_employees", "dim_territories")]
+        return publish(star.bridge_employee_territory(spark, sf_dir, *current), "bridge_employee_territory",
+                       audit.declared(catalog.REGISTRY["bridge_employee_territory"], dims), root)
+
+    snaps = wave({"dim_date": dates, **{n: (lambda n=n: load_dimension(spark, n, sources[n], as_of, root)) for n in DIMENSIONS}})
+    second = wave({"bridge_employee_territory": bridge, "fact": lambda: load_fact(spark, sf_dir, lines, root)})
+    return {**snaps, "bridge_employee_territory": second["bridge_employee_territory"], **second["fact"]}
 
 
 SUMMARY_KEYS = {
     "dim_customers": ["customer_key"], "dim_products": ["product_key"], "dim_employees": ["employee_key"],
-    "dim_shippers": ["shipper_key"], "dim_territories": ["territory_key"],
+    "dim_shippers": ["shipper_key"], "dim_territories": ["territory_key"], "dim_regions": ["region_key"],
     "bridge_employee_territory": ["employee_key", "territory_key"], "dim_date": ["date_key"],
     "fact_order_lines": FACT_KEY,
 }
@@ -109,3 +181,38 @@ def summary(spark: SparkSession, root: str | None = None, snapshots: dict | None
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+#: columns of each table in the content listing
+CONTENT = {
+    "dim_customers": ["customer_key", "c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_mktsegment_prev",
+                      "c_mktsegment_prev_validto"],
+    "dim_products": ["product_key", "product_id", "product_name", "brand", "size", "unit_price", "category_name", "valid_from"],
+    "dim_products_history": ["product_key", "product_id", "product_name", "unit_price", "valid_from", "valid_to"],
+    "dim_employees": ["employee_key", "employee_id", "last_name", "nation_id", "acctbal", "photo", "reports_to", "is_current",
+                      "effective_date", "ineffective_date"],
+    "dim_territories": ["territory_key", "territory_id", "description", "region_id", "is_current", "effective_date",
+                        "ineffective_date"],
+    "dim_regions": ["region_key", "region_id", "description", "is_current", "effective_date", "ineffective_date"],
+    "dim_shippers": ["shipper_key", "shipper_id", "company_name"],
+    "bridge_employee_territory": ["employee_key", "territory_key"],
+    "fact_order_lines": ["order_id", "line_number", "customer_key", "employee_key", "product_key", "shipper_key", "order_date_key",
+                         "ship_date_key", "quantity", "line_price", "list_price", "discount"],
+    "fact_rejects": ["order_id", "line_number", "missing"],
+}
+
+
+def content(spark: SparkSession, root: str | None = None) -> DataFrame:
+    """Every row of every published star table as text: ``table_name, row_text``."""
+    parts = []
+    for name, cols in CONTENT.items():
+        df = read_table(spark, name, root)
+
+        def text(c, types=dict(df.dtypes)):
+            v = F.hex(c) if types[c] == "binary" else F.col(c).cast("decimal(19,4)") if types[c] == "double" else F.col(c)
+            return F.coalesce(v.cast("string"), F.lit("~"))
+        parts.append(df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *[text(c) for c in cols]).alias("row_text")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -24,6 +24,7 @@ from stellate.operators.keys import assign_surrogate_keys, extend_surrogate_keys
 from stellate.operators.merge import ACTION, change_feed, merge_actions, scd1
 from stellate.operators.scd import scd2, scd2_actions, scd2_expired, scd2_new_versions, scd3, scd4
 from stellate.plans import pipeline, star
+from stellate.session import shared_dir
 from stellate.sources import catalog, landing
 from stellate.sources import testdata as td
 from stellate.sources.publish import publish, read_table, warehouse_root
@@ -67,7 +68,6 @@ def q_fact_orders_compat(spark, d):
     territory of the employee, customer key looked up, natural employee /
     ship-via / product ids in the key columns, dates as day numbers rounded
     at noon, the product's list price as unit price."""
-    lines = star.order_lines(spark, d)
     n = td.table(spark, d, "nation").select("n_nationkey", "n_regionkey")
     r = td.table(spark, d, "region").select(F.col("r_regionkey").alias("n_regionkey"))
     terr = (td.employee_territories(spark, d).withColumnRenamed("s_suppkey", "l_suppkey")
@@ -78,10 +78,13 @@ def q_fact_orders_compat(spark, d):
     prod = (td.table(spark, d, "part")
             .select(F.col("p_partkey").alias("l_partkey"), "p_retailprice", F.col("p_type").alias("category_name"))
             .join(cats, "category_name", "left_semi"))
-    ship = td.shippers(spark, d).select(F.col("shipper_id").alias("ship_via"))
-    return (lines.withColumn("ship_via", td.ship_via())
-            .join(emp, "l_suppkey").join(cust, "o_custkey").join(prod, "l_partkey").join(ship, "ship_via")
-            .join(terr, "l_suppkey")
+    ship = star.small(td.shippers(spark, d).select(F.col("shipper_id").alias("ship_via")))
+    # customer and shipper are looked up once per order, not once per line
+    headers = (td.table(spark, d, "orders")
+               .select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", td.ship_via().alias("ship_via"))
+               .join(cust, "o_custkey").join(ship, "ship_via"))
+    lines = td.table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_shipdate")
+    return (lines.join(headers, "l_orderkey").join(emp, "l_suppkey").join(prod, "l_partkey").join(terr, "l_suppkey")
             .select(F.col("l_orderkey").alias("order_id"), "customer_key",
                     F.col("l_suppkey").alias("employee_key"),
                     day_number_1900("o_orderdate").alias("order_date_key"),
@@ -98,7 +101,7 @@ def q_fact_key_lookup(spark, d):
     surrogate keys."""
     o = td.table(spark, d, "orders")
     cust = star.customer_keys(spark, d).select(F.col("c_custkey").alias("o_custkey"), "customer_key")
-    ship = star.dim_shippers(spark, d).select(F.col("shipper_id").alias("ship_via"), "shipper_key")
+    ship = star.small(star.dim_shippers(spark, d).select(F.col("shipper_id").alias("ship_via"), "shipper_key"))
     return (o.select("o_orderkey", "o_custkey", "o_orderdate", td.ship_via().alias("ship_via"))
             .join(cust, "o_custkey").join(ship, "ship_via")
             .select(F.col("o_orderkey").alias("order_id"), "customer_key", "shipper_key",
@@ -141,6 +144,14 @@ def q_fact_append_idempotent(spark, d):
     return append_idempotent(batch, existing, LINE_COLS, range_col="l_shipdate", batch_col="load_batch")
 
 
+def q_fact_append_null_keys(spark, d):
+    """Appending orders whose customer is NULL or dangling, half of them
+    loaded already: a NULL in the key meets its own copy."""
+    o = td.orders_nullable_customer(spark, d)
+    existing = o.filter(F.col("o_orderkey") % 2 == 0)
+    return append_idempotent(o, existing, ["o_orderkey", "o_custkey"], batch_col="load_batch")
+
+
 # ---------------------------------------------------------------- scalars
 
 def q_scalar_day_number(spark, d):
@@ -253,6 +264,20 @@ def q_scd2_change_feed(spark, d):
     return change_feed(_hist_actions(spark, d), "k", CUSTOMER_TRACKED, include=("INSERT", "UPDATE"))
 
 
+def q_scd2_feed_full(spark, d):
+    """The whole feed with its default actions: a key that left the source is
+    one DELETE row, a key with closed versions only is none."""
+    return change_feed(_hist_actions(spark, d), "k", CUSTOMER_TRACKED)
+
+
+def q_scd2_same_day(spark, d):
+    """A second change under one date replaces the version that the first opened."""
+    once = scd2(td.customer_hist(spark, d), td.customer_source(spark, d), "k", CUSTOMER_TRACKED, AS_OF)
+    again = td.customer_source(spark, d).withColumn(
+        "addr", F.when(F.col("k") % 3 == 0, F.concat(F.coalesce("addr", F.lit("")), F.lit("!"))).otherwise(F.col("addr")))
+    return scd2(once, again, "k", CUSTOMER_TRACKED, AS_OF)
+
+
 def q_scd2_current_rows(spark, d):
     return q_scd2_merge(spark, d).filter(F.col("is_current"))
 
@@ -285,7 +310,8 @@ def q_scd2_employee(spark, d):
 
 def q_scd3_customer(spark, d):
     return scd3(td.customer_prev_scd3(spark, d), td.customer_source(spark, d), "k", CUSTOMER_TRACKED,
-                previous={"addr": ("addr_prev", "addr_prev_validto")}, as_of=AS_OF, null_mode="sql")
+                previous={"addr": ("addr_prev", "addr_prev_validto")}, as_of=AS_OF, null_mode="sql",
+                sk_col="customer_key")
 
 
 def q_scd4_products(spark, d):
@@ -298,7 +324,7 @@ def q_scd4_current(spark, d):
     """The SCD4 current table after the load (overwritten in place; the old
     images went to the history table)."""
     cur, _ = scd4(td.product_current_before(spark, d), td.product_source(spark, d), "product_id",
-                  ["product_name", "unit_price", "category_name"], AS_OF)
+                  ["product_name", "unit_price", "category_name"], AS_OF, sk_col="product_key")
     return cur
 
 
@@ -310,7 +336,7 @@ def q_surrogate_keys(spark, d):
 # ---------------------------------------------------------------- declared-only tables
 
 def q_dim_products(spark, d):
-    return star.dim_products(spark, d)
+    return star.dim_products_with_supplier(spark, d)
 
 
 def q_bridge_employee_territory(spark, d):
@@ -329,7 +355,29 @@ def q_audit_composite_key(spark, d):
 
 
 def q_audit_unique_current(spark, d):
-    return audit.unique_among(q_scd2_merge(spark, d), "k", "is_current")
+    """Keys with two current versions: every 50th key's is doubled here."""
+    dim = q_scd2_merge(spark, d)
+    return audit.unique_among(dim.unionByName(dim.filter("is_current and k % 50 = 0")), "k", "is_current")
+
+
+def q_audit_declared(spark, d):
+    """What the registry declares, run over tables with violations: rows found
+    per table and constraint."""
+    orders = td.orders_nullable_customer(spark, d)
+    landed = td.customer_landed_with_nulls(spark, d)
+    hist = td.customer_hist(spark, d)
+    parents = {"customer": td.table(spark, d, "customer")}
+    checks = [
+        ("orders", orders, catalog.Entity("orders", catalog.fields(("o_orderkey", True), ("o_custkey", True)), ["o_orderkey"],
+                                          [(["o_custkey"], "customer", ["c_custkey"])])),
+        ("customer_landed", landed, catalog.Entity("customer_landed", catalog.fields(("nm", True), ("addr", True)), ["k"],
+                                                   lengths={"nm": 10, "addr": 8})),
+        ("customer_hist", hist, catalog.Entity("customer_hist", catalog.fields(("k", True)), ["k"], unique_current=["k"])),
+    ]
+    parts = [found(df).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")).select(
+        F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"), "n_rows")
+        for table, df, entity in checks for name, found in audit.declared(entity, parents).items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def q_audit_foreign_key(spark, d):
@@ -395,7 +443,37 @@ def q_land_normalize(spark, d):
 
 
 def q_land_rejects(spark, d):
-    return landing.rejects(td.orders_landed_text(spark, d), "k", ORDER_TYPES)
+    return landing.rejects(td.orders_landed_text(spark, d), "k", {"k": "bigint", **ORDER_TYPES})
+
+
+CUSTOMER_SCHEMA = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+                                T.StructField("c_nationkey", T.LongType()), T.StructField("c_acctbal", T.DecimalType(19, 4)),
+                                T.StructField("c_mktsegment", T.StringType())])
+
+
+def _customer_csv(spark, d):
+    """Customers as a headed CSV whose columns are in another order than declared."""
+    path = f"{shared_dir(spark, 'landing')}/customer-{uuid.uuid4().hex}"
+    td.customer_text_csv(spark, d).write.option("header", True).csv(path)
+    return landing.load_with_rejects(spark, path, CUSTOMER_SCHEMA, "c_custkey")
+
+
+def q_land_typed_csv(spark, d):
+    return _customer_csv(spark, d)[0]
+
+
+def q_land_typed_csv_rejects(spark, d):
+    return _customer_csv(spark, d)[1]
+
+
+def q_land_append(spark, d):
+    """Two loads of one table, the second with its columns in another order:
+    appended by name."""
+    path = f"{shared_dir(spark, 'landing')}/append-{uuid.uuid4().hex}"
+    c = td.table(spark, d, "customer")
+    landing.append(c.filter(F.col("c_custkey") % 2 == 0), path)
+    landing.append(c.filter(F.col("c_custkey") % 2 == 1).select(*reversed(c.columns)), path)
+    return spark.read.schema(c.schema).parquet(path)
 
 
 def _star_entities(spark, d):
@@ -406,8 +484,12 @@ def q_land_preview(spark, d):
     return landing.preview(_star_entities(spark, d), STAR_KEYS, n=15)
 
 
+def q_land_preview_rows(spark, d):
+    return landing.preview_rows(td.table(spark, d, "customer"), "c_custkey")
+
+
 def q_land_entities(spark, d):
-    return landing.entity_counts(_star_entities(spark, d))
+    return landing.entity_counts(landing.load_entities(spark, d, td.TABLES))
 
 
 # ---------------------------------------------------------------- pipeline / publish / catalog
@@ -420,6 +502,20 @@ def q_star_pipeline(spark, d):
     return pipeline.summary(spark, root, snaps)
 
 
+RELOAD_CUT = "1997-01-01"  # lines shipped before are day 1's batch
+
+
+def q_star_reload(spark, d):
+    """Two daily loads into one warehouse: on day 2 sources have new, changed
+    and missing keys.  Every row of every published table."""
+    root = f"{warehouse_root(spark)}/reload-{uuid.uuid4().hex}"
+    lines = td.table(spark, d, "lineitem")
+    before = lines.filter(F.col("l_shipdate") < F.lit(RELOAD_CUT).cast("timestamp_ntz"))
+    pipeline.run_star(spark, d, root, day=1, as_of=td.CURRENT_SINCE, lines=before)
+    pipeline.run_star(spark, d, root, day=2, as_of=AS_OF, lines=lines)
+    return pipeline.content(spark, root)
+
+
 def q_publish_snapshot(spark, d):
     """Publish the customer dimension as a checked snapshot and read it back."""
     dim = td.table(spark, d, "customer")
@@ -477,6 +573,7 @@ QUERIES = {
     "fact_semi_filters": q_fact_semi_filters,
     "fact_unmatched": q_fact_unmatched,
     "fact_append_idempotent": q_fact_append_idempotent,
+    "fact_append_null_keys": q_fact_append_null_keys,
     "scalar_day_number": q_scalar_day_number,
     "scalar_date_keys": q_scalar_date_keys,
     "calendar_dim": q_calendar_dim,
@@ -492,6 +589,8 @@ QUERIES = {
     "scd2_new_versions": q_scd2_new_versions,
     "scd2_change_feed": q_scd2_change_feed,
     "scd2_current_rows": q_scd2_current_rows,
+    "scd2_feed_full": q_scd2_feed_full,
+    "scd2_same_day": q_scd2_same_day,
     "scd2_version_keys": q_scd2_version_keys,
     "scd2_region": q_scd2_region,
     "scd2_territory": q_scd2_territory,
@@ -505,6 +604,7 @@ QUERIES = {
     "audit_primary_key": q_audit_primary_key,
     "audit_composite_key": q_audit_composite_key,
     "audit_unique_current": q_audit_unique_current,
+    "audit_declared": q_audit_declared,
     "audit_foreign_key": q_audit_foreign_key,
     "audit_self_fk": q_audit_self_fk,
     "audit_not_null": q_audit_not_null,
@@ -514,9 +614,14 @@ QUERIES = {
     "cascade_update_bridge": q_cascade_update_bridge,
     "land_normalize": q_land_normalize,
     "land_rejects": q_land_rejects,
+    "land_typed_csv": q_land_typed_csv,
+    "land_typed_csv_rejects": q_land_typed_csv_rejects,
+    "land_append": q_land_append,
     "land_preview": q_land_preview,
+    "land_preview_rows": q_land_preview_rows,
     "land_entities": q_land_entities,
     "star_pipeline": q_star_pipeline,
+    "star_reload": q_star_reload,
     "publish_snapshot": q_publish_snapshot,
     "catalog_tables": q_catalog_tables,
     "catalog_columns": q_catalog_columns,

@@ -39,6 +39,22 @@ def product_keys(spark, sf_dir) -> DataFrame:
     return key_map(td.table(spark, sf_dir, "part"), "p_partkey", "product_key")
 
 
+def product_suppliers(spark, sf_dir) -> DataFrame:
+    """The supplier of a product: the provided part table has no such column,
+    so it is the least supplier among the product's order lines."""
+    sup = (td.table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("product_id"))
+           .agg(F.min("l_suppkey").alias("supplier_id")))
+    s = td.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("supplier_name"), F.col("s_nationkey").alias("n_nationkey"))
+    n = td.table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("supplier_country"))
+    return sup.join(s.join(n, "n_nationkey", "left").drop("n_nationkey"), "supplier_id")
+
+
+def dim_products_with_supplier(spark, sf_dir) -> DataFrame:
+    """Products with category and, where order lines name one, supplier."""
+    return dim_products(spark, sf_dir).join(product_suppliers(spark, sf_dir), "product_id", "left")
+
+
 def dim_products(spark, sf_dir, keys: DataFrame | None = None) -> DataFrame:
     """Products denormalised with their category (inner: a product without a
     known category is not loaded, as in the reference's join)."""
@@ -108,34 +124,48 @@ def order_lines(spark, sf_dir) -> DataFrame:
 
 
 def order_headers(spark, sf_dir, cust_dim: DataFrame | None = None,
-                  ship_dim: DataFrame | None = None) -> DataFrame:
+                  ship_dim: DataFrame | None = None, how: str = "inner") -> DataFrame:
     """Orders with their order-level surrogate keys (customer, shipper).
 
     Looking these up on the order (1 row per order) instead of on the line
-    (~4 rows per order, wider) shrinks the data each lookup shuffles."""
+    (~4 rows per order, wider) shrinks the data each lookup shuffles.  A
+    shipper dimension that counts at most ``SMALL_DIM_ROWS`` rows is broadcast:
+    the lookup key has a handful of values, so a shuffle on it would land in a
+    handful of tasks."""
     o = td.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                                  td.ship_via().alias("ship_via"))
     cust_dim = cust_dim if cust_dim is not None else customer_keys(spark, sf_dir)
     ship_dim = ship_dim if ship_dim is not None else dim_shippers(spark, sf_dir)
     cust = cust_dim.select(F.col("c_custkey").alias("o_custkey"), "customer_key")
-    ship = ship_dim.select(F.col("shipper_id").alias("ship_via"), "shipper_key")
-    return (o.join(cust, "o_custkey").join(ship, "ship_via")
+    ship = small(ship_dim.select(F.col("shipper_id").alias("ship_via"), "shipper_key"))
+    return (o.join(cust, "o_custkey", how).join(ship, "ship_via", how)
             .select(F.col("o_orderkey").alias("l_orderkey"), "customer_key", "shipper_key",
                     date_key("o_orderdate").alias("order_date_key")))
 
 
-def fact_order_lines(spark, sf_dir, dims: dict | None = None) -> DataFrame:
+SMALL_DIM_ROWS = 10_000
+
+
+def small(dim: DataFrame) -> DataFrame:
+    """``dim`` marked for broadcast if it counts at most ``SMALL_DIM_ROWS`` rows."""
+    return F.broadcast(dim) if dim.limit(SMALL_DIM_ROWS + 1).count() <= SMALL_DIM_ROWS else dim
+
+
+def fact_order_lines(spark, sf_dir, dims: dict | None = None, lines: DataFrame | None = None,
+                     how: str = "inner") -> DataFrame:
     """Order-line fact.  Plan shape: order-level lookups on ``orders``, one
     sort-merge join of lines to orders on the order key, then the line-level
     lookups (product, employee).  Existence filters (category, territory)
     are applied to the dimensions before the lookup, never to the fact.
 
     ``dims`` may supply already-published dimensions (keys ``customers``,
-    ``shippers``, ``products``, ``employees``); missing ones are built."""
+    ``shippers``, ``products``, ``employees``); missing ones are built.
+    ``lines`` is the batch (default: all lines); ``how="left"`` keeps lines
+    without a match, with NULL keys."""
     dims = dims or {}
-    li = td.table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_shipdate")
+    li = lines if lines is not None else td.table(spark, sf_dir, "lineitem")
+    li = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                   "l_discount", "l_shipdate")
     prod_dim = dims.get("products")
     prod_dim = prod_dim if prod_dim is not None else dim_products(spark, sf_dir)
     emp_dim = dims.get("employees")
@@ -145,10 +175,10 @@ def fact_order_lines(spark, sf_dir, dims: dict | None = None) -> DataFrame:
                            F.col("unit_price").alias("list_price"))
     emp = (emp_dim.select(F.col("employee_id").alias("l_suppkey"), "employee_key")
            .join(employees_with_territory(spark, sf_dir), "l_suppkey", "left_semi"))
-    headers = order_headers(spark, sf_dir, dims.get("customers"), dims.get("shippers"))
-    return (li.join(headers, "l_orderkey")
-            .join(prod, "l_partkey")
-            .join(emp, "l_suppkey")
+    headers = order_headers(spark, sf_dir, dims.get("customers"), dims.get("shippers"), how)
+    return (li.join(headers, "l_orderkey", how)
+            .join(prod, "l_partkey", how)
+            .join(emp, "l_suppkey", how)
             .select(F.col("l_orderkey").alias("order_id"),
                     F.col("l_linenumber").cast("bigint").alias("line_number"),
                     "customer_key", "employee_key", "product_key", "shipper_key",

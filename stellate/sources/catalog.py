@@ -21,6 +21,11 @@ INT, SMALL, STR, BOOL, BIN = T.IntegerType(), T.ShortType(), T.StringType(), T.B
 MONEY, REAL, TS = T.DecimalType(19, 4), T.FloatType(), T.TimestampNTZType()
 
 
+def fields(*named) -> T.StructType:
+    """(name, required) pairs as a schema whose required columns are NOT NULL."""
+    return T.StructType([_f(n, T.StringType(), not required) for n, required in named])
+
+
 @dataclass
 class Entity:
     name: str
@@ -28,6 +33,11 @@ class Entity:
     key: list
     foreign_keys: list = field(default_factory=list)   # (cols, parent, parent_cols)
     lengths: dict = field(default_factory=dict)        # col -> max characters
+    unique_current: list = field(default_factory=list)  # unique among rows with is_current
+
+    @property
+    def not_null(self) -> list:
+        return [f.name for f in self.schema.fields if not f.nullable]
 
 
 # The source schema of the reference's order database
@@ -99,11 +109,52 @@ SOURCE = [
 # The star tables' narrower text columns that the source feeds.
 STAR_LENGTHS = {"dim_employees": {"Region": 15, "PostalCode": 15}, "fact_orders": {"ShipRegion": 15}}
 
+LONG, DATE, DBL = T.LongType(), T.DateType(), T.DoubleType()
+_VERSION = [_f("is_current", BOOL, False), _f("effective_date", DATE, False), _f("ineffective_date", DATE)]
+
+# The published star over the provided tables: keys, references, NOT NULL and
+# the text lengths of the reference's star DDL for the columns that have one.
+STAR = [
+    Entity("dim_date", T.StructType([_f("date_key", LONG, False), _f("date", DATE, False)]), ["date_key"],
+           lengths={"month_name": 10}),
+    Entity("dim_customers", T.StructType([_f("customer_key", LONG, False), _f("c_custkey", LONG, False), _f("c_name", STR, False),
+                                          _f("c_mktsegment", STR), _f("c_mktsegment_prev", STR),
+                                          _f("c_mktsegment_prev_validto", STR)]),
+           ["customer_key"], lengths={"c_name": 40, "c_mktsegment": 60, "c_mktsegment_prev": 60, "c_mktsegment_prev_validto": 8}),
+    Entity("dim_products", T.StructType([_f("product_key", LONG, False), _f("product_id", LONG, False),
+                                         _f("product_name", STR, False), _f("category_name", STR, False)]),
+           ["product_key"], lengths={"product_name": 40}),
+    Entity("dim_products_history", T.StructType([_f("product_id", LONG, False), _f("valid_to", DATE, False)]),
+           ["product_id", "valid_from"], lengths={"product_name": 40}),
+    Entity("dim_employees", T.StructType([_f("employee_key", LONG, False), _f("employee_id", LONG, False),
+                                          _f("last_name", STR, False), *_VERSION]),
+           ["employee_key"], lengths={"last_name": 40}, unique_current=["employee_id"]),
+    Entity("dim_territories", T.StructType([_f("territory_key", LONG, False), _f("territory_id", LONG, False),
+                                            _f("description", STR, False), _f("region_id", LONG, False), *_VERSION]),
+           ["territory_key"], lengths={"description": 50}, unique_current=["territory_id"]),
+    Entity("dim_regions", T.StructType([_f("region_key", LONG, False), _f("region_id", LONG, False),
+                                        _f("description", STR, False), *_VERSION]),
+           ["region_key"], lengths={"description": 50}, unique_current=["region_id"]),
+    Entity("dim_shippers", T.StructType([_f("shipper_key", LONG, False), _f("shipper_id", LONG, False),
+                                         _f("company_name", STR, False)]),
+           ["shipper_key"], lengths={"company_name": 40}),
+    Entity("bridge_employee_territory", T.StructType([_f("employee_key", LONG, False), _f("territory_key", LONG, False)]),
+           ["employee_key", "territory_key"], [(["employee_key"], "dim_employees", ["employee_key"]),
+                                               (["territory_key"], "dim_territories", ["territory_key"])]),
+    # the fact's grain is the source line, which the source doesn't keep unique
+    Entity("fact_order_lines", T.StructType([_f(c, LONG, False) for c in (
+        "order_id", "customer_key", "employee_key", "product_key", "shipper_key", "order_date_key", "quantity")]
+        + [_f("list_price", MONEY, False), _f("discount", DBL, False)]), [],
+           [(["customer_key"], "dim_customers", ["customer_key"]), (["employee_key"], "dim_employees", ["employee_key"]),
+            (["product_key"], "dim_products", ["product_key"]), (["shipper_key"], "dim_shippers", ["shipper_key"]),
+            (["order_date_key"], "dim_date", ["date_key"]), (["ship_date_key"], "dim_date", ["date_key"])]),
+]
+
 # Load order: parents before children (self references are audited after).
 LOAD_ORDER = ["employees", "region", "territories", "suppliers", "categories", "products",
               "employee_territories", "customers", "shippers", "orders", "order_details"]
 
-REGISTRY = {e.name: e for e in SOURCE}
+REGISTRY = {e.name: e for e in [*SOURCE, *STAR]}
 
 
 def schema_of(name: str) -> T.StructType:

@@ -82,7 +82,8 @@ def customer_prev_scd3(spark, sf_dir) -> DataFrame:
     has = F.col("k") % 3 == 0
     return p.select("k", "nm", "addr",
                     F.when(has, F.lit("PREV_ADDR")).alias("addr_prev"),
-                    F.when(has, F.lit("20000101")).alias("addr_prev_validto"))
+                    F.when(has, F.lit("20000101")).alias("addr_prev_validto"),
+                    (F.col("k") * 10).alias("customer_key"))
 
 
 def customer_landed_with_nulls(spark, sf_dir) -> DataFrame:
@@ -166,10 +167,11 @@ def orders_nullable_customer(spark, sf_dir) -> DataFrame:
 
 def orders_landed_text(spark, sf_dir) -> DataFrame:
     """Orders as a workbook reader renders them: everything text, missing
-    numbers as 'nan', missing dates as 'NaT', booleans as 'True'/'False'."""
+    numbers as 'nan', missing dates as 'NaT', booleans as 'True'/'False';
+    every 31st key isn't a number."""
     k = F.col("o_orderkey")
     return table(spark, sf_dir, "orders").select(
-        k.cast("string").alias("k"),
+        F.when(k % 31 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise(k.cast("string")).alias("k"),
         F.when(k % 11 == 0, F.lit("nan")).when(k % 29 == 0, F.lit("bad"))
          .otherwise(F.col("o_custkey").cast("string")).alias("cust"),
         F.when(k % 13 == 0, F.lit("NaT"))
@@ -258,8 +260,76 @@ def product_source(spark, sf_dir) -> DataFrame:
 
 
 def product_current_before(spark, sf_dir) -> DataFrame:
-    p = table(spark, sf_dir, "part")
+    """Products before the load: every 9th missing."""
+    p = table(spark, sf_dir, "part").filter(F.col("p_partkey") % 9 != 0)
     return p.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
                     F.col("p_retailprice").cast("decimal(19,4)").alias("unit_price"),
                     F.col("p_type").alias("category_name"),
-                    F.lit(CURRENT_SINCE).alias("valid_from"))
+                    F.lit(CURRENT_SINCE).alias("valid_from"),
+                    (F.col("p_partkey") * 10).alias("product_key"))
+
+
+def customer_text_csv(spark, sf_dir) -> DataFrame:
+    """Customers as text in another column order than declared: every 41st key
+    and every 31st balance isn't a number, every 19th balance is missing."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return c.select(
+        F.col("c_mktsegment"),
+        F.when(k % 31 == 0, F.lit("bad")).when(k % 19 == 0, F.lit("nan"))
+         .otherwise(F.col("c_acctbal").cast("decimal(19,4)").cast("string")).alias("c_acctbal"),
+        F.when(k % 41 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise(k.cast("string")).alias("c_custkey"),
+        F.col("c_nationkey").cast("string").alias("c_nationkey"),
+        F.col("c_name"))
+
+
+# --------------------------------------------------------------------------
+# sources of the star load: as given, or as two days of a reload
+# --------------------------------------------------------------------------
+
+def _day(df: DataFrame, day, first, second) -> DataFrame:
+    """``first`` / ``second`` filter the source of day 1 / day 2; None is the table as given."""
+    return df if day is None else df.filter(first if day == 1 else second)
+
+
+def _renamed(c: str, when, day) -> F.Column:
+    return (F.when(when, F.concat(F.lit("OLD_"), F.col(c))).otherwise(F.col(c)).alias(c) if day == 1 else F.col(c))
+
+
+def star_sources(spark, sf_dir, day=None) -> dict:
+    """Source of each dimension.  On day 1 some keys are still missing and some
+    rows have other values; on day 2 they are there as given, and other keys
+    have left the source."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    ck = F.col("c_custkey")
+    customers = _day(c, day, ck % 10 != 0, ck % 13 != 0).select(
+        "c_custkey", "c_name", "c_nationkey", _renamed("c_mktsegment", ck % 7 == 0, day))
+
+    pk = F.col("p_partkey")
+    price = F.col("p_retailprice").cast("decimal(19,4)")
+    if day == 2:
+        price = (price + F.when(pk % 7 == 0, F.lit(1)).otherwise(F.lit(0)).cast("decimal(19,4)")).cast("decimal(19,4)")
+    name = F.when(pk % 11 == 0, F.concat("p_name", F.lit(" v2"))).otherwise(F.col("p_name")) if day == 2 else F.col("p_name")
+    products = _day(table(spark, sf_dir, "part"), day, pk % 9 != 0, F.lit(True)).select(
+        pk.alias("product_id"), name.alias("product_name"), F.col("p_brand").alias("brand"),
+        F.col("p_size").cast("bigint").alias("size"), price.alias("unit_price"), F.col("p_type").alias("category_name"))
+
+    e, ek = employees(spark, sf_dir), F.col("employee_id")
+    staff = _day(e, day, ek % 10 != 3, ek % 12 != 5).select(
+        "employee_id", _renamed("last_name", ek % 4 == 0, day), "nation_id", "acctbal", "photo", "reports_to")
+
+    n, nk = territory_source_text(spark, sf_dir), F.col("territory_id")
+    t = n.select(F.col("territory_text").try_cast("bigint").alias("territory_id"), "description", "region_id")
+    territories = _day(t, day, nk % 7 != 6, nk % 11 != 4).select(
+        "territory_id", _renamed("description", nk % 3 == 0, day), "region_id")
+
+    rk = F.col("region_id")
+    regions = _day(region_source(spark, sf_dir), day, rk != 2, F.lit(True)).select(
+        "region_id", _renamed("description", rk % 2 == 0, day))
+
+    s, sk = shippers(spark, sf_dir), F.col("shipper_id")
+    ships = _day(s, day, sk != 3, F.lit(True)).select("shipper_id", _renamed("company_name", sk == 2, day))
+    if day == 1:  # one that is gone on day 2
+        ships = ships.unionByName(s.filter(sk == 1).select((sk + 100).alias("shipper_id"), "company_name"))
+    return {"dim_customers": customers, "dim_products": products, "dim_employees": staff,
+            "dim_territories": territories, "dim_regions": regions, "dim_shippers": ships}
