@@ -37,6 +37,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_grouped(left: DataFrame, grouped: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``left`` with the one row that ``grouped`` has for its keys.
+
+    The first key is compared in another form than ``grouped`` was grouped by.
+    The join then has an exchange of its own on both sides, and adaptive
+    execution can split a hot key's partition; it can't where the partitions
+    of the aggregate are used again."""
+    key, kind = keys[0], left.schema[keys[0]].dataType.typeName()
+    there, back = {"binary": (F.hex, F.unhex), "string": (F.reverse, F.reverse)}.get(kind, (F.bitwise_not, F.bitwise_not))
+    joined = left.withColumn(key, there(key)).join(grouped.withColumn(key, there(key)), keys, how)
+    return joined.withColumn(key, back(key))
+
+
 def joined_texts(column: pa.Array, lead: bytes = b"", first: int = 0, last: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of texts ``first`` to ``last`` side by side, ``lead``
     before each that is neither null nor empty, and the n+1 offsets."""

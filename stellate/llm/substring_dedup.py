@@ -8,7 +8,7 @@ that lies on the cover in both documents at once, and the ``window - period +
 1`` words from there on (an anchor) are hashed in both.  Only anchors at cover
 places are hashed and exchanged; those that two documents have mark the places
 from which the match is extended to whole windows, which are compared by a
-128-bit hash.
+96-bit hash.
 
 Flow: (1) exact copies of a smaller document are settled by their digest;
 (2) anchors are counted, shared ones go back to their documents; (3) those
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import NOT_SPACE, distinct, joined_texts, text_groups, words
+from stellate.llm.common import NOT_SPACE, distinct, join_grouped, joined_texts, text_groups, words
 
 # fixed values: a perfect difference set (every non-zero difference occurs once)
 PERIOD = 31
@@ -146,13 +146,13 @@ def _window_rows(parts, window, period, cover) -> Iterator[pa.RecordBatch]:
             np.add.at(edge, np.maximum(place - (window - length), w.before[:-1][w.doc[place]] if len(place) else 0), 1)
             np.add.at(edge, place + 1, -1)
             start = np.flatnonzero((np.cumsum(edge[:-1]) > 0) & (w.at + window <= w.size[w.doc]))
-            h1, h2, of = w.window(start, window, 0), w.window(start, window, 1), w.doc[start]
+            h1, h2, of = w.window(start, window, 0), w.window(start, window, 1) >> np.uint64(32), w.doc[start]
             order = np.lexsort((h2, h1, of))
             new = np.ones(len(order), bool)
             new[1:] = ((np.diff(of[order]) != 0) | (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1]))
             keep = order[new]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h1[keep].view(np.int64)), pa.array(h2[keep].view(np.int64)), ids.take(pa.array(of[keep] + first))],
+                [pa.array(h1[keep].view(np.int64)), pa.array(h2[keep].astype(np.uint32).view(np.int32)), ids.take(pa.array(of[keep] + first))],
                 ["h1", "h2", "doc_id"])
 
 
@@ -212,23 +212,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                       F.col(text_col).cast("string").alias("text")).withColumn(
         "digest", F.unhex(F.substring(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256), 1, 32)))
     ids = src.select("doc_id", "digest")
-    originals = ids.groupBy("digest").agg(F.min("doc_id").alias("original"), F.max("doc_id").alias("last")).filter(
-        "original < last").select("digest", "original")
-    copies = (ids.join(originals, "digest").filter("doc_id > original")
+    originals = ids.groupBy("digest").agg(F.min("doc_id").alias("original"), F.count("*").alias("n")).filter("n > 1")
+    copies = (join_grouped(ids, originals, ["digest"]).filter("doc_id > original")
               .groupBy("doc_id").agg(F.collect_set("digest").alias("copied")))
     texts = src.join(copies, "doc_id", "left").select(
         "doc_id", "text", F.coalesce(F.array_contains("copied", F.col("digest")), F.lit(False)).alias("is_copy"))
     own = texts.filter("not is_copy")
 
+    # an anchor counts once per row, so rows of one id may mark too much, never too little
     anchors = own.select("doc_id", "text").mapInArrow(
         lambda parts: _anchor_rows(parts, window, period, cover), "anchor bigint, doc_id bigint")
-    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("anchor")
-    marked = anchors.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
+    shared = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    marked = (join_grouped(anchors, shared, ["anchor"])
+              .groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors")))
 
     windows = own.join(marked, "doc_id").select("doc_id", "text", "anchors").mapInArrow(
-        lambda parts: _window_rows(parts, window, period, cover), "h1 bigint, h2 bigint, doc_id bigint")
-    earliest = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b")
-    repeated = (windows.join(earliest.select("h1", "h2", "a"), ["h1", "h2"]).filter("doc_id > a")
+        lambda parts: _window_rows(parts, window, period, cover), "h1 bigint, h2 int, doc_id bigint")
+    earliest = (windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+                .filter("n > 1").select("h1", "h2", "first"))
+    repeated = (join_grouped(windows, earliest, ["h1", "h2"]).filter("doc_id > first")
                 .groupBy("doc_id").agg(F.collect_list("h1").alias("windows")))
 
     out = texts.join(repeated, "doc_id", "left").select("doc_id", "text", "is_copy", "windows").mapInArrow(
