@@ -21,6 +21,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stellate.llm.common import join_grouped
+
 #: the ledger's columns
 SPANS = "array<struct<start: bigint, place: int, kind: string, rule: string, end: bigint>>"
 LEDGER = f"blob string, rules array<string>, spans {SPANS}"
@@ -123,7 +125,7 @@ def scan_blobs(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] =
     current = (read_ledger(spark, ledger_path).filter(F.size("spans") > 0).groupBy("blob")
                .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("all"))
                .select("blob", F.filter("all", lambda s: F.array_contains(keys, s["rule"])).alias("found")))
-    return (named.select("path", "blob").join(current, "blob", "left")
+    return (join_grouped(named.select("path", "blob"), current, ["blob"], "left")
             .select("path", "blob", F.coalesce("found", F.array()).alias("spans")))
 
 
