@@ -15,6 +15,7 @@ table (a few numbers a document) is ever exchanged.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -31,12 +32,29 @@ OPEN_SEQUENCES = 1024
 SHARD_TOKENS = 1 << 20
 MEMO_KEYS = 300_000
 
+def _cuts() -> np.ndarray:
+    """Neighbouring ASCII bytes between which no token of the vocabulary
+    reaches: digits are split one by one, and letters from punctuation, but
+    for the apostrophe (contractions) and the signs around special tokens."""
+    letter = np.array([chr(c).isalpha() and c < 128 for c in range(256)])
+    digit = np.array([chr(c).isdigit() and c < 128 for c in range(256)])
+    sign = np.array([chr(c) in string.punctuation and chr(c) not in "'<|>" for c in range(256)])
+    plain = letter | digit | sign
+    cut = (letter[:, None] & sign[None, :]) | (sign[:, None] & letter[None, :])
+    return (cut | (digit[:, None] & plain[None, :]) | (plain[:, None] & digit[None, :])).ravel()
+
+
+CUT = _cuts()
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A"):ord("Z") + 1] += 32
+
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 
 
 class ChunkEncoder:
-    """Token ids of texts by a vocabulary file whose tokens never reach across
-    ASCII white space: each distinct chunk between white space is encoded once."""
+    """Token ids of texts by a vocabulary file that ignores case and whose
+    tokens never reach across ASCII white space or the places of ``CUT``: each
+    distinct chunk between such places is encoded once."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -55,7 +73,10 @@ class ChunkEncoder:
     def encode(self, texts: pa.Array, first: int, last: int, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts ``first`` to ``last`` side by side, each closed by ``end_id``, and their offsets."""
         data, docs = joined_texts(texts, b"", first, last)
-        packed, starts, before = words(data, docs, NOT_SPACE)
+        packed, starts, before = words(data, docs, NOT_SPACE, CUT)
+        if len(starts) > 1:  # chunks of ASCII alone, without a special token, in lower case
+            as_is = np.logical_or.reduceat((packed >= 0x80) | (packed == ord("<")), starts[:-1])
+            packed = np.where(np.repeat(as_is, np.diff(starts)), packed, LOWER[packed])
         codes, chunks = distinct(packed, starts)
         encoded = self.memo.values(chunks)
         size = np.fromiter((len(e) // 4 for e in encoded), np.int64, len(encoded))

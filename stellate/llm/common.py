@@ -83,13 +83,17 @@ def distinct(packed: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[b
     return coded.indices.to_numpy(), coded.dictionary.to_pylist()
 
 
-def words(data: np.ndarray, doc_starts: np.ndarray, in_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, doc_starts: np.ndarray, in_word: np.ndarray,
+          cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of bytes with ``in_word[byte]`` inside each text: the
     words' bytes side by side, their offsets there, and the number of words
-    before each text (n+1 offsets)."""
+    before each text (n+1 offsets).  ``cut`` (65,536 flags) parts a run
+    between byte a and byte b where ``cut[256 * a + b]``."""
     word = in_word[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
+    if cut is not None:
+        first[1:] |= word[1:] & cut[data[:-1].astype(np.int32) * 256 + data[1:]]
     begins = doc_starts[:-1][doc_starts[:-1] < doc_starts[1:]]
     first[begins] = word[begins]
     packed = data[word]
