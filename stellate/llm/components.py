@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import stage
+from stellate.llm.common import join_grouped, stage
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Every node hands its least neighbour to its larger neighbours."""
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return (both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return (join_grouped(both.filter("v > u"), least, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
             .filter("u <> v").distinct())
 
 
@@ -20,7 +20,7 @@ def _small_star(links: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours link to the least of them."""
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    return (down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return (join_grouped(down, least, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
 
 

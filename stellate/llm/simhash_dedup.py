@@ -24,11 +24,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import NOT_SPACE, joined_texts, stage, text_groups, words
+from stellate.llm.common import NOT_SPACE, join_grouped, joined_texts, stage, text_groups, words
 from stellate.llm.components import star_components
 
 SEED = 42
 BITS = 64
+SHINGLES_AT_ONCE = 1 << 15  # whose bits are spread out at once
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
@@ -59,14 +60,15 @@ def _simhash(packed: np.ndarray, starts: np.ndarray, before: np.ndarray, shingle
     raw, digest = text.tobytes(), xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(raw[a:b], SEED) for a, b in zip(place[first].tolist(), ends[last].tolist())),
                          np.uint64, len(first))
-    out = np.zeros(len(size), np.uint64)
-    has = np.flatnonzero(per_doc)
-    if len(has):
-        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bits, offset[has], axis=0, dtype=np.int64)
-        over = (2 * ones > per_doc[has][:, None]).astype(np.uint8)
-        out[has] = np.packbits(over, axis=1, bitorder="little").view("<u8").ravel()
-    return out
+    ones = np.zeros((len(size), BITS), np.int64)
+    doc = np.repeat(np.arange(len(size)), per_doc)
+    for a in range(0, len(hashes), SHINGLES_AT_ONCE):
+        block, owner = hashes[a:a + SHINGLES_AT_ONCE], doc[a:a + SHINGLES_AT_ONCE]
+        bits = np.unpackbits(block.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        first_of = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        ones[owner[first_of]] += np.add.reduceat(bits, first_of, axis=0, dtype=np.int64)
+    over = (2 * ones > per_doc[:, None]).astype(np.uint8)
+    return np.packbits(over, axis=1, bitorder="little").view("<u8").ravel()
 
 
 def _signed(x: int) -> int:
@@ -94,7 +96,7 @@ def _links(fps: DataFrame, max_distance: int, most: int) -> DataFrame:
     """Links ``u, v`` that connect exactly what pairs within the distance connect."""
     variants = _variants(fps, max_distance)
     shared = variants.groupBy("bit", "part").agg(F.count("*").alias("n")).filter("n > 1")
-    members = stage(variants.join(shared, ["bit", "part"]).select("bit", "part", "mask", "low", "fp", "n"), "simhash-members")
+    members = stage(join_grouped(variants, shared, ["part", "bit"]).select("bit", "part", "mask", "low", "fp", "n"), "simhash-members")
     few = members.filter(F.col("n") <= most)
     a = few.select("bit", "part", "mask", "low", F.col("fp").alias("u"))
     b = few.select("bit", "part", F.col("fp").alias("v"))
@@ -120,7 +122,7 @@ def _links(fps: DataFrame, max_distance: int, most: int) -> DataFrame:
         around = around.withColumn("bit", F.lit(-1))
     around = around.distinct()
     least = around.groupBy("bit", "point").agg(F.min("fp").alias("m"), F.count("*").alias("c")).filter("c > 1")
-    through = around.join(least, ["bit", "point"]).filter("fp <> m").select(F.col("m").alias("u"), F.col("fp").alias("v"))
+    through = join_grouped(around, least, ["point", "bit"]).filter("fp <> m").select(F.col("m").alias("u"), F.col("fp").alias("v"))
     return near.union(through).distinct()
 
 
@@ -148,7 +150,9 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     rows = stage(src.mapInArrow(run, "doc_id bigint, fp bigint"), "simhash-fp")
     fps = rows.groupBy("fp").agg(F.min("doc_id").alias("doc"))
-    stars = star_components(_links(fps.select("fp"), max_distance, most_in_variant), "simhash")
+    # a fingerprint becomes 64 variants: small as the table is, it is dealt to as many tasks as a shuffle has
+    dealt = fps.select("fp").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    stars = star_components(_links(dealt, max_distance, most_in_variant), "simhash")
     rooted = (fps.join(stars, fps["fp"] == stars["node"], "left")
               .select("fp", "doc", F.coalesce("root", "fp").alias("root")))
     named = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))
