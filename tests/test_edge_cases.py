@@ -192,7 +192,7 @@ def test_star_pipeline_publishes_audited_tables(spark, tmp_path):
     from stellate.plans import pipeline
     root = str(tmp_path / "wh")
     snaps = pipeline.run_star(spark, SF_SMALL, root)
-    assert set(snaps) == set(pipeline.SUMMARY_KEYS)
+    assert set(snaps) == set(pipeline.SUMMARY_KEYS) | {"fact_rejects"}
     fact = read_table(spark, "fact_order_lines", root)
     assert fact.count() == 6000 and "order_year" in fact.columns
     rows = {r["table_name"]: (r["n_rows"], r["n_keys"]) for r in pipeline.summary(spark, root).collect()}
