@@ -198,10 +198,14 @@ def training_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words
     frequent languages, and ``sample_words`` of their distinct words, chosen
     by hash.  docs: ``doc_id, text, lang`` of the rows to learn from."""
     named = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = [r["lang"] for r in named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_LANGUAGES).collect()]
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (named.filter(F.col("lang").isin(langs)).select("doc_id", "lang")
-              .withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample_docs).select("doc_id", "lang").distinct())
+    langs = named.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(SAMPLE_LANGUAGES)
+    # about twice as many as are needed, by hash, so that the ranking sees few rows however many tasks there are
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    near = (named.select("doc_id", "lang").join(F.broadcast(langs), "lang")  # at most SAMPLE_LANGUAGES rows
+            .filter(share * F.col("n") < 2 * sample_docs + 20))
+    order = Window.partitionBy("lang").orderBy(share, "doc_id")
+    chosen = (near.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample_docs)
+              .select("doc_id", "lang").distinct())
     seen = (named.join(F.broadcast(chosen), ["doc_id", "lang"])  # at most sample_docs * SAMPLE_LANGUAGES ids
             .select("lang", F.explode(F.regexp_extract_all(F.translate("text", ascii_uppercase, ascii_lowercase),
                                                            F.lit(WORD), F.lit(0))).alias("word"))
