@@ -37,8 +37,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the least id stays, one row of it."""
     groups = simhash_groups(docs, shingle=3, max_distance=2)
-    first = groups.filter(F.col("doc_id") == F.col("component_id"))
-    return _kept(docs.dropDuplicates(["doc_id"]), first)
+    first = (groups.filter(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("kept_id"))
+             .agg(F.count("*").alias("kept_rows")))
+    kept = docs.alias("d").join(first.alias("k"), F.expr("d.doc_id = k.kept_id"))
+    # only an id that several rows have needs its rows compared
+    once, again = kept.filter("kept_rows = 1").select("d.*"), kept.filter("kept_rows > 1").select("d.*")
+    return once.unionByName(again.dropDuplicates(["doc_id"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
