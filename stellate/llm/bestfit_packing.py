@@ -14,6 +14,7 @@ table (a few numbers a document) is ever exchanged.
 
 from __future__ import annotations
 
+import json
 import os
 import string
 import zlib
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stellate.llm.common import NOT_SPACE, Memo, distinct, joined_texts, ragged_starts, stage, text_groups, words
+from stellate.llm.pair_merge import PairMerger
 
 CAPACITY = 4096
 END_ID = 1
@@ -51,10 +53,42 @@ LOWER[ord("A"):ord("Z") + 1] += 32
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 
 
+#: bytes of lower-case letters that no normalisation changes: a-z and those of Latin-1
+PLAIN = bytes([*range(ord("a"), ord("z") + 1), 0xC3, *(c for c in range(0x9F, 0xC0) if c != 0xB7)])
+PLAIN_LONGEST = 64
+
+
+class WordMerger:
+    """Ids of chunks of plain lower-case letters, merged side by side (see pair_merge)."""
+
+    def __init__(self, spec: dict):
+        model = spec["model"]
+        vocab, suffix = model["vocab"], model["end_of_word_suffix"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        rows = np.array([(vocab[a], vocab[b], i, vocab[a + b]) for i, (a, b) in enumerate(pairs)], np.int64)
+        self.merger = PairMerger(*rows.T, len(vocab))
+        # the byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in own]
+        char = {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+        self.inner = np.array([vocab[char[b]] for b in range(256)], np.int32)
+        self.last = np.array([vocab[char[b] + suffix] for b in range(256)], np.int32)
+
+    def encode(self, chunks: list[bytes]) -> list[bytes]:
+        size = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        data = np.frombuffer(b"".join(chunks), np.uint8)
+        symbol, ends = self.inner[data], np.cumsum(size) - 1
+        symbol[ends] = self.last[data[ends]]
+        ids, seq = self.merger.survivors(symbol, np.repeat(np.arange(len(chunks)), size))
+        raw, at = ids.astype("<u4").tobytes(), (4 * np.searchsorted(seq, np.arange(len(chunks) + 1))).tolist()
+        return [raw[a:e] for a, e in zip(at, at[1:])]
+
+
 class ChunkEncoder:
     """Token ids of texts by a vocabulary file that ignores case and whose
     tokens never reach across ASCII white space or the places of ``CUT``: each
-    distinct chunk between such places is encoded once."""
+    distinct chunk between such places is encoded once, by the library, or, if
+    it is plain letters, by merging many side by side."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -62,12 +96,26 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo = Memo(self._encode, MEMO_KEYS)
+        with open(path) as f:
+            spec = json.load(f)
+        model = spec["model"]
+        plain = model["type"] == "BPE" and model["end_of_word_suffix"] and not (
+            model["continuing_subword_prefix"] or model["dropout"] or model["ignore_merges"])
+        self.merger = WordMerger(spec) if plain else None
 
     def _encode(self, chunks: list[bytes]) -> list[bytes]:
-        out: list[bytes] = []
-        for i in range(0, len(chunks), 20_000):
-            texts = [c.decode() for c in chunks[i:i + 20_000]]
-            out += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list = [None] * len(chunks)
+        plain = [i for i, c in enumerate(chunks) if len(c) <= PLAIN_LONGEST and not c.translate(None, PLAIN)] if self.merger else []
+        for i in range(0, len(plain), 50_000):
+            part = plain[i:i + 50_000]
+            for j, ids in zip(part, self.merger.encode([chunks[j] for j in part])):
+                out[j] = ids
+        other = [i for i, x in enumerate(out) if x is None]
+        for i in range(0, len(other), 20_000):
+            part = other[i:i + 20_000]
+            texts = [chunks[j].decode() for j in part]
+            for j, e in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                out[j] = np.array(e.ids, "<u4").tobytes()
         return out
 
     def encode(self, texts: pa.Array, first: int, last: int, end_id: int) -> tuple[np.ndarray, np.ndarray]:

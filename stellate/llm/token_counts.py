@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stellate.llm.common import Memo, batches, distinct, joined_texts, ragged_starts, text_groups
+from stellate.llm.pair_merge import PairMerger
 
 SPACE = "\u2581"             # how the vocabulary writes a space
 SPACE_BYTES = SPACE.encode()
 LONG_SPACES = b" " * 64
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece types of the file format
-NO_PAIR = np.int32(2**31 - 1)
 LONG_PRETOKEN = 64           # longer ones are cut again between characters that no piece joins
 SYMBOLS_AT_ONCE = 1_000_000  # symbols merged side by side
 MEMO_KEYS = 400_000          # distinct pre-tokens kept per worker
@@ -61,16 +61,12 @@ class PieceCounter:
         single = sorted((ord(p), r) for p, r in rank.items() if len(p) == 1)
         self.chars = np.array([c for c, _ in single], np.int64)
         self.char_ids = np.array([r for _, r in single], np.int32)
-        pairs = sorted((rank[p[:i]] * self.n + rank[p[i:]], r) for p, r in rank.items()
-                       for i in range(1, len(p)) if p[:i] in rank and p[i:] in rank)
-        self.pair_keys = np.array([k for k, _ in pairs], np.int64)
-        self.pair_ranks = np.array([r for _, r in pairs], np.int32)
-        # pieces of one score share a rank; of those only the leftmost place merges in a round
-        order = sorted(pieces.values(), reverse=True)
-        level = {s: i for i, s in reversed(list(enumerate(order)))}
-        self.level = np.array([level[pieces[p]] for p in rank] + [NO_PAIR], np.int32)
-        shared = {s for s, t in zip(order, order[1:]) if s == t}
-        self.tied = np.array([pieces[p] in shared for p in rank])
+        # pieces of one score share an order
+        scores = sorted(pieces.values(), reverse=True)
+        level = {x: i for i, x in reversed(list(enumerate(scores)))}
+        pairs = np.array([(rank[p[:i]], rank[p[i:]], level[pieces[p]], r) for p, r in rank.items()
+                          for i in range(1, len(p)) if p[:i] in rank and p[i:] in rank], np.int64)
+        self.merger = PairMerger(*pairs.T, self.n)
         inside = {(ord(p[i]) << 21) | ord(p[i + 1]) for p in rank for i in range(len(p) - 1)}
         self.joined = np.array(sorted(inside), np.int64)
         # two neighbouring bytes are cut apart if no piece has them side by side, between characters only
@@ -124,13 +120,6 @@ class PieceCounter:
         n = max(0, spaces - 2) // self.run if self.run else 0
         return pretoken[n * self.run:], n
 
-    def _pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The piece that each pair makes, NO_PAIR where the two don't join."""
-        key = left.astype(np.int64) * self.n + right
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        found = (self.pair_keys[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(found, self.pair_ranks[at], NO_PAIR)
-
     def _count_group(self, pretokens: list[bytes]) -> list[int]:
         cut_off = {}
         for i, p in enumerate(pretokens):
@@ -157,50 +146,12 @@ class PieceCounter:
             new[inner[self.joined[near] != pair]] = True
         seq = np.cumsum(new) - 1              # sequence of each symbol
         seq_owner = owner[new]                # pre-token of each sequence
-        left = self._merge(symbol, seq, len(seq_owner))
+        left = np.bincount(self.merger.survivors(symbol, seq)[1], minlength=len(seq_owner))
         np.add.at(total, seq_owner, left)
         for i, n in cut_off.items():
             total[i] += n
         return total.tolist()
 
-    def _merge(self, symbol: np.ndarray, seq: np.ndarray, n_seq: int) -> np.ndarray:
-        """Symbols that survive in each sequence."""
-        count = np.zeros(n_seq, np.int64)
-        rank = np.full(len(symbol), NO_PAIR)
-        if len(symbol) > 1:
-            rank[:-1] = np.where(seq[1:] == seq[:-1], self._pair_rank(symbol[:-1], symbol[1:]), NO_PAIR)
-        while len(symbol):
-            first = np.flatnonzero(np.r_[True, seq[1:] != seq[:-1]])
-            size = np.diff(np.r_[first, len(seq)])
-            grade = self.level[np.minimum(rank, self.n)]
-            best = np.minimum.reduceat(grade, first)
-            done = best == NO_PAIR
-            if done.any():
-                count[seq[first[done]]] = size[done]
-                stay = np.repeat(~done, size)
-                symbol, seq, rank, grade = symbol[stay], seq[stay], rank[stay], grade[stay]
-                best, size = best[~done], size[~done]
-                if not len(symbol):
-                    break
-            hit = np.flatnonzero(grade == np.repeat(best, size))
-            again = np.r_[False, seq[hit[1:]] == seq[hit[:-1]]] & self.tied[rank[hit]]
-            hit = hit[~again]
-            # overlapping places a-a-a: take every other one of a run, from its left end
-            start = np.r_[True, np.diff(hit) != 1]
-            place = np.arange(len(hit))
-            hit = hit[(place - place[start][np.cumsum(start) - 1]) % 2 == 0]
-            symbol[hit] = rank[hit]
-            keep = np.ones(len(symbol), bool)
-            keep[hit + 1] = False
-            merged = hit - np.arange(len(hit))  # places of the merged symbols afterwards
-            symbol, seq, rank = symbol[keep], seq[keep], rank[keep]
-            for left in (merged, merged[merged > 0] - 1):
-                inner = left[left < len(symbol) - 1]
-                rank[inner] = np.where(seq[inner] == seq[inner + 1],
-                                       self._pair_rank(symbol[inner], symbol[inner + 1]), NO_PAIR)
-                rank[left[left == len(symbol) - 1]] = NO_PAIR
-        return count
-
 
 def counter(model_path: str) -> PieceCounter:
     """The worker's counter for a vocabulary file (built once per process)."""
