@@ -8,8 +8,9 @@ when another one must be opened, the fullest is closed.
 
 A shard's sequences that are still open at its end with much space left are
 taken apart and handed to the next round, where fewer shards pack what all
-shards have left; so the loss per shard doesn't add up.  Only the piece
-table (a few numbers a document) is ever exchanged.
+shards have left; so the loss per shard doesn't add up.  A round that hands
+over nearly all it got is the last: its pieces don't fit beside each other.
+Only the piece table (a few numbers a document) is ever exchanged.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ END_ID = 1
 OPEN_SEQUENCES = 1024
 SHARD_TOKENS = 1 << 20
 MEMO_KEYS = 300_000
+LEAST_CLOSED = 0.1   # share of a round's tokens that must be in closed sequences for another round
+MOST_ROUNDS = 127    # a sequence's number has 7 bits for its round
 
 def _cuts() -> np.ndarray:
     """Neighbouring ASCII bytes between which no token of the vocabulary
@@ -237,24 +240,30 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, most_open: int = OPEN_SEQUENCES,
                 shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to a table of pieces (see PIECES)."""
+    """Adds ``sequence_id`` and ``offset`` to a table of pieces (see PIECES).
+
+    There is another round only if this one closed a share of ``LEAST_CLOSED``;
+    the last round keeps all of its sequences, so every piece is in one."""
     done, round_no, rest = [], 0, pieces
+    total = rest.agg(F.sum("length")).first()[0] or 0
     while True:
-        total = rest.agg(F.sum("length")).first()[0] or 0
         n = max(1, -(-total // shard_tokens))
         key = F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(round_no))
         dealt = rest.withColumn("shard", F.pmod(key, F.lit(n))).repartition("shard").sortWithinPartitions(
             "shard", F.desc("length"), "doc_id", "piece")
-        # the last round keeps all of its sequences
+        # what fits in one shard is the last round
         least_free = capacity // 8 if n > 1 else capacity + 1
         packed = stage(dealt.mapInArrow(lambda parts, f=least_free: _packed_rows(parts, capacity, most_open, f),
                                         PIECES + ", shard bigint, bin bigint, offset bigint, carried boolean"), "packed")
         number = F.lit(round_no << 56) + F.shiftleft("shard", 24) + F.col("bin")
-        done.append(packed.filter("not carried").select(
+        carried = packed.filter("carried")
+        left = 0 if n == 1 else carried.agg(F.sum("length")).first()[0] or 0
+        last = not left or left > (1 - LEAST_CLOSED) * total or round_no + 1 == MOST_ROUNDS
+        done.append((packed if last else packed.filter("not carried")).select(
             "doc_id", "piece", "start", "length", "ids_crc32", number.cast("bigint").alias("sequence_id"), "offset"))
-        if n == 1:
+        if last:
             break
-        rest, round_no = packed.filter("carried").select("doc_id", "piece", "start", "length", "ids_crc32"), round_no + 1
+        rest, round_no, total = carried.select("doc_id", "piece", "start", "length", "ids_crc32"), round_no + 1, left
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

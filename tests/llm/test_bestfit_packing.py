@@ -7,7 +7,8 @@ import pytest
 from cases import docs, prose
 from tokenizers import Tokenizer
 
-from stellate.llm.bestfit_packing import BestFit, pack_documents
+from stellate.llm import bestfit_packing
+from stellate.llm.bestfit_packing import PIECES, BestFit, pack_documents, pack_pieces
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -73,3 +74,28 @@ def test_best_fit_keeps_the_bound():
         assert used[chosen] <= 100
         assert sum(map(len, bins.by_free)) == bins.n_open <= 5
         assert bins.bits == sum(1 << f for f in range(101) if bins.by_free[f])
+
+
+@pytest.mark.parametrize("small", [0, 300])
+def test_rounds_end_when_no_two_pieces_fit(spark, monkeypatch, small):
+    """500 pieces of which no two share a sequence: no round can close one."""
+    rounds, stage = [], bestfit_packing.stage
+
+    def counted(df, name):
+        rounds.append(name)
+        assert len(rounds) <= 20, "the rounds don't end"
+        return stage(df, name)
+    monkeypatch.setattr(bestfit_packing, "stage", counted)
+    rows = [(i, 0, 0, 3000, i) for i in range(500)] + [(1000 + i, 0, 0, 400, i) for i in range(small)]
+    got = pack_pieces(spark.createDataFrame(rows, PIECES), shard_tokens=30_000).collect()
+    assert sorted((r.doc_id, r.length) for r in got) == sorted((r[0], r[3]) for r in rows)
+    of = {}
+    for r in got:
+        of.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in of.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    assert len(of) == 500
