@@ -3,7 +3,9 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet in the shared folder and read again as the next one's
 ``docs``.  All stages but the last return the columns of ``documents``; each
-works on all rows that the one before kept.
+works on all rows that the one before kept.  A verdict belongs to a row's id
+and text: it is joined back by a digest of both, so rows of one id, and rows
+with a null id, are each kept or dropped by their own text.
 """
 
 from __future__ import annotations
@@ -13,47 +15,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stellate.llm.bestfit_packing import pack_documents
-from stellate.llm.common import read, stage, stage_path
+from stellate.llm.common import read, row_key, stage, stage_path
 from stellate.llm.decontaminate import find_contamination
 from stellate.llm.language_gru import UNKNOWN, identify_languages
 from stellate.llm.secret_ledger import find_secrets
-from stellate.llm.simhash_dedup import simhash_groups
+from stellate.llm.simhash_dedup import group_firsts
 
 LEAST_LANGUAGE_SCORE = 0.4  # a document whose pooled probability is below isn't in a language that was learned
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is in ``ids`` (a null id matches a null id)."""
-    return docs.alias("d").join(ids.select(F.col("doc_id").alias("kept_id")).alias("k"),
-                                F.expr("d.doc_id <=> k.kept_id"), "left_semi").select("d.*")
+KEY = "pipeline_row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(KEY, row_key("doc_id", "text"))
+
+
+def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is in ``verdicts``."""
+    return _keyed(docs).join(verdicts.select(F.col("key").alias(KEY)), KEY, "left_semi").select(*docs.columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or in no learned language, go."""
-    found = identify_languages(docs)
+    found = identify_languages(_keyed(docs), key_col=KEY)
     return _kept(docs, found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays, one row of it."""
-    groups = simhash_groups(docs, shingle=3, max_distance=2)
-    first = (groups.filter(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("kept_id"))
-             .agg(F.count("*").alias("kept_rows")))
-    kept = docs.alias("d").join(first.alias("k"), F.expr("d.doc_id = k.kept_id"))
-    # only an id that several rows have needs its rows compared
-    once, again = kept.filter("kept_rows = 1").select("d.*"), kept.filter("kept_rows > 1").select("d.*")
-    return once.unionByName(again.dropDuplicates(["doc_id"]))
+    """Of each group of near copies one row stays: that with the least id (a
+    null id comes last, so it stays if the group has no other), then by a
+    digest of id and text, then by the other columns."""
+    first = group_firsts(docs, shingle=3, max_distance=2)
+    kept = _keyed(docs).join(first.select(F.col("key").alias(KEY), F.col("n_rows").alias("pipeline_n_rows")), KEY)
+    # only an id and text that several rows have needs its rows compared
+    once = kept.filter("pipeline_n_rows = 1").select(*docs.columns)
+    again = kept.filter("pipeline_n_rows > 1").groupBy(KEY).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return once.unionByName(again.select("row.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
-    found = find_contamination(docs, read(spark, sf_dir, "benchmark"))
+    found = find_contamination(_keyed(docs), read(spark, sf_dir, "benchmark"), key_col=KEY)
     return _kept(docs, found.filter(~F.col("contaminated")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a secret go."""
-    found = find_secrets(docs, stage_path(spark, "secret-ledger"))
+    found = find_secrets(_keyed(docs), stage_path(spark, "secret-ledger"), key_col=KEY)
     return _kept(docs, found.filter(F.col("spans") == ""))
 
 

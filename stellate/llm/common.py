@@ -23,6 +23,12 @@ def crc_mod(id_col: str, n: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """A digest of a row's id and text, never null (a null text is like an empty one)."""
+    return F.unhex(F.sha2(F.concat(F.coalesce(F.col(id_col).cast("bigint").cast("string"), F.lit("null")), F.lit(" "),
+                                   F.coalesce(F.col(text_col).cast("string"), F.lit(""))).cast("binary"), 256))
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint dir."""
     return f"{shared_dir(spark, 'stage')}/{name}-{uuid.uuid4().hex}"

@@ -165,9 +165,10 @@ def _blocks(items: DataFrame, block_bytes: int) -> int:
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        item_col: str = "item_id", item_text_col: str = "text", window: int = 10,
-                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                       block_bytes: int = BLOCK_BYTES, key_col: str | None = None) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256,
-    contaminated``, and the found ``items`` (sorted as strings).
+    contaminated``, and the found ``items`` (sorted as strings), and ``key`` if
+    there is a ``key_col`` (binary, returned as it is).
 
     A-Z is lower-cased; words are runs of digits, letters a-z and characters
     outside ASCII.  A benchmark item's windows are its runs of ``window``
@@ -177,7 +178,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     a null item id counts as the text ``null``; empty tables give no rows or
     no hits; other columns are ignored.
     """
-    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                      *([F.col(key_col).alias("key")] if key_col else []))
+    extra = ["key"] if key_col else []
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
                              F.col(item_text_col).cast("string").alias("text"))
     sc = docs.sparkSession.sparkContext
@@ -191,7 +194,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                                  + ", n_words bigint, places array<int>, items array<string>")
 
     if n == 1:
-        merged = search(0, src, {"doc_id": "bigint"})
+        merged = search(0, src, {"doc_id": "bigint"} | dict.fromkeys(extra, "binary"))
     else:
         # the blocks' findings of a text meet by its id and digest; the first block keeps every text
         keyed = src.withColumn("text_key", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
@@ -200,12 +203,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         joined = reduce(DataFrame.unionByName, [stage(f, "contamination") for f in found]).groupBy("doc_id", "text_key").agg(
             F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
             F.flatten(F.collect_list("items")).alias("items"))
-        left, right = keyed.select("doc_id", "text_key").alias("l"), joined.alias("r")
+        left, right = keyed.select("doc_id", "text_key", *extra).alias("l"), joined.alias("r")
         merged = left.join(right, F.expr("l.doc_id <=> r.doc_id AND l.text_key = r.text_key")).select(
-            "l.doc_id", "r.n_words", "r.places", "r.items")
+            "l.doc_id", "r.n_words", "r.places", "r.items", *[f"l.{c}" for c in extra])
     named = merged.withColumn("items", F.array_sort(F.array_distinct("items")))
     return named.select("doc_id", "n_words", F.size("places").cast("bigint").alias("n_hit"),
                         F.size("items").cast("bigint").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
-                        (F.size("places") > 0).alias("contaminated"), "items")
+                        (F.size("places") > 0).alias("contaminated"), "items", *extra)
 

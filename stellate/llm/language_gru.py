@@ -213,7 +213,7 @@ def training_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words
     return [tuple(r) for r in seen.orderBy(F.xxhash64("lang", "word"), "lang", "word").limit(sample_words).collect()]
 
 
-def _predicted(parts, net: BiGRU | None) -> Iterator[pa.RecordBatch]:
+def _predicted(parts, net: BiGRU | None, keys: list[str]) -> Iterator[pa.RecordBatch]:
     classes = net.classes if net else []
     memo = Memo(net.word_sums, MEMO_KEYS) if net else None
     for b in parts:
@@ -235,14 +235,15 @@ def _predicted(parts, net: BiGRU | None) -> Iterator[pa.RecordBatch]:
                 lang = [classes[c] if k else UNKNOWN for c, k in zip(best, known)]
                 score = np.where(known, np.clip(pooled[np.arange(n), best], 0, 1), 0.0)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").slice(first, n), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                ["doc_id", "lang_pred", "score"])
+                [*(b.column(k).slice(first, n) for k in keys), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                [*keys, "lang_pred", "score"])
 
 
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                        folds: int = 5, held_out_fold: int = 0, sample_docs: int = SAMPLE_DOCS,
-                       sample_words: int = SAMPLE_WORDS) -> DataFrame:
-    """One row per document: ``doc_id, held_out, lang_pred, score``.
+                       sample_words: int = SAMPLE_WORDS, key_col: str | None = None) -> DataFrame:
+    """One row per document: ``doc_id, held_out, lang_pred, score``, and
+    ``key`` if there is a ``key_col`` (binary, returned as it is).
 
     Learns from rows whose crc32 of the id as text, modulo ``folds``, isn't
     ``held_out_fold`` (a null id is learned from and not held out), and whose
@@ -253,10 +254,12 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     columns are ignored.
     """
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                      F.col(lang_col).cast("string").alias("lang"))
+                      F.col(lang_col).cast("string").alias("lang"), *([F.col(key_col).alias("key")] if key_col else []))
+    keys = {"doc_id": "bigint"} | ({"key": "binary"} if key_col else {})
     held = F.coalesce(crc_mod("doc_id", folds) == held_out_fold, F.lit(False))
     sample = training_words(src.filter(~held), sample_docs, sample_words)
     net = docs.sparkSession.sparkContext.broadcast(train(sample) if sample else None)
-    shown = src.select("doc_id", "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter"))
-    out = shown.mapInArrow(lambda parts: _predicted(parts, net.value), "doc_id bigint, lang_pred string, score double")
-    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+    shown = src.select(*keys, "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter"))
+    out = shown.mapInArrow(lambda parts: _predicted(parts, net.value, list(keys)),
+                           ", ".join(f"{k} {t}" for k, t in keys.items()) + ", lang_pred string, score double")
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", *list(keys)[1:])

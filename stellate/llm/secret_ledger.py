@@ -102,12 +102,13 @@ def _scan(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         F.struct((F.col("end") - F.col("size")).alias("start"), "place", "kind", "rule", "end"))).alias("spans"))
 
 
-def scan_blobs(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def scan_blobs(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES, extra: tuple[str, ...] = ()) -> DataFrame:
     """Brings the ledger at ``ledger_path`` up to date with ``versions``
-    (``path, text``) and returns ``path, blob, spans`` for every path, spans
-    sorted by start, then by the order of ``rules``."""
+    (``path, text``) and returns ``path, blob, spans`` and the ``extra``
+    columns for every path, spans sorted by start, then by the order of
+    ``rules``."""
     spark = versions.sparkSession
-    named = versions.select("path", F.coalesce("text", F.lit("")).alias("text")).withColumn(
+    named = versions.select("path", F.coalesce("text", F.lit("")).alias("text"), *extra).withColumn(
         "blob", F.sha2(F.col("text").cast("binary"), 256))
     known = read_ledger(spark, ledger_path).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))
     keys = F.array(*[F.lit(r.key) for r in rules])
@@ -125,8 +126,8 @@ def scan_blobs(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] =
     current = (read_ledger(spark, ledger_path).filter(F.size("spans") > 0).groupBy("blob")
                .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("all"))
                .select("blob", F.filter("all", lambda s: F.array_contains(keys, s["rule"])).alias("found")))
-    return (join_grouped(named.select("path", "blob"), current, ["blob"], "left")
-            .select("path", "blob", F.coalesce("found", F.array()).alias("spans")))
+    return (join_grouped(named.select("path", "blob", *extra), current, ["blob"], "left")
+            .select("path", "blob", *extra, F.coalesce("found", F.array()).alias("spans")))
 
 
 def listed(spans: Column) -> Column:
@@ -135,9 +136,10 @@ def listed(spans: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame, ledger_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 rules: tuple[Rule, ...] = RULES) -> DataFrame:
+                 rules: tuple[Rule, ...] = RULES, key_col: str | None = None) -> DataFrame:
     """One row per document: ``doc_id``, ``n_<kind>`` of each rule,
-    ``base_sha256`` and ``spans``.
+    ``base_sha256`` and ``spans``, and ``key`` if there is a ``key_col``
+    (returned as it is).
 
     Spans are ``kind:start:end`` in code points, end exclusive, by start and
     then by the order of the rules, comma-joined.  Null and empty texts have
@@ -145,12 +147,14 @@ def find_secrets(docs: DataFrame, ledger_path: str, id_col: str = "doc_id", text
     returned as they are; an empty table gives no rows; other columns are
     ignored.
     """
-    scanned = scan_blobs(docs.select(F.col(id_col).cast("bigint").alias("path"), F.col(text_col).cast("string").alias("text")),
-                         ledger_path, rules)
+    extra = ("key",) if key_col else ()
+    versions = docs.select(F.col(id_col).cast("bigint").alias("path"), F.col(text_col).cast("string").alias("text"),
+                           *([F.col(key_col).alias("key")] if key_col else []))
+    scanned = scan_blobs(versions, ledger_path, rules, extra)
 
     def number(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
     return scanned.select(F.col("path").alias("doc_id"), *[number(r.kind) for r in rules],
                           F.sha2(listed(F.col("spans")).cast("binary"), 256).alias("base_sha256"),
-                          listed(F.col("spans")).alias("spans"))
+                          listed(F.col("spans")).alias("spans"), *extra)

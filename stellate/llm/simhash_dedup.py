@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import NOT_SPACE, join_grouped, joined_texts, stage, text_groups, words
+from stellate.llm.common import NOT_SPACE, join_grouped, joined_texts, row_key, stage, text_groups, words
 from stellate.llm.components import star_components
 
 SEED = 42
@@ -126,6 +126,44 @@ def _links(fps: DataFrame, max_distance: int, most: int) -> DataFrame:
     return near.union(through).distinct()
 
 
+def _fingerprinted(src: DataFrame, keys: dict[str, str], shingle: int) -> DataFrame:
+    """``src`` (keys and ``text``) with ``fp`` in place of the text."""
+    names = list(keys)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts:
+            fp = fingerprints(b.column("text"), shingle).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in names), pa.array(fp)], [*names, "fp"])
+
+    return stage(src.select(*names, "text").mapInArrow(run, ", ".join(f"{k} {t}" for k, t in keys.items()) + ", fp bigint"),
+                 "simhash-fp")
+
+
+def _rooted(fps: DataFrame, max_distance: int, most: int) -> DataFrame:
+    """``fps`` (one row per ``fp``) with the ``root`` of its group."""
+    # a fingerprint becomes 64 variants: small as the table is, it is dealt to as many tasks as a shuffle has
+    dealt = fps.select("fp").repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    stars = star_components(_links(dealt, max_distance, most), "simhash")
+    return (fps.join(stars, fps["fp"] == stars["node"], "left")
+            .select(*fps.columns, F.coalesce("root", "fp").alias("root")))
+
+
+def group_firsts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                 max_distance: int = 2, most_in_variant: int = 32) -> DataFrame:
+    """One row per group of ``simhash_groups``: ``key`` (see ``row_key``) of
+    its row with the least id, and of those the least key, and ``n_rows`` that
+    have this key.  A null id comes after all others."""
+    if not 0 <= max_distance <= 3:
+        raise ValueError("max_distance must be 0 to 3")
+    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                      row_key(id_col, text_col).alias("key"))
+    rows = _fingerprinted(src, {"doc_id": "bigint", "key": "binary"}, shingle)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first")
+    rooted = _rooted(rows.groupBy("fp").agg(first), max_distance, most_in_variant)
+    firsts = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.key")
+    return rows.select("key").join(firsts, "key", "left_semi").groupBy("key").agg(F.count("*").alias("n_rows"))
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                    max_distance: int = 2, most_in_variant: int = 32) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``.
@@ -142,19 +180,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not 0 <= max_distance <= 3:
         raise ValueError("max_distance must be 0 to 3")
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts:
-            fp = fingerprints(b.column("text"), shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
-
-    rows = stage(src.mapInArrow(run, "doc_id bigint, fp bigint"), "simhash-fp")
-    fps = rows.groupBy("fp").agg(F.min("doc_id").alias("doc"))
-    # a fingerprint becomes 64 variants: small as the table is, it is dealt to as many tasks as a shuffle has
-    dealt = fps.select("fp").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
-    stars = star_components(_links(dealt, max_distance, most_in_variant), "simhash")
-    rooted = (fps.join(stars, fps["fp"] == stars["node"], "left")
-              .select("fp", "doc", F.coalesce("root", "fp").alias("root")))
+    rows = _fingerprinted(src, {"doc_id": "bigint"}, shingle)
+    rooted = _rooted(rows.groupBy("fp").agg(F.min("doc_id").alias("doc")), max_distance, most_in_variant)
     named = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))
     of_fp = rooted.join(named, "root").select("fp", "component_id")
     return rows.join(of_fp, "fp").select(

@@ -4,6 +4,7 @@ import corpus_pipeline as P
 import public_tokenizers
 import pytest
 from cases import DOCS
+from cases import docs as table
 from test_decontaminate import brute as contaminated
 from test_secret_ledger import brute as secret_spans
 from test_simhash_dedup import components, fingerprint
@@ -72,3 +73,35 @@ def test_stages_take_an_empty_table(spark, tables):
     none = spark.createDataFrame([], DOCS)
     for name, step in P.STAGES:
         assert step(spark, none, d).count() == 0, name
+
+
+def rows_of(df):
+    return sorted(((r.doc_id, r.text, r.source) for r in df.collect()), key=repr)
+
+
+def test_near_duplicates_keep_one_row_of_each_group(spark, tables):
+    """Groups of null ids alone, and groups whose least ids are the same, lose nothing."""
+    rng = random.Random(3)
+    a, b, c, d, e = (text(rng, "aa", 60) for _ in range(5))
+    rows = [(None, a), (None, a), (None, b), (5, c), (7, c), (5, d), (9, d), (5, d), (None, e), (3, e)]
+    full = [(i, t, None, f"s{n}", len(t)) for n, (i, t) in enumerate(rows)]
+    want = sorted([(None, a, "s0"), (None, b, "s2"), (5, c, "s3"), (5, d, "s5"), (3, e, "s9")], key=repr)
+    for _ in range(2):
+        rng.shuffle(full)
+        assert rows_of(P.near_duplicates(spark, spark.createDataFrame(full, DOCS).repartition(4), "")) == want
+
+
+@pytest.mark.parametrize("name", ["language", "decontamination", "secrets"])
+def test_rows_of_one_id_have_verdicts_of_their_own(spark, tables, name):
+    d, rows, items = tables
+    rng = random.Random(6)
+    good, other = text(rng, "aa", 40), text(rng, "aa", 40)
+    bad = {"language": "123 456", "decontamination": good + " " + items[0][1], "secrets": good + " token = abcdef0123"}[name]
+    mixed = [(i, t, "aa") for i in (5, None) for t in (good, bad, other, bad, good)]
+    got = dict(P.STAGES)[name](spark, table(spark, mixed), d)
+    assert rows_of(got) == sorted([(i, t, "src") for i in (5, None) for t in (good, other, good)], key=repr)
+
+
+def test_run_keeps_null_ids(spark, tables):
+    d, _, _ = tables
+    assert [r.piece for r in P.run(spark, d).collect() if r.doc_id is None] == [0]
