@@ -196,17 +196,21 @@ def training_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words
     """(language, word, times) from a bounded sample of labelled documents:
     ``sample_docs`` whole documents of each of the ``SAMPLE_LANGUAGES`` most
     frequent languages, and ``sample_words`` of their distinct words, chosen
-    by hash.  docs: ``doc_id, text, lang`` of the rows to learn from."""
-    named = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = named.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(SAMPLE_LANGUAGES)
+    by hash.  A document is an id (null too) and a text; its copies count
+    once.  docs: ``doc_id, text, lang`` of the rows to learn from."""
+    named = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        "lang", "text", F.xxhash64("doc_id", "text").alias("doc"))
+    langs = (named.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("doc").alias("n_docs"))
+             .orderBy(F.desc("n"), "lang").limit(SAMPLE_LANGUAGES))
     # about twice as many as are needed, by hash, so that the ranking sees few rows however many tasks there are
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    near = (named.select("doc_id", "lang").join(F.broadcast(langs), "lang")  # at most SAMPLE_LANGUAGES rows
-            .filter(share * F.col("n") < 2 * sample_docs + 20))
-    order = Window.partitionBy("lang").orderBy(share, "doc_id")
+    share = F.pmod("doc", F.lit(1 << 40)) / float(1 << 40)
+    near = (named.select("doc", "lang").join(F.broadcast(langs), "lang")  # at most SAMPLE_LANGUAGES rows
+            .filter(share * F.col("n_docs") < 2 * sample_docs + 20).select("doc", "lang").distinct())
+    order = Window.partitionBy("lang").orderBy(share, "doc")
     chosen = (near.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample_docs)
-              .select("doc_id", "lang").distinct())
-    seen = (named.join(F.broadcast(chosen), ["doc_id", "lang"])  # at most sample_docs * SAMPLE_LANGUAGES ids
+              .select("doc", "lang"))
+    seen = (named.join(F.broadcast(chosen), ["doc", "lang"])  # at most sample_docs * SAMPLE_LANGUAGES documents
+            .groupBy("lang", "doc").agg(F.first("text").alias("text"))
             .select("lang", F.explode(F.regexp_extract_all(F.translate("text", ascii_uppercase, ascii_lowercase),
                                                            F.lit(WORD), F.lit(0))).alias("word"))
             .groupBy("lang", "word").count())

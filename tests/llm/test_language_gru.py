@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 from cases import docs
 
-from stellate.llm.language_gru import BiGRU, identify_languages, train
+from stellate.llm.language_gru import BiGRU, identify_languages, train, training_words
 
 
 def held_out(i, n=5, fold=0):
@@ -82,3 +82,20 @@ def test_a_word_counts_by_its_positions():
     long = bytes(range(97, 120)) * 4
     total = net.word_sums([long, b"abc"])
     assert abs(total[0].sum() - len(long)) < 1e-3 and abs(total[1].sum() - 3) < 1e-3
+
+
+def test_null_ids_are_learned_from(spark):
+    """More rows with a null id than the sample holds, all texts their own; copies take one place."""
+    rows = [(None if lang == "aa" else i, t, lang) for i, t, lang in corpus(300)]
+    rows += [(None, rows[0][1], "aa")] * 100
+    got = identify_languages(docs(spark, rows), sample_docs=40).collect()
+    assert len(got) == 400
+    assert np.mean([r.lang_pred == "aa" for r in got if r.doc_id is None]) >= 0.98
+    assert np.mean([r.lang_pred != "aa" for r in got if r.doc_id is not None]) >= 0.98
+
+
+def test_one_id_with_many_texts_is_one_document_each(spark):
+    rows = [(7, t, lang) for _, t, lang in corpus(300) if lang == "aa"]
+    sample = training_words(docs(spark, rows).select("doc_id", "text", "lang"), sample_docs=5)
+    assert {w for _, w, _ in sample} < {w for _, t, _ in rows for w in t.split()}
+    assert sum(n for _, _, n in sample) <= 5 * 60
