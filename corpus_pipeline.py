@@ -21,7 +21,9 @@ from stellate.llm.language_gru import UNKNOWN, identify_languages
 from stellate.llm.secret_ledger import find_secrets
 from stellate.llm.simhash_dedup import group_firsts
 
-LEAST_LANGUAGE_SCORE = 0.4  # a document whose pooled probability is below isn't in a language that was learned
+#: No bound but the operator's own ``und``: short texts, and words that many
+#: languages share, pool to a low probability in the right language as well.
+LEAST_LANGUAGE_SCORE = 0.0
 
 
 KEY = "pipeline_row_key"
@@ -37,7 +39,8 @@ def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or in no learned language, go."""
+    """Documents without a letter go, and all if no language can be learned.  A
+    language that wasn't learned isn't told from those that were: it stays."""
     found = identify_languages(_keyed(docs), key_col=KEY)
     return _kept(docs, found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)))
 

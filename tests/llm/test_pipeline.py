@@ -105,3 +105,13 @@ def test_rows_of_one_id_have_verdicts_of_their_own(spark, tables, name):
 def test_run_keeps_null_ids(spark, tables):
     d, _, _ = tables
     assert [r.piece for r in P.run(spark, d).collect() if r.doc_id is None] == [0]
+
+
+def test_language_keeps_documents_with_a_low_score(spark):
+    """Words that many languages share pool to a low probability in each of them."""
+    rng = random.Random(2)
+    langs = [f"l{n}" for n in range(8)]
+    rows = [(i, text(rng, "aa", 30), langs[i % 8]) for i in range(160)]
+    scores = [r.score for r in identify_languages(table(spark, rows)).collect()]
+    assert min(scores) < 0.4
+    assert rows_of(P.language(spark, table(spark, rows), "")) == sorted([(i, t, "src") for i, t, _ in rows], key=repr)
