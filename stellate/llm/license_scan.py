@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stellate.llm.common import join_grouped
+from stellate.llm.license_texts import more_licenses
+
 # fixed values: licence texts and one-line notices, as their owners publish them
 PERMISSION_MIT = """MIT License
 
@@ -30,6 +33,12 @@ Permission to use, copy, modify, and/or distribute this software for any purpose
 
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
 LICENSES = (
+    *more_licenses(),
+    *[("MIT", PERMISSION_MIT.replace("MIT License", title, 1)) for title in ("", "The MIT License", "The MIT License (MIT)")],
+    *[("ISC", PERMISSION_ISC.replace("ISC License", title, 1)) for title in ("", "The ISC License", "ISC License (ISC)")],
+    *[("0BSD", PERMISSION_ISC.replace("ISC License", title, 1).replace(
+        ", provided that the above copyright notice and this permission notice appear in all copies", ""))
+      for title in ("", "BSD Zero Clause License", "Zero-Clause BSD", "BSD 0-Clause License")],
     ("MIT", PERMISSION_MIT),
     ("ISC", PERMISSION_ISC),
     ("MIT", "Released under the MIT License."),
@@ -90,10 +99,11 @@ def scan_licenses(docs: DataFrame, licenses: DataFrame, id_col: str = "doc_id",
     rows = lines.select("doc_id", digest(F.array_join("lines", "  ")).alias("text_digest"), F.xxhash64("lines").alias("form"), "lines")
     units = (rows.select("doc_id", "text_digest", "form", F.posexplode("lines").alias("place", "line"))
              .select("doc_id", "text_digest", "form", "place", digest(F.col("line")).alias("unit")))
-    notices = (units.join(known, "unit").groupBy("doc_id", "text_digest", "form")
+    notices = (join_grouped(units, known, ["unit"]).groupBy("doc_id", "text_digest", "form")
                .agg(F.count_distinct("place").alias("lines_found"), F.array_sort(F.collect_set("license")).alias("found")))
     whole = known.select(F.col("unit").alias("text_digest"), "license")
-    left, right = rows.select("doc_id", "text_digest", "form").join(whole, "text_digest", "left").alias("l"), notices.alias("r")
+    named = join_grouped(rows.select("doc_id", "text_digest", "form"), whole, ["text_digest"], "left")
+    left, right = named.alias("l"), notices.alias("r")
     return left.join(right, F.expr("l.doc_id <=> r.doc_id AND l.text_digest = r.text_digest AND l.form = r.form"), "left").select(
         "l.doc_id", "l.text_digest", "l.license", F.coalesce("r.lines_found", F.lit(0)).cast("bigint").alias("n_notices"),
         F.coalesce(F.array_join("r.found", ","), F.lit("")).alias("notices"))

@@ -1,9 +1,11 @@
+import os
 import re
 from collections import Counter
 
 from cases import docs
 
 from stellate.llm.license_scan import LICENSES, PERMISSION_MIT, SPELLINGS, known_licenses, scan_licenses
+from stellate.llm.license_texts import BSD_2, BSD_NO_NAME, BSL, FOLDER, UNLICENSE, WARRANTY_BSD, ZLIB
 
 
 def canonical(text):
@@ -44,3 +46,24 @@ def test_empty_tables(spark):
     assert scan_licenses(docs(spark, []), none).collect() == []
     r = scan_licenses(docs(spark, [(1, "")]), spark.createDataFrame([("E", "...")], "license string, text string")).first()
     assert (r.license, r.n_notices, r.notices) == (None, 0, "")
+
+
+def test_common_licenses_are_known(spark):
+    def filed(name):
+        with open(os.path.join(FOLDER, f"{name}.txt")) as f:
+            return f.read()
+    whole = {n: filed(n) for n in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0")}
+    whole["BSD-3-Clause"] = ("Copyright (c) 2020, J. Doe\nAll rights reserved.\n\n" + BSD_2 + BSD_NO_NAME.format(owner="copyright holder")
+                             + WARRANTY_BSD)
+    whole |= {"BSD-2-Clause": "BSD 2-Clause License\n\nCopyright (c) 2021 X\n\n" + (BSD_2 + WARRANTY_BSD).replace(" ", "\n  ", 9),
+              "Unlicense": UNLICENSE, "Zlib": "Copyright (C) 1 Y\n\n" + ZLIB, "BSL-1.0": BSL,
+              "MIT": PERMISSION_MIT.replace("MIT License", "The MIT License (MIT)")}
+    notices = {"Distributed under the MIT license": "MIT", "# SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+               "// SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0", "SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause",
+               "Released under the GPL v3 or later.": "GPL-3.0-or-later", "This project is licensed under the terms of the MIT license.": "MIT",
+               "Licensed under the Apache License, Version 2.0 (the \"License\");": "Apache-2.0",
+               "This work is licensed under a licence of its own.": "", "Licensed under the GNU LGPL v2.1": "LGPL-2.1"}
+    rows = [(i, t) for i, t in enumerate([*whole.values(), *(f"Some words.\n{n}\nMore." for n in notices)])]
+    got = {r.doc_id: r for r in scan_licenses(docs(spark, rows), known_licenses(spark)).collect()}
+    assert [got[i].license for i in range(len(whole))] == list(whole)
+    assert [got[len(whole) + i].notices for i in range(len(notices))] == list(notices.values())
