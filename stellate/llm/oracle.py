@@ -5,6 +5,7 @@ from __future__ import annotations
 from stellate.llm.license_scan import LICENSES, SPELLINGS
 
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # A-Z only: lower() of ASCII is the same, other characters stay
@@ -99,10 +100,24 @@ WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS
 SELECT query_id, rank, vec_id, score FROM o WHERE rank <= 5
 """
 
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_AZ.format("coalesce(text, '')")}, '{TERM}') AS w FROM documents),
+     s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_all FROM d WHERE len(w) > 0),
+     q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_AZ.format("coalesce(text, '')")}, '{TERM}')) AS term FROM benchmark),
+     p AS (SELECT r, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d),
+     f AS (SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM p JOIN (SELECT DISTINCT term FROM q) USING (term) GROUP BY ALL),
+     g AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS wt FROM f, s GROUP BY term),
+     i AS (SELECT r, doc_id, term, wt * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_all))) AS x FROM f JOIN g USING (term), s),
+     o AS (SELECT item_id, r, doc_id, sum(x)::BIGINT AS score FROM q JOIN i USING (term) GROUP BY ALL HAVING sum(x) > 0),
+     k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score FROM o)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50
+"""
+
 LLM_ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": OP3,
     "op4_decontamination": OP4,
     "op5_license_scan": OP5,
     "op6_secret_scan": OP6,
     "op8_exact_topk": OP8,
+    "op11_ranked_search": OP11,
 }

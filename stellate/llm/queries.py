@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 import corpus_pipeline
+import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from stellate.llm.bestfit_packing import pack_documents
 from stellate.llm.common import read, stage_path
@@ -11,7 +15,10 @@ from stellate.llm.decontaminate import find_contamination
 from stellate.llm.exact_topk import exact_top_k
 from stellate.llm.language_gru import identify_languages
 from stellate.llm.license_scan import known_licenses, scan_licenses
+from stellate.llm.max_sketch_search import ranked_search
+from stellate.llm.mixture_packing import mix_documents
 from stellate.llm.oracle import LLM_ORACLE_SQL  # noqa: F401
+from stellate.llm.periodic_runs import periodic_runs
 from stellate.llm.quality_pu import score_quality
 from stellate.llm.secret_ledger import find_secrets
 from stellate.llm.simhash_dedup import simhash_groups
@@ -59,6 +66,42 @@ def op10_language_id(spark, d):
     return identify_languages(read(spark, d, "documents"))
 
 
+def op11_ranked_search(spark, d):
+    return ranked_search(read(spark, d, "documents"), read(spark, d, "benchmark"))
+
+
+def periodic_tail(code: np.ndarray, doc_id) -> np.ndarray | None:
+    """The words of one document in ten, by a checksum of its id, with a tail that repeats (no id: unchanged)."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n = len(code)
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return np.concatenate([code[:a], code[a + np.arange(n - a) % p]])
+
+
+def op12_periodic_runs(spark, d):
+    found = periodic_runs(read(spark, d, "documents"), rewrite=periodic_tail)
+    # the longest run, ties: least start, then period
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("rest"), r["start"].alias("start"),
+                                                                 r["period"].alias("period"))))
+    line = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                                                  r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("longest.start").alias("start"),
+        (-F.col("longest.rest")).alias("length"), F.col("longest.period").alias("period"),
+        F.expr("(-1000 * longest.rest) div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_mixture_packing(spark, d):
+    pieces = mix_documents(read(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
+
+
 LLM_QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_classifier": op2_quality_classifier,
@@ -70,5 +113,8 @@ LLM_QUERIES = {
     "op8_exact_topk": op8_exact_topk,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_language_id": op10_language_id,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_mixture_packing": op13_mixture_packing,
     "pipeline": corpus_pipeline.run,
 }

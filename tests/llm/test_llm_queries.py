@@ -24,6 +24,11 @@ CONTRACT = {
     "op8_exact_topk": "query_id bigint, rank int, vec_id bigint, score bigint",
     "op9_simhash_dedup": "doc_id bigint, fingerprint string, component_id bigint",
     "op10_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op11_ranked_search": "item_id bigint, rank int, doc_id bigint, score bigint",
+    "op12_periodic_runs": ("doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, "
+                           "runs_sha256 string, collapsed_sha256 string"),
+    "op13_mixture_packing": ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
+                             "offset bigint, source string"),
 }
 
 
@@ -37,8 +42,8 @@ def test_query(spark, duck, name):
     df = LLM_QUERIES[name](spark, SF_SMALL)
     assert [f"{c} {t}" for c, t in df.dtypes] == CONTRACT[name].split(", ")
     rows = [tuple(r) for r in df.collect()]
-    assert len(rows) >= duck.execute("SELECT count(*) FROM " + ("documents" if name != "op8_exact_topk" else
-                                                                "embeddings WHERE vec_id % 50 = 0")).fetchone()[0]
+    assert len(rows) >= duck.execute("SELECT count(*) FROM " + {
+        "op8_exact_topk": "embeddings WHERE vec_id % 50 = 0", "op11_ranked_search": "benchmark"}.get(name, "documents")).fetchone()[0]
     if name in LLM_ORACLE_SQL:
         cur = duck.execute(LLM_ORACLE_SQL[name])
         cols = [c[0] for c in cur.description]
