@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from stellate.functions.predicates import binary_changed, changed
 from stellate.functions.sizes import measured_bytes, parse_bytes
+from stellate.sources.publish import checkpoint_table
 
 ACTION = "merge_action"
 INSERT, UPDATE, DELETE, KEEP = "INSERT", "UPDATE", "DELETE", "KEEP"
@@ -132,6 +133,26 @@ def merge_actions(target: DataFrame, source: DataFrame, keys, tracked=None,
     return j.select(*keys, action.alias(ACTION), "t", "s")
 
 
+def split_new(actions: DataFrame, strategy: str) -> tuple[DataFrame, DataFrame]:
+    """Inserts and updates, staged in the shared folder, and all other actions.
+
+    What reads both runs the merge once: after a ``shuffle`` merge all actions
+    are staged; after a ``broadcast`` merge, which shuffles nothing of the
+    target, the new rows alone (at most one per source row and matched target
+    row), and the others come from a second scan of the target."""
+    new = F.col(ACTION).isin(INSERT, UPDATE)
+    if strategy == "shuffle":
+        staged = checkpoint_table(actions, "merge-actions")
+        return staged.filter(new), staged.filter(~new)
+    return checkpoint_table(actions.filter(new), "merge-new"), actions.filter(~new)
+
+
+def with_new_keys(new: DataFrame, target: DataFrame, order_cols: list, sk_col: str) -> DataFrame:
+    """Staged new rows with surrogate keys above the target's largest for those that lack one."""
+    from stellate.operators.keys import fill_surrogate_keys, max_key
+    return fill_surrogate_keys(new, order_cols, sk_col, base=max_key(target, sk_col))
+
+
 def scd1(target: DataFrame, source: DataFrame, keys, tracked=None,
          null_mode: str = "sentinel", delete_missing: bool = True,
          actions: DataFrame | None = None, sk_col: str | None = None) -> DataFrame:
@@ -140,10 +161,17 @@ def scd1(target: DataFrame, source: DataFrame, keys, tracked=None,
     columns are kept for matched rows and NULL for inserts; with ``sk_col``
     inserted keys get surrogate keys above the target's maximum (deleted
     keys' numbers are never reused)."""
+    return scd1_load(target, source, keys, tracked, null_mode, delete_missing, actions, sk_col, with_feed=False)[0]
+
+
+def scd1_load(target: DataFrame, source: DataFrame, keys, tracked=None, null_mode: str = "sentinel",
+              delete_missing: bool = True, actions: DataFrame | None = None, sk_col: str | None = None,
+              with_feed: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """The dimension that ``scd1`` gives, and the load's feed with both images
+    (see ``operators.feed``)."""
     keys = _as_list(keys)
-    a = actions if actions is not None else merge_actions(target, source, keys, tracked, null_mode)
-    if delete_missing:
-        a = a.filter(F.col(ACTION) != DELETE)
+    strategy = choose_strategy(source) if actions is None else "shuffle"
+    a = actions if actions is not None else merge_actions(target, source, keys, tracked, null_mode, strategy=strategy)
     take_s = F.col(ACTION).isin(INSERT, UPDATE)
     s_cols = set(source.columns)
     out = []
@@ -154,13 +182,30 @@ def scd1(target: DataFrame, source: DataFrame, keys, tracked=None,
             out.append(F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         else:
             out.append(F.col(f"t.{c}").alias(c))
-    result = a.select(*out)
+    return finish_load(a, out, target, keys, strategy, sk_col, with_feed, delete_missing)
+
+
+def finish_load(a: DataFrame, out: list, target: DataFrame, keys: list, strategy: str, sk_col: str | None,
+                with_feed: bool, delete_missing: bool, split: tuple | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of a one-row-per-key dimension from its actions (``out``: the new
+    columns), new rows numbered, and the feed; the merge runs once."""
+    if sk_col is None and not with_feed:
+        return (a.filter(F.col(ACTION) != DELETE) if delete_missing else a).select(*out), None
+    from stellate.operators.feed import image_feed
+    new, rest = split or split_new(a, strategy)
+    new = new.select(*out, ACTION, "t")
     if sk_col is not None:
-        from stellate.operators.keys import fill_surrogate_keys, max_key, single_task_bound
-        # inserts are at most one per source row: count the source, not the merge
-        result = fill_surrogate_keys(result, keys, sk_col, base=max_key(target, sk_col),
-                                     strategy=single_task_bound(source))
-    return result
+        new = with_new_keys(new, target, keys, sk_col)
+        if with_feed:  # numbered once, for the rows and for the feed
+            new = checkpoint_table(new, "merge-numbered")
+    rows = new.select(*target.columns).unionByName(
+        (rest.filter(F.col(ACTION) != DELETE) if delete_missing else rest).select(*out))
+    if not with_feed:
+        return rows, None
+    feed = image_feed(new, keys, target.columns)
+    if delete_missing:
+        feed = feed.unionByName(image_feed(rest.filter(F.col(ACTION) == DELETE).select(*out, ACTION, "t"), keys, target.columns))
+    return rows, feed
 
 
 def change_feed(actions: DataFrame, keys, source_cols, include=(INSERT, UPDATE, DELETE)) -> DataFrame:

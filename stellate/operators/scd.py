@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from stellate.functions.dates import date_key_str
 from stellate.functions.predicates import col_changed
-from stellate.operators.keys import fill_surrogate_keys, max_key, single_task_bound
-from stellate.operators.merge import ACTION, DELETE, INSERT, UPDATE, _as_list, choose_strategy, merge_actions
+from stellate.operators.merge import (
+    ACTION, DELETE, INSERT, UPDATE, _as_list, choose_strategy, finish_load, merge_actions, split_new, with_new_keys,
+)
+from stellate.sources.publish import checkpoint_table
 
 
 def _date_lit(d) -> F.Column:
@@ -87,9 +89,22 @@ def scd2(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-0
     output rows of a joined row come out of one ``explode`` -- the join runs
     once, with no cache.
     """
+    return scd2_load(target, source, keys, tracked, as_of, null_mode, binary_mode, current_col, eff_col, ineff_col,
+                     close_missing, actions, sk_col, with_closed, with_feed=False)[0]
+
+
+def scd2_load(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-01-01",
+              null_mode: str = "sentinel", binary_mode: str = "digest",
+              current_col: str = "is_current", eff_col: str = "effective_date",
+              ineff_col: str = "ineffective_date", close_missing: bool = False,
+              actions: DataFrame | None = None, sk_col: str | None = None, with_closed: bool = True,
+              with_feed: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """The dimension that ``scd2`` gives, and the load's feed (see
+    ``operators.feed``): per key its current version before and after."""
     keys = _as_list(keys)
+    strategy = choose_strategy(source) if actions is None else "shuffle"
     a = actions if actions is not None else scd2_actions(
-        target, source, keys, tracked, null_mode, binary_mode, current_col)
+        target, source, keys, tracked, null_mode, binary_mode, current_col, strategy)
     as_of_c = _date_lit(as_of)
     yesterday = F.date_sub(as_of_c, 1)
     s_cols = set(source.columns)
@@ -119,16 +134,30 @@ def scd2(target: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-0
     emit_new = F.col(ACTION).isin(INSERT, UPDATE)
     rows = F.array_compact(F.array(F.when(emit_old, F.struct(*old_img)),
                                    F.when(emit_new, F.struct(*new_img))))
-    merged = a.select(F.explode(rows).alias("_v")).select("_v.*")
+    def versions(some: DataFrame) -> DataFrame:
+        return some.select(F.explode(rows).alias("_v")).select("_v.*")
+
+    feed = None
+    if sk_col is None and not with_feed:
+        merged = versions(a)
+    else:
+        new, rest = split_new(a, strategy)
+        opened = new.select(*new_img, ACTION, "t")
+        if sk_col is not None:
+            opened = with_new_keys(opened, target, keys + [eff_col], sk_col)
+            if with_feed:
+                opened = checkpoint_table(opened, "merge-numbered")
+        merged = (new.filter(emit_old).select(*old_img).unionByName(opened.select(*target.columns)).unionByName(versions(rest)))
+        if with_feed:
+            from stellate.operators.feed import image_feed
+            feed = image_feed(opened, keys, target.columns)
+            if close_missing:
+                gone = rest.filter(expire)
+                feed = feed.unionByName(image_feed(gone.select(*old_img, ACTION, "t"), keys, target.columns))
     if _has_marker(a) and with_closed:  # closed versions bypassed the join
         closed = target.filter(~F.coalesce(F.col(current_col), F.lit(False)))
         merged = closed.unionByName(merged)
-    if sk_col is not None:
-        # new versions are at most one per source row: count the (small)
-        # source instead of re-running the merge to count them
-        merged = fill_surrogate_keys(merged, keys + [eff_col], sk_col, base=max_key(target, sk_col),
-                                     strategy=single_task_bound(source))
-    return merged
+    return merged, feed
 
 
 def _has_marker(actions: DataFrame) -> bool:
@@ -194,11 +223,17 @@ def scd3(target: DataFrame, source: DataFrame, keys, tracked=None, previous=None
     ``yyyyMMdd`` text; otherwise both keep their values.  With ``sk_col``
     inserted keys get surrogate keys above the target's maximum, in key order.
     """
+    return scd3_load(target, source, keys, tracked, previous, as_of, null_mode, delete_missing, actions, sk_col, with_feed=False)[0]
+
+
+def scd3_load(target: DataFrame, source: DataFrame, keys, tracked=None, previous=None, as_of="2002-01-01",
+              null_mode: str = "sql", delete_missing: bool = False, actions: DataFrame | None = None,
+              sk_col: str | None = None, with_feed: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """The dimension that ``scd3`` gives, and the load's feed with both images."""
     keys = _as_list(keys)
     previous = previous or {}
-    a = actions if actions is not None else merge_actions(target, source, keys, tracked, null_mode)
-    if delete_missing:
-        a = a.filter(F.col(ACTION) != DELETE)
+    strategy = choose_strategy(source) if actions is None else "shuffle"
+    a = actions if actions is not None else merge_actions(target, source, keys, tracked, null_mode, strategy=strategy)
     dtypes = {f.name: f.dataType for f in source.schema.fields}
     upd = F.col(ACTION) == UPDATE
     ins = F.col(ACTION) == INSERT
@@ -221,14 +256,7 @@ def scd3(target: DataFrame, source: DataFrame, keys, tracked=None, previous=None
             out.append(F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         else:
             out.append(F.col(f"t.{c}").alias(c))
-    return _numbered(a.select(*out), target, source, keys, sk_col)
-
-
-def _numbered(result: DataFrame, target: DataFrame, source: DataFrame, keys: list, sk_col: str | None) -> DataFrame:
-    """Keys for inserted rows; they are at most one per source row."""
-    if sk_col is None:
-        return result
-    return fill_surrogate_keys(result, keys, sk_col, base=max_key(target, sk_col), strategy=single_task_bound(source))
+    return finish_load(a, out, target, keys, strategy, sk_col, with_feed, delete_missing)
 
 
 def scd4(current: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-01-01",
@@ -241,8 +269,18 @@ def scd4(current: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-
     image, its ``valid_from`` and ``valid_to = as_of - 1 day``.  With
     ``sk_col`` inserted keys get surrogate keys above the table's maximum.
     """
+    rows, _, history = scd4_load(current, source, keys, tracked, as_of, null_mode, valid_from_col, valid_to_col, actions,
+                                 sk_col, with_feed=False)
+    return rows, history
+
+
+def scd4_load(current: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-01-01",
+              null_mode: str = "null_safe", valid_from_col: str = "valid_from", valid_to_col: str = "valid_to",
+              actions: DataFrame | None = None, sk_col: str | None = None, with_feed: bool = True):
+    """``(new_current, feed, history_rows)`` of an ``scd4`` load."""
     keys = _as_list(keys)
-    a = actions if actions is not None else merge_actions(current, source, keys, tracked, null_mode)
+    strategy = choose_strategy(source) if actions is None else "shuffle"
+    a = actions if actions is not None else merge_actions(current, source, keys, tracked, null_mode, strategy=strategy)
     as_of_c = _date_lit(as_of)
     take_s = F.col(ACTION).isin(INSERT, UPDATE)
     s_cols = set(source.columns)
@@ -262,6 +300,8 @@ def scd4(current: DataFrame, source: DataFrame, keys, tracked=None, as_of="2002-
             cur_cols.append(F.col(f"t.{c}").alias(c))
             hist_cols.append(F.col(f"t.{c}").alias(c))
     hist_cols.append(F.date_sub(as_of_c, 1).alias(valid_to_col))
-    new_current = _numbered(a.select(*cur_cols), current, source, keys, sk_col)
-    history = a.filter(F.col(ACTION) == UPDATE).select(*hist_cols)
-    return new_current, history
+    if sk_col is None and not with_feed:
+        return a.select(*cur_cols), None, a.filter(F.col(ACTION) == UPDATE).select(*hist_cols)
+    new, rest = split_new(a, strategy)  # staged: the history reads it too
+    rows, feed = finish_load(a, cur_cols, current, keys, strategy, sk_col, with_feed, False, (new, rest))
+    return rows, feed, new.filter(F.col(ACTION) == UPDATE).select(*hist_cols)

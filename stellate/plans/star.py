@@ -152,7 +152,7 @@ def small(dim: DataFrame) -> DataFrame:
 
 
 def fact_order_lines(spark, sf_dir, dims: dict | None = None, lines: DataFrame | None = None,
-                     how: str = "inner") -> DataFrame:
+                     how: str = "inner", keep_lines: bool = False) -> DataFrame:
     """Order-line fact.  Plan shape: order-level lookups on ``orders``, one
     sort-merge join of lines to orders on the order key, then the line-level
     lookups (product, employee).  Existence filters (category, territory)
@@ -161,7 +161,8 @@ def fact_order_lines(spark, sf_dir, dims: dict | None = None, lines: DataFrame |
     ``dims`` may supply already-published dimensions (keys ``customers``,
     ``shippers``, ``products``, ``employees``); missing ones are built.
     ``lines`` is the batch (default: all lines); ``how="left"`` keeps lines
-    without a match, with NULL keys."""
+    without a match, with NULL keys; ``keep_lines`` adds the source line as
+    the struct ``line``."""
     dims = dims or {}
     li = lines if lines is not None else td.table(spark, sf_dir, "lineitem")
     li = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -187,4 +188,5 @@ def fact_order_lines(spark, sf_dir, dims: dict | None = None, lines: DataFrame |
                     F.col("l_quantity").cast("bigint").alias("quantity"),
                     F.col("l_extendedprice").cast("decimal(19,4)").alias("line_price"),
                     "list_price",
-                    F.col("l_discount").alias("discount")))
+                    F.col("l_discount").alias("discount"),
+                    *([F.struct(*[F.col(c) for c in li.columns]).alias("line")] if keep_lines else [])))

@@ -3,28 +3,34 @@
 Spark refuses to overwrite a table it is reading from, and a failed
 overwrite would leave a half-written table.  Instead every load writes new
 folders, the audits run against what was written, and only then a new entry
-is created in the table's pointer folder.  An entry is one small file named
-by its version (``_current/<version>``); it lists the folders that make up the
-snapshot, their schema, rows and bytes.  The current snapshot is the
-greatest version.  Nothing is deleted or overwritten, so a reader always
-finds a complete snapshot; old ones stay until a retention job removes them.
-
-Entries are created exclusively: of two loads that would both publish the
-version after the one they read, the second fails (``ConcurrentPublish``)
-instead of undoing the first.  Only a missing pointer folder counts as "no
-table yet"; anything that can't be read raises.
+is put into the table's pointer folder.  An entry is one small file named by
+its version (``_current/<version>``); it lists the folders that make up the
+snapshot, their schema, rows and bytes.  The current snapshot is the greatest
+version.  Nothing is overwritten, so a reader always finds a complete
+snapshot; ``removable`` lists what no kept version needs any more.
+
+An entry is written aside and then put in place under exactly the version
+after the one that the load read, by a step that fails if that name exists: of
+two loads from one snapshot the second fails (``ConcurrentPublish``) instead
+of undoing the first.  The step is a hard link on a local disk and a rename
+that doesn't overwrite elsewhere, which is atomic on HDFS; an object store
+needs a connector whose rename is a conditional put.  An entry that another
+program left empty blocks its version until ``repair``.  Only a missing
+pointer folder counts as "no table yet"; anything that can't be read raises.
 
 A snapshot may keep folders of the one before (``keep``): an append adds a
 folder, and a versioned dimension keeps its closed history untouched while
-only the current versions are written again.
+only the current versions are written again.  A chain of folders is read as
+one scan, and ``compact`` folds small ones together.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -45,7 +51,10 @@ class ConcurrentPublish(RuntimeError):
 @dataclass(frozen=True)
 class Snapshot:
     """A published state of a table: ``head`` is read whole; of the folders in
-    ``tail`` the rows whose ``flag`` column isn't true (all rows without a flag)."""
+    ``tail`` the rows whose ``flag`` column isn't true (all rows without a flag).
+
+    ``sizes`` has ``(folder, rows, bytes, partition columns)`` of each folder.
+    ``feed`` is the folder of the changes against the version before."""
 
     version: int
     head: str
@@ -55,6 +64,22 @@ class Snapshot:
     rows: int
     bytes: int
     catalog: str | None = None
+    sizes: tuple = ()
+    feed: str | None = None
+    feed_schema: str | None = None
+    feed_keys: tuple = ()
+
+    @property
+    def folders(self) -> tuple:
+        return (self.head, *self.tail)
+
+    def entry(self) -> dict:
+        return {k: v for k, v in asdict(self).items() if k != "version"}
+
+    @staticmethod
+    def of(version: int, e: dict) -> "Snapshot":
+        return Snapshot(version, e["head"], tuple(e["tail"]), e["flag"], e["schema"], e["rows"], e["bytes"], e["catalog"],
+                        tuple(tuple(x) for x in e.get("sizes", ())), e.get("feed"), e.get("feed_schema"), tuple(e.get("feed_keys", ())))
 
 
 def warehouse_root(spark: SparkSession) -> str:
@@ -93,16 +118,59 @@ def _versions(spark: SparkSession, table: str, root: str) -> dict[int, int]:
     return found
 
 
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create ``path`` with ``text``, whole or not at all; False if it exists."""
+    fs, p = _fs(spark, path)
+    _, aside = _fs(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            os.link(aside.toUri().getPath(), p.toUri().getPath())
+        else:
+            hadoop = spark._jvm.org.apache.hadoop.fs
+            none = spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
+            none[0] = hadoop.Options.Rename.NONE
+            hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(aside, p, none)
+    except FileExistsError:
+        return False
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in str(e.java_exception):
+            raise
+        return False
+    finally:
+        fs.delete(aside, False)
+    return True
+
+
 def _entry(spark: SparkSession, table: str, root: str, version: int) -> Snapshot:
     text = spark.read.text(f"{root}/{table}/{POINTER}/{version:020d}", wholetext=True).first()[0]
-    e = json.loads(text)
-    return Snapshot(version, e["head"], tuple(e["tail"]), e["flag"], e["schema"], e["rows"], e["bytes"], e["catalog"])
+    return Snapshot.of(version, json.loads(text))
+
+
+def snapshot_at(spark: SparkSession, table: str, version: int, root: str | None = None) -> Snapshot:
+    """A published version of a table."""
+    return _entry(spark, table, root or warehouse_root(spark), version)
+
+
+def repair(spark: SparkSession, table: str, root: str | None = None) -> list[int]:
+    """Remove entries that were created and never written; their versions.
+    Run it only when no load of the table is under way."""
+    root = root or warehouse_root(spark)
+    empty = sorted(v for v, size in _versions(spark, table, root).items() if not size)
+    for v in empty:
+        fs, p = _fs(spark, f"{root}/{table}/{POINTER}/{v:020d}")
+        fs.delete(p, False)
+    return empty
 
 
 def current_snapshot(spark: SparkSession, table: str, root: str | None = None) -> Snapshot | None:
     """The newest snapshot; None if the table was never published."""
     root = root or warehouse_root(spark)
-    done = [v for v, size in _versions(spark, table, root).items() if size]
+    done = [v for v, size in _versions(spark, table, root).items() if size]  # 0 bytes: never written
     return _entry(spark, table, root, max(done)) if done else None
 
 
@@ -110,6 +178,17 @@ def _part(spark: SparkSession, root: str, table: str, folder: str, schema: T.Str
     return spark.read.schema(schema).parquet(f"{root}/{table}/{folder}").select(*schema.names)
 
 
+def _scan(spark: SparkSession, root: str, table: str, snap: Snapshot, folders, schema: T.StructType) -> list[DataFrame]:
+    """One scan of ``folders``, or one for each way that they are partitioned."""
+    layout = {f: cols for f, _, _, cols in snap.sizes}
+    groups: dict = {}
+    for f in folders:
+        groups.setdefault(layout.get(f), []).append(f"{root}/{table}/{f}")
+    # partitioned folders are partitions (snap=...) of the table's folder
+    return [spark.read.schema(schema).options(**({"basePath": f"{root}/{table}"} if cols else {})).parquet(*paths).select(*schema.names)
+            for cols, paths in groups.items()]
+
+
 def read_snapshot(spark: SparkSession, table: str, snap: Snapshot, root: str | None = None,
                   open_only: bool = False) -> DataFrame:
     """A snapshot's rows; ``open_only`` reads the flagged rows alone (one
@@ -118,12 +197,12 @@ def read_snapshot(spark: SparkSession, table: str, snap: Snapshot, root: str | N
     if snap.catalog and spark.catalog.tableExists(snap.catalog):
         return spark.table(snap.catalog)
     schema = T.StructType.fromJson(json.loads(snap.schema))
+    if not snap.flag:
+        return reduce(DataFrame.unionByName, _scan(spark, root, table, snap, snap.folders, schema))
     head = _part(spark, root, table, snap.head, schema)
     if open_only:
-        return head.filter(F.col(snap.flag)) if snap.flag else head
-    tail = [_part(spark, root, table, f, schema) for f in snap.tail]
-    if snap.flag:
-        tail = [t.filter(~F.col(snap.flag)) for t in tail]
+        return head.filter(F.col(snap.flag))
+    tail = [t.filter(~F.col(snap.flag)) for t in _scan(spark, root, table, snap, snap.tail, schema)]
     return reduce(DataFrame.unionByName, [head, *tail])
 
 
@@ -142,24 +221,10 @@ def read_table(spark: SparkSession, table: str, root: str | None = None, snapsho
     return read_snapshot(spark, table, snap, root)
 
 
-def publish(df: DataFrame, table: str, audits: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
-            root: str | None = None, partition_by=None, bucket_by: tuple | None = None, base=UNCHECKED,
-            keep: Snapshot | None = None, flag: str | None = None) -> int:
-    """Write ``df`` as a new snapshot, audit it, then make it current.
-
-    ``audits`` maps a name to a function returning violating rows of the
-    written data; any violation aborts before the switch, leaving the
-    previous snapshot current.  ``base`` is the snapshot that ``df`` was
-    computed from (None: there was none); if another one is current by then,
-    ``ConcurrentPublish`` is raised.  ``keep`` adds that snapshot's folders to
-    the new one; with ``flag`` (a boolean column that the folders are
-    partitioned by) only their rows that aren't flagged count.
-
-    ``bucket_by=(n, [cols])`` writes the snapshot bucketed and sorted by
-    ``cols`` into ``n`` buckets, registered in the catalog (data stays under
-    ``root``): two tables bucketed the same way on the merge key then merge
-    with no shuffle.  Returns the new version.
-    """
+def prepare(df: DataFrame, table: str, audits: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+            root: str | None = None, partition_by=None, bucket_by: tuple | None = None,
+            keep: Snapshot | None = None, flag: str | None = None, feed: DataFrame | None = None, feed_keys=()) -> Snapshot:
+    """Write and audit a new snapshot (see ``publish``) without making it current."""
     spark = df.sparkSession
     root = root or warehouse_root(spark)
     folder = f"snap={uuid.uuid4().hex}"
@@ -184,33 +249,132 @@ def publish(df: DataFrame, table: str, audits: dict[str, Callable[[DataFrame], D
         failed = sorted(r["audit"] for r in reduce(DataFrame.unionByName, probes).collect())
         if failed:
             raise ValueError(f"publish of {table} aborted: audit {', '.join(failed)} failed")
+    changes = None
+    if feed is not None:
+        changes = f"feed={uuid.uuid4().hex}"
+        feed.write.mode("errorifexists").parquet(f"{root}/{table}/{changes}")
+    rows, size = written.count(), _folder_bytes(spark, path)
+    kept = (keep.rows, keep.bytes) if keep and not flag else (0, 0)
+    return Snapshot(0, folder, keep.folders if keep else (), flag, df.schema.json(), rows + kept[0], size + kept[1], catalog,
+                    ((folder, rows, size, ",".join(partition_by)), *(keep.sizes if keep else ())),
+                    changes, feed.schema.json() if feed is not None else None,
+                    tuple([feed_keys] if isinstance(feed_keys, str) else feed_keys))
+
+
+def _folder_bytes(spark: SparkSession, path: str) -> int:
     fs, p = _fs(spark, path)
-    entry = {"head": folder, "tail": [keep.head, *keep.tail] if keep else [], "flag": flag, "schema": df.schema.json(),
-             "rows": written.count() + (keep.rows if keep and not flag else 0),
-             "bytes": fs.getContentSummary(p).getLength() + (keep.bytes if keep and not flag else 0), "catalog": catalog}
-    return _switch(spark, table, root, entry, base)
+    return fs.getContentSummary(p).getLength()
+
+
+def publish(df: DataFrame, table: str, audits: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+            root: str | None = None, partition_by=None, bucket_by: tuple | None = None, base=UNCHECKED,
+            keep: Snapshot | None = None, flag: str | None = None, feed: DataFrame | None = None, feed_keys=()) -> int:
+    """Write ``df`` as a new snapshot, audit it, then make it current.
 
+    ``audits`` maps a name to a function returning violating rows of the
+    written data; any violation aborts before the switch, leaving the
+    previous snapshot current.  ``base`` is the snapshot that ``df`` was
+    computed from (None: there was none); if another one is current by then,
+    ``ConcurrentPublish`` is raised.  ``keep`` adds that snapshot's folders to
+    the new one; with ``flag`` (a boolean column that the folders are
+    partitioned by) only their rows that aren't flagged count.  ``feed`` (see
+    ``operators.feed``) is stored with the snapshot: the changes against
+    ``base`` by ``feed_keys``.
+
+    ``bucket_by=(n, [cols])`` writes the snapshot bucketed and sorted by
+    ``cols`` into ``n`` buckets, registered in the catalog (data stays under
+    ``root``): two tables bucketed the same way on the merge key then merge
+    with no shuffle.  Returns the new version.
+    """
+    root = root or warehouse_root(df.sparkSession)
+    snap = prepare(df, table, audits, root, partition_by, bucket_by, keep, flag, feed, feed_keys)
+    return switch(df.sparkSession, table, root, snap, base)
 
-def _switch(spark: SparkSession, table: str, root: str, entry: dict, base) -> int:
+
+def switch(spark: SparkSession, table: str, root: str, snap: Snapshot, base=UNCHECKED) -> int:
+    """Make a prepared snapshot current, as the version after ``base``."""
     seen = _versions(spark, table, root)
     current = max((v for v, size in seen.items() if size), default=None)
     if base is not UNCHECKED and current != (base.version if base else None):
         raise ConcurrentPublish(f"{table} is at version {current}, this load read {base.version if base else None}")
-    version = max(seen, default=0) + 1
-    fs, p = _fs(spark, f"{root}/{table}/{POINTER}/{version:020d}")
-    try:
-        out = fs.create(p, False)  # fails if the file exists
-    except Py4JJavaError as e:
-        if "FileAlreadyExists" not in str(e.java_exception):
-            raise
-        raise ConcurrentPublish(f"version {version} of {table} was published meanwhile") from e
-    try:
-        out.write(bytearray(json.dumps(entry).encode()))
-    finally:
-        out.close()
+    version = (current or 0) + 1
+    if not put_new(spark, f"{root}/{table}/{POINTER}/{version:020d}", json.dumps(snap.entry())):
+        raise ConcurrentPublish(f"version {version} of {table} exists; if no load is writing it, run repair")
     return version
 
 
+# ---------------------------------------------------------------- compaction, retention
+
+TIER = 4  # folders of like size (within this factor) that are folded into one
+
+
+def _folds(sizes: list, least: int) -> list[list]:
+    """Groups of folders to fold, by size tiers: whenever ``least`` groups are
+    of one tier they become one of the next.  So a row is rewritten a
+    logarithmic number of times, and a chain keeps a logarithmic number of folders."""
+    groups = [([name], max(1, size)) for name, size in sizes]
+    while True:
+        tiers: dict = {}
+        for g in groups:
+            tiers.setdefault((g[1].bit_length() - 1) // (TIER.bit_length() - 1), []).append(g)
+        full = next((t for _, t in sorted(tiers.items()) if len(t) >= least), None)
+        if full is None:
+            return [names for names, _ in groups if len(names) > 1]
+        groups = [g for g in groups if g not in full] + [([n for names, _ in full for n in names], sum(size for _, size in full))]
+
+
+def compact(spark: SparkSession, table: str, root: str | None = None, least: int = TIER) -> int | None:
+    """Fold the current snapshot's small folders together and publish the same
+    rows; the new version, None if there is nothing to fold.  Of a flagged
+    snapshot the folders of closed rows are folded, and their flagged rows,
+    which no longer count, dropped.  A load that publishes meanwhile makes
+    it fail, and nothing is changed."""
+    root = root or warehouse_root(spark)
+    snap = current_snapshot(spark, table, root)
+    if snap is None or snap.catalog:
+        return None
+    known = {f: (rows, size, cols) for f, rows, size, cols in snap.sizes}
+    parts: dict = {}
+    for f in snap.tail if snap.flag else snap.folders:
+        if f in known:
+            parts.setdefault(known[f][2], []).append((f, known[f][1]))
+    schema = T.StructType.fromJson(json.loads(snap.schema))
+    folders, sizes = list(snap.folders), list(snap.sizes)
+    for cols, members in parts.items():
+        for group in _folds(members, least):
+            [rows] = _scan(spark, root, table, snap, group, schema)
+            folder = f"snap={uuid.uuid4().hex}"
+            w = (rows.filter(~F.col(snap.flag)) if snap.flag else rows).write.mode("errorifexists")
+            (w.partitionBy(*cols.split(",")) if cols else w).parquet(f"{root}/{table}/{folder}")
+            n, size = _part(spark, root, table, folder, schema).count(), _folder_bytes(spark, f"{root}/{table}/{folder}")
+            folders[folders.index(group[0])] = folder
+            folders = [f for f in folders if f not in group]
+            sizes = [x for x in sizes if x[0] not in group] + [(folder, n, size, cols)]
+    if tuple(folders) == snap.folders:
+        return None
+    total = snap.bytes if snap.flag else sum(x[2] for x in sizes if x[0] in folders)
+    empty = T.StructType([]).json()  # nothing changed
+    new = replace(snap, head=folders[0], tail=tuple(folders[1:]), sizes=tuple(sizes), bytes=total, feed="", feed_schema=empty)
+    return switch(spark, table, root, new, snap)
+
+
+def removable(spark: SparkSession, table: str, root: str | None = None, keep_versions: int = 1, pinned=()) -> list[str]:
+    """Folders of superseded versions that neither the newest ``keep_versions``
+    versions nor the ``pinned`` ones (numbers, or snapshots) refer to.  Folders
+    that no version names (a load may be writing them) are never listed;
+    nothing is removed."""
+    root = root or warehouse_root(spark)
+    versions = sorted(v for v, size in _versions(spark, table, root).items() if size)
+    kept = set(versions[-keep_versions:] if keep_versions else []) | {p for p in pinned if isinstance(p, int)}
+    needed, all_of = set(), set()
+    for snap in [_entry(spark, table, root, v) for v in versions] + [p for p in pinned if isinstance(p, Snapshot)]:
+        own = {*snap.folders, *([snap.feed] if snap.feed else [])}
+        all_of |= own
+        if snap.version in kept or any(p is snap for p in pinned):
+            needed |= own
+    return sorted(all_of - needed)
+
+
 def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` to the shared folder and reading it back
     (survives executor loss, unlike a local checkpoint)."""

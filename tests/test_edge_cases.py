@@ -193,8 +193,8 @@ def test_star_pipeline_publishes_audited_tables(spark, tmp_path):
     root = str(tmp_path / "wh")
     snaps = pipeline.run_star(spark, SF_SMALL, root)
     assert set(snaps) == set(pipeline.SUMMARY_KEYS) | {"fact_rejects"}
-    fact = read_table(spark, "fact_order_lines", root)
-    assert fact.count() == 6000 and "order_year" in fact.columns
+    fact = pipeline.read_star(spark, root).table("fact_order_lines")
+    assert fact.count() == 6000 and "ship_year" in fact.columns
     rows = {r["table_name"]: (r["n_rows"], r["n_keys"]) for r in pipeline.summary(spark, root).collect()}
     assert rows["dim_customers"] == (150, 150) and rows["bridge_employee_territory"] == (50, 50)
 

@@ -45,7 +45,7 @@ def test_unmatched_and_rejects(spark):
     u = Q["fact_unmatched"](spark, SF_SMALL)
     got = {r["reason"]: r["count"] for r in u.groupBy("reason").count().collect()}
     assert got == {"NULL_KEY": 79, "ORPHAN": 62}
-    assert _count(spark, "land_rejects") == 47
+    assert _count(spark, "land_rejects") == 96  # 47 customers and 49 keys
     n = Q["land_normalize"](spark, SF_SMALL)
     assert n.filter(F.col("fin")).count() == 493
     assert n.filter(F.col("od").isNull()).count() == 116

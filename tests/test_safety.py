@@ -13,7 +13,9 @@ from stellate.operators.append import append_idempotent, new_rows
 from stellate.operators.merge import change_feed, merge_actions
 from stellate.operators.scd import scd2, scd2_actions, scd2_expired, scd3, scd4
 from stellate.sources import landing
-from stellate.sources.publish import ConcurrentPublish, current_snapshot, publish, read_snapshot, read_table, warehouse_root
+from stellate.sources.publish import (
+    ConcurrentPublish, current_snapshot, publish, put_new, read_snapshot, read_table, repair, warehouse_root,
+)
 from stellate.streaming import merge_loader
 
 AS_OF = dt.date(2002, 1, 1)
@@ -42,13 +44,27 @@ def test_an_unreadable_version_raises(spark, tmp_path):
         current_snapshot(spark, "t", root)
 
 
-def test_an_abandoned_entry_is_skipped(spark, tmp_path):
+def test_an_abandoned_entry_blocks_its_version_until_repair(spark, tmp_path):
     root = str(tmp_path / "wh")
     publish(kv(spark, [(1, "a")]), "t", root=root)
-    (tmp_path / "wh/t/_current/00000000000000000002").write_text("")  # created, never written
+    base = current_snapshot(spark, "t", root)
+    entry = tmp_path / "wh/t/_current/00000000000000000002"
+    entry.write_text("")  # another load created it and has not yet written it, or never will
     assert [r.k for r in read_table(spark, "t", root).collect()] == [1]
-    assert publish(kv(spark, [(2, "b")]), "t", root=root) == 3
+    for how in ({}, {"base": base}):
+        with pytest.raises(ConcurrentPublish):
+            publish(kv(spark, [(2, "b")]), "t", root=root, **how)
+    assert repair(spark, "t", root) == [2] and repair(spark, "t", root) == []
+    assert publish(kv(spark, [(2, "b")]), "t", root=root, base=base) == 2
     assert [r.k for r in read_table(spark, "t", root).collect()] == [2]
+    assert sorted(p.name for p in (tmp_path / "wh/t/_current").iterdir() if not p.name.startswith(".")) == [
+        "00000000000000000001", "00000000000000000002"]
+
+
+def test_an_entry_is_put_whole_or_not_at_all(spark, tmp_path):
+    path = f"{tmp_path}/entries/1"
+    assert put_new(spark, path, "one") and not put_new(spark, path, "two")
+    assert (tmp_path / "entries/1").read_text() == "one"
 
 
 def test_of_two_loads_from_one_snapshot_the_second_fails(spark, tmp_path):
