@@ -141,8 +141,9 @@ def _fingerprinted(src: DataFrame, keys: dict[str, str], shingle: int) -> DataFr
 
 def _rooted(fps: DataFrame, max_distance: int, most: int) -> DataFrame:
     """``fps`` (one row per ``fp``) with the ``root`` of its group."""
-    # a fingerprint becomes 64 variants: small as the table is, it is dealt to as many tasks as a shuffle has
-    dealt = fps.select("fp").repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    # a fingerprint becomes 64 variants: small as the table is, it is dealt to as many tasks as a shuffle has (by
+    # another form of the key: a repartition by the key that it was grouped by would be left out as redundant)
+    dealt = fps.select("fp").repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.bitwise_not("fp"))
     stars = star_components(_links(dealt, max_distance, most), "simhash")
     return (fps.join(stars, fps["fp"] == stars["node"], "left")
             .select(*fps.columns, F.coalesce("root", "fp").alias("root")))
@@ -150,9 +151,10 @@ def _rooted(fps: DataFrame, max_distance: int, most: int) -> DataFrame:
 
 def group_firsts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                  max_distance: int = 2, most_in_variant: int = 32) -> DataFrame:
-    """One row per group of ``simhash_groups``: ``key`` (see ``row_key``) of
-    its row with the least id, and of those the least key, and ``n_rows`` that
-    have this key.  A null id comes after all others."""
+    """One row per ``key`` (see ``row_key``): ``n_rows`` that have it, and
+    ``is_first``, true for one key of each group of ``simhash_groups``: that of
+    its row with the least id, and of those the least key.  A null id comes
+    after all others."""
     if not 0 <= max_distance <= 3:
         raise ValueError("max_distance must be 0 to 3")
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
@@ -160,8 +162,9 @@ def group_firsts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = _fingerprinted(src, {"doc_id": "bigint", "key": "binary"}, shingle)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first")
     rooted = _rooted(rows.groupBy("fp").agg(first), max_distance, most_in_variant)
-    firsts = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.key")
-    return rows.select("key").join(firsts, "key", "left_semi").groupBy("key").agg(F.count("*").alias("n_rows"))
+    firsts = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.key", F.lit(True).alias("is_first"))
+    counted = rows.groupBy("key").agg(F.count("*").alias("n_rows"))
+    return counted.join(firsts, "key", "left").select("key", "n_rows", F.coalesce("is_first", F.lit(False)).alias("is_first"))
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,

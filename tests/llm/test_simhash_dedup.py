@@ -5,6 +5,9 @@ import pytest
 import xxhash
 from cases import docs, prose
 
+from pyspark.sql import functions as F
+
+from stellate.llm import simhash_dedup
 from stellate.llm.components import star_components
 from stellate.llm.simhash_dedup import fingerprints, simhash_groups
 
@@ -104,3 +107,20 @@ def test_long_chain_and_hub(spark):
 
 def test_empty_table(spark):
     assert simhash_groups(docs(spark, [])).collect() == []
+
+
+def test_variants_are_made_by_all_tasks(spark):
+    """A small table of fingerprints, just grouped by them, is still dealt to as many tasks as a shuffle has."""
+    fps = spark.range(3000).select(F.xxhash64("id").alias("fp")).groupBy("fp").agg(F.min(F.lit(1)).alias("doc"))
+    seen = []
+
+    def links(dealt, *_):
+        seen.append(dealt.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect())
+        return dealt.select(F.col("fp").alias("u"), F.col("fp").alias("v"))
+    simhash_dedup._links, kept = links, simhash_dedup._links
+    try:
+        simhash_dedup._rooted(fps, 2, 32)
+    finally:
+        simhash_dedup._links = kept
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(seen[0]) == n and max(r["count"] for r in seen[0]) < 2 * 3000 / n
