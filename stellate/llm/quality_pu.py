@@ -141,29 +141,41 @@ def _feature_rows(parts) -> Iterator[pa.RecordBatch]:
             x = features(texts, first, last)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(last - first + 1, dtype=np.int32) * N_FEATURES), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [b.column(c).slice(first, last - first) for c in ("doc_id", "is_positive", "is_unlabelled")] + [flat],
-                ["doc_id", "is_positive", "is_unlabelled", "x"])
+                [b.column(c).slice(first, last - first) for c in ("doc", "is_positive", "is_unlabelled")] + [flat],
+                ["doc", "is_positive", "is_unlabelled", "x"])
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[np.ndarray, np.ndarray]:
     """Features of at most ``sample`` trusted positives and as many unlabelled
-    texts, both chosen by hash.  docs: ``doc_id, text``; labels: ``doc_id,
-    quality``.  An id that any row labels 0 isn't trusted."""
+    texts, both chosen by hash among the documents.  A document is an id and a
+    text; its copies count once.  docs: ``doc_id, text``; labels: ``doc_id,
+    quality``.  An id that any row labels 0 isn't trusted; labels of ids
+    without a document take no place."""
+    named = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc"))
     trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1").select("doc_id")
-    positive = trusted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).withColumn("is_positive", F.lit(True))
-    drawn = (docs.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(sample).distinct()
-             .withColumn("is_unlabelled", F.lit(True)))
-    chosen = positive.join(drawn, "doc_id", "full").select(
-        "doc_id", F.coalesce("is_positive", F.lit(False)).alias("is_positive"),
+    positive = _drawn(named.join(trusted, "doc_id", "left_semi"), 0, sample).withColumn("is_positive", F.lit(True))
+    unlabelled = _drawn(named, 1, sample).withColumn("is_unlabelled", F.lit(True))
+    chosen = positive.join(unlabelled, "doc", "full").select(
+        "doc", F.coalesce("is_positive", F.lit(False)).alias("is_positive"),
         F.coalesce("is_unlabelled", F.lit(False)).alias("is_unlabelled"))
-    rows = (docs.join(F.broadcast(chosen), "doc_id")  # at most 2 * sample ids
-            .select("doc_id", "text", "is_positive", "is_unlabelled")
-            .mapInArrow(_feature_rows, "doc_id bigint, is_positive boolean, is_unlabelled boolean, x array<float>")
-            .orderBy("doc_id").limit(4 * sample).toArrow())
+    rows = (docs.select(F.xxhash64("doc_id", "text").alias("doc"), "text")
+            .join(F.broadcast(chosen), "doc")  # at most 2 * sample documents
+            .groupBy("doc", "is_positive", "is_unlabelled").agg(F.first("text").alias("text"))
+            .mapInArrow(_feature_rows, "doc bigint, is_positive boolean, is_unlabelled boolean, x array<float>")
+            .orderBy("doc").toArrow())
     x = rows.column("x").combine_chunks().flatten().to_numpy().reshape(-1, N_FEATURES).astype(np.float64)
     return (x[rows.column("is_positive").to_numpy()], x[rows.column("is_unlabelled").to_numpy()])
 
 
+def _drawn(rows: DataFrame, seed: int, sample: int) -> DataFrame:
+    """``sample`` distinct values of ``doc`` by hash (all, if there are fewer)."""
+    n = rows.agg(F.approx_count_distinct("doc")).first()[0]
+    # about twice as many as are needed come to the ranking
+    place = F.pmod(F.xxhash64("doc", F.lit(seed)), F.lit(1 << 40))
+    near = rows.filter(place * F.lit(float(n)) < float((2 * sample + 100) * (1 << 40))).select("doc").distinct()
+    return near.orderBy(place, "doc").limit(sample)
+
+
 def _scored(parts, model: Linear | None) -> Iterator[pa.RecordBatch]:
     for b in parts:
         texts = b.column("text")

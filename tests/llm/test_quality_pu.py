@@ -61,3 +61,19 @@ def test_prior_and_risk(share):
     model = fit_nnpu(positive, unlabelled, prior)
     assert (model.score(rng.normal(1.5, 1, (500, 4))) > 0.5).mean() > 0.95
     assert (model.score(rng.normal(-1.5, 1, (500, 4))) < 0.5).mean() > 0.95
+
+
+def test_labels_without_documents_and_ids_with_many_rows_take_no_place(spark):
+    """Two hundred thousand positive labels of other ids, and one id with a thousand rows, change nothing that matters."""
+    rows, good = corpus(400)
+    marks = [(i, int(good[i])) for i in range(300)]
+    foreign = spark.createDataFrame(marks, "doc_id bigint, quality int").unionByName(
+        spark.range(10_000, 210_000).selectExpr("id as doc_id", "1 as quality"))
+    got = {r.doc_id: r.score for r in score_quality(docs(spark, rows), foreign, sample=600).collect()}
+    own = {r.doc_id: r.score for r in score_quality(docs(spark, rows), spark.createDataFrame(marks, "doc_id bigint, quality int"),
+                                                    sample=600).collect()}
+    assert got == own
+    assert np.mean([got[i] for i in good if good[i]]) > 0.8 > 0.3 > np.mean([got[i] for i in good if not good[i]])
+    copies = rows + [(1, rows[1][1])] * 1000
+    again = {r.doc_id: r.score for r in score_quality(docs(spark, copies), foreign, sample=600).collect()}
+    assert again == own
