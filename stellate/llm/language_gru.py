@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stellate.llm.common import Memo, crc_mod, distinct, joined_texts, text_groups, words
+from stellate.llm.common import Memo, crc_mod, distinct, joined_texts, stage, text_groups, words
 
 UNKNOWN = "und"
 HIDDEN = 16
-LONGEST = 32             # bytes that the network reads at once; longer words are cut
+LONGEST = 32             # characters that the network reads at once; longer words are read in pieces
 SAMPLE_DOCS = 400        # training documents of each language
-SAMPLE_WORDS = 60_000    # distinct (language, word) pairs that are trained on
-SAMPLE_LANGUAGES = 200   # languages that are learned, most frequent first
+SAMPLE_WORDS = 60_000    # distinct pieces of words that are trained on, shared evenly by the languages
+LEAST_WORDS = 500        # of each language, however many there are
 EPOCHS = 4
 INFER = 1024            # words of one length that run side by side
 MEMO_KEYS = 250_000
@@ -37,8 +37,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 IN_WORD = np.zeros(256, bool)
 IN_WORD[ord("a"):ord("z") + 1] = IN_WORD[0x80:] = True
-#: a word's bytes in lower case, as the pattern of the training sample
-WORD = "[a-z\\u0080-\\x{10FFFF}]+"
+#: a piece of a word in lower case, as the pattern of the training sample
+WORD = f"[a-z\\u0080-\\x{{10FFFF}}]{{1,{LONGEST}}}"
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -91,6 +91,14 @@ class GRU:
         return grad
 
 
+def word_pieces(word: bytes) -> list[bytes]:
+    """A word cut every ``LONGEST`` characters."""
+    if len(word) <= LONGEST:
+        return [word]
+    text = word.decode()
+    return [text[a:a + LONGEST].encode() for a in range(0, len(text), LONGEST)]
+
+
 class BiGRU:
     """Labels every byte of a word with class probabilities."""
 
@@ -144,8 +152,8 @@ class BiGRU:
         """For each word the sum of its positions' probabilities."""
         pieces, owner = [], []
         for i, v in enumerate(values):
-            for a in range(0, len(v), LONGEST):
-                pieces.append(v[a:a + LONGEST])
+            for piece in word_pieces(v):
+                pieces.append(piece)
                 owner.append(i)
         length, owner = np.array([len(p) for p in pieces]), np.array(owner)
         sums = np.zeros((len(values), len(self.classes)), np.float64)
@@ -159,13 +167,13 @@ class BiGRU:
 
 
 def train(rows: list[tuple[str, str, int]], epochs: int = EPOCHS, seed: int = 0, hidden: int = HIDDEN) -> BiGRU:
-    """rows: (language, word, times seen).  Adam on batches of words of one
+    """rows: (language, piece of a word, times seen).  Adam on batches of words of one
     length; every language weighs the same."""
     rows = sorted(rows)
     classes = sorted({r[0] for r in rows})
     net, rng = BiGRU(classes, hidden, seed), np.random.default_rng(seed)
     label_of = {c: i for i, c in enumerate(classes)}
-    byte = [w.encode()[:LONGEST] for _, w, _ in rows]
+    byte = [w.encode() for _, w, _ in rows]
     label = np.array([label_of[c] for c, _, _ in rows])
     times = np.sqrt(np.array([n for _, _, n in rows], np.float64))
     weight = times / np.bincount(label, times)[label]
@@ -193,28 +201,31 @@ def train(rows: list[tuple[str, str, int]], epochs: int = EPOCHS, seed: int = 0,
 
 
 def training_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS) -> list[tuple]:
-    """(language, word, times) from a bounded sample of labelled documents:
-    ``sample_docs`` whole documents of each of the ``SAMPLE_LANGUAGES`` most
-    frequent languages, and ``sample_words`` of their distinct words, chosen
-    by hash.  A document is an id (null too) and a text; its copies count
-    once.  docs: ``doc_id, text, lang`` of the rows to learn from."""
+    """(language, piece of a word, times) from a bounded sample of labelled
+    documents: ``sample_docs`` whole documents of every language, and of their
+    distinct pieces an even share of ``sample_words`` for each language
+    (``LEAST_WORDS`` at least), chosen by hash.  A document is an id (null too)
+    and a text; its copies count once.  docs: ``doc_id, text, lang`` of the rows
+    to learn from."""
     named = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "lang", "text", F.xxhash64("doc_id", "text").alias("doc"))
-    langs = (named.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("doc").alias("n_docs"))
-             .orderBy(F.desc("n"), "lang").limit(SAMPLE_LANGUAGES))
+    langs = stage(named.groupBy("lang").agg(F.approx_count_distinct("doc").alias("n_docs")), "languages")
+    each = max(LEAST_WORDS, sample_words // max(1, langs.count()))
     # about twice as many as are needed, by hash, so that the ranking sees few rows however many tasks there are
     share = F.pmod("doc", F.lit(1 << 40)) / float(1 << 40)
-    near = (named.select("doc", "lang").join(F.broadcast(langs), "lang")  # at most SAMPLE_LANGUAGES rows
+    near = (named.select("doc", "lang").join(langs, "lang")
             .filter(share * F.col("n_docs") < 2 * sample_docs + 20).select("doc", "lang").distinct())
     order = Window.partitionBy("lang").orderBy(share, "doc")
     chosen = (near.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample_docs)
               .select("doc", "lang"))
-    seen = (named.join(F.broadcast(chosen), ["doc", "lang"])  # at most sample_docs * SAMPLE_LANGUAGES documents
+    seen = (named.join(chosen, ["doc", "lang"])
             .groupBy("lang", "doc").agg(F.first("text").alias("text"))
             .select("lang", F.explode(F.regexp_extract_all(F.translate("text", ascii_uppercase, ascii_lowercase),
                                                            F.lit(WORD), F.lit(0))).alias("word"))
             .groupBy("lang", "word").count())
-    return [tuple(r) for r in seen.orderBy(F.xxhash64("lang", "word"), "lang", "word").limit(sample_words).collect()]
+    drawn = Window.partitionBy("lang").orderBy(F.xxhash64("lang", "word"), "word")
+    return [tuple(r) for r in seen.withColumn("nth", F.row_number().over(drawn)).filter(F.col("nth") <= each)
+            .select("lang", "word", "count").collect()]
 
 
 def _predicted(parts, net: BiGRU | None, keys: list[str]) -> Iterator[pa.RecordBatch]:
@@ -243,27 +254,48 @@ def _predicted(parts, net: BiGRU | None, keys: list[str]) -> Iterator[pa.RecordB
                 [*keys, "lang_pred", "score"])
 
 
+def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5,
+                  held_out_fold: int = 0, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS) -> BiGRU | None:
+    """The network trained on rows whose crc32 of the id as text, modulo
+    ``folds``, isn't ``held_out_fold`` (a null id is learned from), and whose
+    text and language aren't null; None if no such row has a letter."""
+    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                      F.col(lang_col).cast("string").alias("lang"))
+    sample = training_words(src.filter(~_held_out("doc_id", folds, held_out_fold)), sample_docs, sample_words)
+    return train(sample) if sample else None
+
+
+def _held_out(id_col: str, folds: int, held_out_fold: int):
+    return F.coalesce(crc_mod(id_col, folds) == held_out_fold, F.lit(False))
+
+
+def label_languages(docs: DataFrame, net: BiGRU | None, text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns, and ``lang_pred`` and ``score`` (which
+    must not be among them).  A row is labelled where it is read: nothing is
+    exchanged."""
+    shown = docs.sparkSession.sparkContext.broadcast(net)
+    names, text = docs.columns, F.col(text_col).cast("string")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), text.alias("text"),
+                         F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("has_letter"))
+    kind = packed.schema["row"].dataType.simpleString()
+    out = packed.mapInArrow(lambda parts: _predicted(parts, shown.value, ["row"]), f"row {kind}, lang_pred string, score double")
+    return out.select("row.*", "lang_pred", "score")
+
+
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                        folds: int = 5, held_out_fold: int = 0, sample_docs: int = SAMPLE_DOCS,
-                       sample_words: int = SAMPLE_WORDS, key_col: str | None = None) -> DataFrame:
-    """One row per document: ``doc_id, held_out, lang_pred, score``, and
-    ``key`` if there is a ``key_col`` (binary, returned as it is).
+                       sample_words: int = SAMPLE_WORDS) -> DataFrame:
+    """One row per document: ``doc_id, held_out, lang_pred, score``.
 
-    Learns from rows whose crc32 of the id as text, modulo ``folds``, isn't
-    ``held_out_fold`` (a null id is learned from and not held out), and whose
-    text and language aren't null; the prediction reads the text alone.
+    Learns as ``fit_languages`` does; the prediction reads the text alone.
     ``lang_pred`` is a learned language with ``score`` its pooled probability,
     or ``und`` with score 0 if the text is null or has no letter, or nothing
-    could be learned.  Repeated rows stay; an empty table gives no rows; other
-    columns are ignored.
+    could be learned.  Rows with a null id are not held out; repeated rows
+    stay; an empty table gives no rows; other columns are ignored.
     """
-    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                      F.col(lang_col).cast("string").alias("lang"), *([F.col(key_col).alias("key")] if key_col else []))
-    keys = {"doc_id": "bigint"} | ({"key": "binary"} if key_col else {})
-    held = F.coalesce(crc_mod("doc_id", folds) == held_out_fold, F.lit(False))
-    sample = training_words(src.filter(~held), sample_docs, sample_words)
-    net = docs.sparkSession.sparkContext.broadcast(train(sample) if sample else None)
-    shown = src.select(*keys, "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter"))
-    out = shown.mapInArrow(lambda parts: _predicted(parts, net.value, list(keys)),
-                           ", ".join(f"{k} {t}" for k, t in keys.items()) + ", lang_pred string, score double")
-    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", *list(keys)[1:])
+    net = fit_languages(docs, id_col, text_col, lang_col, folds, held_out_fold, sample_docs, sample_words)
+    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    shown = docs.sparkSession.sparkContext.broadcast(net)
+    lettered = src.withColumn("has_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    out = lettered.mapInArrow(lambda parts: _predicted(parts, shown.value, ["doc_id"]), "doc_id bigint, lang_pred string, score double")
+    return out.select("doc_id", _held_out("doc_id", folds, held_out_fold).alias("held_out"), "lang_pred", "score")

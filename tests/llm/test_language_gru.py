@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 from cases import docs
 
-from stellate.llm.language_gru import BiGRU, identify_languages, train, training_words
+from stellate.llm.language_gru import BiGRU, identify_languages, train, training_words, word_pieces
 
 
 def held_out(i, n=5, fold=0):
@@ -99,3 +99,40 @@ def test_one_id_with_many_texts_is_one_document_each(spark):
     sample = training_words(docs(spark, rows).select("doc_id", "text", "lang"), sample_docs=5)
     assert {w for _, w, _ in sample} < {w for _, t, _ in rows for w in t.split()}
     assert sum(n for _, _, n in sample) <= 5 * 60
+
+
+def held_out_accuracy(spark, rows):
+    got = {r.doc_id: r.lang_pred for r in identify_languages(docs(spark, rows)).collect()}
+    test = [(i, lang) for i, _, lang in rows if held_out(i)]
+    return np.mean([got[i] == lang for i, lang in test])
+
+
+def test_scripts_without_spaces(spark):
+    """Whole texts without a space that begin alike and differ after that."""
+    rng = random.Random(4)
+    signs = {"ja": "のはをにがでとしてれさあい", "zh": "的是不了在有我他这中大来上"}
+    shared = "".join(chr(0x4E00 + 7 * i) for i in range(12))
+    rows = [(i, shared + "".join(rng.choice(signs[lang]) for _ in range(200)), lang) for i, lang in
+            ((i, ("ja", "zh")[i % 2]) for i in range(160))]
+    assert held_out_accuracy(spark, rows) >= 0.95
+
+
+def test_pieces_lose_nothing_and_cut_between_characters():
+    for word in (b"a", b"x" * 32, b"x" * 33, ("é" * 40).encode(), ("中文字" * 30 + "a").encode(), ("😀" * 9).encode()):
+        pieces = word_pieces(word)
+        assert b"".join(pieces) == word and all(0 < len(p.decode()) <= 32 for p in pieces)
+
+
+def test_every_language_is_learned_whatever_the_others_hold(spark):
+    """One language with a hundred times the words of the others takes no place of theirs, and none is left out."""
+    rng = random.Random(9)
+    letters = [chr(0x400 + 8 * n + k) for n in range(60) for k in range(4)]
+    rows = []
+    for n in range(60):
+        own = letters[4 * n:4 * n + 4]
+        rows += [(len(rows) + k, " ".join("".join(rng.choice(own) for _ in range(6)) for _ in range(8)), f"l{n:02}") for k in range(6)]
+    big = "".join(rng.choice("abcdefgh ") for _ in range(20_000))
+    rows += [(len(rows) + k, big[k * 30:] + big[:k * 30], "zz") for k in range(10)]
+    sample = training_words(docs(spark, rows).select("doc_id", "text", "lang"), sample_words=1000)
+    assert len({lang for lang, *_ in sample}) == 61
+    assert max(sum(1 for s in sample if s[0] == lang) for lang in {s[0] for s in sample}) <= 500
