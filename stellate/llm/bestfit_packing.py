@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +51,19 @@ def _cuts() -> np.ndarray:
 
 
 CUT = _cuts()
+
+#: fixed values: the normaliser, pre-tokeniser and added tokens that the cut places hold for
+SETTINGS = ([{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+            [{"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+              "behavior": "Removed", "invert": True},
+             {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}],
+            {"<|startoftext|>", "<|endoftext|>"})
+
+
+def _settings(spec: dict) -> tuple:
+    return ((spec["normalizer"] or {}).get("normalizers"), (spec["pre_tokenizer"] or {}).get("pretokenizers"),
+            {t["content"] for t in spec["added_tokens"]})
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
@@ -102,6 +116,8 @@ class ChunkEncoder:
         with open(path) as f:
             spec = json.load(f)
         model = spec["model"]
+        if _settings(spec) != SETTINGS:
+            raise ValueError("chunks are cut for a vocabulary with another normaliser or pre-tokeniser")
         plain = model["type"] == "BPE" and model["end_of_word_suffix"] and not (
             model["continuing_subword_prefix"] or model["dropout"] or model["ignore_merges"])
         self.merger = WordMerger(spec) if plain else None
@@ -147,7 +163,7 @@ def encoder(path: str) -> ChunkEncoder:
 
 
 def _piece_rows(parts, path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    encode = encoder(path).encode
+    encode, salt = encoder(path).encode, TaskContext.get().partitionId() << 40
     for b in parts:
         texts = b.column("text")
         for first, last in text_groups(texts):
@@ -161,8 +177,9 @@ def _piece_rows(parts, path: str, capacity: int, end_id: int) -> Iterator[pa.Rec
             crc = [zlib.crc32(raw[a:e]) for a, e in zip(at.tolist(), (at + length * 4).tolist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").slice(first, last - first).take(pa.array(doc)), pa.array(piece.astype(np.int32)),
-                 pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
-                ["doc_id", "piece", "start", "length", "ids_crc32"])
+                 pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(salt + np.arange(len(doc)))],
+                ["doc_id", "piece", "start", "length", "ids_crc32", "salt"])
+            salt += len(doc)
 
 
 class BestFit:
@@ -243,18 +260,22 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, most_open: int = OP
     """Adds ``sequence_id`` and ``offset`` to a table of pieces (see PIECES).
 
     There is another round only if this one closed a share of ``LEAST_CLOSED``;
-    the last round keeps all of its sequences, so every piece is in one."""
+    the last round keeps all of its sequences, so every piece is in one.
+    ``salt`` is a number of each piece's own, so that equal pieces are spread
+    over all shards as well; without such a column the pieces are numbered first."""
+    if "salt" not in pieces.columns:
+        pieces = stage(pieces.withColumn("salt", F.monotonically_increasing_id()), "pieces")
     done, round_no, rest = [], 0, pieces
     total = rest.agg(F.sum("length")).first()[0] or 0
     while True:
         n = max(1, -(-total // shard_tokens))
-        key = F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(round_no))
+        key = F.xxhash64("salt", F.lit(round_no))
         dealt = rest.withColumn("shard", F.pmod(key, F.lit(n))).repartition("shard").sortWithinPartitions(
-            "shard", F.desc("length"), "doc_id", "piece")
+            "shard", F.desc("length"), "doc_id", "piece", "salt")
         # what fits in one shard is the last round
         least_free = capacity // 8 if n > 1 else capacity + 1
         packed = stage(dealt.mapInArrow(lambda parts, f=least_free: _packed_rows(parts, capacity, most_open, f),
-                                        PIECES + ", shard bigint, bin bigint, offset bigint, carried boolean"), "packed")
+                                        PIECES + ", salt bigint, shard bigint, bin bigint, offset bigint, carried boolean"), "packed")
         number = F.lit(round_no << 56) + F.shiftleft("shard", 24) + F.col("bin")
         carried = packed.filter("carried")
         left = 0 if n == 1 else carried.agg(F.sum("length")).first()[0] or 0
@@ -263,7 +284,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, most_open: int = OP
             "doc_id", "piece", "start", "length", "ids_crc32", number.cast("bigint").alias("sequence_id"), "offset"))
         if last:
             break
-        rest, round_no, total = carried.select("doc_id", "piece", "start", "length", "ids_crc32"), round_no + 1, left
+        rest, round_no, total = carried.select("doc_id", "piece", "start", "length", "ids_crc32", "salt"), round_no + 1, left
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
@@ -282,5 +303,5 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     row; an empty table gives no rows; other columns are ignored.
     """
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    pieces = stage(src.mapInArrow(lambda parts: _piece_rows(parts, tokenizer_path, capacity, end_id), PIECES), "pieces")
+    pieces = stage(src.mapInArrow(lambda parts: _piece_rows(parts, tokenizer_path, capacity, end_id), PIECES + ", salt bigint"), "pieces")
     return pack_pieces(pieces, capacity, most_open, shard_tokens)

@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from cases import docs, prose
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stellate.llm import bestfit_packing
@@ -99,3 +100,28 @@ def test_rounds_end_when_no_two_pieces_fit(spark, monkeypatch, small):
             at += length
         assert at <= 4096
     assert len(of) == 500
+
+
+def test_equal_rows_are_spread_over_all_shards(spark):
+    rows = [(None, "one text that all rows share")] * 6000
+    n_ids = len(Tokenizer.from_file(PATH).encode(rows[0][1], add_special_tokens=False).ids) + 1
+    shards = []
+
+    def staged(df, name, stage=bestfit_packing.stage):
+        out = stage(df, name)
+        if name == "packed":
+            shards.append({r["shard"]: r["n"] for r in out.groupBy("shard").agg(F.sum("length").alias("n")).collect()})
+        return out
+    bestfit_packing.stage, kept = staged, bestfit_packing.stage
+    try:
+        got = pack_documents(docs(spark, rows).repartition(5), PATH, shard_tokens=5000).collect()
+    finally:
+        bestfit_packing.stage = kept
+    assert len(got) == 6000
+    planned = -(-6000 * n_ids // 5000)
+    assert len(shards[0]) == planned and max(shards[0].values()) < 2 * 5000
+
+
+def test_files_with_other_cut_places_are_refused():
+    with pytest.raises(ValueError):
+        bestfit_packing.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
