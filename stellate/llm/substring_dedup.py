@@ -124,19 +124,19 @@ def _listed(doc: np.ndarray, value: np.ndarray, list_doc: np.ndarray, list_value
 
 def _anchor_rows(parts, window, period, cover) -> Iterator[pa.RecordBatch]:
     for b in parts:
-        ids, texts = b.column("doc_id"), b.column("text")
+        rows, texts = b.column("row"), b.column("text")
         for first, last in text_groups(texts):
             _, doc, value = _Words(texts, first, last).hashed().anchors(window, period, cover)
             doc, value = _pairs(doc, value)
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), ids.take(pa.array(doc + first))],
-                                             ["anchor", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), rows.take(pa.array(doc + first))],
+                                             ["anchor", "row"])
 
 
 def _window_rows(parts, window, period, cover) -> Iterator[pa.RecordBatch]:
     """The windows that hold a shared anchor."""
     length = window - period + 1
     for b in parts:
-        ids, texts, lists = b.column("doc_id"), b.column("text"), b.column("anchors")
+        rows, ids, texts, lists = b.column("row"), b.column("doc_id"), b.column("text"), b.column("anchors")
         for first, last in text_groups(texts):
             w = _Words(texts, first, last).hashed()
             place, doc, value = w.anchors(window, period, cover)
@@ -152,8 +152,8 @@ def _window_rows(parts, window, period, cover) -> Iterator[pa.RecordBatch]:
             new[1:] = ((np.diff(of[order]) != 0) | (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1]))
             keep = order[new]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h1[keep].view(np.int64)), pa.array(h2[keep].astype(np.uint32).view(np.int32)), ids.take(pa.array(of[keep] + first))],
-                ["h1", "h2", "doc_id"])
+                [pa.array(h1[keep].view(np.int64)), pa.array(h2[keep].astype(np.uint32).view(np.int32)),
+                 *(c.take(pa.array(of[keep] + first)) for c in (ids, rows))], ["h1", "h2", "doc_id", "row"])
 
 
 def _kept_rows(parts, window) -> Iterator[pa.RecordBatch]:
@@ -211,28 +211,28 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     src = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(big)).alias("doc_id"),
                       F.col(text_col).cast("string").alias("text")).withColumn(
         "digest", F.unhex(F.substring(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256), 1, 32)))
-    ids = src.select("doc_id", "digest")
+    # lists are gathered by row, an id and a text, so that none holds more than one text's
+    src = src.withColumn("row", F.xxhash64("doc_id", "digest"))
+    ids = src.select("row", "doc_id", "digest")
     originals = ids.groupBy("digest").agg(F.min("doc_id").alias("original"), F.count("*").alias("n")).filter("n > 1")
-    copies = (join_grouped(ids, originals, ["digest"]).filter("doc_id > original")
-              .groupBy("doc_id").agg(F.collect_set("digest").alias("copied")))
-    texts = src.join(copies, "doc_id", "left").select(
-        "doc_id", "text", F.coalesce(F.array_contains("copied", F.col("digest")), F.lit(False)).alias("is_copy"))
+    copies = (join_grouped(ids, originals, ["digest"]).filter("doc_id > original").select("row").distinct()
+              .withColumn("is_copy", F.lit(True)))
+    texts = src.join(copies, "row", "left").select("row", "doc_id", "text", F.coalesce("is_copy", F.lit(False)).alias("is_copy"))
     own = texts.filter("not is_copy")
 
     # an anchor counts once per row, so rows of one id may mark too much, never too little
-    anchors = own.select("doc_id", "text").mapInArrow(
-        lambda parts: _anchor_rows(parts, window, period, cover), "anchor bigint, doc_id bigint")
+    anchors = own.select("row", "text").mapInArrow(
+        lambda parts: _anchor_rows(parts, window, period, cover), "anchor bigint, row bigint")
     shared = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    marked = (join_grouped(anchors, shared, ["anchor"])
-              .groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors")))
+    marked = join_grouped(anchors, shared, ["anchor"]).groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
 
-    windows = own.join(marked, "doc_id").select("doc_id", "text", "anchors").mapInArrow(
-        lambda parts: _window_rows(parts, window, period, cover), "h1 bigint, h2 int, doc_id bigint")
+    windows = own.join(marked, "row").select("row", "doc_id", "text", "anchors").mapInArrow(
+        lambda parts: _window_rows(parts, window, period, cover), "h1 bigint, h2 int, doc_id bigint, row bigint")
     earliest = (windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
                 .filter("n > 1").select("h1", "h2", "first"))
     repeated = (join_grouped(windows, earliest, ["h1", "h2"]).filter("doc_id > first")
-                .groupBy("doc_id").agg(F.collect_list("h1").alias("windows")))
+                .groupBy("row").agg(F.collect_set("h1").alias("windows")))
 
-    out = texts.join(repeated, "doc_id", "left").select("doc_id", "text", "is_copy", "windows").mapInArrow(
+    out = texts.join(repeated, "row", "left").select("doc_id", "text", "is_copy", "windows").mapInArrow(
         lambda parts: _kept_rows(parts, window), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != big, F.col("doc_id")))

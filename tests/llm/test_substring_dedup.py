@@ -73,3 +73,14 @@ def test_cover():
 
 def test_empty_table(spark):
     assert remove_repeats(docs(spark, [])).collect() == []
+
+
+def test_a_third_of_the_rows_has_no_id_and_another_third_one_id(spark):
+    rng = random.Random(11)
+    passage = prose(rng, 70)
+    rows = [(i, prose(rng, 40) + " " + passage) for i in range(40)]
+    rows += [(None, prose(rng, 30) + " " + passage + " " + prose(rng, 20)) for _ in range(40)] + [(None, rows[0][1])] * 5
+    rows += [(7, passage + " " + prose(rng, 60)) for _ in range(40)] + [(7, rows[5][1])] * 5
+    got = remove_repeats(docs(spark, rows).repartition(5)).collect()
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got)
+    assert got == brute(rows, 50)
