@@ -212,3 +212,28 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
                         (F.size("places") > 0).alias("contaminated"), "items", *extra)
 
+
+def _clean_rows(parts, benchmark: Benchmark) -> Iterator[pa.RecordBatch]:
+    for b in parts:
+        texts = b.column("text")
+        for first, last in text_groups(texts):
+            _, hit, before, _ = benchmark.search(texts, first, last)
+            clean = np.diff(np.searchsorted(hit, before)) == 0
+            yield pa.RecordBatch.from_arrays([b.column("row").slice(first, last - first).filter(pa.array(clean))], ["row"])
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                      item_text_col: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``find_contamination``
+    doesn't call contaminated.  Each block of items reads the rows that the
+    one before left; a row is judged where it is read, nothing is exchanged."""
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
+                             F.col(item_text_col).cast("string").alias("text"))
+    n, names = _blocks(items, block_bytes), docs.columns
+    for block in range(n):
+        chosen = items if n == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == block)
+        tables = docs.sparkSession.sparkContext.broadcast(Benchmark([tuple(r) for r in chosen.collect()], window))
+        packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text_col).cast("string").alias("text"))
+        docs = packed.mapInArrow(lambda parts, t=tables: _clean_rows(parts, t.value),
+                                 f"row {packed.schema['row'].dataType.simpleString()}").select("row.*")
+    return docs
