@@ -542,14 +542,16 @@ SELECT k, 'od', od FROM raw WHERE od IS NOT NULL AND od NOT IN ('nan', 'NaT') AN
 UNION ALL
 SELECT k, 'fin', fin FROM raw WHERE fin IS NOT NULL AND fin NOT IN ('nan', 'NaT') AND try_cast(fin AS BOOLEAN) IS NULL"""
 
-STAR_KEYS = [("region", ["r_regionkey"]), ("nation", ["n_nationkey"]), ("customer", ["c_custkey"]),
-             ("supplier", ["s_suppkey"]), ("part", ["p_partkey"]), ("orders", ["o_orderkey"]),
-             ("lineitem", ["l_orderkey", "l_linenumber"]), ("events", ["event_id"])]
+TABLE_KEYS = [("region", ["r_regionkey"]), ("nation", ["n_nationkey"]), ("customer", ["c_custkey"]),
+              ("supplier", ["s_suppkey"]), ("part", ["p_partkey"]), ("orders", ["o_orderkey"]),
+              ("lineitem", ["l_orderkey", "l_linenumber"]), ("events", ["event_id"]), ("documents", ["doc_id"]),
+              ("embeddings", ["vec_id"]), ("pages", ["page_id"]), ("benchmark", ["item_id"]), ("labels", ["doc_id"]),
+              ("conversations", ["conv_id", "turn"])]
 
 
 def _preview():
     parts = []
-    for t, ks in STAR_KEYS:
+    for t, ks in TABLE_KEYS:
         k1 = f"CAST({ks[0]} AS BIGINT)"
         k2 = f"CAST({ks[1]} AS BIGINT)" if len(ks) > 1 else "CAST(NULL AS BIGINT)"
         parts.append(f"SELECT * FROM (SELECT '{t}' AS entity, {k1} AS key_1, {k2} AS key_2 FROM {t} "
@@ -568,7 +570,7 @@ def _entities():
 
 def _catalog_pk():
     parts = []
-    for t, ks in STAR_KEYS:
+    for t, ks in TABLE_KEYS:
         kd = ks[0] if len(ks) == 1 else "(" + ", ".join(ks) + ")"
         parts.append(f"SELECT '{t}' AS table_name, '{','.join(ks)}' AS key_columns, "
                      f"CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT {kd}) AS BIGINT) AS n_keys, "
@@ -652,7 +654,8 @@ LEFT JOIN (SELECT * FROM {de} WHERE employee_id IN (SELECT s_suppkey FROM terr_o
 LEFT JOIN {ds} ds ON CAST(substr(o.o_orderpriority, 1, 1) AS BIGINT) = ds.shipper_id"""
 
 
-def _star_reload():
+def _star_reload(day=2, only=()):
+    """The star's rows after the loads of day 1, or of both days."""
     old = "CASE WHEN {w} THEN concat('OLD_', {c}) ELSE {c} END AS {c}"
     emp_cols = ["last_name", "nation_id", "acctbal", "photo", "reports_to"]
     e_first = "SELECT employee_id, " + old.format(w="employee_id % 4 = 0", c="last_name") + \
@@ -728,26 +731,38 @@ def _star_reload():
   SELECT * FROM fl WHERE {full} AND NOT EXISTS (
     SELECT 1 FROM f1 WHERE f1.order_id = fl.order_id AND f1.line_number = fl.line_number AND f1.ship_date_key = fl.ship_date_key
     AND f1.quantity = fl.quantity AND f1.line_price = fl.line_price AND f1.discount = fl.discount))"""]
+    if day == 1:
+        ctes += [f"""fl1 AS ({_fact_of("(SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01')", 'c1', 'p1', 'e2_1', 's1')})""",
+                 """c1x AS (SELECT *, CAST(NULL AS VARCHAR) AS c_mktsegment_prev, CAST(NULL AS VARCHAR) AS c_mktsegment_prev_validto FROM c1)""",
+                 "p1x AS (SELECT *, DATE '2001-01-01' AS valid_from FROM p1)",
+                 *[f"""{t}_1x AS (SELECT *, true AS is_current, DATE '2001-01-01' AS effective_date, CAST(NULL AS DATE) AS ineffective_date
+  FROM {t}_1)""" for t in ("e2", "t2", "r2")],
+                 """b1 AS (
+  SELECT e.employee_key, t.territory_key FROM bridge b JOIN e2_1 e ON b.s_suppkey = e.employee_id
+  JOIN t2_1 t ON b.n_nationkey = t.territory_id)"""]
+    c, p, h, e, t, r, sh, b, f, lines = (("c2", "p2", "ph", "e2", "t2", "r2", "s2", "b2", "f2", "fl") if day == 2 else
+                                         ("c1x", "p1x", "ph WHERE false", "e2_1x", "t2_1x", "r2_1x", "s1", "b1", "f1", "fl1"))
     version = ["is_current", "effective_date", "ineffective_date"]
-    parts = [
-        _listing("dim_customers", ["customer_key", "c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_mktsegment_prev",
-                                   "c_mktsegment_prev_validto"]) + " FROM c2",
-        _listing("dim_products", ["product_key", "product_id", "product_name", "brand", "size", "unit_price", "category_name",
-                                  "valid_from"]) + " FROM p2",
-        _listing("dim_products_history", ["product_key", "product_id", "product_name", "unit_price", "valid_from", "valid_to"])
-        + " FROM ph",
-        _listing("dim_employees", ["employee_key", "employee_id", "last_name", "nation_id", "acctbal", "hex(photo)", "reports_to",
-                                   *version]) + " FROM e2",
-        _listing("dim_territories", ["territory_key", "territory_id", "description", "region_id", *version]) + " FROM t2",
-        _listing("dim_regions", ["region_key", "region_id", "description", *version]) + " FROM r2",
-        _listing("dim_shippers", ["shipper_key", "shipper_id", "company_name"]) + " FROM s2",
-        _listing("bridge_employee_territory", ["employee_key", "territory_key"]) + " FROM b2",
-        _listing("fact_order_lines", ["order_id", "line_number", "customer_key", "employee_key", "product_key", "shipper_key",
-                                      "order_date_key", "ship_date_key", "quantity", "line_price", "list_price",
-                                      "CAST(discount AS DECIMAL(19,4))"]) + " FROM f2",
-        _listing("fact_rejects", ["order_id", "line_number", missing]) + f" FROM fl WHERE NOT ({full})",
-    ]
-    return _with(*ctes) + "\nUNION ALL\n".join(parts)
+    parts = {
+        "dim_customers": _listing("dim_customers", ["customer_key", "c_custkey", "c_name", "c_nationkey", "c_mktsegment",
+                                                    "c_mktsegment_prev", "c_mktsegment_prev_validto"]) + f" FROM {c}",
+        "dim_products": _listing("dim_products", ["product_key", "product_id", "product_name", "brand", "size", "unit_price",
+                                                  "category_name", "valid_from"]) + f" FROM {p}",
+        "dim_products_history": _listing("dim_products_history", ["product_key", "product_id", "product_name", "unit_price",
+                                                                  "valid_from", "valid_to"]) + f" FROM {h}",
+        "dim_employees": _listing("dim_employees", ["employee_key", "employee_id", "last_name", "nation_id", "acctbal", "hex(photo)",
+                                                    "reports_to", *version]) + f" FROM {e}",
+        "dim_territories": _listing("dim_territories", ["territory_key", "territory_id", "description", "region_id", *version])
+        + f" FROM {t}",
+        "dim_regions": _listing("dim_regions", ["region_key", "region_id", "description", *version]) + f" FROM {r}",
+        "dim_shippers": _listing("dim_shippers", ["shipper_key", "shipper_id", "company_name"]) + f" FROM {sh}",
+        "bridge_employee_territory": _listing("bridge_employee_territory", ["employee_key", "territory_key"]) + f" FROM {b}",
+        "fact_order_lines": _listing("fact_order_lines", ["order_id", "line_number", "customer_key", "employee_key", "product_key",
+                                                          "shipper_key", "order_date_key", "ship_date_key", "quantity", "line_price",
+                                                          "list_price", "CAST(discount AS DECIMAL(19,4))"]) + f" FROM {f}",
+        "fact_rejects": _listing("fact_rejects", ["order_id", "line_number", missing]) + f" FROM {lines} WHERE NOT ({full})",
+    }
+    return _with(*ctes) + "\nUNION ALL\n".join(q for name, q in parts.items() if not only or name in only)
 
 
 STAR_RELOAD = _star_reload()
@@ -755,8 +770,8 @@ STAR_RELOAD = _star_reload()
 CATALOG_INCLUDED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                     "documents"]
 
-# Column lists of the provided star tables (TESTDATA / FIXTURES section 3).
-STAR_COLUMNS = {
+# Column lists of the provided tables (TESTDATA / FIXTURES section 3).
+TABLE_COLUMNS = {
     "region": ["r_regionkey", "r_name"],
     "nation": ["n_nationkey", "n_name", "n_regionkey"],
     "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
@@ -766,6 +781,12 @@ STAR_COLUMNS = {
     "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                  "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
     "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "conversations": ["conv_id", "turn", "role", "text"],
 }
 
 
@@ -780,13 +801,81 @@ def _catalog_tables():
 def _catalog_columns():
     counts = "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS n_non_null FROM {t}"
-        for t, cols in STAR_COLUMNS.items() for c in cols)
+        for t, cols in TABLE_COLUMNS.items() for c in cols)
     return f"""
 SELECT i.table_name, i.column_name, CAST(i.ordinal_position AS BIGINT) AS ordinal_position, s.n_non_null
 FROM information_schema.columns i JOIN ({counts}) s
   ON i.table_name = s.table_name AND i.column_name = s.column_name"""
 
 
+#: columns that aren't cast to text as they are
+_WHOLE = "CAST(floor(CAST({0} AS DOUBLE) * 10000) AS BIGINT)"
+_TEXT_OF = {c: _WHOLE for c in ("c_acctbal", "s_acctbal", "p_retailprice", "o_totalprice", "l_quantity", "l_extendedprice",
+                                "l_discount", "l_tax", "value")}
+_TEXT_OF |= {c: "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')" for c in ("o_orderdate", "l_shipdate", "ts")}
+_TEXT_OF["embedding"] = ("concat('[', array_to_string(list_transform({0}, lambda x: coalesce(CAST("
+                         + _WHOLE.format("x") + " AS VARCHAR), '~')), ','), ']')")
+
+
+def _preview_rows():
+    parts = []
+    for t, ks in TABLE_KEYS:
+        text = ", '|', ".join(f"coalesce(CAST({_TEXT_OF.get(c, '{0}').format(c)} AS VARCHAR), '~')" for c in TABLE_COLUMNS[t])
+        parts.append(f"SELECT * FROM (SELECT '{t}' AS entity, concat({text}) AS row_text FROM {t} ORDER BY {', '.join(ks)} LIMIT 15)")
+    return "\nUNION ALL\n".join(parts)
+
+
+# net change of prev to the last source, all columns compared NULL-safely
+FEED_BETWEEN = _with(SRC, PREV, """last AS (
+  SELECT s.k, CASE WHEN s.k % 13 = 0 THEN upper(s.nm) ELSE s.nm END || CASE WHEN s.k % 12 = 5 THEN ' II' ELSE '' END AS nm,
+         CASE WHEN s.k % 7 = 0 THEN CASE WHEN s.k % 11 = 0 THEN NULL ELSE concat('OLD_', c.c_mktsegment) END ELSE s.addr END AS addr
+  FROM src s JOIN customer c ON c.c_custkey = s.k WHERE s.k % 10 <> 0)""") + """
+SELECT coalesce(p.k, l.k) AS k, CASE WHEN p.k IS NULL THEN 'INSERT' WHEN l.k IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS merge_action,
+       p.nm AS nm_before, p.addr AS addr_before, l.nm AS nm_after, l.addr AS addr_after
+FROM prev p FULL OUTER JOIN last l ON p.k = l.k
+WHERE p.k IS NULL OR l.k IS NULL OR p.nm IS DISTINCT FROM l.nm OR p.addr IS DISTINCT FROM l.addr"""
+
+ASOF = """
+WITH v AS (
+  SELECT c_custkey, c_custkey * 10 + i AS version_key, DATE '1995-01-01' + CAST(i * 500 + (c_custkey % 5) * 30 AS INTEGER) AS since,
+         CASE WHEN i < c_custkey % 4 THEN DATE '1995-01-01' + CAST(i * 500 + (c_custkey % 5) * 30 + 499 AS INTEGER) END AS until
+  FROM (SELECT c_custkey, unnest(range(0, c_custkey % 4 + 1)) AS i FROM customer))
+SELECT l.l_orderkey AS order_id, CAST(l.l_linenumber AS BIGINT) AS line_number, o.o_custkey AS customer_id, v.version_key,
+       v.until IS NOT NULL AS ends_later
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+LEFT JOIN v ON o.o_custkey = v.c_custkey AND CAST(o.o_orderdate AS DATE) >= v.since
+           AND (v.until IS NULL OR CAST(o.o_orderdate AS DATE) <= v.until)"""
+
+_TREE = """tree AS (
+  SELECT e.employee_id, CASE WHEN m.s_suppkey IS NULL THEN NULL ELSE e.manager END AS manager, e.territory_id
+  FROM (SELECT s_suppkey AS employee_id, CAST(s_nationkey AS BIGINT) AS territory_id,
+               CASE WHEN s_suppkey % 29 = 27 THEN s_suppkey + 1 WHEN s_suppkey % 29 = 28 THEN s_suppkey - 1
+                    WHEN s_suppkey % 31 = 30 THEN s_suppkey + 1000000 WHEN s_suppkey > 0 THEN s_suppkey // 2 END AS manager
+        FROM supplier) e LEFT JOIN supplier m ON m.s_suppkey = e.manager)"""
+
+HIERARCHY = f"""
+WITH RECURSIVE {_TREE},
+     cyc AS (SELECT a.employee_id FROM tree a JOIN tree b ON a.manager = b.employee_id AND b.manager = a.employee_id),
+     up AS (SELECT employee_id, manager AS manager_id, CAST(1 AS BIGINT) AS distance FROM tree
+            WHERE manager IS NOT NULL AND employee_id NOT IN (SELECT employee_id FROM cyc)
+            UNION ALL
+            SELECT u.employee_id, t.manager, u.distance + 1 FROM up u JOIN tree t ON u.manager_id = t.employee_id
+            WHERE t.manager IS NOT NULL AND t.employee_id NOT IN (SELECT employee_id FROM cyc))
+SELECT 'above' AS kind, employee_id, manager_id, distance FROM up
+UNION ALL SELECT 'cycle', employee_id, NULL, NULL FROM cyc"""
+
+CASCADED = f"""
+WITH RECURSIVE {_TREE}, {BRIDGE},
+     gone_t AS (SELECT n_nationkey FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_regionkey % 2 = 1)),
+     gone_e AS (SELECT employee_id FROM tree WHERE employee_id % 13 = 12
+                UNION SELECT t.employee_id FROM tree t JOIN gone_e g ON t.manager = g.employee_id)
+SELECT 'region' AS table_name, CAST(r_regionkey AS BIGINT) AS id_1, CAST(NULL AS BIGINT) AS id_2 FROM region WHERE r_regionkey % 2 <> 1
+UNION ALL SELECT 'territory', CAST(n_nationkey AS BIGINT), CAST(n_regionkey AS BIGINT) FROM nation WHERE n_nationkey NOT IN (SELECT * FROM gone_t)
+UNION ALL SELECT 'employee', employee_id, CASE WHEN territory_id IN (SELECT n_nationkey FROM gone_t) THEN NULL ELSE territory_id END
+FROM tree WHERE employee_id NOT IN (SELECT * FROM gone_e)
+UNION ALL SELECT 'bridge', s_suppkey, CAST(n_nationkey AS BIGINT) FROM bridge
+WHERE s_suppkey NOT IN (SELECT * FROM gone_e) AND n_nationkey NOT IN (SELECT * FROM gone_t)"""
+
 CATALOG_TABLES = _catalog_tables()
 CATALOG_COLUMNS = _catalog_columns()
 
@@ -843,10 +932,18 @@ ORACLE_SQL = {
     "land_typed_csv_rejects": TYPED_CSV_REJECTS,
     "land_append": "SELECT * FROM customer",
     "land_preview": _preview(),
-    "land_preview_rows": "SELECT * FROM customer ORDER BY c_custkey LIMIT 15",
+    "land_preview_rows": _preview_rows(),
     "land_entities": _entities(),
     "star_pipeline": STAR_PIPELINE,
     "star_reload": STAR_RELOAD,
+    "star_commit": _star_reload(day=1),
+    # what waited on day 1 is looked up again with day 2's dimensions, as if it had been delivered again
+    "reject_replay": _star_reload(only=("fact_order_lines", "fact_rejects")),
+    "feed_between": FEED_BETWEEN,
+    "publish_compacted": "SELECT * FROM customer",
+    "fact_asof_lookup": ASOF,
+    "employee_hierarchy": HIERARCHY,
+    "cascade_closure": CASCADED,
     "publish_snapshot": "SELECT * FROM customer",
     "catalog_tables": CATALOG_TABLES,
     "catalog_columns": CATALOG_COLUMNS,

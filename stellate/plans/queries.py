@@ -19,22 +19,21 @@ from stellate.functions.dates import (
 from stellate.functions.predicates import binary_changed, changed
 from stellate.operators import audit
 from stellate.operators.append import append_idempotent
+from stellate.operators.asof import lookup_asof
 from stellate.operators.calendar import calendar_from_bounds
 from stellate.operators.keys import assign_surrogate_keys, extend_surrogate_keys, key_map, unmatched
-from stellate.operators.merge import ACTION, change_feed, merge_actions, scd1
+from stellate.operators.graph import ancestors, cascade_closure
+from stellate.operators.merge import ACTION, change_feed, merge_actions, scd1, scd1_load
 from stellate.operators.scd import scd2, scd2_actions, scd2_expired, scd2_new_versions, scd3, scd4
 from stellate.plans import pipeline, star
 from stellate.session import shared_dir
 from stellate.sources import catalog, landing
 from stellate.sources import testdata as td
-from stellate.sources.publish import publish, read_table, warehouse_root
+from stellate.sources.feeds import changes
+from stellate.sources.publish import compact, current_snapshot, publish, read_snapshot, read_table, warehouse_root
 
 AS_OF = td.AS_OF
 CUSTOMER_TRACKED = ["nm", "addr"]
-STAR_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-STAR_KEYS = {"region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"],
-             "supplier": ["s_suppkey"], "part": ["p_partkey"], "orders": ["o_orderkey"],
-             "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"]}
 
 
 # ---------------------------------------------------------------- fact / joins
@@ -476,16 +475,21 @@ def q_land_append(spark, d):
     return spark.read.schema(c.schema).parquet(path)
 
 
-def _star_entities(spark, d):
-    return landing.load_entities(spark, d, STAR_TABLES)
+def _entities(spark, d):
+    return landing.load_entities(spark, d, td.TABLES)
 
 
 def q_land_preview(spark, d):
-    return landing.preview(_star_entities(spark, d), STAR_KEYS, n=15)
+    return landing.preview(_entities(spark, d), catalog.PROVIDED_KEYS, n=15)
 
 
 def q_land_preview_rows(spark, d):
-    return landing.preview_rows(td.table(spark, d, "customer"), "c_custkey")
+    """The first 15 whole rows of every entity by key, all columns as text."""
+    parts = []
+    for name, df in _entities(spark, d).items():
+        top = landing.preview_rows(df, catalog.PROVIDED_KEYS[name])
+        parts.append(top.select(F.lit(name).alias("entity"), landing.row_text(df.schema).alias("row_text")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def q_land_entities(spark, d):
@@ -516,6 +520,105 @@ def q_star_reload(spark, d):
     return pipeline.content(spark, root)
 
 
+def q_star_commit(spark, d):
+    """Day 2's load fails an audit over the fact when all its tables are
+    written: every row of the star is still day 1's."""
+    root = f"{warehouse_root(spark)}/commit-{uuid.uuid4().hex}"
+    lines = td.table(spark, d, "lineitem")
+    before = lines.filter(F.col("l_shipdate") < F.lit(RELOAD_CUT).cast("timestamp_ntz"))
+    pipeline.run_star(spark, d, root, day=1, as_of=td.CURRENT_SINCE, lines=before)
+
+    def checks(commit):
+        return {"fact_dates": commit.table("fact_order_lines").filter(f"ship_date_key >= {RELOAD_CUT.replace('-', '')}")}
+    try:
+        pipeline.run_star(spark, d, root, day=2, as_of=AS_OF, lines=lines, checks=checks)
+    except ValueError as e:
+        if "fact_dates" not in str(e):
+            raise
+    return pipeline.content(spark, root)
+
+
+def q_reject_replay(spark, d):
+    """Each line is delivered once: day 1 those shipped before the cut, day 2
+    the others.  Lines that lacked a key on day 1 become fact rows on day 2,
+    once, if it exists by then."""
+    root = f"{warehouse_root(spark)}/replay-{uuid.uuid4().hex}"
+    lines = td.table(spark, d, "lineitem")
+    early = F.col("l_shipdate") < F.lit(RELOAD_CUT).cast("timestamp_ntz")
+    pipeline.run_star(spark, d, root, day=1, as_of=td.CURRENT_SINCE, lines=lines.filter(early))
+    pipeline.run_star(spark, d, root, day=2, as_of=AS_OF, lines=lines.filter(~early))
+    return pipeline.content(spark, root).filter(F.col("table_name").isin("fact_order_lines", "fact_rejects"))
+
+
+def q_feed_between(spark, d):
+    """Net change of a dimension over three loads: keys that the first load
+    brings leave with the second, and changed values change back."""
+    root = f"{warehouse_root(spark)}/feeds-{uuid.uuid4().hex}"
+    name, first = "dim_customer_feed", td.customer_prev(spark, d)
+    publish(first, name, root=root)
+    second = td.customer_source(spark, d)
+    k = F.col("k")
+    third = td.customer_source_later(spark, d)
+    last = third.withColumn("nm", F.when(k % 12 == 5, F.concat("nm", F.lit(" II"))).otherwise(F.col("nm")))
+    for source in (second, third, last):
+        base = current_snapshot(spark, name, root)
+        rows, feed = scd1_load(read_snapshot(spark, name, base, root), source, "k", CUSTOMER_TRACKED)
+        publish(rows, name, root=root, base=base, feed=feed, feed_keys="k")
+    net = changes(spark, name, 1, 4, root)
+    return net.select("k", ACTION, F.col("before.nm").alias("nm_before"), F.col("before.addr").alias("addr_before"),
+                      F.col("after.nm").alias("nm_after"), F.col("after.addr").alias("addr_after"))
+
+
+def q_publish_compacted(spark, d):
+    """Six appends, folded together, read back."""
+    root = f"{warehouse_root(spark)}/chain-{uuid.uuid4().hex}"
+    c = td.table(spark, d, "customer")
+    for i in range(6):
+        base = current_snapshot(spark, "customers", root)
+        publish(c.filter(F.col("c_custkey") % 6 == i), "customers", root=root, base=base, keep=base)
+    compact(spark, "customers", root)
+    return read_table(spark, "customers", root)
+
+
+def q_fact_asof_lookup(spark, d):
+    """Order lines with the customer's version of the order date."""
+    o = td.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+    lines = td.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").join(o, "l_orderkey")
+    found = lookup_asof(lines, td.customer_versions(spark, d), "o_custkey", "o_orderdate", "c_custkey",
+                        {"version_key": "version_key", "ineffective_date": "valid_to"}, how="left")
+    return found.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").cast("bigint").alias("line_number"),
+                        F.col("o_custkey").alias("customer_id"), "version_key", F.col("valid_to").isNotNull().alias("ends_later"))
+
+
+def q_employee_hierarchy(spark, d):
+    """Every employee's managers at all distances, and who is in a cycle."""
+    pairs, cycle = ancestors(td.employee_tree(spark, d), "employee_id", "reports_to", "manager_id")
+    return pairs.select(F.lit("above").alias("kind"), "employee_id", "manager_id", "distance").unionByName(
+        cycle.select(F.lit("cycle").alias("kind"), "employee_id"), allowMissingColumns=True)
+
+
+def q_cascade_closure(spark, d):
+    """The odd regions and every 13th employee are deleted: territories of the
+    regions, all who report to a deleted employee, and the bridge rows of both
+    go; the home territory of employees who stay becomes NULL."""
+    region = td.table(spark, d, "region")
+    staff = td.employee_tree(spark, d)
+    n = td.table(spark, d, "nation")
+    tables = {"region": region.select("r_regionkey"), "employee": staff,
+              "territory": n.select(F.col("n_nationkey").cast("bigint").alias("territory_id"),
+                                    F.col("n_regionkey").cast("bigint").alias("region_id")),
+              "bridge": td.employee_territories(spark, d).select(F.col("s_suppkey").alias("employee_id"),
+                                                                 F.col("n_nationkey").cast("bigint").alias("territory_id"))}
+    left = cascade_closure(tables, catalog.CASCADES, {
+        "region": region.filter("r_regionkey % 2 = 1").select("r_regionkey"),
+        "employee": staff.filter("employee_id % 13 = 12").select("employee_id")})
+    ids = {"region": ["r_regionkey"], "territory": ["territory_id", "region_id"], "employee": ["employee_id", "territory_id"],
+           "bridge": ["employee_id", "territory_id"]}
+    parts = [left[t].select(F.lit(t).alias("table_name"), F.col(cols[0]).cast("bigint").alias("id_1"),
+                            (F.col(cols[1]) if len(cols) > 1 else F.lit(None)).cast("bigint").alias("id_2")) for t, cols in ids.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_publish_snapshot(spark, d):
     """Publish the customer dimension as a checked snapshot and read it back."""
     dim = td.table(spark, d, "customer")
@@ -539,10 +642,10 @@ def q_catalog_tables(spark, d):
 
 
 def q_catalog_columns(spark, d):
-    """Columns of each star table in order, with their non-NULL counts
+    """Columns of each provided table in order, with their non-NULL counts
     (one aggregate pass per table, unpivoted to one row per column)."""
     parts = []
-    for name, df in _star_entities(spark, d).items():
+    for name, df in _entities(spark, d).items():
         cols = [c for _, c, _ in catalog.list_columns(df)]
         stats = df.agg(*[F.count(F.col(c)).cast("bigint").alias(c) for c in cols])
         parts.append(stats.unpivot([], cols, "column_name", "n_non_null").select(
@@ -556,8 +659,8 @@ def q_catalog_columns(spark, d):
 def q_catalog_primary_keys(spark, d):
     """Declared key of each table, checked against the data."""
     parts = []
-    for name, df in _star_entities(spark, d).items():
-        keys = STAR_KEYS[name]
+    for name, df in _entities(spark, d).items():
+        keys = catalog.PROVIDED_KEYS[name]
         parts.append(df.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
                             F.count_distinct(*[F.col(k) for k in keys]).cast("bigint").alias("n_keys"))
                      .select(F.lit(name).alias("table_name"), F.lit(",".join(keys)).alias("key_columns"),
@@ -622,6 +725,13 @@ QUERIES = {
     "land_entities": q_land_entities,
     "star_pipeline": q_star_pipeline,
     "star_reload": q_star_reload,
+    "star_commit": q_star_commit,
+    "reject_replay": q_reject_replay,
+    "feed_between": q_feed_between,
+    "publish_compacted": q_publish_compacted,
+    "fact_asof_lookup": q_fact_asof_lookup,
+    "employee_hierarchy": q_employee_hierarchy,
+    "cascade_closure": q_cascade_closure,
     "publish_snapshot": q_publish_snapshot,
     "catalog_tables": q_catalog_tables,
     "catalog_columns": q_catalog_columns,

@@ -34,6 +34,7 @@ class Entity:
     foreign_keys: list = field(default_factory=list)   # (cols, parent, parent_cols)
     lengths: dict = field(default_factory=dict)        # col -> max characters
     unique_current: list = field(default_factory=list)  # unique among rows with is_current
+    on_delete: dict = field(default_factory=dict)      # columns of a reference -> cascade, set null or restrict
 
     @property
     def not_null(self) -> list:
@@ -140,7 +141,8 @@ STAR = [
            ["shipper_key"], lengths={"company_name": 40}),
     Entity("bridge_employee_territory", T.StructType([_f("employee_key", LONG, False), _f("territory_key", LONG, False)]),
            ["employee_key", "territory_key"], [(["employee_key"], "dim_employees", ["employee_key"]),
-                                               (["territory_key"], "dim_territories", ["territory_key"])]),
+                                               (["territory_key"], "dim_territories", ["territory_key"])],
+           on_delete={("employee_key",): "cascade", ("territory_key",): "cascade"}),
     # the fact's grain is the source line, which the source doesn't keep unique
     Entity("fact_order_lines", T.StructType([_f(c, LONG, False) for c in (
         "order_id", "customer_key", "employee_key", "product_key", "shipper_key", "order_date_key", "quantity")]
@@ -150,6 +152,25 @@ STAR = [
             (["order_date_key"], "dim_date", ["date_key"]), (["ship_date_key"], "dim_date", ["date_key"])]),
 ]
 
+# The keys of the provided tables, and the references among the first seven.
+PROVIDED_KEYS = {"region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"],
+                 "part": ["p_partkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"],
+                 "events": ["event_id"], "documents": ["doc_id"], "embeddings": ["vec_id"], "pages": ["page_id"],
+                 "benchmark": ["item_id"], "labels": ["doc_id"], "conversations": ["conv_id", "turn"]}
+
+# Territories of regions, employees of managers and their bridge, over the provided tables, with what a delete does.
+CASCADES = [
+    Entity("region", T.StructType([_f("r_regionkey", INT, False)]), ["r_regionkey"]),
+    Entity("territory", T.StructType([_f("territory_id", LONG, False), _f("region_id", LONG)]), ["territory_id"],
+           [(["region_id"], "region", ["r_regionkey"])], on_delete={("region_id",): "cascade"}),
+    Entity("employee", T.StructType([_f("employee_id", LONG, False), _f("reports_to", LONG), _f("territory_id", LONG)]),
+           ["employee_id"], [(["reports_to"], "employee", ["employee_id"]), (["territory_id"], "territory", ["territory_id"])],
+           on_delete={("reports_to",): "cascade", ("territory_id",): "set null"}),
+    Entity("bridge", T.StructType([_f("employee_id", LONG, False), _f("territory_id", LONG, False)]), ["employee_id", "territory_id"],
+           [(["employee_id"], "employee", ["employee_id"]), (["territory_id"], "territory", ["territory_id"])],
+           on_delete={("employee_id",): "cascade", ("territory_id",): "cascade"}),
+]
+
 # Load order: parents before children (self references are audited after).
 LOAD_ORDER = ["employees", "region", "territories", "suppliers", "categories", "products",
               "employee_territories", "customers", "shippers", "orders", "order_details"]

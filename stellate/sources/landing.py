@@ -154,6 +154,21 @@ def preview_rows(df: DataFrame, keys, n: int = 15) -> DataFrame:
     return df.orderBy(*([keys] if isinstance(keys, str) else keys)).limit(n)
 
 
+def row_text(schema: T.StructType) -> F.Column:
+    """A row's columns as text, ``|`` between them: floating point numbers as
+    whole ten-thousandths, instants to the microsecond, lists in brackets, NULL as ``~``."""
+    def text(c, kind):
+        if isinstance(kind, T.ArrayType):
+            items = F.transform(c, lambda x: F.coalesce(text(x, kind.elementType), F.lit("~")))
+            return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            return F.floor(c.cast("double") * 10000).cast("bigint").cast("string")
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        return c.cast("string")
+    return F.concat_ws("|", *[F.coalesce(text(F.col(f"`{f.name}`"), f.dataType), F.lit("~")) for f in schema.fields])
+
+
 def preview(entities: dict, keys: dict, n: int = 15, entity_col: str = "entity") -> DataFrame:
     """The first ``n`` rows of each entity by key (a bounded top-k per entity),
     reduced to their key columns and unioned."""

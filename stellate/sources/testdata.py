@@ -63,6 +63,17 @@ def customer_prev(spark, sf_dir) -> DataFrame:
     return kept.unionByName(gone)
 
 
+def customer_source_later(spark, sf_dir) -> DataFrame:
+    """The source some loads later: every 10th key is gone, every 7th has its
+    value of ``prev`` again, every 13th another name."""
+    k = F.col("k")
+    prev = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), "c_mktsegment")
+    old = F.when(k % 11 == 0, F.lit(None)).when(k % 7 == 0, F.concat(F.lit("OLD_"), F.col("c_mktsegment"))).otherwise(F.col("addr"))
+    return (customer_source(spark, sf_dir).join(prev, "k").filter(k % 10 != 0)
+            .select("k", F.when(k % 13 == 0, F.upper("nm")).otherwise(F.col("nm")).alias("nm"),
+                    F.when(k % 7 == 0, old).otherwise(F.col("addr")).alias("addr")))
+
+
 def customer_hist(spark, sf_dir) -> DataFrame:
     """Versioned dimension: ``prev`` as current versions plus one closed
     version for keys with k % 5 = 1."""
@@ -155,6 +166,28 @@ def employees(spark, sf_dir) -> DataFrame:
          .otherwise(k - k % 10).alias("reports_to"))
 
 
+def employee_tree(spark, sf_dir) -> DataFrame:
+    """Employees (suppliers) in a deep hierarchy: employee k reports to k / 2.
+    Those with k % 29 = 27 and 28 report to each other (a cycle, where both
+    exist), every 31st to a missing one.  Each has a home territory."""
+    k = F.col("s_suppkey")
+    manager = (F.when(k % 29 == 27, k + 1).when(k % 29 == 28, k - 1).when(k % 31 == 30, k + SHIFTED_KEY_OFFSET)
+               .when(k > 0, F.floor(k / 2)))
+    return table(spark, sf_dir, "supplier").select(k.alias("employee_id"), manager.cast("bigint").alias("reports_to"),
+                                                   F.col("s_nationkey").cast("bigint").alias("territory_id"))
+
+
+def customer_versions(spark, sf_dir) -> DataFrame:
+    """Customers with one to four versions over the orders' dates: version i of
+    customer k begins 500 i + 30 (k % 5) days after the first order date, and
+    ends the day before the next; the last is open."""
+    k = F.col("c_custkey")
+    start = F.date_add(F.lit(_dt.date(1995, 1, 1)), (F.col("i") * 500 + (k % 5) * 30).cast("int"))
+    return (table(spark, sf_dir, "customer").select(k, "c_mktsegment", F.explode(F.sequence(F.lit(0), (k % 4).cast("int"))).alias("i"))
+            .select("c_custkey", (k * 10 + F.col("i")).alias("version_key"), start.alias("effective_date"),
+                    F.when(F.col("i") < k % 4, F.date_add(start, 499)).alias("ineffective_date")))
+
+
 def orders_nullable_customer(spark, sf_dir) -> DataFrame:
     """Orders whose customer reference is NULL (every 19th) or points at a
     missing customer (every 23rd)."""
