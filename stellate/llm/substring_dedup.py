@@ -33,6 +33,7 @@ from stellate.llm.common import NOT_SPACE, distinct, join_grouped, joined_texts,
 
 # fixed values: a perfect difference set (every non-zero difference occurs once)
 PERIOD = 31
+ROW_BITS = 20  # of a text's digest, beside its id
 COVER = (1, 5, 11, 24, 25, 27)
 #: odd multipliers of the two rolling hashes
 BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
@@ -136,7 +137,7 @@ def _window_rows(parts, window, period, cover) -> Iterator[pa.RecordBatch]:
     """The windows that hold a shared anchor."""
     length = window - period + 1
     for b in parts:
-        rows, ids, texts, lists = b.column("row"), b.column("doc_id"), b.column("text"), b.column("anchors")
+        rows, texts, lists = b.column("row"), b.column("text"), b.column("anchors")
         for first, last in text_groups(texts):
             w = _Words(texts, first, last).hashed()
             place, doc, value = w.anchors(window, period, cover)
@@ -153,12 +154,12 @@ def _window_rows(parts, window, period, cover) -> Iterator[pa.RecordBatch]:
             keep = order[new]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h1[keep].view(np.int64)), pa.array(h2[keep].astype(np.uint32).view(np.int32)),
-                 *(c.take(pa.array(of[keep] + first)) for c in (ids, rows))], ["h1", "h2", "doc_id", "row"])
+                 rows.take(pa.array(of[keep] + first))], ["h1", "h2", "row"])
 
 
 def _kept_rows(parts, window) -> Iterator[pa.RecordBatch]:
     for b in parts:
-        ids, texts, lists = b.column("doc_id"), b.column("text"), b.column("windows")
+        rows, texts, lists = b.column("row"), b.column("text"), b.column("windows")
         copies = b.column("is_copy").to_numpy(zero_copy_only=False)
         for first, last in text_groups(texts):
             w = _Words(texts, first, last)
@@ -187,8 +188,8 @@ def _kept_rows(parts, window) -> Iterator[pa.RecordBatch]:
             raw = memoryview(out.tobytes())
             sha = [hashlib.sha256(raw[a:max(a, e - 1)]).hexdigest() for a, e in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(first, last - first), pa.array(w.size.astype(np.int64)), pa.array(removed.astype(np.int64)),
-                 pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+                [rows.slice(first, last - first), pa.array(w.size.astype(np.int64)), pa.array(removed.astype(np.int64)),
+                 pa.array(sha, pa.string())], ["row", "n_words", "n_removed", "kept_sha256"])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50,
@@ -207,32 +208,46 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     check_cover(cover, period)
     if window - period + 1 < 1:
         raise ValueError("the window must be at least as long as the period")
-    big = (1 << 63) - 1  # stands for a null id
-    src = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(big)).alias("doc_id"),
-                      F.col(text_col).cast("string").alias("text")).withColumn(
-        "digest", F.unhex(F.substring(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256), 1, 32)))
-    # lists are gathered by row, an id and a text, so that none holds more than one text's
-    src = src.withColumn("row", F.xxhash64("doc_id", "digest"))
-    ids = src.select("row", "doc_id", "digest")
-    originals = ids.groupBy("digest").agg(F.min("doc_id").alias("original"), F.count("*").alias("n")).filter("n > 1")
-    copies = (join_grouped(ids, originals, ["digest"]).filter("doc_id > original").select("row").distinct()
-              .withColumn("is_copy", F.lit(True)))
-    texts = src.join(copies, "row", "left").select("row", "doc_id", "text", F.coalesce("is_copy", F.lit(False)).alias("is_copy"))
+    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn(
+        "digest", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
+    # a row is its id and some bits of its text's digest, ordered by id: lists are gathered by row, so that one id on
+    # many rows, or a null id, makes no large group
+    least, most = src.agg(F.min("doc_id"), F.max("doc_id")).first()
+    bits = F.xxhash64("digest").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    no_id = (1 << 63 - ROW_BITS) - 1  # larger than any id
+    if least is None or (least >= 0 and most < no_id):
+        row = F.shiftleft(F.coalesce("doc_id", F.lit(no_id)), ROW_BITS).bitwiseOR(bits)
+
+        def doc_of(r):
+            return F.shiftright(r, ROW_BITS)
+    else:
+        row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", bits.alias("bits"))
+
+        def doc_of(r):
+            return F.struct(r["unnamed"], r["doc_id"])
+    src = src.select(row.alias("row"), "text", "digest")
+    kind = src.schema["row"].dataType.simpleString()
+    ids = src.select("row", "digest")
+    originals = ids.groupBy("digest").agg(F.min("row").alias("original"), F.count("*").alias("n")).filter("n > 1")
+    copies = (join_grouped(ids, originals, ["digest"]).filter(doc_of(F.col("row")) > doc_of(F.col("original")))
+              .select("row").distinct().withColumn("is_copy", F.lit(True)))
+    texts = src.join(copies, "row", "left").select("row", "text", F.coalesce("is_copy", F.lit(False)).alias("is_copy"))
     own = texts.filter("not is_copy")
 
     # an anchor counts once per row, so rows of one id may mark too much, never too little
     anchors = own.select("row", "text").mapInArrow(
-        lambda parts: _anchor_rows(parts, window, period, cover), "anchor bigint, row bigint")
+        lambda parts: _anchor_rows(parts, window, period, cover), f"anchor bigint, row {kind}")
     shared = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     marked = join_grouped(anchors, shared, ["anchor"]).groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
 
-    windows = own.join(marked, "row").select("row", "doc_id", "text", "anchors").mapInArrow(
-        lambda parts: _window_rows(parts, window, period, cover), "h1 bigint, h2 int, doc_id bigint, row bigint")
-    earliest = (windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    windows = own.join(marked, "row").select("row", "text", "anchors").mapInArrow(
+        lambda parts: _window_rows(parts, window, period, cover), f"h1 bigint, h2 int, row {kind}")
+    earliest = (windows.groupBy("h1", "h2").agg(F.min("row").alias("first"), F.count("*").alias("n"))
                 .filter("n > 1").select("h1", "h2", "first"))
-    repeated = (join_grouped(windows, earliest, ["h1", "h2"]).filter("doc_id > first")
+    repeated = (join_grouped(windows, earliest, ["h1", "h2"]).filter(doc_of(F.col("row")) > doc_of(F.col("first")))
                 .groupBy("row").agg(F.collect_set("h1").alias("windows")))
 
-    out = texts.join(repeated, "row", "left").select("doc_id", "text", "is_copy", "windows").mapInArrow(
-        lambda parts: _kept_rows(parts, window), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
-    return out.withColumn("doc_id", F.when(F.col("doc_id") != big, F.col("doc_id")))
+    out = texts.join(repeated, "row", "left").select("row", "text", "is_copy", "windows").mapInArrow(
+        lambda parts: _kept_rows(parts, window), f"row {kind}, n_words bigint, n_removed bigint, kept_sha256 string")
+    doc = F.col("row.doc_id") if kind.startswith("struct") else F.when(doc_of(F.col("row")) != no_id, doc_of(F.col("row")))
+    return out.select(doc.alias("doc_id"), "n_words", "n_removed", "kept_sha256")

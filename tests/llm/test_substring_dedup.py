@@ -84,3 +84,14 @@ def test_a_third_of_the_rows_has_no_id_and_another_third_one_id(spark):
     got = remove_repeats(docs(spark, rows).repartition(5)).collect()
     got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got)
     assert got == brute(rows, 50)
+
+
+@pytest.mark.parametrize("shift", [-50, (1 << 62), (1 << 43) - 120])
+def test_any_ids(spark, shift):
+    """Negative ids and ids that leave no room for the digest's bits."""
+    rows = [(None if i is None else i + shift, t) for i, t in corpus(random.Random(6))[:60]]
+    got = remove_repeats(docs(spark, rows)).collect()
+    low = min(i for i, _ in rows if i is not None) - 1
+    got = sorted((low if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got)
+    big = [(None if i is None else i - shift, t) for i, t in rows]
+    assert got == sorted((low if i == -1 else i + shift, *rest) for i, *rest in brute(big, 50))
