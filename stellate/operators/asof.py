@@ -41,8 +41,8 @@ def lookup_asof(fact: DataFrame, versions: DataFrame, fact_keys, fact_date: str,
                         F.to_date(to_col).alias("_to"), *[F.col(c).alias(f"_o_{n}") for c, n in out.items()])
     lo, hi = F.lit(span["lo"]).cast("date"), F.lit(span["hi"]).cast("date")
     # only what overlaps the facts' dates, cut to them
-    v = (v.withColumn("_from", F.greatest("_from", lo)).withColumn("_to", F.least(F.coalesce("_to", hi), hi))
-         .filter("_from IS NOT NULL AND _from <= _to"))
+    v = (v.filter("_from IS NOT NULL").withColumn("_from", F.greatest("_from", lo)).withColumn("_to", F.least(F.coalesce("_to", hi), hi))
+         .filter("_from <= _to"))
     n, days = v.agg(F.count("*"), F.coalesce(F.sum(F.datediff("_to", "_from") + 1), F.lit(0))).first()
     width = max(1, -(-days // max(1, n)))
 
@@ -65,4 +65,4 @@ def overlapping_versions(versions: DataFrame, keys, from_col: str = "effective_d
     order = Window.partitionBy(*keys).orderBy(from_col, F.col(to_col).asc_nulls_last())
     far = F.lit("9999-12-31").cast("date")
     last = F.max(F.coalesce(F.to_date(to_col), far)).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return versions.withColumn("_last", last).filter(F.to_date(from_col) <= F.col("_last")).drop("_last")
+    return versions.filter(F.col(from_col).isNotNull()).withColumn("_last", last).filter(F.to_date(from_col) <= F.col("_last")).drop("_last")

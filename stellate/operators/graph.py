@@ -86,9 +86,9 @@ def marked_below(edges: DataFrame, marked: DataFrame) -> DataFrame:
 CASCADE, SET_NULL, RESTRICT = "cascade", "set null", "restrict"
 
 
-def _key(cols, kind=None) -> F.Column:
-    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)])
-    return key.cast(kind) if kind is not None else key
+def _key(cols, kinds) -> F.Column:
+    """Key columns as one value, in the types of the key that they refer to."""
+    return F.struct(*[F.col(c).cast(t).alias(f"k{i}") for i, (c, t) in enumerate(zip(cols, kinds, strict=True))])
 
 
 def _present(cols) -> F.Column:
@@ -107,7 +107,7 @@ def cascade_closure(tables: dict[str, DataFrame], entities: list, deletes: dict[
     tables too, end when no new key comes."""
     entities = [e for e in entities if e.name in tables]
     by_name = {e.name: e for e in entities}
-    kinds = {e.name: tables[e.name].select(_key(e.key).alias("k")).schema["k"].dataType for e in entities}
+    kinds = {e.name: [tables[e.name].schema[c].dataType for c in e.key] for e in entities}
     gone: dict[str, DataFrame] = {}
     new = {name: checkpoint_table(df.select(_key(by_name[name].key, kinds[name]).alias("d")).distinct(), "gone")
            for name, df in deletes.items()}
