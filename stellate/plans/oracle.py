@@ -876,6 +876,41 @@ FROM tree WHERE employee_id NOT IN (SELECT * FROM gone_e)
 UNION ALL SELECT 'bridge', s_suppkey, CAST(n_nationkey AS BIGINT) FROM bridge
 WHERE s_suppkey NOT IN (SELECT * FROM gone_e) AND n_nationkey NOT IN (SELECT * FROM gone_t)"""
 
+MALFORMED = """
+WITH c AS (
+  SELECT c_custkey AS k, *, CASE WHEN c_custkey % 53 = 0 THEN 'bad' ELSE CAST(CAST(c_acctbal AS DECIMAL(19,4)) AS VARCHAR) END AS bal FROM customer),
+     l AS (SELECT *, concat_ws(',', CAST(k AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR), bal, c_mktsegment) AS whole FROM c)
+SELECT 'row' AS kind, c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, TRY_CAST(bal AS DECIMAL(19,4)) AS c_acctbal,
+       c_mktsegment, CAST(NULL AS VARCHAR) AS line FROM l WHERE k % 43 <> 0 AND k % 47 <> 0
+UNION ALL
+SELECT 'line', NULL, NULL, NULL, NULL, NULL,
+       CASE WHEN k % 43 = 0 THEN whole || ',extra' ELSE concat_ws(',', CAST(k AS VARCHAR), c_name) END FROM l WHERE k % 43 = 0 OR k % 47 = 0"""
+
+EVOLVED = """
+SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+       CASE WHEN o_orderkey % 2 = 0 THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(19,4))
+            ELSE CAST(o_totalprice AS DECIMAL(19,4)) END AS total_price,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'NONE' ELSE o_orderpriority END AS priority
+FROM orders"""
+
+
+def _registry():
+    counts = "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM {t}" for t, _ in TABLE_KEYS)
+    keys = ", ".join(f"('{t}', '{k}')" for t, ks in TABLE_KEYS for k in ks)
+    names = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "TIMESTAMP": "timestamp_ntz",
+             "FLOAT[]": "array<float>"}
+    kind = "CASE i.data_type " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in names.items()) + " ELSE i.data_type END"
+    return f"""
+WITH n AS ({counts}), k(t, c) AS (VALUES {keys}),
+     i AS (SELECT * FROM information_schema.columns WHERE table_name IN (SELECT table_name FROM n))
+SELECT i.table_name, CAST(i.ordinal_position AS BIGINT) AS ordinal_position, i.column_name, {kind} AS data_type,
+       EXISTS (SELECT 1 FROM k WHERE k.t = i.table_name AND k.c = i.column_name) AS is_key, n.n_rows, CAST(0 AS BIGINT) AS n_loaded_on
+FROM i JOIN n ON i.table_name = n.table_name
+UNION ALL
+SELECT i.table_name, max(i.ordinal_position) + 1, 'loaded_on', 'date', false, any_value(n.n_rows), CAST(0 AS BIGINT)
+FROM i JOIN n ON i.table_name = n.table_name GROUP BY i.table_name"""
+
+
 CATALOG_TABLES = _catalog_tables()
 CATALOG_COLUMNS = _catalog_columns()
 
@@ -936,6 +971,9 @@ ORACLE_SQL = {
     "land_entities": _entities(),
     "star_pipeline": STAR_PIPELINE,
     "star_reload": STAR_RELOAD,
+    "land_malformed": MALFORMED,
+    "evolve_read": EVOLVED,
+    "schema_registry": _registry(),
     "star_commit": _star_reload(day=1),
     # what waited on day 1 is looked up again with day 2's dimensions, as if it had been delivered again
     "reject_replay": _star_reload(only=("fact_order_lines", "fact_rejects")),

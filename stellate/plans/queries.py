@@ -27,10 +27,10 @@ from stellate.operators.merge import ACTION, change_feed, merge_actions, scd1, s
 from stellate.operators.scd import scd2, scd2_actions, scd2_expired, scd2_new_versions, scd3, scd4
 from stellate.plans import pipeline, star
 from stellate.session import shared_dir
-from stellate.sources import catalog, landing
+from stellate.sources import catalog, evolve, landing
 from stellate.sources import testdata as td
 from stellate.sources.feeds import changes
-from stellate.sources.publish import compact, current_snapshot, publish, read_snapshot, read_table, warehouse_root
+from stellate.sources.publish import checkpoint_table, compact, current_snapshot, publish, read_snapshot, read_table, warehouse_root
 
 AS_OF = td.AS_OF
 CUSTOMER_TRACKED = ["nm", "addr"]
@@ -465,6 +465,15 @@ def q_land_typed_csv_rejects(spark, d):
     return _customer_csv(spark, d)[1]
 
 
+def q_land_malformed(spark, d):
+    """Lines with too many or too few fields are kept whole, all others loaded."""
+    path = f"{shared_dir(spark, 'landing')}/lines-{uuid.uuid4().hex}"
+    td.customer_lines(spark, d).write.text(path)
+    rows, bad = landing.load_delimited(spark, path, CUSTOMER_SCHEMA, max_bad_share=0.1)
+    return rows.select(F.lit("row").alias("kind"), *CUSTOMER_SCHEMA.names, F.lit(None).cast("string").alias("line")).unionByName(
+        bad.select(F.lit("line").alias("kind"), "line"), allowMissingColumns=True)
+
+
 def q_land_append(spark, d):
     """Two loads of one table, the second with its columns in another order:
     appended by name."""
@@ -619,6 +628,48 @@ def q_cascade_closure(spark, d):
     return reduce(DataFrame.unionByName, parts)
 
 
+def q_evolve_read(spark, d):
+    """Orders written under two schemas: between them the key and the price
+    are widened, the price renamed, the status dropped and the priority added."""
+    root, name = f"{warehouse_root(spark)}/evolve-{uuid.uuid4().hex}", "orders"
+    o, k = td.table(spark, d, "orders"), F.col("o_orderkey")
+    first = evolve.create(spark, name, {"order_id": "int", "customer_id": "bigint", "price": "decimal(12,2)", "status": "string"}, root)
+    evolve.append(o.filter(k % 2 == 0).select(k.cast("int").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+                                              F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
+                                              F.col("o_orderstatus").alias("status")), first)
+    second = evolve.alter(spark, first, add={"priority": ("string", "NONE")}, rename={"price": "total_price"},
+                          widen={"order_id": "bigint", "total_price": "decimal(19,4)"}, drop=["status"])
+    evolve.append(o.filter(k % 2 == 1).select(k.alias("order_id"), F.col("o_custkey").alias("customer_id"),
+                                              F.col("o_totalprice").cast("decimal(19,4)").alias("total_price"),
+                                              F.col("o_orderpriority").alias("priority")), second)
+    return evolve.read(spark, name, root)
+
+
+def q_schema_registry(spark, d):
+    """Every provided table declared, created, filled and altered (a load date
+    is added) by DDL: its columns as the catalog has them, and its rows."""
+    tables = _entities(spark, d)
+    entities = catalog.provided(spark, tables)
+    database = f"registry_{uuid.uuid4().hex}"
+    catalog.apply_ddl(spark, entities, database, f"{warehouse_root(spark)}/{database}")
+    parts = []
+    try:
+        for name, df in tables.items():
+            df.write.insertInto(f"{database}.{name}")
+        for e in entities:
+            e.schema = T.StructType([*e.schema.fields, T.StructField("loaded_on", T.DateType())])
+        catalog.apply_ddl(spark, entities, database)
+        for e in entities:
+            columns = spark.createDataFrame([(e.name, *c) for c in catalog.declared_columns(spark, database, e.name)],
+                                            "table_name string, ordinal_position bigint, column_name string, data_type string, "
+                                            "is_nullable boolean, is_key boolean").drop("is_nullable")
+            stats = spark.table(f"{database}.{e.name}").agg(F.count(F.lit(1)).alias("n_rows"), F.count("loaded_on").alias("n_loaded_on"))
+            parts.append(columns.join(F.broadcast(stats)))  # one row
+        return checkpoint_table(reduce(DataFrame.unionByName, parts), "registry")
+    finally:
+        catalog.drop_ddl(spark, entities, database)
+
+
 def q_publish_snapshot(spark, d):
     """Publish the customer dimension as a checked snapshot and read it back."""
     dim = td.table(spark, d, "customer")
@@ -720,6 +771,9 @@ QUERIES = {
     "land_typed_csv": q_land_typed_csv,
     "land_typed_csv_rejects": q_land_typed_csv_rejects,
     "land_append": q_land_append,
+    "land_malformed": q_land_malformed,
+    "evolve_read": q_evolve_read,
+    "schema_registry": q_schema_registry,
     "land_preview": q_land_preview,
     "land_preview_rows": q_land_preview_rows,
     "land_entities": q_land_entities,

@@ -188,6 +188,89 @@ def primary_key(name: str) -> list:
     return list(e.key) if e else []
 
 
+def provided(spark: SparkSession, tables: dict) -> list[Entity]:
+    """Entities of loaded tables: their columns, with the declared keys NOT NULL."""
+    return [Entity(name, T.StructType([_f(f.name, f.dataType, f.name not in PROVIDED_KEYS[name]) for f in df.schema.fields]),
+                   PROVIDED_KEYS[name]) for name, df in tables.items()]
+
+
+# ---------------------------------------------------------------- DDL
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def create_table(entity: Entity, database: str) -> str:
+    """CREATE TABLE of an entity.  Keys, references and lengths, which Parquet
+    tables can't enforce, are kept as properties for the audits."""
+    columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in entity.schema.fields)
+    told = {"stellate.key": ",".join(entity.key),
+            "stellate.references": ";".join(f"{','.join(c)}->{p}({','.join(pc)}) {entity.on_delete.get(tuple(c), 'restrict')}"
+                                            for c, p, pc in entity.foreign_keys),
+            "stellate.lengths": ",".join(f"{c}:{n}" for c, n in entity.lengths.items())}
+    properties = ", ".join(f"'{k}' = '{v}'" for k, v in told.items() if v)
+    return (f"CREATE TABLE {_quoted(database)}.{_quoted(entity.name)} ({columns}) USING parquet"
+            + (f" TBLPROPERTIES ({properties})" if properties else ""))
+
+
+def alter_table(spark: SparkSession, entity: Entity, database: str) -> list[str]:
+    """What brings an existing table to its declaration: new columns are added;
+    a column that is gone or has another type can't be altered and raises."""
+    have = {f.name: f.dataType.simpleString() for f in spark.table(f"{_quoted(database)}.{_quoted(entity.name)}").schema.fields}
+    want = {f.name: f.dataType.simpleString() for f in entity.schema.fields}
+    other = [c for c, t in have.items() if want.get(c) != t]
+    if other:
+        raise ValueError(f"{entity.name}: columns {', '.join(other)} differ from the declaration")
+    new = ", ".join(f"{_quoted(c)} {t}" for c, t in want.items() if c not in have)
+    return [f"ALTER TABLE {_quoted(database)}.{_quoted(entity.name)} ADD COLUMNS ({new})"] if new else []
+
+
+def apply_ddl(spark: SparkSession, entities: list, database: str, location: str | None = None) -> list[str]:
+    """Create or alter every entity's table, parents first; the statements that were run."""
+    run = [f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}" + (f" LOCATION '{location}'" if location else "")]
+    spark.sql(run[0])
+    for e in parents_first(entities):
+        todo = (alter_table(spark, e, database) if spark.catalog.tableExists(f"{_quoted(database)}.{_quoted(e.name)}")
+                else [create_table(e, database)])
+        for statement in todo:
+            spark.sql(statement)
+        run += todo
+    return run
+
+
+def drop_ddl(spark: SparkSession, entities: list, database: str) -> list[str]:
+    """Drop the entities' tables, children first, then the database if nothing else is in it."""
+    run = [f"DROP TABLE IF EXISTS {_quoted(database)}.{_quoted(e.name)}" for e in reversed(parents_first(entities))]
+    run.append(f"DROP DATABASE {_quoted(database)} RESTRICT")
+    for statement in run:
+        spark.sql(statement)
+    return run
+
+
+def parents_first(entities: list) -> list:
+    """Entities so that each follows those that it refers to (self references and cycles aside)."""
+    by_name, out, seen = {e.name: e for e in entities}, [], set()
+    for e in entities:
+        todo = [(e, False)]
+        while todo:
+            at, done = todo.pop()
+            if done:
+                out.append(at)
+            elif at.name not in seen:
+                seen.add(at.name)
+                todo.append((at, True))
+                todo += [(by_name[p], False) for _, p, _ in at.foreign_keys if p in by_name and p not in seen]
+    return out
+
+
+def declared_columns(spark: SparkSession, database: str, name: str) -> list:
+    """(position, name, type, nullable, is key) of a table as the catalog has it."""
+    table = f"{_quoted(database)}.{_quoted(name)}"
+    told = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}  # a few properties
+    key = told.get("stellate.key", "").split(",")
+    return [(i + 1, f.name, f.dataType.simpleString(), f.nullable, f.name in key) for i, f in enumerate(spark.table(table).schema.fields)]
+
+
 def register_views(spark: SparkSession, tables: dict) -> None:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)

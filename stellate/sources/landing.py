@@ -107,6 +107,37 @@ def load_with_rejects(spark: SparkSession, path: str, schema: T.StructType, key_
     return normalize(raw, _types(schema)), rejects(raw, key_cols, _types(schema))
 
 
+MALFORMED = "_malformed"
+
+
+def load_delimited(spark: SparkSession, path: str, schema: T.StructType, max_bad_share: float = 1.0,
+                   null_tokens=NULL_TOKENS, **options) -> tuple[DataFrame, DataFrame]:
+    """Rows of a CSV without a header in their declared types, and the lines
+    that aren't rows: with too many or too few fields, kept whole as ``line``
+    with ``file_path``, ``block_start`` (where the part of the file begins that
+    a task read) and ``line_in_block`` (from 0).  Empty lines are neither.
+
+    A value that doesn't convert doesn't make a line malformed: it becomes NULL
+    and is reported by ``rejects``.  If more than ``max_bad_share`` of the lines
+    are malformed nothing is loaded (ValueError).  A field can't hold a line break."""
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*schema.names, MALFORMED]])
+    how = {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+    raw = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"), F.monotonically_increasing_id().alias("_nth"),
+        F.from_csv("value", F.lit(text.toDDL()), how).alias("_row"))
+    bad, filled = F.col(f"_row.{MALFORMED}").isNotNull(), F.trim("line") != ""
+    if max_bad_share < 1:
+        n, n_bad = raw.filter(filled).agg(F.count("*"), F.count_if(bad)).first()
+        if n_bad > max_bad_share * n:
+            raise ValueError(f"{n_bad} of {n} lines of {path} are malformed")
+    good = raw.filter(filled & ~bad).select(*[F.col(f"_row.`{n}`") for n in schema.names])
+    first = raw.groupBy("file_path", "block_start").agg(F.min("_nth").alias("_first"))  # one row per part that was read
+    lines = raw.filter(filled & bad).join(first, ["file_path", "block_start"]).select(
+        "line", "file_path", "block_start", (F.col("_nth") - F.col("_first")).alias("line_in_block"))
+    return normalize(good, _types(schema), null_tokens), lines
+
+
 def load_entities(spark: SparkSession, root: str, names, schemas: dict | None = None,
                   fmt: str = "parquet", **options) -> dict:
     """Read every named entity from one landing folder (``root/<name>.<fmt>``);

@@ -302,6 +302,16 @@ def product_current_before(spark, sf_dir) -> DataFrame:
                     (F.col("p_partkey") * 10).alias("product_key"))
 
 
+def customer_lines(spark, sf_dir) -> DataFrame:
+    """Customers as lines of a CSV without a header: every 43rd has a field too
+    many, every 47th one too few, every 53rd a balance that isn't a number."""
+    c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    balance = F.when(k % 53 == 0, F.lit("bad")).otherwise(F.col("c_acctbal").cast("decimal(19,4)").cast("string"))
+    fields = F.concat_ws(",", k.cast("string"), F.col("c_name"), F.col("c_nationkey").cast("string"), balance, F.col("c_mktsegment"))
+    return c.select(F.when(k % 43 == 0, F.concat(fields, F.lit(",extra")))
+                    .when(k % 47 == 0, F.concat_ws(",", k.cast("string"), F.col("c_name"))).otherwise(fields).alias("value"))
+
+
 def customer_text_csv(spark, sf_dir) -> DataFrame:
     """Customers as text in another column order than declared: every 41st key
     and every 31st balance isn't a number, every 19th balance is missing."""
