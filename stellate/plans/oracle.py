@@ -979,6 +979,16 @@ ORACLE_SQL = {
     "reject_replay": _star_reload(only=("fact_order_lines", "fact_rejects")),
     "feed_between": FEED_BETWEEN,
     "publish_compacted": "SELECT * FROM customer",
+    "scd1_touched_files": """
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 150 = 7 THEN concat(c_mktsegment, '!') ELSE c_mktsegment END AS c_mktsegment FROM customer
+UNION ALL SELECT c_custkey + 1000000, c_name, c_mktsegment FROM customer WHERE c_custkey % 300 = 9""",
+    "audit_incremental": _with(ONULL) + """
+SELECT 'orphan' AS violation, o_orderkey, o_custkey FROM onull WHERE o_custkey IS NOT NULL
+  AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0)
+UNION ALL
+SELECT 'orphan', o_orderkey, o_custkey FROM onull WHERE o_orderkey % 100 = 0 AND o_custkey IS NOT NULL
+  AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0)
+UNION ALL SELECT 'duplicate', o_orderkey, NULL FROM onull WHERE o_orderkey % 100 = 0""",
     "fact_asof_lookup": ASOF,
     "employee_hierarchy": HIERARCHY,
     "cascade_closure": CASCADED,

@@ -17,7 +17,7 @@ from stellate.functions.dates import (
     date_key, date_key_str, day_diff_1900, day_number_1900, run_stamp_compat,
 )
 from stellate.functions.predicates import binary_changed, changed
-from stellate.operators import audit
+from stellate.operators import audit, sketch
 from stellate.operators.append import append_idempotent
 from stellate.operators.asof import lookup_asof
 from stellate.operators.calendar import calendar_from_bounds
@@ -27,7 +27,7 @@ from stellate.operators.merge import ACTION, change_feed, merge_actions, scd1, s
 from stellate.operators.scd import scd2, scd2_actions, scd2_expired, scd2_new_versions, scd3, scd4
 from stellate.plans import pipeline, star
 from stellate.session import shared_dir
-from stellate.sources import catalog, evolve, landing
+from stellate.sources import catalog, evolve, landing, touched
 from stellate.sources import testdata as td
 from stellate.sources.feeds import changes
 from stellate.sources.publish import checkpoint_table, compact, current_snapshot, publish, read_snapshot, read_table, warehouse_root
@@ -670,6 +670,37 @@ def q_schema_registry(spark, d):
         catalog.drop_ddl(spark, entities, database)
 
 
+def q_scd1_touched_files(spark, d):
+    """A small batch (changed segments, new keys) merged into a dimension of
+    twelve key-ranged files; files without a key of the batch stay."""
+    root, name = f"{warehouse_root(spark)}/touched-{uuid.uuid4().hex}", "customers"
+    c, k = td.table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment"), F.col("c_custkey")
+    publish(touched.key_ranged(c, "c_custkey", 12), name, root=root)
+    changed = c.filter(k % 150 == 7).withColumn("c_mktsegment", F.concat("c_mktsegment", F.lit("!")))
+    new = c.filter(k % 300 == 9).withColumn("c_custkey", k + td.SHIFTED_KEY_OFFSET)
+    touched.merge_touched(spark, name, changed.unionByName(new), "c_custkey", root=root)
+    return read_table(spark, name, root)
+
+
+def q_audit_incremental(spark, d):
+    """Two batches of orders: the second repeats some keys, has orders without
+    a customer, and comes with customers gone.  Old rows are read through
+    sketches first; together with the first batch's violations the result is
+    that of a full audit."""
+    o, c, k = td.orders_nullable_customer(spark, d), td.table(spark, d, "customer").select("c_custkey"), F.col("o_orderkey")
+    old, new = o.filter(k % 2 == 0), o.filter((k % 2 == 1) | (k % 100 == 0))
+    later = c.filter(F.col("c_custkey") % 7 != 0)
+    gone = c.filter(F.col("c_custkey") % 7 == 0)
+    bits = sketch.sketch_bits(old.count())
+    key_sketch = checkpoint_table(sketch.key_sketch(old, "o_orderkey", bits), "sketch")
+    ref_sketch = checkpoint_table(sketch.key_sketch(old, "o_custkey", bits), "sketch")
+    twice = sketch.new_duplicates(new, "o_orderkey", key_sketch, lambda: old)
+    lost = sketch.new_orphans(new, "o_custkey", later, "c_custkey", gone, ref_sketch, lambda: old)
+    before = audit.orphans(old, "o_custkey", c, "c_custkey").unionByName(lost)
+    return before.select(F.lit("orphan").alias("violation"), "o_orderkey", "o_custkey").unionByName(
+        twice.select(F.lit("duplicate").alias("violation"), "o_orderkey"), allowMissingColumns=True)
+
+
 def q_publish_snapshot(spark, d):
     """Publish the customer dimension as a checked snapshot and read it back."""
     dim = td.table(spark, d, "customer")
@@ -783,6 +814,8 @@ QUERIES = {
     "reject_replay": q_reject_replay,
     "feed_between": q_feed_between,
     "publish_compacted": q_publish_compacted,
+    "scd1_touched_files": q_scd1_touched_files,
+    "audit_incremental": q_audit_incremental,
     "fact_asof_lookup": q_fact_asof_lookup,
     "employee_hierarchy": q_employee_hierarchy,
     "cascade_closure": q_cascade_closure,

@@ -54,7 +54,8 @@ class Snapshot:
     ``tail`` the rows whose ``flag`` column isn't true (all rows without a flag).
 
     ``sizes`` has ``(folder, rows, bytes, partition columns)`` of each folder.
-    ``feed`` is the folder of the changes against the version before."""
+    ``feed`` is the folder of the changes against the version before.
+    Files in ``skip`` don't count any more."""
 
     version: int
     head: str
@@ -68,6 +69,8 @@ class Snapshot:
     feed: str | None = None
     feed_schema: str | None = None
     feed_keys: tuple = ()
+    #: files of the folders whose rows a later merge has written again
+    skip: tuple = ()
 
     @property
     def folders(self) -> tuple:
@@ -79,7 +82,8 @@ class Snapshot:
     @staticmethod
     def of(version: int, e: dict) -> "Snapshot":
         return Snapshot(version, e["head"], tuple(e["tail"]), e["flag"], e["schema"], e["rows"], e["bytes"], e["catalog"],
-                        tuple(tuple(x) for x in e.get("sizes", ())), e.get("feed"), e.get("feed_schema"), tuple(e.get("feed_keys", ())))
+                        tuple(tuple(x) for x in e.get("sizes", ())), e.get("feed"), e.get("feed_schema"), tuple(e.get("feed_keys", ())),
+                        tuple(e.get("skip", ())))
 
 
 def warehouse_root(spark: SparkSession) -> str:
@@ -180,15 +184,33 @@ def _part(spark: SparkSession, root: str, table: str, folder: str, schema: T.Str
 
 def _scan(spark: SparkSession, root: str, table: str, snap: Snapshot, folders, schema: T.StructType) -> list[DataFrame]:
     """One scan of ``folders``, or one for each way that they are partitioned."""
-    layout = {f: cols for f, _, _, cols in snap.sizes}
+    layout, skip = {f: cols for f, _, _, cols in snap.sizes}, set(snap.skip)
+    partly = {f.split("/", 1)[0] for f in skip}
     groups: dict = {}
     for f in folders:
-        groups.setdefault(layout.get(f), []).append(f"{root}/{table}/{f}")
+        paths = [f"{f}/{x}" for x in data_files(spark, f"{root}/{table}/{f}")] if f in partly else [f]
+        groups.setdefault(layout.get(f), []).extend(f"{root}/{table}/{p}" for p in paths if p not in skip)
+    groups = {cols: paths for cols, paths in groups.items() if paths}
+    if not groups:
+        return [spark.createDataFrame([], schema)]
     # partitioned folders are partitions (snap=...) of the table's folder
     return [spark.read.schema(schema).options(**({"basePath": f"{root}/{table}"} if cols else {})).parquet(*paths).select(*schema.names)
             for cols, paths in groups.items()]
 
 
+def data_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names below ``path`` and sizes of its data files."""
+    fs, p = _fs(spark, path)
+    top = fs.getFileStatus(p).getPath().toUri().getPath()
+    found, files = {}, fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        name = f.getPath().toUri().getPath()[len(top) + 1:]
+        if not any(part.startswith(("_", ".")) for part in name.split("/")):
+            found[name] = f.getLen()
+    return found
+
+
 def read_snapshot(spark: SparkSession, table: str, snap: Snapshot, root: str | None = None,
                   open_only: bool = False) -> DataFrame:
     """A snapshot's rows; ``open_only`` reads the flagged rows alone (one
@@ -258,7 +280,7 @@ def prepare(df: DataFrame, table: str, audits: dict[str, Callable[[DataFrame], D
     return Snapshot(0, folder, keep.folders if keep else (), flag, df.schema.json(), rows + kept[0], size + kept[1], catalog,
                     ((folder, rows, size, ",".join(partition_by)), *(keep.sizes if keep else ())),
                     changes, feed.schema.json() if feed is not None else None,
-                    tuple([feed_keys] if isinstance(feed_keys, str) else feed_keys))
+                    tuple([feed_keys] if isinstance(feed_keys, str) else feed_keys), keep.skip if keep else ())
 
 
 def _folder_bytes(spark: SparkSession, path: str) -> int:
@@ -354,7 +376,8 @@ def compact(spark: SparkSession, table: str, root: str | None = None, least: int
         return None
     total = snap.bytes if snap.flag else sum(x[2] for x in sizes if x[0] in folders)
     empty = T.StructType([]).json()  # nothing changed
-    new = replace(snap, head=folders[0], tail=tuple(folders[1:]), sizes=tuple(sizes), bytes=total, feed="", feed_schema=empty)
+    new = replace(snap, head=folders[0], tail=tuple(folders[1:]), sizes=tuple(sizes), bytes=total, feed="", feed_schema=empty,
+                  skip=tuple(f for f in snap.skip if f.split("/", 1)[0] in folders))
     return switch(spark, table, root, new, snap)
 
 
