@@ -1,10 +1,14 @@
 """License scans by canonical digests, with DataFrame operators only.
 
-A text is brought into canonical form: lower case, copyright lines dropped,
-every run of punctuation and white space one separator, and equivalent
-spellings made equal.  Entire texts are then compared by digest: the whole
-document, and each of its lines, are looked up among the digests of known
-licence texts and notices, which go through the same form.
+A text is brought into canonical form: lower case, every run of punctuation
+and white space one separator, equivalent spellings made equal, and copyright
+notices dropped.  A notice is a line that begins with the word and the sign, or
+with either and a year or a placeholder.  Where it ends can't be told once a
+text has been filled again, so there are three forms: without such lines,
+without the paragraphs that begin with one, and with all of them.  Entire
+texts are compared by digest: the whole document in its three forms, and each
+of its lines, are looked up among the digests of known licence texts and
+notices, which go through the same forms.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm.common import join_grouped
+from stellate.llm.common import join_grouped, stage
 from stellate.llm.license_texts import more_licenses
 
 # fixed values: licence texts and one-line notices, as their owners publish them
@@ -54,56 +58,99 @@ SPELLINGS = (("licence", "license"), ("licenced", "licensed"), ("licences", "lic
              ("organisation", "organization"), ("authorised", "authorized"), ("recognised", "recognized"),
              ("favour", "favor"), ("judgement", "judgment"), ("noncommercial", "non  commercial"),
              ("merchantibility", "merchantability"), ("whilst", "while"))
-#: a line that starts with a copyright sign or word
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[^\n]*$"
+#: a line that begins with a copyright notice
+NOTICE = (r"(?m)^[^\p{L}\p{N}\n]*((copyright|©)[^\p{L}\p{N}\n]*(\(c\)|©)|(copyright|\(c\)|©)[^\p{L}\p{N}\n]*(\p{N}|[<\[{]\p{L}))[^\n]*$")
 SEPARATORS = r"[^\p{L}\p{N}\n]+"
+#: a letter that marks such lines (in texts it counts as the plain one)
+MARK, PLAIN = "ꙮ", "о"
+KNOWN_ROWS = 1 << 18  # digests that are broadcast; more are joined by an exchange
 
 
 def canonical_lines(text: Column) -> Column:
-    """The canonical lines of a text that aren't empty, words parted by two spaces."""
-    body = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
-    flat = F.regexp_replace(body, SEPARATORS, "  ")
-    lines = F.filter(F.transform(F.split(flat, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
+    """The canonical lines of a text, words parted by two spaces; empty ones stay, notices begin with ``MARK``."""
+    low = F.translate(F.lower(F.coalesce(text, F.lit(""))), MARK, PLAIN)
+    flat = F.regexp_replace(F.regexp_replace(low, NOTICE, f"{MARK} $0"), SEPARATORS, "  ")
     # two spaces around every word, so that each replacement has its own
-    joined = F.concat(F.lit("  "), F.array_join(lines, "  \n  "), F.lit("  "))
+    joined = F.concat(F.lit("  "), F.replace(flat, F.lit("\n"), F.lit("  \n  ")), F.lit("  "))
     for a, b in SPELLINGS:
         joined = F.replace(joined, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.filter(F.transform(F.split(joined, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
+    return F.transform(F.split(joined, "\n", -1), lambda x: F.trim(x))
+
+
+def _filled(lines: Column) -> Column:
+    return F.filter(lines, lambda x: x != "")
+
+
+def _unmarked(lines: Column) -> Column:
+    return _filled(F.transform(lines, lambda x: F.when(x.startswith(MARK), F.trim(F.substring(x, 2, 1 << 30))).otherwise(x)))
+
+
+def without_notices(lines: Column) -> Column:
+    """The lines that are neither empty nor notices."""
+    return F.filter(lines, lambda x: (x != "") & ~x.startswith(MARK))
+
+
+def without_paragraphs(lines: Column) -> Column:
+    """The lines of the paragraphs that don't begin with a notice."""
+    paragraphs = F.transform(F.split(F.array_join(lines, "\n"), "\n\n+", -1), lambda x: F.ltrim(x, F.lit("\n")))
+    kept = F.array_join(F.filter(paragraphs, lambda x: ~x.startswith(MARK)), "\n")
+    return _unmarked(F.split(kept, "\n", -1))
 
 
 def digest(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def _whole(lines: Column) -> Column:
+    return digest(F.array_join(lines, "  "))
+
+
+def _forms(lines: Column) -> list[Column]:
+    return [without_notices(lines), without_paragraphs(lines), _unmarked(lines)]
+
+
 def known_licenses(spark: SparkSession, licenses=LICENSES) -> DataFrame:
     return spark.createDataFrame(list(licenses), "license string, text string")
 
 
 def scan_licenses(docs: DataFrame, licenses: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``text_digest`` (of the whole
-    canonical text), ``license`` (whole text known: its licence, the least
-    name if several, else null), ``n_notices`` (lines that are a known text)
-    and ``notices`` (their distinct licences, sorted, comma-joined).
+    canonical text without notice lines), ``license`` (whole text known in one
+    of its forms: its licence, the least name if several; the form without
+    notice lines comes first, then that without paragraphs, then the whole;
+    else null), ``n_notices`` (lines that are a known text) and ``notices``
+    (their distinct licences, sorted, comma-joined).
 
     ``licenses`` has ``license, text``.  Null and empty texts, and texts of
-    copyright lines and punctuation alone, have the digest of the empty text
-    and no licence; rows of one id and text share one finding, returned per
-    row; a null id is kept; an empty table gives no rows; other columns are
-    ignored; a known text that is empty in canonical form is never found.
+    notice lines and punctuation alone, have the digest of the empty text;
+    repeated rows and a null id are kept; an empty table gives no rows; other
+    columns are ignored; a known form that is empty is never found.
     """
-    known = (licenses.select(digest(F.array_join(canonical_lines(F.col("text")), "  ")).alias("unit"), "license",
-                             F.size(canonical_lines(F.col("text"))).alias("n")).filter("n > 0")
-             .groupBy("unit").agg(F.min("license").alias("license")))
-    lines = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), canonical_lines(F.col(text_col).cast("string")).alias("lines"))
-    # every line as a unit; rows of one id and text count once
-    rows = lines.select("doc_id", digest(F.array_join("lines", "  ")).alias("text_digest"), F.xxhash64("lines").alias("form"), "lines")
-    units = (rows.select("doc_id", "text_digest", "form", F.posexplode("lines").alias("place", "line"))
-             .select("doc_id", "text_digest", "form", "place", digest(F.col("line")).alias("unit")))
-    notices = (join_grouped(units, known, ["unit"]).groupBy("doc_id", "text_digest", "form")
-               .agg(F.count_distinct("place").alias("lines_found"), F.array_sort(F.collect_set("license")).alias("found")))
-    whole = known.select(F.col("unit").alias("text_digest"), "license")
-    named = join_grouped(rows.select("doc_id", "text_digest", "form"), whole, ["text_digest"], "left")
-    left, right = named.alias("l"), notices.alias("r")
-    return left.join(right, F.expr("l.doc_id <=> r.doc_id AND l.text_digest = r.text_digest AND l.form = r.form"), "left").select(
-        "l.doc_id", "l.text_digest", "l.license", F.coalesce("r.lines_found", F.lit(0)).cast("bigint").alias("n_notices"),
-        F.coalesce(F.array_join("r.found", ","), F.lit("")).alias("notices"))
+    lines = licenses.select("license", canonical_lines(F.col("text").cast("string")).alias("lines"))
+    units = F.explode(F.array(*[F.struct(_whole(f).alias("unit"), F.size(f).alias("n"), F.length(F.array_join(f, "  ")).alias("size"))
+                                for f in _forms(F.col("lines"))]))
+    known = stage(lines.select("license", units.alias("u")).select("license", "u.*").filter("n > 0")
+                  .groupBy("unit").agg(F.min("license").alias("license"), F.min("n").alias("n"), F.min("size").alias("size")), "licenses")
+    sizes = [r["size"] for r in known.filter("n = 1").select("size").distinct().collect()]  # lengths of known lines
+    few = known.count() <= KNOWN_ROWS
+    known = known.select("unit", "license")
+
+    shown = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), canonical_lines(F.col(text_col).cast("string")).alias("lines"))
+    # only a line as long as some known line can be one
+    near = F.filter(without_notices(F.col("lines")), lambda x: F.array_contains(F.array(*[F.lit(n) for n in sizes]), F.length(x))) \
+        if sizes else F.array().cast("array<string>")
+    whole = [_whole(f).alias(f"form_{i}") for i, f in enumerate(_forms(F.col("lines")))]
+    # the canonical form is made once, and staged as digests
+    rows = stage(shown.select("doc_id", F.monotonically_increasing_id().alias("nth"), *whole,
+                              F.transform(near, digest).alias("near")), "license-digests")
+
+    def found(some: DataFrame) -> DataFrame:
+        return some.join(F.broadcast(known), "unit") if few else join_grouped(some, known, ["unit"])
+
+    forms = found(rows.select("nth", F.posexplode(F.array("form_0", "form_1", "form_2")).alias("form", "unit")))
+    named = forms.groupBy("nth").agg(F.min(F.struct("form", "license")).alias("first"))
+    notices = (found(rows.select("nth", F.explode("near").alias("unit"))).groupBy("nth")
+               .agg(F.count("*").alias("n_notices"), F.array_sort(F.collect_set("license")).alias("found")))
+    return (rows.select("doc_id", "nth", F.col("form_0").alias("text_digest")).join(named, "nth", "left").join(notices, "nth", "left")
+            .select("doc_id", "text_digest", F.col("first.license").alias("license"), F.coalesce("n_notices", F.lit(0)).cast("bigint").alias("n_notices"),
+                    F.coalesce(F.array_join("found", ","), F.lit("")).alias("notices")))

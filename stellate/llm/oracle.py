@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stellate.llm.license_scan import LICENSES, SPELLINGS
+from stellate.llm.license_scan import LICENSES, MARK, NOTICE, PLAIN, SPELLINGS
 
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -44,26 +44,40 @@ FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 
 
 def _canonical(text: str) -> str:
-    body = rf"regexp_replace(lower(coalesce({text}, '')), '(?m)^[^\p{{L}}\p{{N}}\n]*(copyright|\(c\)|©)[^\n]*$', '', 'g')"
-    flat = rf"regexp_replace({body}, '[^\p{{L}}\p{{N}}\n]+', '  ', 'g')"
-    lines = f"list_filter(list_transform(string_split({flat}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')"
-    out = f"'  ' || array_to_string({lines}, '  ' || chr(10) || '  ') || '  '"
+    """All lines, notices marked."""
+    low = f"translate(lower(coalesce({text}, '')), '{MARK}', '{PLAIN}')"
+    marked = f"regexp_replace({low}, '{NOTICE}', '{MARK} \\0', 'g')"
+    flat = rf"regexp_replace({marked}, '[^\p{{L}}\p{{N}}\n]+', '  ', 'g')"
+    out = f"'  ' || replace({flat}, chr(10), '  ' || chr(10) || '  ') || '  '"
     for a, b in SPELLINGS:
         out = f"replace({out}, ' {a} ', ' {b} ')"
-    return f"list_filter(list_transform(string_split({out}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')"
+    return f"list_transform(string_split({out}, chr(10)), lambda x: trim(x, ' '))"
 
 
+def _unmarked(lines: str) -> str:
+    return (f"list_filter(list_transform({lines}, lambda x: CASE WHEN starts_with(x, '{MARK}') THEN trim(substr(x, 2), ' ') ELSE x END), "
+            "lambda x: x <> '')")
+
+
+_PARAGRAPHS = r"list_filter(list_transform(string_split_regex(array_to_string(lines, chr(10)), '\n\n+'), lambda x: ltrim(x, chr(10))), "
+_FORMS = (f"list_filter(lines, lambda x: x <> '' AND NOT starts_with(x, '{MARK}'))",
+          _unmarked(f"string_split(array_to_string({_PARAGRAPHS}lambda x: NOT starts_with(x, '{MARK}')), chr(10)), chr(10))"),
+          _unmarked("lines"))
 _VALUES = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in LICENSES)
 OP5 = f"""
 WITH l(license, text) AS (VALUES {_VALUES}),
      lc AS (SELECT license, {_canonical("text")} AS lines FROM l),
-     known AS (SELECT sha256(array_to_string(lines, '  ')) AS unit, min(license) AS license FROM lc WHERE len(lines) > 0 GROUP BY 1),
+     lf AS ({" UNION ALL ".join(f"SELECT license, {f} AS form FROM lc" for f in _FORMS)}),
+     known AS (SELECT sha256(array_to_string(form, '  ')) AS unit, min(license) AS license FROM lf WHERE len(form) > 0 GROUP BY 1),
      d AS (SELECT row_number() OVER () AS r, doc_id, {_canonical("text")} AS lines FROM documents),
-     u AS (SELECT r, sha256(line) AS unit FROM (SELECT r, unnest(lines) AS line FROM d)),
+     f AS ({" UNION ALL ".join(f"SELECT r, {i} AS nth, {f} AS form FROM d" for i, f in enumerate(_FORMS))}),
+     w AS (SELECT r, arg_min(license, nth) AS license FROM (SELECT r, nth, sha256(array_to_string(form, '  ')) AS unit FROM f)
+           JOIN known USING (unit) GROUP BY r),
+     u AS (SELECT r, sha256(line) AS unit FROM (SELECT r, unnest(form) AS line FROM f WHERE nth = 0)),
      n AS (SELECT r, count(*) AS n_notices, string_agg(DISTINCT license, ',' ORDER BY license) AS notices FROM u JOIN known USING (unit) GROUP BY r)
-SELECT doc_id, sha256(array_to_string(lines, '  ')) AS text_digest, license, coalesce(n_notices, 0)::BIGINT AS n_notices,
+SELECT doc_id, sha256(array_to_string(form, '  ')) AS text_digest, license, coalesce(n_notices, 0)::BIGINT AS n_notices,
        coalesce(notices, '') AS notices
-FROM d LEFT JOIN known ON unit = sha256(array_to_string(lines, '  ')) LEFT JOIN n USING (r)
+FROM d JOIN (SELECT r, form FROM f WHERE nth = 0) USING (r) LEFT JOIN w USING (r) LEFT JOIN n USING (r)
 """
 
 _ASSIGN = (r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"""

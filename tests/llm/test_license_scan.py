@@ -1,23 +1,34 @@
 import os
 import re
+import textwrap
 from collections import Counter
 
 from cases import docs
 
-from stellate.llm.license_scan import LICENSES, PERMISSION_MIT, SPELLINGS, known_licenses, scan_licenses
+from stellate.llm import license_scan
+from stellate.llm.license_scan import LICENSES, PERMISSION_ISC, PERMISSION_MIT, SPELLINGS, known_licenses, scan_licenses
 from stellate.llm.license_texts import BSD_2, BSD_NO_NAME, BSL, FOLDER, UNLICENSE, WARRANTY_BSD, ZLIB
 
 
+def begins_notice(line):
+    return bool(re.match(r"[\W_]*(copyright|©)[\W_]*(\(c\)|©)", line)
+                or re.match(r"[\W_]*(copyright|\(c\)|©)[\W_]*(\d|[<\[{][^\W\d_])", line))
+
+
 def canonical(text):
-    low = (text or "").lower()
-    lines = ["" if re.match(r"[\W_]*(copyright|\(c\)|©)", x) else x for x in low.split("\n")]
-    out = []
-    for line in lines:
-        words = re.findall(r"[^\W_]+", line)
-        words = [w for x in words for w in dict(SPELLINGS).get(x, x).split()]
-        if words:
-            out.append(" ".join(words))
-    return out
+    """The three forms: lists of canonical lines without notice lines, without paragraphs that begin with one, and whole."""
+    def words(line):
+        return " ".join(w for x in re.findall(r"[^\W_]+", line) for w in dict(SPELLINGS).get(x, x).split())
+    lines = [(begins_notice(x), words(x)) for x in (text or "").lower().split("\n")]
+    paragraphs, now = [], []
+    for notice, w in lines:
+        if w:
+            now.append((notice, w))
+        elif now:
+            paragraphs.append(now)
+            now = []
+    paragraphs.append(now)
+    return ([w for n, w in lines if w and not n], [w for p in paragraphs if p and not p[0][0] for _, w in p], [w for _, w in lines if w])
 
 
 def test_matches_brute_force(spark):
@@ -28,13 +39,16 @@ def test_matches_brute_force(spark):
             (None, "All rights reserved."), (10, "licence licence licence"), (11, "x " * 50_000), (12, "all rights\nreserved")]
     known = {}
     for name, text in LICENSES:
-        key = " ".join(canonical(text))
-        known[key] = min(known.get(key, name), name)
+        for form in canonical(text):
+            if form:
+                key = " ".join(form)
+                known[key] = min(known.get(key, name), name)
     want = []
     for i, t in rows:
-        lines = canonical(t)
-        found = [known[x] for x in lines if x in known]
-        want.append((-1 if i is None else i, known.get(" ".join(lines)), len(found), ",".join(sorted(set(found)))))
+        forms = canonical(t)
+        found = [known[x] for x in forms[0] if x in known]
+        whole = next((known[" ".join(f)] for f in forms if " ".join(f) in known), None)
+        want.append((-1 if i is None else i, whole, len(found), ",".join(sorted(set(found)))))
     got = [(-1 if r.doc_id is None else r.doc_id, r.license, r.n_notices, r.notices)
            for r in scan_licenses(docs(spark, rows, clashes=True), known_licenses(spark)).collect()]
     assert Counter(got) == Counter(want)
@@ -67,3 +81,41 @@ def test_common_licenses_are_known(spark):
     got = {r.doc_id: r for r in scan_licenses(docs(spark, rows), known_licenses(spark)).collect()}
     assert [got[i].license for i in range(len(whole))] == list(whole)
     assert [got[len(whole) + i].notices for i in range(len(notices))] == list(notices.values())
+
+
+def filed(name):
+    with open(os.path.join(FOLDER, f"{name}.txt"), encoding="utf-8") as f:
+        return f.read()
+
+
+def refilled(text, width):
+    return "\n\n".join(textwrap.fill(" ".join(p.split()), width) for p in re.split(r"\n\s*\n", text))
+
+
+def test_every_full_text_is_found_at_ten_widths(spark):
+    """Texts with a holder of their own, filled again paragraph by paragraph."""
+    whole = {f[:-4]: filed(f[:-4]) for f in sorted(os.listdir(FOLDER))}
+    holder = "2019-2024 The Example Project Developers and all of its many other contributors listed in the AUTHORS file"
+    whole["MIT"] = PERMISSION_MIT.replace("<year> <copyright holders>", holder)
+    whole["ISC"] = PERMISSION_ISC.replace("<year> <owner>", holder)
+    whole["BSD-2-Clause"] = f"BSD 2-Clause License\n\nCopyright (c) {holder}\n\n" + BSD_2 + WARRANTY_BSD
+    whole["BSD-3-Clause"] = f"Copyright (c) {holder}\n\n" + BSD_2 + BSD_NO_NAME.format(owner="copyright holder") + WARRANTY_BSD
+    whole["Zlib"], whole["BSL-1.0"], whole["Unlicense"] = f"Copyright (C) {holder}\n\n" + ZLIB, BSL, UNLICENSE
+    widths = range(55, 105, 5)
+    rows = [(i, t) for i, t in enumerate(refilled(text, w) for text in whole.values() for w in widths)]
+    got = {r.doc_id: r.license for r in scan_licenses(docs(spark, rows), known_licenses(spark)).collect()}
+    names = [n for n in whole for _ in widths]
+    assert {(names[i], widths[i % 10]): got[i] for i, _ in rows if got[i] != names[i]} == {}
+    # and nothing else is: a changed word, or a list item of the text gone
+    near = [(i, t.replace("conditions", "terms", 1) if "conditions" in t else t + " more") for i, t in enumerate(whole.values())]
+    near += [(100, re.sub(r"(?m)^ *\(c\) .*$", "", whole["Apache-2.0"], count=1))]
+    assert [r.license for r in scan_licenses(docs(spark, near), known_licenses(spark)).collect()] == [None] * len(near)
+
+
+def test_known_texts_beyond_the_broadcast_bound(spark, monkeypatch):
+    rows = [(i, t) for i, t in enumerate([PERMISSION_MIT, "All rights reserved.\nReleased under the MIT License.", None, "x"])]
+    both = []
+    for bound in (0, 1 << 18):
+        monkeypatch.setattr(license_scan, "KNOWN_ROWS", bound)
+        both.append(sorted(map(tuple, scan_licenses(docs(spark, rows), known_licenses(spark)).collect())))
+    assert both[0] == both[1]
