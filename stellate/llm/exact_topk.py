@@ -7,8 +7,9 @@ has it scatters its weight times the postings into its row of a dense score
 array.  No candidate is skipped.  Each partition keeps its best k of every
 query, and the partitions' lists are merged.
 
-The queries are a stated set, taken in blocks of a bounded number; each block
-is broadcast by itself and meets all rows once.
+The queries are a stated set, taken in groups of a bounded size; each group is
+broadcast by itself and meets all rows once, in blocks of a bounded number, so
+that a batch of rows becomes postings once for all blocks.
 """
 
 from __future__ import annotations
@@ -18,12 +19,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stellate.llm.common import stage
 
-QUERY_BLOCK = 1024  # queries broadcast at once
+QUERY_BLOCK = 1024  # queries of one dense score array
+BROADCAST_BYTES = 64 << 20  # of the query components that are broadcast at once
 ROWS_AT_ONCE = 256  # candidate rows of one dense score array
 
 
@@ -116,20 +119,23 @@ def _vectors(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]
             column.flatten().to_numpy(zero_copy_only=False))
 
 
-def _block_best(parts, ids: np.ndarray, queries: Postings, k: int, scale: int) -> Iterator[pa.RecordBatch]:
-    best = Best(ids, k)
+def _group_best(parts, blocks: list[tuple[np.ndarray, Postings]], k: int, scale: int) -> Iterator[pa.RecordBatch]:
+    bests = [Best(ids, k) for ids, _ in blocks]
     for b in parts:
         rows, offsets, values = _vectors(b)
         for first in range(0, len(rows), ROWS_AT_ONCE):
             last = min(first + ROWS_AT_ONCE, len(rows))
-            scores = accumulate(queries, len(ids), _ragged(rows, offsets, values, scale, first, last), last - first)
-            best.add(rows[first:last], scores)
-    yield pa.RecordBatch.from_arrays([pa.array(ids[best.query]), pa.array(best.row), pa.array(best.score)],
-                                     ["query_id", "vec_id", "score"])
+            postings = _ragged(rows, offsets, values, scale, first, last)
+            for (ids, queries), best in zip(blocks, bests):
+                best.add(rows[first:last], accumulate(queries, len(ids), postings, last - first))
+    for (ids, _), best in zip(blocks, bests):
+        yield pa.RecordBatch.from_arrays([pa.array(ids[best.query]), pa.array(best.row), pa.array(best.score)],
+                                         ["query_id", "vec_id", "score"])
 
 
 def exact_top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query_modulus: int = 50,
-                k: int = 5, scale: int = 256, query_block: int = QUERY_BLOCK) -> DataFrame:
+                k: int = 5, scale: int = 256, query_block: int = QUERY_BLOCK,
+                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row whose id is divisible by
     ``query_modulus`` the ``k`` highest inner products (all, if fewer) over
     every row with another id, ties to the smaller id.
@@ -148,19 +154,22 @@ def exact_top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
         F.col("id").isNotNull() & F.col("vector").isNotNull()
         & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
     queries = rows.filter(F.col("id") % query_modulus == 0).groupBy("id").agg(F.min("vector").alias("vector"))
-    n_blocks = max(1, -(-queries.count() // query_block))
-
-    def block(i: int) -> DataFrame:
-        chosen = queries.filter(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == i).orderBy("id").collect()
-        ids = np.array([r["id"] for r in chosen], np.int64)
-        size = np.array([len(r["vector"]) for r in chosen], np.int64)
-        values = np.array([x for r in chosen for x in r["vector"]], np.float64)
-        held = spark.sparkContext.broadcast(
-            (ids, _ragged(ids, np.r_[0, np.cumsum(size)], values, scale, 0, len(ids))))
-        return rows.mapInArrow(lambda parts: _block_best(parts, *held.value, k, scale),
-                               "query_id bigint, vec_id bigint, score bigint")
-
-    found = block(0) if n_blocks == 1 else reduce(DataFrame.unionByName, [stage(block(i), "topk") for i in range(n_blocks)])
+    # a component takes two numbers as a posting, a query its id and offset
+    size = queries.agg(F.coalesce(F.sum(F.size("vector").cast("bigint") * 16 + 16), F.lit(0))).first()[0]
+    n_groups = max(1, -(-size // broadcast_bytes))
+
+    def group(i: int) -> DataFrame:
+        chosen = queries.filter(F.pmod(F.xxhash64("id"), F.lit(n_groups)) == i).orderBy("id").toArrow().combine_chunks()
+        blocks = []
+        for first in range(0, chosen.num_rows, query_block):
+            rows_of = chosen.slice(first, query_block).combine_chunks()
+            ids, vectors = rows_of.column("id").to_numpy(), pa.concat_arrays(rows_of.column("vector").chunks)
+            lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False).astype(np.int64)
+            blocks.append((ids, _ragged(ids, np.r_[0, np.cumsum(lengths)], vectors.flatten().to_numpy(zero_copy_only=False), scale, 0, len(ids))))
+        held = spark.sparkContext.broadcast(blocks)
+        return rows.mapInArrow(lambda parts: _group_best(parts, held.value, k, scale), "query_id bigint, vec_id bigint, score bigint")
+
+    found = group(0) if n_groups == 1 else reduce(DataFrame.unionByName, [stage(group(i), "topk") for i in range(n_groups)])
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

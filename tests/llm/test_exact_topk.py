@@ -42,6 +42,8 @@ def test_matches_brute_force(spark, block):
     df = spark.createDataFrame(rows, SCHEMA).withColumn("score", F.lit("x")).withColumn("id", F.lit(1)).repartition(3)
     got = sorted(map(tuple, exact_top_k(df, query_block=block).collect()))
     assert got == brute(rows)
+    # groups of queries that are broadcast one after the other
+    assert sorted(map(tuple, exact_top_k(df, query_block=block, broadcast_bytes=300).collect())) == got
 
 
 def test_large_weights_are_exact():
