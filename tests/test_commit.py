@@ -12,7 +12,7 @@ from stellate.operators.scd import scd2_load, scd3_load
 from stellate.plans import pipeline
 from stellate.sources import testdata as td
 from stellate.sources.commit import Commit, manifest_versions, pin, pinned_snapshots, removable_folders
-from stellate.sources.feeds import changes, stored_feeds
+from stellate.sources.feeds import changes, committed_changes, stored_feeds
 from stellate.sources.publish import (
     ConcurrentPublish, _folds, compact, current_snapshot, publish, read_snapshot, read_table, removable, snapshot_at,
 )
@@ -95,6 +95,27 @@ def test_a_failed_star_load_leaves_the_star(spark, tmp_path, monkeypatch):
     assert rows_of(pipeline.content(spark, root)) == before
 
 
+def test_changes_of_a_star_table_between_loads(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    none = td.table(spark, SF_SMALL, "lineitem").limit(0)
+    for day, date in ((1, td.CURRENT_SINCE), (2, td.AS_OF), (2, td.AS_OF)):
+        pipeline.run_star(spark, SF_SMALL, root, day=day, as_of=date, lines=none)
+    for table, key in (("dim_shippers", "shipper_id"), ("dim_customers", "c_custkey"), ("dim_products", "product_id")):
+        before, after = ({r[key]: r for r in pipeline.read_star(spark, root, v).table(table).collect()} for v in (1, 2))
+        want = {k: "INSERT" if k not in before else "DELETE" if k not in after else "UPDATE"
+                for k in before.keys() | after.keys() if before.get(k) != after.get(k)}
+        for last in (2, 3):  # the third load changes nothing
+            got = {r[key]: r.merge_action for r in committed_changes(spark, pipeline.STAR, table, 1, last, root).collect()}
+            assert got == want and want, table
+        assert committed_changes(spark, pipeline.STAR, table, 2, 3, root).count() == 0
+    got = {r.region_id: (r.merge_action, r.before and r.before.region_key, r.after.region_key)
+           for r in committed_changes(spark, pipeline.STAR, "dim_regions", 1, 2, root).collect()}
+    old, new = ({r.region_id: r.region_key for r in pipeline.read_star(spark, root, v).table("dim_regions").filter("is_current").collect()} for v in (1, 2))
+    assert got == {k: ("INSERT" if k not in old else "UPDATE", old.get(k), new[k]) for k in new if old.get(k) != new[k]}
+    with pytest.raises(ValueError):
+        committed_changes(spark, pipeline.STAR, "dim_date", 1, 2, root)
+
+
 def test_waiting_lines_are_tried_once_per_change(spark, tmp_path):
     root = str(tmp_path / "wh")
     lines = td.table(spark, SF_SMALL, "lineitem").filter("l_orderkey % 10 = 0")
