@@ -132,21 +132,31 @@ def put_new(spark: SparkSession, path: str, text: str) -> bool:
     finally:
         out.close()
     try:
-        if fs.getUri().getScheme() == "file":
-            os.link(aside.toUri().getPath(), p.toUri().getPath())
-        else:
-            hadoop = spark._jvm.org.apache.hadoop.fs
-            none = spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
-            none[0] = hadoop.Options.Rename.NONE
-            hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(aside, p, none)
+        return (_link_new if fs.getUri().getScheme() == "file" else _rename_new)(spark, fs, aside, p)
+    finally:
+        fs.delete(aside, False)
+
+
+def _link_new(spark: SparkSession, fs, aside, p) -> bool:
+    """A hard link fails if its name exists, in one step."""
+    try:
+        os.link(aside.toUri().getPath(), p.toUri().getPath())
     except FileExistsError:
         return False
+    return True
+
+
+def _rename_new(spark: SparkSession, fs, aside, p) -> bool:
+    """A rename that doesn't overwrite: one step on HDFS."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    none = spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
+    none[0] = hadoop.Options.Rename.NONE
+    try:
+        hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(aside, p, none)
     except Py4JJavaError as e:
         if "FileAlreadyExists" not in str(e.java_exception):
             raise
         return False
-    finally:
-        fs.delete(aside, False)
     return True
 
 

@@ -13,6 +13,7 @@ from stellate.operators.append import append_idempotent, new_rows
 from stellate.operators.merge import change_feed, merge_actions
 from stellate.operators.scd import scd2, scd2_actions, scd2_expired, scd3, scd4
 from stellate.sources import landing
+from stellate.sources import publish as publishing
 from stellate.sources.publish import (
     ConcurrentPublish, current_snapshot, publish, put_new, read_snapshot, read_table, repair, warehouse_root,
 )
@@ -61,7 +62,9 @@ def test_an_abandoned_entry_blocks_its_version_until_repair(spark, tmp_path):
         "00000000000000000001", "00000000000000000002"]
 
 
-def test_an_entry_is_put_whole_or_not_at_all(spark, tmp_path):
+@pytest.mark.parametrize("way", ["_link_new", "_rename_new"])
+def test_an_entry_is_put_whole_or_not_at_all(spark, tmp_path, monkeypatch, way):
+    monkeypatch.setattr(publishing, "_link_new", getattr(publishing, way))
     path = f"{tmp_path}/entries/1"
     assert put_new(spark, path, "one") and not put_new(spark, path, "two")
     assert (tmp_path / "entries/1").read_text() == "one"
