@@ -29,6 +29,7 @@ LONGEST = 32             # characters that the network reads at once; longer wor
 SAMPLE_DOCS = 400        # training documents of each language
 SAMPLE_WORDS = 60_000    # distinct pieces of words that are trained on, shared evenly by the languages
 LEAST_WORDS = 500        # of each language, however many there are
+BROADCAST_DOCS = 1 << 20 # training documents whose digests are broadcast; more are joined by an exchange
 EPOCHS = 4
 INFER = 1024            # words of one length that run side by side
 MEMO_KEYS = 250_000
@@ -216,9 +217,11 @@ def training_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words
     near = (named.select("doc", "lang").join(langs, "lang")
             .filter(share * F.col("n_docs") < 2 * sample_docs + 20).select("doc", "lang").distinct())
     order = Window.partitionBy("lang").orderBy(share, "doc")
-    chosen = (near.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample_docs)
-              .select("doc", "lang"))
-    seen = (named.join(chosen, ["doc", "lang"])
+    chosen = stage(near.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample_docs)
+                   .select("doc", "lang"), "language-sample")
+    # counted: at most sample_docs for each language, however many languages there are
+    few = chosen.count() <= BROADCAST_DOCS
+    seen = (named.join(F.broadcast(chosen) if few else chosen, ["doc", "lang"])
             .groupBy("lang", "doc").agg(F.first("text").alias("text"))
             .select("lang", F.explode(F.regexp_extract_all(F.translate("text", ascii_uppercase, ascii_lowercase),
                                                            F.lit(WORD), F.lit(0))).alias("word"))
