@@ -19,6 +19,7 @@ from stellate.operators.merge import _as_list, choose_strategy
 PIECE_BITS = 32768   # of a bitmap row, as bitmap_construct_agg makes it
 ROOM = 16            # bits for each key
 SEEDS = (0, 1)
+FOLDER = "_folder"
 
 
 def sketch_bits(rows: int) -> int:
@@ -44,27 +45,36 @@ def key_sketch(df: DataFrame, keys, bits: int) -> DataFrame:
             .select(F.lit(bits).cast("bigint").alias("bits"), "piece", "bitmap"))
 
 
-def maybe_present(keys_df: DataFrame, keys, sketch: DataFrame) -> DataFrame:
-    """The distinct keys that the sketch doesn't rule out.  ``sketch`` may hold
-    sketches of several folders, each with its own ``folder`` and size."""
+def maybe_in(keys_df: DataFrame, keys, sketch: DataFrame) -> DataFrame:
+    """The distinct keys that a sketch doesn't rule out, with the folder of
+    each sketch that doesn't (``_folder``); sketches may differ in size."""
     keys = _as_list(keys)
-    per_folder = "folder" in sketch.columns
     sizes = [r["bits"] for r in sketch.select("bits").distinct().collect()]  # a few powers of two
     if not sizes:
-        return keys_df.select(*keys).limit(0)
+        return keys_df.select(*keys, F.lit("").alias(FOLDER)).limit(0)
+    key = F.struct(*keys).alias("_key")  # a key may be named like a sketch's column
     sought = keys_df.filter(_not_null(keys)).select(*keys).distinct()
     probes = F.explode(F.array(*[F.struct(F.lit(b).cast("bigint").alias("bits"), _place(keys, b, s).alias("place"), F.lit(s).alias("seed"))
                                  for b in sizes for s in SEEDS]))
-    at = sought.select(*keys, probes.alias("p")).select(*keys, "p.bits", "p.seed", F.bitmap_bucket_number("p.place").alias("piece"),
-                                                        F.bitmap_bit_position("p.place").alias("bit"))
+    at = sought.select(key, probes.alias("p")).select("_key", "p.bits", "p.seed", F.bitmap_bucket_number("p.place").alias("piece"),
+                                                      F.bitmap_bit_position("p.place").alias("bit"))
     byte = F.conv(F.hex(F.expr("substring(bitmap, cast(bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
     hit = F.expr("shiftleft(1, cast(bit % 8 as int))").bitwiseAND(byte) != 0
-    group = [*keys, "bits", *(["folder"] if per_folder else [])]
-    return (at.join(sketch, ["bits", "piece"]).filter(hit).groupBy(*group).agg(F.count_distinct("seed").alias("n"))
-            .filter(F.col("n") == len(SEEDS)).select(*keys).distinct())
+    return (at.join(sketch, ["bits", "piece"]).filter(hit).groupBy("_key", "folder").agg(F.count_distinct("seed").alias("n"))
+            .filter(F.col("n") == len(SEEDS)).select("_key.*", F.col("folder").alias(FOLDER)))
+
+
+def maybe_present(keys_df: DataFrame, keys, sketch: DataFrame) -> DataFrame:
+    """The distinct keys that the sketch doesn't rule out.  ``sketch`` may hold
+    sketches of several folders, each with its own ``folder`` and size."""
+    keys = _as_list(keys)
+    if "folder" not in sketch.columns:
+        sketch = sketch.withColumn("folder", F.lit(""))
+    return maybe_in(keys_df, keys, sketch).select(*keys).distinct()
 
 
-def _small(df: DataFrame) -> DataFrame:
+def small(df: DataFrame) -> DataFrame:
+    """``df``, to be broadcast if its measured size is under the bound."""
     return F.broadcast(df) if choose_strategy(df) == "broadcast" else df
 
 
@@ -77,7 +87,7 @@ def new_duplicates(new: DataFrame, keys, old_sketch: DataFrame, old) -> DataFram
     candidates = maybe_present(new, keys, old_sketch)
     if not candidates.limit(1).count():
         return own
-    again = old().select(*keys).join(_small(candidates), keys, "left_semi").distinct()
+    again = old().select(*keys).join(small(candidates), keys, "left_semi").distinct()
     return own.unionByName(again).distinct()
 
 
@@ -87,7 +97,9 @@ def new_orphans(new: DataFrame, fk_cols, parent: DataFrame, pk_cols, gone: DataF
     ``gone`` from it, and only where the old references' sketch has them."""
     fk_cols, pk_cols = _as_list(fk_cols), _as_list(pk_cols)
     fresh = orphans(new, fk_cols, parent, pk_cols)
-    lost = maybe_present(gone.select(*[F.col(p).alias(f) for p, f in zip(pk_cols, fk_cols)]), fk_cols, old_sketch)
+    # a hash depends on the type, so the parent's keys are sought as the child holds them
+    sought = gone.select(*[F.col(p).try_cast(new.schema[f].dataType).alias(f) for p, f in zip(pk_cols, fk_cols)])
+    lost = maybe_present(sought, fk_cols, old_sketch)
     if not lost.limit(1).count():
         return fresh
-    return fresh.unionByName(old().join(_small(lost), fk_cols, "left_semi").select(*new.columns))
+    return fresh.unionByName(old().join(small(lost), fk_cols, "left_semi").select(*new.columns))

@@ -989,6 +989,14 @@ UNION ALL
 SELECT 'orphan', o_orderkey, o_custkey FROM onull WHERE o_orderkey % 100 = 0 AND o_custkey IS NOT NULL
   AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0)
 UNION ALL SELECT 'duplicate', o_orderkey, NULL FROM onull WHERE o_orderkey % 100 = 0""",
+    "append_audited": _with(ONULL, """unknown AS (
+  SELECT * FROM onull WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey))""",
+                            """valid AS (SELECT * FROM onull WHERE o_orderkey NOT IN (SELECT o_orderkey FROM unknown))""") + """
+SELECT 'orphan' AS violation, o_orderkey, o_custkey FROM (
+  SELECT * FROM valid UNION ALL SELECT * FROM valid WHERE o_orderkey % 100 = 0)
+WHERE o_custkey % 7 = 0
+UNION ALL SELECT 'orphan', o_orderkey, o_custkey FROM unknown
+UNION ALL SELECT 'duplicate', o_orderkey, NULL FROM valid WHERE o_orderkey % 100 = 0""",
     "fact_asof_lookup": ASOF,
     "employee_hierarchy": HIERARCHY,
     "cascade_closure": CASCADED,

@@ -27,7 +27,7 @@ from stellate.operators.merge import ACTION, change_feed, merge_actions, scd1, s
 from stellate.operators.scd import scd2, scd2_actions, scd2_expired, scd2_new_versions, scd3, scd4
 from stellate.plans import pipeline, star
 from stellate.session import shared_dir
-from stellate.sources import catalog, evolve, landing, touched
+from stellate.sources import catalog, evolve, landing, sketches, touched
 from stellate.sources import testdata as td
 from stellate.sources.feeds import changes
 from stellate.sources.publish import checkpoint_table, compact, current_snapshot, publish, read_snapshot, read_table, warehouse_root
@@ -701,6 +701,29 @@ def q_audit_incremental(spark, d):
         twice.select(F.lit("duplicate").alias("violation"), "o_orderkey"), allowMissingColumns=True)
 
 
+def q_append_audited(spark, d):
+    """Orders appended in four loads, each audited against the others by the
+    sketches that they left.  Then customers go, and a fifth load repeats some
+    orders and has some without a customer: what its audit finds, in the new
+    rows and in the old ones whose customer went."""
+    root = f"{warehouse_root(spark)}/audited-{uuid.uuid4().hex}"
+    c, k = td.table(spark, d, "customer").select("c_custkey", "c_name"), F.col("o_orderkey")
+    o = td.orders_nullable_customer(spark, d)
+    unknown = audit.orphans(o, "o_custkey", c, "c_custkey").select(*o.columns)
+    valid = o.join(unknown.select(k), "o_orderkey", "left_anti")
+    publish(c, "customers", root=root)
+    how = {"keys": "o_orderkey", "references": [("o_custkey", "customers", "c_custkey")], "root": root}
+    for part in range(4):
+        sketches.append_checked(valid.filter(k % 4 == part), "orders", **how)
+    base = current_snapshot(spark, "customers", root)
+    left, feed = scd1_load(read_table(spark, "customers", root), c.filter(F.col("c_custkey") % 7 != 0), "c_custkey", ["c_name"],
+                           delete_missing=True)
+    publish(left, "customers", root=root, base=base, feed=feed, feed_keys="c_custkey")
+    made = sketches.prepare_append(valid.filter(k % 100 == 0).unionByName(unknown), "orders", **how)
+    return made.violations["orphan_o_custkey"].select(F.lit("orphan").alias("violation"), "o_orderkey", "o_custkey").unionByName(
+        made.violations["duplicate_o_orderkey"].select(F.lit("duplicate").alias("violation"), "o_orderkey"), allowMissingColumns=True)
+
+
 def q_publish_snapshot(spark, d):
     """Publish the customer dimension as a checked snapshot and read it back."""
     dim = td.table(spark, d, "customer")
@@ -816,6 +839,7 @@ QUERIES = {
     "publish_compacted": q_publish_compacted,
     "scd1_touched_files": q_scd1_touched_files,
     "audit_incremental": q_audit_incremental,
+    "append_audited": q_append_audited,
     "fact_asof_lookup": q_fact_asof_lookup,
     "employee_hierarchy": q_employee_hierarchy,
     "cascade_closure": q_cascade_closure,

@@ -126,7 +126,7 @@ def removable_folders(spark: SparkSession, name: str, root: str | None = None, k
     needed, named = set(), set()
     for v in versions:
         for t, s in pin(spark, name, root, v).tables.items():
-            own = {(t, f) for f in (*s.folders, *([s.feed] if s.feed else []))}
+            own = {(t, f) for f in s.needs}
             named |= own
             if v in kept:
                 needed |= own

@@ -71,11 +71,19 @@ class Snapshot:
     feed_keys: tuple = ()
     #: files of the folders whose rows a later merge has written again
     skip: tuple = ()
+    #: ``(folder, its sketch's folder, keys)`` and ``(audit, parent's version)``, see ``sources.sketches``
+    sketches: tuple = ()
+    checked: tuple = ()
 
     @property
     def folders(self) -> tuple:
         return (self.head, *self.tail)
 
+    @property
+    def needs(self) -> set:
+        """All folders that the snapshot refers to."""
+        return {*self.folders, *([self.feed] if self.feed else []), *[x[1] for x in self.sketches]}
+
     def entry(self) -> dict:
         return {k: v for k, v in asdict(self).items() if k != "version"}
 
@@ -83,7 +91,8 @@ class Snapshot:
     def of(version: int, e: dict) -> "Snapshot":
         return Snapshot(version, e["head"], tuple(e["tail"]), e["flag"], e["schema"], e["rows"], e["bytes"], e["catalog"],
                         tuple(tuple(x) for x in e.get("sizes", ())), e.get("feed"), e.get("feed_schema"), tuple(e.get("feed_keys", ())),
-                        tuple(e.get("skip", ())))
+                        tuple(e.get("skip", ())), tuple((f, p, tuple(k)) for f, p, k in e.get("sketches", ())),
+                        tuple(tuple(x) for x in e.get("checked", ())))
 
 
 def warehouse_root(spark: SparkSession) -> str:
@@ -290,7 +299,8 @@ def prepare(df: DataFrame, table: str, audits: dict[str, Callable[[DataFrame], D
     return Snapshot(0, folder, keep.folders if keep else (), flag, df.schema.json(), rows + kept[0], size + kept[1], catalog,
                     ((folder, rows, size, ",".join(partition_by)), *(keep.sizes if keep else ())),
                     changes, feed.schema.json() if feed is not None else None,
-                    tuple([feed_keys] if isinstance(feed_keys, str) else feed_keys), keep.skip if keep else ())
+                    tuple([feed_keys] if isinstance(feed_keys, str) else feed_keys), keep.skip if keep else (),
+                    keep.sketches if keep else ())
 
 
 def _folder_bytes(spark: SparkSession, path: str) -> int:
@@ -387,7 +397,8 @@ def compact(spark: SparkSession, table: str, root: str | None = None, least: int
     total = snap.bytes if snap.flag else sum(x[2] for x in sizes if x[0] in folders)
     empty = T.StructType([]).json()  # nothing changed
     new = replace(snap, head=folders[0], tail=tuple(folders[1:]), sizes=tuple(sizes), bytes=total, feed="", feed_schema=empty,
-                  skip=tuple(f for f in snap.skip if f.split("/", 1)[0] in folders))
+                  skip=tuple(f for f in snap.skip if f.split("/", 1)[0] in folders),
+                  sketches=tuple(x for x in snap.sketches if x[0] in folders))
     return switch(spark, table, root, new, snap)
 
 
@@ -401,7 +412,7 @@ def removable(spark: SparkSession, table: str, root: str | None = None, keep_ver
     kept = set(versions[-keep_versions:] if keep_versions else []) | {p for p in pinned if isinstance(p, int)}
     needed, all_of = set(), set()
     for snap in [_entry(spark, table, root, v) for v in versions] + [p for p in pinned if isinstance(p, Snapshot)]:
-        own = {*snap.folders, *([snap.feed] if snap.feed else [])}
+        own = snap.needs
         all_of |= own
         if snap.version in kept or any(p is snap for p in pinned):
             needed |= own

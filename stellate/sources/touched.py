@@ -86,5 +86,6 @@ def merge_touched(spark: SparkSession, table: str, batch: DataFrame, keys, track
     folders = [written.head, *[d for d in base.folders if held[d]]]
     snap = replace(written, tail=tuple(folders[1:]), sizes=tuple(x for x in written.sizes if x[0] in folders),
                    skip=tuple(sorted(f for f in skip if f.split("/", 1)[0] in folders)),
+                   sketches=tuple(x for x in written.sketches if x[0] in folders),
                    rows=written.rows - target.count(), bytes=written.bytes - sum(sizes[f] for f in touched))
     return switch(spark, table, root, snap, base), touched
