@@ -30,7 +30,7 @@ from stellate.plans import star
 from stellate.sources import catalog
 from stellate.sources import testdata as td
 from stellate.sources.commit import Commit, Pinned, pin
-from stellate.sources.publish import Snapshot, current_snapshot, prepare, read_snapshot, switch, warehouse_root
+from stellate.sources.publish import Snapshot, checkpoint_table, current_snapshot, prepare, read_snapshot, switch, warehouse_root
 
 FACT_KEY = ["order_id", "line_number", "product_key", "employee_key"]
 #: what identifies a loaded line: its source values, no version keys
@@ -154,13 +154,15 @@ def load_fact(spark: SparkSession, sf_dir: str, lines: DataFrame, commit: Commit
     if old is not None:
         pending = read_snapshot(spark, "fact_rejects", old, root)
         pending = pending.select(F.col("line.*"), "missing", "tried")
-        # a waiting line that is delivered again is looked up as part of the batch
-        pending = new_rows(pending, batch, LINE_COLS)
+        # a waiting line that is delivered again is looked up as part of the batch; what is left is read twice, so it is staged
+        pending = checkpoint_table(new_rows(pending, batch, LINE_COLS, "l_shipdate"), "star-pending")
         changed = F.exists(F.split("missing", ","), lambda c: ~F.col("tried")[c].eqNullSafe(tried[c]))
         waiting = pending.filter(~changed)
         batch = batch.unionByName(pending.filter(changed).select(*LINE_COLS))
-    looked_up = star.fact_order_lines(spark, sf_dir, dims, batch, how="left", keep_lines=True)
     complete = " AND ".join(f"{c} IS NOT NULL" for c in LOOKUPS)
+    # the batch is looked up once: the fact, the comparison with what is loaded and the rejects read it staged
+    looked_up = star.fact_order_lines(spark, sf_dir, dims, batch, how="left", keep_lines=True)
+    looked_up = checkpoint_table(looked_up.withColumn("line", F.when(F.expr(f"NOT ({complete})"), F.col("line"))), "star-looked-up")
     add = looked_up.filter(complete).drop("line").withColumn("ship_year", (F.col("ship_date_key") / 10000).cast("int"))
     missing = F.array_join(F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in LOOKUPS])), ",")
     rejects = looked_up.filter(f"NOT ({complete})").select(

@@ -9,7 +9,8 @@ Join strategy is left to Catalyst + AQE: the line-to-order join is a
 sort-merge join on the order key; each key lookup is an equi-join that AQE
 turns into a broadcast join when the dimension's key map is small at run
 time, and whose skewed partitions (a customer with a third of all orders)
-AQE splits.  Nothing is broadcast on a guess.
+AQE splits.  Employees are broadcast up to a counted bound.  Nothing is
+broadcast on a guess.
 """
 
 from __future__ import annotations
@@ -146,9 +147,13 @@ def order_headers(spark, sf_dir, cust_dim: DataFrame | None = None,
 SMALL_DIM_ROWS = 10_000
 
 
-def small(dim: DataFrame) -> DataFrame:
-    """``dim`` marked for broadcast if it counts at most ``SMALL_DIM_ROWS`` rows."""
-    return F.broadcast(dim) if dim.limit(SMALL_DIM_ROWS + 1).count() <= SMALL_DIM_ROWS else dim
+#: rows of a key and its surrogate key (two longs) that are broadcast rather than all order lines exchanged
+SMALL_KEY_ROWS = 500_000
+
+
+def small(dim: DataFrame, most: int = SMALL_DIM_ROWS) -> DataFrame:
+    """``dim`` marked for broadcast if it counts at most ``most`` rows."""
+    return F.broadcast(dim) if dim.limit(most + 1).count() <= most else dim
 
 
 def fact_order_lines(spark, sf_dir, dims: dict | None = None, lines: DataFrame | None = None,
@@ -176,6 +181,7 @@ def fact_order_lines(spark, sf_dir, dims: dict | None = None, lines: DataFrame |
                            F.col("unit_price").alias("list_price"))
     emp = (emp_dim.select(F.col("employee_id").alias("l_suppkey"), "employee_key")
            .join(employees_with_territory(spark, sf_dir), "l_suppkey", "left_semi"))
+    emp = small(emp, SMALL_KEY_ROWS)
     headers = order_headers(spark, sf_dir, dims.get("customers"), dims.get("shippers"), how)
     return (li.join(headers, "l_orderkey", how)
             .join(prod, "l_partkey", how)

@@ -154,6 +154,27 @@ def test_waiting_lines_are_tried_once_per_change(spark, tmp_path):
 
 # ---------------------------------------------------------------- feeds
 
+def test_a_batch_is_looked_up_once(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    lines = td.table(spark, SF_SMALL, "lineitem").filter("l_orderkey % 10 = 0")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+    early = lines.filter("l_shipdate < timestamp_ntz'1997-01-01'")
+    pipeline.run_star(spark, SF_SMALL, root, day=1, as_of=td.CURRENT_SINCE, lines=early.mapInArrow(counted, early.schema))
+    assert read.value == early.count()  # without a day before, one pass gives fact and rejects
+    read.value = 0
+    pipeline.run_star(spark, SF_SMALL, root, day=2, as_of=td.AS_OF, lines=lines.mapInArrow(counted, lines.schema))
+    # one lookup; the others compare the batch, or its dates, with the lines that wait
+    assert read.value <= 5 * lines.count()
+    star = pipeline.read_star(spark, root)
+    fact, left = star.table("fact_order_lines"), star.table("fact_rejects")
+    assert fact.count() + left.count() >= lines.count() and left.filter("line IS NULL").count() == 0
+
+
 def test_feeds_compose_to_the_net_change(spark, tmp_path):
     root = str(tmp_path / "wh")
     states = [[(1, "a"), (2, "b"), (3, "c"), (7, None)], [(1, "a"), (2, "B"), (4, "d"), (7, "x")],
