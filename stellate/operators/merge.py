@@ -45,8 +45,10 @@ def change_condition(dtypes: dict, tracked, null_mode: str = "null_safe",
 
 # A source at most this large (measured, see ``measured_bytes``) is
 # broadcast by the "auto" merge strategy; override per session with
-# ``stellate.merge.broadcastBytes``.
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# ``stellate.merge.broadcastBytes``.  Every read of an unstaged merge collects
+# its broadcasts at the driver again (a load with its feed: up to nine), so
+# the bound is a small part of what the driver takes.
+DEFAULT_BROADCAST_BYTES = 8 * 1024 * 1024
 
 
 def choose_strategy(source: DataFrame, strategy: str = "auto", max_bytes: int | None = None) -> str:

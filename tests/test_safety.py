@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from stellate import session
 from stellate.operators.append import append_idempotent, new_rows
-from stellate.operators.merge import change_feed, merge_actions
+from stellate.operators.merge import change_feed, choose_strategy, merge_actions
 from stellate.operators.scd import scd2, scd2_actions, scd2_expired, scd3, scd4
 from stellate.sources import landing
 from stellate.sources import publish as publishing
@@ -174,6 +174,11 @@ def test_null_keys_are_not_appended_again(spark, strategy):
     assert append_idempotent(d, d, ["k", "d"], range_col="d", strategy=strategy).count() == 2
 
 
+def test_a_source_that_strains_the_driver_is_not_broadcast(spark):
+    wide = spark.range(20_000).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 500).alias("v"))
+    assert choose_strategy(wide) == "shuffle" and choose_strategy(wide.limit(1_000)) == "broadcast"
+
+
 # ---------------------------------------------------------------- streams
 
 def test_a_micro_batch_is_not_the_whole_source(spark, tmp_path):
