@@ -4,13 +4,14 @@ The reference appends the whole join result on every run, so a rerun
 doubles the fact.  ``new_rows`` keeps only batch rows whose key is not yet in
 the fact.  With ``range_col`` (the fact's date / partition column, which must
 be part of the key) the existing fact is first cut to the batch's
-[min, max] of that column, so the anti join reads and shuffles only the
-overlapping slice instead of the whole history.
+[min, max] of that column, and batch rows outside the existing fact's
+[min, max] are new as they are, so the anti join reads and shuffles only the
+overlapping slices instead of the whole history and the whole batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stellate.operators.merge import choose_strategy
@@ -30,10 +31,14 @@ def new_rows(batch: DataFrame, existing: DataFrame, key_cols, range_col: str | N
     if range_col is not None:
         if range_col not in key_cols:
             raise ValueError("range_col must be part of the key")
-        lo = batch.agg(F.min(range_col)).scalar()
-        hi = batch.agg(F.max(range_col)).scalar()
         c = F.col(range_col)  # rows without a date meet a batch's rows without one
-        existing = existing.filter(((c >= lo) & (c <= hi)) | c.isNull())
+
+        def within(df: DataFrame) -> Column:
+            lo, hi = df.agg(F.min(range_col)).scalar(), df.agg(F.max(range_col)).scalar()
+            return F.coalesce((c >= lo) & (c <= hi), c.isNull())
+        met = within(existing)
+        existing, outside, batch = existing.filter(within(batch)), batch.filter(~met), batch.filter(met)
+        return outside.unionByName(new_rows(batch, existing, key_cols, strategy=strategy))
     same = F.expr(" AND ".join(f"a.`{k}` <=> b.`{k}`" for k in key_cols))
     keys = batch.select(*key_cols)
     if choose_strategy(keys, strategy) == "broadcast":

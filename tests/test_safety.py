@@ -174,6 +174,20 @@ def test_null_keys_are_not_appended_again(spark, strategy):
     assert append_idempotent(d, d, ["k", "d"], range_col="d", strategy=strategy).count() == 2
 
 
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_only_rows_in_the_common_range_are_compared(spark, strategy):
+    def dated(days):
+        return kv(spark, [(n, None if n is None else dt.date(2001, 1, n)) for n in days], "k long, d date")
+    batch, old = dated([3, 4, 5, 5, 8, 8, None]), dated([1, 2, 3, 5])
+    got = new_rows(batch, old, ["k", "d"], "d", strategy)
+    assert sorted(r.k or 0 for r in got.collect()) == [0, 4, 8, 8]
+    assert "Union" in got._jdf.queryExecution().optimizedPlan().toString()  # later rows bypass the join
+    assert sorted(r.k or 0 for r in new_rows(batch, dated([1, None]), ["k", "d"], "d", strategy).collect()) == [3, 4, 5, 5, 8, 8]
+    assert new_rows(batch, dated([]), ["k", "d"], "d", strategy).count() == 7
+    assert new_rows(dated([]), old, ["k", "d"], "d", strategy).count() == 0
+    assert sorted(r.k or 0 for r in new_rows(dated([None, 1]), dated([None]), ["k", "d"], "d", strategy).collect()) == [1]
+
+
 def test_a_source_that_strains_the_driver_is_not_broadcast(spark):
     wide = spark.range(20_000).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 500).alias("v"))
     assert choose_strategy(wide) == "shuffle" and choose_strategy(wide.limit(1_000)) == "broadcast"
