@@ -590,12 +590,13 @@ def q_publish_compacted(spark, d):
 
 
 def q_fact_asof_lookup(spark, d):
-    """Order lines with the customer's version of the order date."""
+    """Order lines with the customer's version of the order date, which is
+    looked up once per order: of the lines only their key is moved."""
     o = td.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
-    lines = td.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").join(o, "l_orderkey")
-    found = lookup_asof(lines, td.customer_versions(spark, d), "o_custkey", "o_orderdate", "c_custkey",
+    found = lookup_asof(o, td.customer_versions(spark, d), "o_custkey", "o_orderdate", "c_custkey",
                         {"version_key": "version_key", "ineffective_date": "valid_to"}, how="left")
-    return found.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").cast("bigint").alias("line_number"),
+    lines = td.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return lines.join(found.drop("o_orderdate"), "l_orderkey").select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").cast("bigint").alias("line_number"),
                         F.col("o_custkey").alias("customer_id"), "version_key", F.col("valid_to").isNotNull().alias("ends_later"))
 
 

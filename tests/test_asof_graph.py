@@ -18,6 +18,17 @@ def day(n):
     return None if n is None else DAY + dt.timedelta(n)
 
 
+def test_order_lines_are_looked_up_per_order(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from stellate.plans import queries
+    facts = []
+    monkeypatch.setattr(queries, "lookup_asof", lambda fact, *a, **kw: facts.append(fact) or lookup_asof(fact, *a, **kw))
+    found = queries.q_fact_asof_lookup(spark, SF_SMALL)
+    assert "l_linenumber" not in facts[0].columns
+    lines, orders = (queries.td.table(spark, SF_SMALL, t) for t in ("lineitem", "orders"))
+    assert found.count() == lines.join(orders, F.expr("l_orderkey = o_orderkey")).count() > facts[0].count()
+
+
 def versions_and_lines(seed, n_keys=20, n_lines=300):
     rng = random.Random(seed)
     versions, sk = [], 0
