@@ -24,6 +24,18 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def no_views_left(request):
+    """Temporary views of one module's tests are not seen by the next's."""
+    yield
+    from pyspark.sql import SparkSession
+    s = SparkSession.getActiveSession()
+    if s is not None:
+        for t in s.catalog.listTables():
+            if t.isTemporary:
+                s.catalog.dropTempView(t.name)
+
+
 @pytest.fixture(scope="session")
 def duck():
     import duckdb
